@@ -171,9 +171,10 @@ def half_even_units(c: str | Column, digits: int) -> Column:
     x_hi = t - (t - x)
     x_lo = x - x_hi
     err = ((x_hi * s_hi - p) + x_hi * s_lo + x_lo * s_hi) + x_lo * s_lo
-    low = F.floor(p).cast("double")
-    part = (p - low) + err
-    return F.when(part > 0.5, low + 1).when(part < 0.5, low).otherwise(low + F.pmod(low, F.lit(2.0)))
+    near = F.rint(p)
+    off = p - near
+    shift = F.when((off == 0.5) & (err > 0), 1.0).when((off == -0.5) & (err < 0), -1.0).otherwise(0.0)
+    return near + shift
 
 
 def round_half_even(c: str | Column, digits: int = 0) -> Column:

@@ -8,23 +8,23 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from subjectflow.functions.cells import col, half_even_units, pad_left, pad_right
+from subjectflow.functions.cells import col, half_even_units, pad_right
 
 
-def fixed(c: str | Column, digits: int) -> Column:
-    """Text with exactly ``digits`` decimals, rounded by the exact binary value."""
+def fixed(c: str | Column, digits: int, width: int = 0) -> Column:
+    """Text with exactly ``digits`` decimals, rounded by the exact binary value.
+
+    Shorter text is padded on the left to ``width``; null stays null.
+    """
     x = col(c).cast("double")
-    units = half_even_units(x, digits)
-    exact = F.abs(units) < F.lit(float(2**52))
-    value = F.when(exact, units / F.lit(float(10**digits))).otherwise(x)
-    text = F.format_string(f"%.{digits}f", value)
-    return F.when(x.isNotNull(), text)
+    value = half_even_units(x, digits) / F.lit(float(10**digits))
+    mask = f"%{width}.{digits}f" if width else f"%.{digits}f"
+    return F.when(x.isNotNull(), F.format_string(mask, value))
 
 
 def fmt_num(c: str | Column, digits: int, width: int | None = None) -> Column:
     """Right-aligned fixed-width decimal text; width defaults to ``digits + 4``."""
-    text = pad_left(fixed(c, digits), digits + 4 if width is None else width)
-    return F.when(col(c).isNotNull(), text)
+    return fixed(c, digits, digits + 4 if width is None else width)
 
 
 def fmt_est(mean: str | Column, sd: str | Column, digits: tuple[int, int] = (1, 2)) -> Column:
@@ -54,7 +54,7 @@ def fmt_pval(p: str | Column, digits: int = 3) -> Column:
 def num_fmt(c: str | Column, digits: int = 0, size: int = 10, int_len: int = 3) -> Column:
     """Rounded number aligned on the decimal point and padded to ``size``; null prints blank."""
     width = int_len + (digits + 1 if digits > 0 else 0)
-    return F.when(col(c).isNull(), F.lit("")).otherwise(pad_right(pad_left(fixed(c, digits), width), size))
+    return F.when(col(c).isNull(), F.lit("")).otherwise(pad_right(fixed(c, digits, width), size))
 
 
 def masked(mask: str, *values: str | Column, align: bool = True) -> Column:
@@ -71,8 +71,7 @@ def masked(mask: str, *values: str | Column, align: bool = True) -> Column:
         if match.start() > position:
             pieces.append(F.lit(mask[position : match.start()]))
         value, left = left[0], left[1:]
-        text = fixed(value, len(match.group(1) or ""))
-        pieces.append(pad_left(text, len(match.group(0))) if align else text)
+        pieces.append(fixed(value, len(match.group(1) or ""), len(match.group(0)) if align else 0))
         missing = missing | col(value).isNull()
         position = match.end()
     if position < len(mask):

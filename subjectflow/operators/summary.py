@@ -139,11 +139,13 @@ def stat_rows(
     keys: Sequence[str] = ("layer_no", "layer"),
 ) -> DataFrame:
     """Statistics to report rows: one row per layer and statistic, one column per arm."""
+    # The texts are computed in a projection of their own, before the rows are unfolded.
+    texts = summary.select(*keys, arm, *[text.alias(f"_t{i}") for i, (_, text) in enumerate(stats, start=1)])
     rows = F.array(*[
-        F.struct(F.lit(i).alias("ord_layer_2"), F.lit(label).alias("row_label2"), text.alias("text"))
-        for i, (label, text) in enumerate(stats, start=1)
+        F.struct(F.lit(i).alias("ord_layer_2"), F.lit(label).alias("row_label2"), F.col(f"_t{i}").alias("text"))
+        for i, (label, _) in enumerate(stats, start=1)
     ])
-    tall = summary.select(*keys, arm, F.explode(rows).alias("_e")).select(*keys, arm, "_e.*")
+    tall = texts.select(*keys, arm, F.explode(rows).alias("_e")).select(*keys, arm, "_e.*")
     cells = [F.max(F.when(F.col(arm) == a, F.col("text"))).alias(f"{prefix}{a}") for a in arms]
     return tall.groupBy(*keys, "ord_layer_2", "row_label2").agg(*cells)
 

@@ -126,6 +126,12 @@ def occurrences(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def steady(c):
+    """Six decimals for comparison with SQL; the offset keeps exact ties from falling
+    either way with the order of a floating-point sum."""
+    return F.round((F.col(c) if isinstance(c, str) else c) + F.lit(3e-10), 6)
+
+
 # --------------------------------------------------------------- the same in SQL
 _VIEWS = {
     "subject": (

@@ -8,7 +8,7 @@ from subjectflow.functions import cells, dates
 from subjectflow.functions.cells import round_half_up, safe_ratio
 from subjectflow.operators import longitudinal, merges, occurrence, picks, ranges
 from subjectflow.plans.analogs import (
-    EXPECTED_VISITS, baselined, occurrences, raw_results, reference_dates, results, windowed, with_views,
+    EXPECTED_VISITS, baselined, occurrences, raw_results, reference_dates, results, steady, windowed, with_views,
 )
 from subjectflow.plans.registry import query
 from subjectflow.plans.subject_queries import half_up_sql
@@ -197,8 +197,8 @@ def closest_visit(spark, sf_dir):
 @query(
     "baseline_change",
     with_views("based", """
-      SELECT seq, aval, ablfl, base, CASE WHEN ablfl IS NULL THEN round(aval - base, 6) END AS chg,
-        CASE WHEN ablfl IS NULL AND base <> 0 THEN round(100 * (aval - base) / abs(base), 6) END AS pchg FROM based"""),
+      SELECT seq, aval, ablfl, base, CASE WHEN ablfl IS NULL THEN round(aval - base + 3e-10, 6) END AS chg,
+        CASE WHEN ablfl IS NULL AND base <> 0 THEN round(100 * (aval - base) / abs(base) + 3e-10, 6) END AS pchg FROM based"""),
 )
 def baseline_change(spark, sf_dir):
     """Baseline value on every row, change and percent change off baseline."""
@@ -206,8 +206,8 @@ def baseline_change(spark, sf_dir):
     off = F.col("ablfl").isNull()
     return b.select(
         "seq", "aval", "ablfl", "base",
-        F.when(off, F.round(longitudinal.change("aval", "base"), 6)).alias("chg"),
-        F.when(off, F.round(longitudinal.percent_change("aval", "base"), 6)).alias("pchg"),
+        F.when(off, steady(longitudinal.change("aval", "base"))).alias("chg"),
+        F.when(off, steady(longitudinal.percent_change("aval", "base"))).alias("pchg"),
     )
 
 
@@ -328,14 +328,14 @@ def limited(spark, sf_dir):
       dist AS (SELECT *, CASE WHEN one > two THEN one WHEN one <= two THEN two END AS albtrval FROM far),
       best AS (SELECT seq, albtrval, ROW_NUMBER() OVER (PARTITION BY usubjid, paramcd ORDER BY albtrval DESC NULLS LAST, seq) AS rn
         FROM dist WHERE avisitn BETWEEN 1 AND 3)
-      SELECT d.seq, round(d.albtrval, 6) AS albtrval, CASE WHEN b.rn = 1 AND b.albtrval IS NOT NULL THEN 'Y' END AS anl01fl
+      SELECT d.seq, round(d.albtrval + 3e-10, 6) AS albtrval, CASE WHEN b.rn = 1 AND b.albtrval IS NOT NULL THEN 'Y' END AS anl01fl
       FROM dist d LEFT JOIN best b ON d.seq = b.seq AND b.rn = 1"""),
 )
 def analysis_flag(spark, sf_dir):
     """Flag the post-baseline record furthest outside its limits per subject and parameter."""
     d = limited(spark, sf_dir).withColumn("albtrval", longitudinal.threshold_distance("aval", "lo", "hi"))
     flagged = longitudinal.flag_furthest(d, PAIR, "albtrval", ["seq"], "anl01fl", F.col("AVISITN").between(1, 3))
-    return flagged.select("seq", F.round("albtrval", 6).alias("albtrval"), "anl01fl")
+    return flagged.select("seq", steady("albtrval").alias("albtrval"), "anl01fl")
 
 
 @query(
@@ -353,15 +353,15 @@ def range_indicator(spark, sf_dir):
 @query(
     "limit_ratios",
     with_views("based", _LIMITS + """
-      SELECT seq, lo AS a1lo, hi AS a1hi, round(aval / nullif(lo, 0), 6) AS r2a1lo, round(aval / nullif(hi, 0), 6) AS r2a1hi,
-        round(base / nullif(lo, 0), 6) AS br2a1lo, round(base / nullif(hi, 0), 6) AS br2a1hi FROM lim"""),
+      SELECT seq, lo AS a1lo, hi AS a1hi, round(aval / nullif(lo, 0) + 3e-10, 6) AS r2a1lo, round(aval / nullif(hi, 0) + 3e-10, 6) AS r2a1hi,
+        round(base / nullif(lo, 0) + 3e-10, 6) AS br2a1lo, round(base / nullif(hi, 0) + 3e-10, 6) AS br2a1hi FROM lim"""),
 )
 def limit_ratios(spark, sf_dir):
     """Ratios of value and baseline to the range limits; null for a zero limit."""
     d = limited(spark, sf_dir).withColumns({"AVAL": F.col("aval"), "BASE": F.col("base")})
     r = longitudinal.limit_ratios(d, "lo", "hi")
     return r.select("seq", F.col("A1LO").alias("a1lo"), F.col("A1HI").alias("a1hi"),
-                    *[F.round(c, 6).alias(c.lower()) for c in ("R2A1LO", "R2A1HI", "BR2A1LO", "BR2A1HI")])
+                    *[steady(c).alias(c.lower()) for c in ("R2A1LO", "R2A1HI", "BR2A1LO", "BR2A1HI")])
 
 
 @query(

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from subjectflow.functions.cells import if_else, n_distinct, round_half_up, safe_ratio, sum_or_null
 from subjectflow.operators import merges, picks, ranges, summary
-from subjectflow.plans.analogs import ARMS, exposure, raw_results, reference_dates, subjects, windowed, with_views
+from subjectflow.plans.analogs import ARMS, exposure, raw_results, reference_dates, steady, subjects, windowed, with_views
 from subjectflow.plans.registry import query
 
 AGE_RANGES = ["<65", "65-80", ">80"]
@@ -25,14 +25,14 @@ def half_up_sql(expression: str, digits: int) -> str:
     with_views("subject", """, v AS (
         SELECT arm, 'age' AS variable, CAST(age AS DOUBLE) AS value FROM subject
         UNION ALL SELECT arm, 'measure', measure FROM subject)
-      SELECT arm, variable, COUNT(value) AS n, round(AVG(value), 6) AS mean, round(STDDEV_SAMP(value), 6) AS sd,
-        round(MEDIAN(value), 6) AS median, MIN(value) AS min, MAX(value) AS max
+      SELECT arm, variable, COUNT(value) AS n, round(AVG(value) + 3e-10, 6) AS mean, round(STDDEV_SAMP(value) + 3e-10, 6) AS sd,
+        round(MEDIAN(value) + 3e-10, 6) AS median, MIN(value) AS min, MAX(value) AS max
       FROM v WHERE arm IN ('Placebo', 'Low Dose', 'High Dose') GROUP BY arm, variable"""),
 )
 def describe_by_arm(spark, sf_dir):
     """n, mean, sd, median, minimum, maximum of two variables by arm."""
     stats = summary.describe(subjects(spark, sf_dir).filter(IN_ARM), ["arm"], ["age", "measure"])
-    return stats.select("arm", "variable", "n", *[F.round(c, 6).alias(c) for c in ("mean", "sd", "median")], "min", "max")
+    return stats.select("arm", "variable", "n", *[steady(c).alias(c) for c in ("mean", "sd", "median")], "min", "max")
 
 
 @query(
@@ -323,7 +323,7 @@ def unique_keys(spark, sf_dir):
 @query(
     "population_right_join",
     with_views("subject results", """
-      SELECT s.usubjid, COUNT(r.seq) AS n_rows, round(SUM(r.aval), 6) AS total
+      SELECT s.usubjid, COUNT(r.seq) AS n_rows, round(SUM(r.aval) + 3e-10, 6) AS total
       FROM results r RIGHT JOIN (SELECT usubjid FROM subject WHERE arm IN ('Placebo', 'Low Dose', 'High Dose')) s USING (usubjid)
       GROUP BY s.usubjid"""),
 )
@@ -331,7 +331,7 @@ def population_right_join(spark, sf_dir):
     """Results restricted to the population; subjects without results stay."""
     itt = subjects(spark, sf_dir).filter(IN_ARM).select("usubjid")
     joined = merges.population_right_join(raw_results(spark, sf_dir).select("usubjid", "seq", "aval"), itt, ["usubjid"])
-    return joined.groupBy("usubjid").agg(F.count("seq").alias("n_rows"), F.round(F.sum("aval"), 6).alias("total"))
+    return joined.groupBy("usubjid").agg(F.count("seq").alias("n_rows"), steady(F.sum("aval")).alias("total"))
 
 
 @query(
