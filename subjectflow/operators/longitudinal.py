@@ -48,12 +48,14 @@ def flag_closest(
 def locf(
     df: DataFrame, by: Sequence[str], expected: Sequence[tuple[int, str]], keep: Sequence[str], row_key: Sequence[str],
     visit_number: str = "AVISITN", visit: str = "AVISIT", value: str = "AVAL", where: Column | None = None,
+    constant: Sequence[str] = (),
 ) -> DataFrame:
     """Add a record for every missing expected visit, carrying the last earlier value.
 
     One aggregate per group holds, for each expected visit, whether it was observed and
     the latest observed record up to it. A visit with no earlier value adds nothing.
-    Added rows carry ``keep`` columns of the record they come from and DTYPE ``LOCF``.
+    Added rows carry ``keep`` columns of the record they come from, the ``constant``
+    columns (equal on all rows of a group) and DTYPE ``LOCF``.
     """
     pool = df.filter(F.col(value).isNotNull())
     if where is not None:
@@ -64,7 +66,7 @@ def locf(
     for i, (number, _) in enumerate(expected):
         slots.append(F.max(F.when(F.col(visit_number) == number, F.lit(1))).alias(f"_seen{i}"))
         slots.append(F.max(F.when(F.col(visit_number) <= number, carried)).alias(f"_last{i}"))
-    grouped = pool.groupBy(*by).agg(*slots)
+    grouped = pool.groupBy(*by).agg(*slots, *[F.any_value(c).alias(c) for c in constant])
     gaps = F.array(
         *[
             F.when(
@@ -74,9 +76,10 @@ def locf(
             for i, (number, label) in enumerate(expected)
         ]
     )
-    added = grouped.select(*by, F.explode(gaps).alias("_g")).filter(F.col("_g").isNotNull())
+    added = grouped.select(*by, *constant, F.explode(gaps).alias("_g")).filter(F.col("_g").isNotNull())
     added = added.select(
         *by,
+        *constant,
         F.col("_g.number").cast(df.schema[visit_number].dataType).alias(visit_number),
         F.col("_g.label").alias(visit),
         F.col("_g.last._v").alias(value),

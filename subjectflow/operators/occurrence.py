@@ -50,4 +50,5 @@ def occurrence_flags(
             any_: (0, "em"), per_group: (1, "em"), per_term: (2, "em"),
             s_any: (0, "se"), s_group: (1, "se"), s_term: (2, "se"), q_any: (0, "cq"),
         },
+        where=emergent,
     )

@@ -86,21 +86,22 @@ def flag_first_nested(
     row_key: Sequence[str],
     conditions: Mapping[str, Column],
     flags: Mapping[str, tuple[int, str]],
+    where: Column | None = None,
 ) -> DataFrame:
     """Many first-occurrence flags over nested groups in one reduction.
 
     ``levels`` lists the group keys from coarse to fine, each contained in the next;
-    ``flags`` maps a flag name to (level index, condition name). The finest level is
-    reduced once with one minimum per condition; each coarser level is reduced from the
+    ``flags`` maps a flag name to (level index, condition name); ``where`` is a test that
+    every condition implies, if there is one. The finest level is reduced once with one minimum per condition; each coarser level is reduced from the
     level below. The winners return to the rows on ``row_key``.
     """
     mark = order_struct(order, *row_key)
-    wanted = {}
+    wanted: dict[tuple[int, str], list[str]] = {}
     for name, (level, condition) in flags.items():
-        wanted.setdefault(level, {}).setdefault(condition, []).append(name)
+        wanted.setdefault((level, condition), []).append(name)
 
-    any_condition = None
-    for condition in conditions.values():
+    any_condition = where
+    for condition in () if where is not None else conditions.values():
         any_condition = condition if any_condition is None else any_condition | condition
     finest = len(levels) - 1
     reduced = (
@@ -114,16 +115,28 @@ def flag_first_nested(
             reduced = reduced.groupBy(*levels[level]).agg(
                 *[F.min(f"_w_{key}").alias(f"_w_{key}") for key in conditions]
             )
-        for condition, names in wanted.get(level, {}).items():
-            part = reduced.filter(F.col(f"_w_{condition}").isNotNull()).select(
-                *[F.col(f"_w_{condition}.{k}").alias(k) for k in row_key],
-                *[F.lit("Y" if flag in names else None).cast("string").alias(flag) for flag in flags],
+        # Every level emits every condition, so that the levels share one reduced plan and
+        # Spark reuses its shuffles; marks without a flag vanish below.
+        entries = [
+            F.when(
+                F.col(f"_w_{condition}").isNotNull(),
+                F.struct(
+                    *[F.col(f"_w_{condition}.{k}").alias(k) for k in row_key],
+                    *[_mark(flag in wanted.get((level, condition), ())).alias(flag) for flag in flags],
+                ),
             )
-            winners = part if winners is None else winners.unionByName(part)
+            for condition in conditions
+        ]
+        part = reduced.select(F.explode(F.array(*entries)).alias("_e")).filter(F.col("_e").isNotNull()).select("_e.*")
+        winners = part if winners is None else winners.unionByName(part)
     marks = winners.groupBy(*row_key).agg(*[F.max(flag).alias(flag) for flag in flags])
     return df.join(marks, list(row_key), "left")
 
 
+def _mark(yes: bool) -> Column:
+    return F.lit("Y" if yes else None).cast("string")
+
+
 def restrict(df: DataFrame, derivation, where: Column, **args) -> DataFrame:
     """Run ``derivation`` on the rows meeting ``where``; the others pass through with nulls."""
     inside = derivation(df.filter(where), **args)

@@ -16,11 +16,12 @@ from pyspark.sql import functions as F
 from subjectflow.functions.cells import col
 
 _BOUND = re.compile(r"^\s*(<=|>=|<|>)\s*(-?[\d.]+)\s*$")
-_SPAN = re.compile(r"^\s*(-?[\d.]+)\s*-\s*(-?[\d.]+)\s*$")
+_SPAN = re.compile(r"^\s*(-?[\d.]+)\s*-\s*(<?)\s*(-?[\d.]+)\s*$")
 
 
 def in_range(c: str | Column, text: str) -> Column:
-    """Test of a range text such as ``<65``, ``65-80`` (both ends inside) or ``>80``."""
+    """Test of a range text such as ``<65``, ``65-80`` (both ends inside),
+    ``25-<30`` (upper end outside) or ``>80``."""
     c = col(c)
     bound = _BOUND.match(text)
     if bound:
@@ -29,7 +30,8 @@ def in_range(c: str | Column, text: str) -> Column:
     span = _SPAN.match(text)
     if not span:
         raise ValueError(f"not a range: {text!r}")
-    return (c >= float(span.group(1))) & (c <= float(span.group(2)))
+    low, high = float(span.group(1)), float(span.group(3))
+    return (c >= low) & (c < high if span.group(2) else c <= high)
 
 
 def range_category(
