@@ -179,17 +179,19 @@ def chemistry(
     if param_codes:
         out = merges.map_codelist(out, param_codes, "PARAM", "PARAMN")
     # The indicator rests on the record's own value and limits, so both baselines come
-    # from the same flagged records before any record is copied.
+    # from the same flagged records before any record is copied; the indicator's baseline
+    # counts only records that stay in the table.
     out = out.withColumn("ANRIND", longitudinal.range_indicator())
+    planned = F.col("VISIT").contains("WEEK") | F.col("VISIT").contains("UNSCHEDULED") | F.col("VISIT").contains("SCREENING")
+    stays = planned | (F.col("ENDPOINT") == "Y") | (F.col("VISITNUM") == 12)
     marked = out.filter(F.col("ABLFL") == "Y").groupBy(*PARAMETER).agg(
         F.when(F.count("*") == 1, F.max("AVAL")).otherwise(F.raise_error(F.lit("more than one baseline record"))).alias("BASE"),
-        F.max("ANRIND").alias("BNRIND"),
+        F.max(F.when(stays, F.col("ANRIND"))).alias("BNRIND"),
     )
     out = out.join(marked, PARAMETER, "left")
     out = out.withColumn("CHG", if_else(F.col("VISITNUM") == 1, F.lit(None).cast("double"), longitudinal.change()))
 
     named = longitudinal.name_visits(out)
-    planned = F.col("VISIT").contains("WEEK") | F.col("VISIT").contains("UNSCHEDULED") | F.col("VISIT").contains("SCREENING")
     visits, fallback = longitudinal.end_of_treatment(
         named, PARAMETER, ["LBSEQ"], endpoint=F.col("ENDPOINT") == "Y", last_visit=F.col("VISITNUM") == 12,
         after=F.col("VISITNUM") == 13, kept=planned,
