@@ -173,8 +173,7 @@ def half_even_units(c: str | Column, digits: int) -> Column:
     err = ((x_hi * s_hi - p) + x_hi * s_lo + x_lo * s_hi) + x_lo * s_lo
     near = F.rint(p)
     off = p - near
-    shift = F.when((off == 0.5) & (err > 0), 1.0).when((off == -0.5) & (err < 0), -1.0).otherwise(0.0)
-    return near + shift
+    return F.when((off == 0.5) & (err > 0), near + 1).when((off == -0.5) & (err < 0), near - 1).otherwise(near)
 
 
 def round_half_even(c: str | Column, digits: int = 0) -> Column:

@@ -11,13 +11,15 @@ from pyspark.sql import functions as F
 from subjectflow.functions.cells import col, half_even_units, pad_right
 
 
-def fixed(c: str | Column, digits: int, width: int = 0) -> Column:
+def fixed(c: str | Column, digits: int, width: int = 0, signed_zero: bool = True) -> Column:
     """Text with exactly ``digits`` decimals, rounded by the exact binary value.
 
-    Shorter text is padded on the left to ``width``; null stays null.
+    Shorter text is padded on the left to ``width``; null stays null. With
+    ``signed_zero`` a negative number that rounds to zero keeps its sign.
     """
     x = col(c).cast("double")
-    value = half_even_units(x, digits) / F.lit(float(10**digits))
+    units = half_even_units(x, digits)
+    value = (units if signed_zero else units + F.lit(0.0)) / F.lit(float(10**digits))
     mask = f"%{width}.{digits}f" if width else f"%.{digits}f"
     return F.when(x.isNotNull(), F.format_string(mask, value))
 
@@ -54,7 +56,7 @@ def fmt_pval(p: str | Column, digits: int = 3) -> Column:
 def num_fmt(c: str | Column, digits: int = 0, size: int = 10, int_len: int = 3) -> Column:
     """Rounded number aligned on the decimal point and padded to ``size``; null prints blank."""
     width = int_len + (digits + 1 if digits > 0 else 0)
-    return F.when(col(c).isNull(), F.lit("")).otherwise(pad_right(fixed(c, digits, width), size))
+    return F.when(col(c).isNull(), F.lit("")).otherwise(pad_right(fixed(c, digits, width, signed_zero=False), size))
 
 
 def masked(mask: str, *values: str | Column, align: bool = True) -> Column:
@@ -71,7 +73,7 @@ def masked(mask: str, *values: str | Column, align: bool = True) -> Column:
         if match.start() > position:
             pieces.append(F.lit(mask[position : match.start()]))
         value, left = left[0], left[1:]
-        pieces.append(fixed(value, len(match.group(1) or ""), len(match.group(0)) if align else 0))
+        pieces.append(fixed(value, len(match.group(1) or ""), len(match.group(0)) if align else 0, False))
         missing = missing | col(value).isNull()
         position = match.end()
     if position < len(mask):

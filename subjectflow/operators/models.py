@@ -183,8 +183,6 @@ def fit_factor_models(sums: DataFrame, arms: Sequence, doses: Sequence[float], l
         for pdf in batches:
             rows = []
             for _, r in pdf.iterrows():
-                if not r["n"]:
-                    continue
                 d = np.array([[r[f"d_{min(i, j)}_{max(i, j)}"] for j in range(k)] for i in range(k)], dtype=float)
                 dx = np.array([r[f"dx_{i}"] for i in range(k)], dtype=float)
                 dy = np.array([r[f"dy_{i}"] for i in range(k)], dtype=float)
@@ -216,7 +214,7 @@ def fit_factor_models(sums: DataFrame, arms: Sequence, doses: Sequence[float], l
                 rows += _solve(a, ay, r["yy"], base - len(free), contrasts)
             yield pd.DataFrame(rows, columns=["test", "estimate", "se", "df", "t"])
 
-    fitted = sums.mapInPandas(solve, _FIT)
+    fitted = sums.filter(F.col("n") > 0).mapInPandas(solve, _FIT)
     nulls = [F.nanvl(F.col(c), F.lit(None).cast("double")).alias(c) for c in ("estimate", "se", "t")]
     return fitted.select("test", nulls[0], nulls[1], "df", nulls[2])
 

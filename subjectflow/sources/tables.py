@@ -39,8 +39,12 @@ def load_tables(
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Lines of whole text files with file name and line number."""
-    files = spark.read.option("wholetext", True).text(path).select(F.col("_metadata.file_name").alias("file"), "value")
+    """Lines of report files with file name and line number.
+
+    A line number needs the whole file, so each file is one row: for report outputs,
+    not for bulk text (keep that in a table and use ``text_lines``).
+    """
+    files = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_name").alias("file"), "value")
     body = F.regexp_replace("value", r"\n$", "")
     return files.select("file", F.posexplode(F.split(body, "\r?\n")).alias("_i", "line")).select(
         "file", (F.col("_i") + 1).alias("line_no"), "line"
