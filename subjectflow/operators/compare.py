@@ -107,12 +107,10 @@ def compare_datasets(
 
 def comparison_status(differences: DataFrame, datasets: Sequence[str], dataset: str = "dataset", allowed: int = 0) -> DataFrame:
     """Pass/fail row per dataset: pass when at most ``allowed`` differences were found."""
-    grid = differences.sparkSession.createDataFrame([(d,) for d in datasets], f"{dataset} string")
-    counts = differences.groupBy(dataset).agg(F.count("*").alias("_n"))
-    n = F.coalesce("_n", F.lit(0)).cast("long")
-    return grid.join(counts, dataset, "left").select(
-        dataset, n.alias("n_differences"), F.when(n <= allowed, "pass").otherwise("fail").alias("status")
-    )
+    named = differences.sparkSession.createDataFrame([(d,) for d in datasets], f"{dataset} string")
+    counted = named.select(dataset, F.lit(0).alias("_n")).unionByName(differences.select(dataset, F.lit(1).alias("_n")))
+    n = F.sum("_n").alias("n_differences")
+    return counted.groupBy(dataset).agg(n).withColumn("status", F.when(F.col("n_differences") <= allowed, "pass").otherwise("fail"))
 
 
 # ------------------------------------------------------------------- metadata
@@ -150,6 +148,13 @@ def compare_schemas(base: DataFrame, compare: DataFrame) -> DataFrame:
     )
 
 
+def filled_cells(df: DataFrame) -> DataFrame:
+    """Non-null cells per column (variable, n_filled), counted in one pass."""
+    counts = df.agg(*[F.count(F.col(f"`{c}`")).alias(c) for c in df.columns])
+    rows = F.array(*[F.struct(F.lit(c).alias("variable"), F.col(f"`{c}`").alias("n_filled")) for c in df.columns])
+    return counts.select(F.explode(rows).alias("_e")).select("_e.*")
+
+
 def variable_labels(wanted: DataFrame, tables: dict[str, DataFrame]) -> DataFrame:
     """Attach the distinct labels of all tables to a (variable, dataset) list."""
     labels = schema_frame(wanted.sparkSession, tables).select(F.col("name").alias("variable"), "label").distinct()

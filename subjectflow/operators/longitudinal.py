@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from subjectflow.functions.cells import case_chain, digits_to_number, if_else, safe_ratio, sentence_case
+from subjectflow.operators.joins import lookup_join
 from subjectflow.operators.picks import flag_extreme, pick_row
 
 
@@ -24,7 +25,7 @@ def baseline(
     if check:
         value = F.when(F.count("*") == 1, value).otherwise(F.raise_error(F.lit("more than one baseline record in a group")))
     base = df.filter(F.col(flag) == "Y").groupBy(*by).agg(value.alias(target))
-    return df.join(base, list(by), "left")
+    return lookup_join(df, base, by)
 
 
 def change(value: str = "AVAL", base: str = "BASE") -> Column:
@@ -172,8 +173,7 @@ def flag_latest_visit(
     pool = df.filter(where)
     best = pool.groupBy(*by).agg(F.max(visit_number).alias("_top"))
     marks = (
-        pool.select(*dict.fromkeys([*by, *row_key]), visit_number)
-        .join(best, list(by), "left")
+        lookup_join(pool.select(*dict.fromkeys([*by, *row_key]), visit_number), best, by)
         .select(*row_key, F.when(F.col(visit_number) == F.col("_top"), F.lit("Y")).otherwise(F.lit("")).alias(name))
         .groupBy(*row_key)
         .agg(F.max(name).alias(name))

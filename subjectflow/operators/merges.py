@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from subjectflow.functions.cells import col, if_else
+from subjectflow.operators.joins import lookup_join
 from subjectflow.operators.picks import pick_row
 
 
@@ -49,7 +50,7 @@ def merge_vars(
     right = right.select(*by, *[F.col(old).alias(new) for new, old in _pairs(columns).items()])
     if order is None and not unique:
         right = one_per_key(right, by)
-    return df.join(right, list(by), "left")
+    return lookup_join(df, right, by)
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str], name: str = "n_rows") -> DataFrame:
@@ -58,8 +59,16 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str], name: str = "n_rows") ->
 
 
 def population_right_join(df: DataFrame, population: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Rows of the population's subjects; a subject without rows stays with nulls."""
-    return df.join(population, list(by), "right")
+    """Rows of the population's subjects; a subject without rows stays with nulls.
+
+    A right join could neither broadcast the population nor split a hot subject's rows.
+    An inner join can do both, and the subjects without rows are added from an anti join
+    against the distinct keys.
+    """
+    by = list(by)
+    found = df.join(population, by, "inner")
+    lone = population.join(df.select(*by).distinct(), by, "left_anti")
+    return found.unionByName(lone, allowMissingColumns=True)
 
 
 def natural_join(a: DataFrame, b: DataFrame) -> DataFrame:
@@ -105,7 +114,7 @@ def map_codelist(
         return df.withColumn(target, F.try_element_at(F.create_map(*pairs), F.col(source)))
     key, value = (decode, code) if decode_to_code else (code, decode)
     lookup = codelist.select(F.col(key).alias(source), F.col(value).alias(target))
-    return df.join(lookup, source, "left")
+    return lookup_join(df, lookup, [source])
 
 
 def build_predecessors(

@@ -24,7 +24,7 @@ def _complete(df: DataFrame, *names: str) -> DataFrame:
 
 # ----------------------------------------------------------- two arms, one covariate
 def ancova_two_arm(df: DataFrame, y: str, x: str, arm: str, arms: Sequence) -> DataFrame:
-    """One row with the fit of ``y ~ x + arm`` for two arms.
+    """One row with the fit of ``y ~ x + arm`` for two arms; no row if an arm is empty.
 
     Columns: per arm (suffix 1, 2) n, LS mean at the overall covariate mean and its
     standard error; slope, residual df, difference (arm 1 - arm 2) with standard error,
@@ -42,7 +42,7 @@ def ancova_two_arm(df: DataFrame, y: str, x: str, arm: str, arms: Sequence) -> D
             F.covar_pop(xi, yi).alias(f"cv{i}"),
             F.var_pop(yi).alias(f"vy{i}"),
         ]
-    sums = _complete(df, x, y).agg(*cells)
+    sums = _complete(df, x, y).agg(*cells).filter((F.col("n1") > 0) & (F.col("n2") > 0))
 
     def both(name: str) -> Column:
         return F.col("n1") * F.col(f"{name}1") + F.col("n2") * F.col(f"{name}2")

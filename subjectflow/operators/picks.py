@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from subjectflow.functions.cells import col
+from subjectflow.operators.joins import lookup_join
 
 
 def sort_keys(order: Sequence[str | Column], reverse: bool = False) -> list[Column]:
@@ -153,7 +154,7 @@ def flag_group_max(
     """
     top = max_name or f"_max_{value}"
     best = df.groupBy(*by).agg(F.max(value).alias(top))
-    out = df.join(best, list(by), "left").withColumn(
+    out = lookup_join(df, best, by).withColumn(
         name, F.when(F.col(value) == F.col(top), F.lit("Y")).when(F.col(value) != F.col(top), F.lit(no))
     )
     return out if max_name else out.drop(top)

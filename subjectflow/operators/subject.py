@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from subjectflow.functions.cells import case_chain, if_else, is_in, round_half_up, safe_ratio, sum_or_null
 from subjectflow.functions.dates import duration
+from subjectflow.operators.joins import lookup_join
 
 
 def treatment_vars(df: DataFrame, arm: str, codes: Mapping[str, int], planned: str = "TRT01P", actual: str = "TRT01A") -> DataFrame:
@@ -94,4 +95,4 @@ def pool_small_sites(
     least = F.least(*counts) if len(counts) > 1 else counts[0]
     sizes = df.groupBy(site).agg(least.alias("_least"))
     text = F.when(F.col("_least") < smallest, F.lit(group)).otherwise(F.col(site).cast("string"))
-    return df.join(sizes, site, "left").withColumn(target, text).drop("_least")
+    return lookup_join(df, sizes, [site]).withColumn(target, text).drop("_least")

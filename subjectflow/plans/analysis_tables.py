@@ -17,6 +17,7 @@ from subjectflow.functions import values
 from subjectflow.functions.cells import case_chain, if_else, paste, round_half_up, safe_ratio, sum_or_zero, title_case, to_number
 from subjectflow.functions.dates import duration, duration_unit, impute_date, impute_datetime, parse_iso_date, study_day
 from subjectflow.operators import longitudinal, merges, occurrence, ranges, subject, survival
+from subjectflow.operators.joins import lookup_join
 from subjectflow.operators.spec import TableSpec, conform
 
 SUBJECT = ["STUDYID", "USUBJID"]
@@ -188,7 +189,7 @@ def chemistry(
         F.when(F.count("*") == 1, F.max("AVAL")).otherwise(F.raise_error(F.lit("more than one baseline record"))).alias("BASE"),
         F.max(F.when(stays, F.col("ANRIND"))).alias("BNRIND"),
     )
-    out = out.join(marked, PARAMETER, "left")
+    out = lookup_join(out, marked, PARAMETER)
     out = out.withColumn("CHG", if_else(F.col("VISITNUM") == 1, F.lit(None).cast("double"), longitudinal.change()))
 
     named = longitudinal.name_visits(out)

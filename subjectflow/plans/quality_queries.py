@@ -295,20 +295,23 @@ def position_compare(spark, sf_dir):
 
 @query(
     "schema_compare",
-    """SELECT v.variable, v.attribute, v.base, v.compare, n FROM (SELECT COUNT(*) AS n FROM customer),
+    """SELECT v.variable, v.attribute, v.base, v.compare, CASE v.variable WHEN 'c_name' THEN a WHEN 'c_nationkey' THEN b WHEN 'c_acctbal' THEN c END AS base_filled,
+         CASE v.variable WHEN 'extra' THEN n WHEN 'c_nationkey' THEN b WHEN 'c_acctbal' THEN c END AS compare_filled
+       FROM (SELECT COUNT(*) AS n, COUNT(c_name) AS a, COUNT(c_nationkey) AS b, COUNT(c_acctbal) AS c FROM customer),
          (VALUES ('c_name', 'column', 'present', NULL), ('c_nationkey', 'type', 'int', 'string'), ('c_acctbal', 'label', NULL, 'Balance'),
            ('extra', 'column', NULL, 'present')) v(variable, attribute, base, compare)""",
 )
 def schema_compare(spark, sf_dir):
-    """Schema differences of a table and a changed copy, with the rows they affect."""
+    """Schema differences of a table and a changed copy, with the cells they affect."""
     c = table(spark, sf_dir, "customer")
     changed = c.select(
         "c_custkey", F.col("c_nationkey").cast("string").alias("c_nationkey"), F.col("c_acctbal").alias("c_acctbal", metadata={"label": "Balance"}),
         "c_mktsegment", F.lit(1).alias("extra"),
     )
-    differences = compare.compare_schemas(c, changed)
-    rows = c.agg(F.count("*").alias("n")).withColumn("_one", F.lit(1))
-    return differences.withColumn("_one", F.lit(1)).join(rows, "_one").drop("_one")
+    base_filled = compare.filled_cells(c).withColumnRenamed("n_filled", "base_filled")
+    compare_filled = compare.filled_cells(changed).withColumnRenamed("n_filled", "compare_filled")
+    out = compare.compare_schemas(c, changed).join(base_filled, "variable", "left").join(compare_filled, "variable", "left")
+    return out
 
 
 _LINES_SQL = """WITH a AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS line_no FROM documents),

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from subjectflow.functions.cells import if_else, n_distinct, round_half_up, safe_ratio, sum_or_null
 from subjectflow.operators import merges, picks, ranges, summary
+from subjectflow.operators.joins import lookup_join
 from subjectflow.plans.analogs import ARMS, exposure, raw_results, reference_dates, steady, subjects, windowed, with_views
 from subjectflow.plans.registry import query
 
@@ -167,7 +168,7 @@ def exposure_summary(spark, sf_dir):
     last = picks.pick_row(ex, ["usubjid"], ["exstdt", "seq"], "last").select(
         "usubjid", F.col("exstdt").alias("eosdt"), F.col("status").alias("laststatus")
     )
-    ex = ex.join(last, "usubjid", "left").withColumn(
+    ex = lookup_join(ex, last, ["usubjid"]).withColumn(
         "exendt", F.coalesce("exendt", F.when(F.col("laststatus") != "F", F.col("eosdt")))
     )
     out = dose_summary(ex, ["usubjid"], "exstdt", "exendt", "dose", F.col("dose") > 1000)
@@ -274,7 +275,7 @@ def subject_level(spark, sf_dir):
     last = picks.pick_row(ex, ["usubjid"], ["exstdt", "seq"], "last").select(
         "usubjid", F.col("exstdt").alias("eosdt"), F.col("status").alias("laststatus")
     )
-    closed = ex.join(last, "usubjid", "left").withColumn(
+    closed = lookup_join(ex, last, ["usubjid"]).withColumn(
         "exendt", F.coalesce("exendt", F.when(F.col("laststatus") != "F", F.col("eosdt")))
     )
     dosed = dose_summary(closed, ["usubjid"], "exstdt", "exendt", "dose", F.col("dose") > 1000).select(
