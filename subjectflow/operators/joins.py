@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def lookup_join(df: DataFrame, one_per_key: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Left-join columns of a table that holds one row per key.
+def lookup_join(df: DataFrame, one_per_key: DataFrame, by: Sequence[str], how: str = "left") -> DataFrame:
+    """Join columns of a table that holds one row per key (``how``: left or inner).
 
     Adaptive execution splits a hot key's partition only if both join inputs come
     straight out of a shuffle made for the join. A side that was just aggregated by the
@@ -24,4 +24,4 @@ def lookup_join(df: DataFrame, one_per_key: DataFrame, by: Sequence[str]) -> Dat
     test = F.xxhash64(*by) == F.xxhash64(*[f"_j_{k}" for k in by])
     for k in by:
         test = test & (F.col(k) == F.col(f"_j_{k}"))
-    return df.join(right, test, "left").drop(*[f"_j_{k}" for k in by])
+    return df.join(right, test, how).drop(*[f"_j_{k}" for k in by])

@@ -7,7 +7,7 @@ constant, so a carried value needs one slot per visit, not an ordered group.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -28,6 +28,30 @@ def baseline(
     return lookup_join(df, base, by)
 
 
+def baseline_record(
+    df: DataFrame, by: Sequence[str], order: Sequence[str], row_key: Sequence[str], values: Mapping[str, str],
+    flag: str = "ABLFL", mode: str = "last", where: Column | None = None,
+) -> DataFrame:
+    """Choose the baseline record and put its values on every row, in one join.
+
+    The first/last row in ``order`` among those meeting ``where`` is the baseline record
+    of its group: it gets 'Y' in ``flag``, and all rows get its ``values`` (new name ->
+    column). Flagging first and looking the flagged value up afterwards would move the
+    rows twice.
+    """
+    pool = df if where is None else df.filter(where)
+    needed = list(dict.fromkeys([*by, *row_key, *order, *values.values()]))
+    chosen = pick_row(pool.select(*needed), by, [*order, *row_key], mode).select(
+        *by, *[F.col(k).alias(f"_r_{k}") for k in row_key], *[F.col(old).alias(new) for new, old in values.items()]
+    )
+    same = None
+    for k in row_key:
+        part = F.col(k) == F.col(f"_r_{k}")
+        same = part if same is None else same & part
+    out = lookup_join(df, chosen, by)
+    return out.withColumn(flag, F.when(same, F.lit("Y"))).drop(*[f"_r_{k}" for k in row_key])
+
+
 def change(value: str = "AVAL", base: str = "BASE") -> Column:
     return F.col(value) - F.col(base)
 
@@ -42,23 +66,36 @@ def flag_closest(
     target: str = "AWTARGET", where: Column | None = None,
 ) -> DataFrame:
     """Flag the record closest to the target day; on a tie the later day wins."""
-    marked = df.withColumn("_off", F.abs(F.col(target) - F.col(day))).withColumn("_gap", F.col(target) - F.col(day))
-    return flag_extreme(marked, by, ["_off", "_gap"], row_key, name, where=where).drop("_off", "_gap")
+    return flag_extreme(_distance(df, day, target), by, ["_off", "_gap"], row_key, name, where=where).drop("_off", "_gap")
+
+
+def closest_records(
+    df: DataFrame, by: Sequence[str], row_key: Sequence[str], day: str = "ADY", target: str = "AWTARGET", where: Column | None = None
+) -> DataFrame:
+    """Only the records ``flag_closest`` would flag."""
+    pool = df if where is None else df.filter(where)
+    return pick_row(_distance(pool, day, target), by, ["_off", "_gap", *row_key]).drop("_off", "_gap")
+
+
+def _distance(df: DataFrame, day: str, target: str) -> DataFrame:
+    gap = F.col(target) - F.col(day)
+    return df.withColumns({"_off": F.abs(gap), "_gap": gap})
 
 
 def locf(
     df: DataFrame, by: Sequence[str], expected: Sequence[tuple[int, str]], keep: Sequence[str], row_key: Sequence[str],
     visit_number: str = "AVISITN", visit: str = "AVISIT", value: str = "AVAL", where: Column | None = None,
-    constant: Sequence[str] = (),
+    constant: Sequence[str] = (), pool: DataFrame | None = None,
 ) -> DataFrame:
     """Add a record for every missing expected visit, carrying the last earlier value.
 
     One aggregate per group holds, for each expected visit, whether it was observed and
     the latest observed record up to it. A visit with no earlier value adds nothing.
     Added rows carry ``keep`` columns of the record they come from, the ``constant``
-    columns (equal on all rows of a group) and DTYPE ``LOCF``.
+    columns (equal on all rows of a group) and DTYPE ``LOCF``. ``pool`` gives the records
+    to carry from when they are already at hand; else they are the rows meeting ``where``.
     """
-    pool = df.filter(F.col(value).isNotNull())
+    pool = (df if pool is None else pool).filter(F.col(value).isNotNull())
     if where is not None:
         pool = pool.filter(where)
     carried = F.struct(F.col(visit_number).alias("_n"), *[F.col(k).alias(f"_k_{k}") for k in row_key],

@@ -66,7 +66,7 @@ def population_right_join(df: DataFrame, population: DataFrame, by: Sequence[str
     against the distinct keys.
     """
     by = list(by)
-    found = df.join(population, by, "inner")
+    found = lookup_join(df, population, by, "inner")
     lone = population.join(df.select(*by).distinct(), by, "left_anti")
     return found.unionByName(lone, allowMissingColumns=True)
 

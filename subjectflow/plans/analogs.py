@@ -10,8 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from subjectflow.functions.dates import study_day
+from subjectflow.operators.longitudinal import baseline_record
 from subjectflow.operators.merges import merge_vars
-from subjectflow.operators.picks import flag_extreme
 from subjectflow.operators.ranges import visit_of_day, windows
 
 ARMS = ["Placebo", "Low Dose", "High Dose"]
@@ -102,9 +102,9 @@ def windowed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def baselined(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Windowed results with the baseline flag on the last baseline record."""
-    return flag_extreme(
-        windowed(spark, sf_dir), ["usubjid", "paramcd"], ["adt"], ["seq"], "ablfl", mode="last",
+    """Windowed results; the last baseline record is flagged and its value is on all rows."""
+    return baseline_record(
+        windowed(spark, sf_dir), ["usubjid", "paramcd"], ["adt"], ["seq"], {"base": "aval"}, "ablfl",
         where=F.col("AVISITN") == 0,
     )
 

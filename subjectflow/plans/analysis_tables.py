@@ -268,14 +268,14 @@ def scores(
         keep.append("PARAMN")
     out = ranges.visit_of_day(out, windows)
     record = [*SUBJECT, "QSSEQ"]
-    out = longitudinal.flag_closest(
-        out, ["USUBJID", "PARAMCD", "AVISIT"], record, where=F.col("AVISIT").isNotNull()
-    )
-    # Only the total has expected visits; a total missing at one is carried forward.
+    # Only the total has expected visits; a total missing at one is carried forward from
+    # the chosen records.
+    closest = {"by": ["USUBJID", "PARAMCD", "AVISIT"], "row_key": record, "where": F.col("AVISIT").isNotNull()}
+    chosen = longitudinal.closest_records(out.filter(F.col("PARAMCD") == "ACTOT"), **closest)
     expected = [(w.number, w.label) for w in windows]
     constant = list(from_subject)
     out = longitudinal.locf(
-        out, PARAMETER, expected, keep, ["QSSEQ"], where=F.col("ANL01FL").isNotNull() & (F.col("PARAMCD") == "ACTOT"), constant=constant
+        longitudinal.flag_closest(out, **closest), PARAMETER, expected, keep, ["QSSEQ"], constant=constant, pool=chosen
     )
     out = out.withColumn("ANL01FL", F.when(F.col("DTYPE").isNull(), F.col("ANL01FL")).otherwise(F.lit("Y")))
     out = ranges.window_deviation(ranges.window_of_visit(out, windows))

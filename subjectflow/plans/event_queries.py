@@ -105,12 +105,9 @@ def durations(spark, sf_dir):
 )
 def treatment_emergent(spark, sf_dir):
     """Treatment-emergent flag, derived only on records with a start date."""
-    o = dated_occurrences(spark, sf_dir)
-
-    def derive(df):
-        return df.withColumn("trtemfl", occurrence.treatment_emergent("astdt", "aendt", "trtsdt"))
-
-    return picks.restrict(o, derive, F.col("astdt").isNotNull()).select("aeseq", "astdt", "trtemfl")
+    flag = {"trtemfl": occurrence.treatment_emergent("astdt", "aendt", "trtsdt")}
+    o = picks.restrict_columns(dated_occurrences(spark, sf_dir), flag, F.col("astdt").isNotNull())
+    return o.select("aeseq", "astdt", "trtemfl")
 
 
 _CQ = ("term", "class", ["click_0", "view_0"], "error", ["error_1", "error_2"], "QUERY 1")
@@ -202,7 +199,7 @@ def closest_visit(spark, sf_dir):
 )
 def baseline_change(spark, sf_dir):
     """Baseline value on every row, change and percent change off baseline."""
-    b = longitudinal.baseline(baselined(spark, sf_dir), PAIR, "aval", "base", "ablfl")
+    b = baselined(spark, sf_dir)
     off = F.col("ablfl").isNull()
     return b.select(
         "seq", "aval", "ablfl", "base",
@@ -227,9 +224,12 @@ def baseline_change(spark, sf_dir):
 def locf(spark, sf_dir):
     """Missing expected visits filled with the last earlier flagged value."""
     c = closest(spark, sf_dir)
+    # The flagged records come straight from the choice, not from the flagged table.
+    chosen = longitudinal.closest_records(
+        windowed(spark, sf_dir), [*PAIR, "AVISIT"], ["seq"], "ady", "AWTARGET", F.col("AVISIT").isNotNull()
+    )
     out = longitudinal.locf(
-        c, PAIR, EXPECTED_VISITS, keep=["adt", "ady", "seq"], row_key=["seq"], value="aval",
-        where=F.col("anl01fl").isNotNull(),
+        c, PAIR, EXPECTED_VISITS, keep=["adt", "ady", "seq"], row_key=["seq"], value="aval", pool=chosen
     )
     return out.select(
         "usubjid", "paramcd", F.col("AVISITN").alias("avisitn"), F.col("AVISIT").alias("avisit"), "aval", "adt", "ady", "seq",
@@ -315,7 +315,7 @@ _LIMITS = """, lim AS (SELECT * REPLACE (CASE paramcd WHEN 'view' THEN NULL WHEN
 
 
 def limited(spark, sf_dir):
-    b = longitudinal.baseline(baselined(spark, sf_dir), PAIR, "aval", "base", "ablfl")
+    b = baselined(spark, sf_dir)
     return b.withColumns({
         "lo": F.when(F.col("paramcd") == "click", 0.0).when(F.col("paramcd") != "view", F.col("lo")),
         "hi": F.when(F.col("paramcd") != "purchase", F.col("hi")),
