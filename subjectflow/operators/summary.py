@@ -32,17 +32,20 @@ def _log_bucket(v: Column) -> Column:
     return F.when(v > 0, size).when(v < 0, -size).otherwise(F.lit(0)).cast("int")
 
 
-def exact_median(long: DataFrame, by: Sequence[str], value: str = "value", name: str = "median") -> DataFrame:
-    """Exact median per group without holding a group in one task.
+def exact_median(
+    long: DataFrame, by: Sequence[str], value: str = "value", name: str = "median", few_groups: bool = False
+) -> DataFrame:
+    """Exact median per group without holding or moving a group.
 
-    Equal values collapse to counts first (map side). A running count over the bounded
-    set of logarithmic buckets finds the bucket(s) of the middle ranks, and only the
-    distinct values inside those are ordered.
+    First pass: rows per logarithmic bucket, combined on the map side; a running count
+    over the bounded set of buckets finds the bucket(s) of the two middle ranks. Second
+    pass: only the rows of those buckets collapse to counts per value and are ordered.
+    The bucket list has at most two rows per group; it is broadcast when the caller
+    states that the groups are a fixed short list (``few_groups``).
     """
     by = list(by)
-    counts = long.filter(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count("*").alias("_c"))
-    counts = counts.withColumn("_b", _log_bucket(F.col(value)))
-    per_bucket = counts.groupBy(*by, "_b").agg(F.sum("_c").alias("_bc"))
+    rows = long.filter(F.col(value).isNotNull()).select(*by, value, _log_bucket(F.col(value)).alias("_b"))
+    per_bucket = rows.groupBy(*by, "_b").agg(F.count("*").alias("_bc"))
     whole = Window.partitionBy(*by)
     running = whole.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     per_bucket = per_bucket.select(
@@ -50,16 +53,17 @@ def exact_median(long: DataFrame, by: Sequence[str], value: str = "value", name:
         F.coalesce(F.sum("_bc").over(running), F.lit(0)).alias("_before"),
         F.sum("_bc").over(whole).alias("_n"),
     )
-    lower = F.floor((F.col("_n") + 1) / 2)
-    upper = F.floor(F.col("_n") / 2) + 1
-    hit = per_bucket.filter(
-        ((lower > F.col("_before")) & (lower <= F.col("_before") + F.col("_bc")))
-        | ((upper > F.col("_before")) & (upper <= F.col("_before") + F.col("_bc")))
-    )
-    inside = counts.join(hit, [*by, "_b"], "inner")
-    order = Window.partitionBy(*by, "_b").orderBy(value)
-    last = F.col("_before") + F.sum("_c").over(order.rowsBetween(Window.unboundedPreceding, 0))
-    ranked = inside.withColumn("_last", last).withColumn("_first", F.col("_last") - F.col("_c") + 1)
+    lower, upper = F.floor((F.col("_n") + 1) / 2), F.floor(F.col("_n") / 2) + 1
+
+    def holds(rank: Column) -> Column:
+        return (rank > F.col("_before")) & (rank <= F.col("_before") + F.col("_bc"))
+
+    hit = per_bucket.filter(holds(lower) | holds(upper)).select(*by, "_b", "_before", "_n")
+    inside = rows.join(F.broadcast(hit) if few_groups else hit, [*by, "_b"], "inner")
+    values = inside.groupBy(*by, "_b", "_before", "_n", value).agg(F.count("*").alias("_c"))
+    order = Window.partitionBy(*by, "_b").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
+    ranked = values.withColumn("_last", F.col("_before") + F.sum("_c").over(order))
+    ranked = ranked.withColumn("_first", F.col("_last") - F.col("_c") + 1)
 
     def at(rank: Column) -> Column:
         return F.max(F.when((rank >= F.col("_first")) & (rank <= F.col("_last")), F.col(value)))
@@ -67,7 +71,7 @@ def exact_median(long: DataFrame, by: Sequence[str], value: str = "value", name:
     return ranked.groupBy(*by).agg(((at(lower) + at(upper)) / 2).alias(name))
 
 
-def describe_long(long: DataFrame, by: Sequence[str], value: str = "value") -> DataFrame:
+def describe_long(long: DataFrame, by: Sequence[str], value: str = "value", few_groups: bool = False) -> DataFrame:
     """n, mean, sd, median, minimum and maximum per group; nulls are left out."""
     by = list(by)
     stats = long.groupBy(*by).agg(
@@ -77,13 +81,16 @@ def describe_long(long: DataFrame, by: Sequence[str], value: str = "value") -> D
         F.min(value).alias("min"),
         F.max(value).alias("max"),
     )
-    return stats.join(exact_median(long, by, value), by, "left").select(*by, "n", "mean", "sd", "median", "min", "max")
+    return stats.join(exact_median(long, by, value, few_groups=few_groups), by, "left").select(*by, "n", "mean", "sd", "median", "min", "max")
 
 
-def describe(df: DataFrame, by: Sequence[str], variables: Sequence[str]) -> DataFrame:
-    """Descriptive statistics of several numeric variables per group."""
+def describe(df: DataFrame, by: Sequence[str], variables: Sequence[str], few_groups: bool = False) -> DataFrame:
+    """Descriptive statistics of several numeric variables per group.
+
+    ``few_groups`` states that the groups are a fixed short list, such as the arms.
+    """
     long = long_values(df, by, [(v, v, None) for v in variables]).withColumnRenamed("layer", "variable")
-    return describe_long(long, [*by, "variable"])
+    return describe_long(long, [*by, "variable"], few_groups=few_groups)
 
 
 def category_counts(
@@ -128,10 +135,31 @@ def grouped_summary(df: DataFrame, by: Sequence[str], stats: Mapping[str, Column
 
 
 def layered_summary(
-    df: DataFrame, arm: str, layers: Sequence[tuple[str, str | Column, Column | None]]
+    df: DataFrame, arm: str, arms: Sequence[str], layers: Sequence[tuple[str, str | Column, Column | None]]
 ) -> DataFrame:
-    """The same statistics for several (label, value, condition) layers, per arm."""
-    return describe_long(long_values(df, [arm], layers), ["layer_no", "layer", arm])
+    """The same statistics for several (label, value, condition) layers, per listed arm."""
+    rows = df.filter(F.col(arm).isin(list(arms)))
+    return describe_long(long_values(rows, [arm], layers), ["layer_no", "layer", arm], few_groups=True)
+
+
+def pivot_wide(
+    df: DataFrame, ids: Sequence[str], names_from: str, names: Sequence[str], value: str, fill=None, pattern: str = "%s"
+) -> DataFrame:
+    """Long to wide: one column per listed name (``pattern`` shapes it), gaps filled.
+
+    The names are given, so no extra job looks for them and the reduction is one
+    map-side combined aggregate.
+    """
+    cells = []
+    for n in names:
+        c = F.max(F.when(F.col(names_from) == n, F.col(value)))
+        cells.append((c if fill is None else F.coalesce(c, F.lit(fill))).alias(pattern.replace("%s", str(n))))
+    return df.groupBy(*ids).agg(*cells)
+
+
+def pivot_long(df: DataFrame, ids: Sequence[str], columns: Sequence[str], name: str = "name", value: str = "value") -> DataFrame:
+    """Wide to long: one row per listed column."""
+    return df.unpivot(list(ids), list(columns), name, value)
 
 
 def stat_rows(

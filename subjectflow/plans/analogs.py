@@ -6,6 +6,8 @@ occurrences from ``events``. Every frame is a lazy projection of a whole table.
 
 from __future__ import annotations
 
+import threading
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,8 +32,23 @@ EXPECTED_VISITS = [(0, "Baseline"), (1, "Week 1"), (2, "Week 2"), (3, "Week 3")]
 PARAMS = ["click", "error", "purchase", "signup", "view"]
 
 
+_opened = threading.local()
+
+
+def forget_tables() -> None:
+    """Start a new query: tables opened for the last one are dropped."""
+    _opened.tables = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A given table; within one query it is listed and its schema read only once."""
+    tables = getattr(_opened, "tables", None)
+    if tables is None:
+        return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in tables:
+        tables[path] = spark.read.parquet(path)
+    return tables[path]
 
 
 def _mapped(column: str, pairs: dict):

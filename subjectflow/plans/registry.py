@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from subjectflow.plans.analogs import forget_tables
 from subjectflow.session import tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -17,6 +18,7 @@ def query(name: str, sql: str | None = None):
 
     def register(fn):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            forget_tables()
             return fn(tune(spark), sf_dir)
 
         run.__name__ = fn.__name__

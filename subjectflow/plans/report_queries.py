@@ -133,7 +133,7 @@ def layer_stats(spark, sf_dir):
         ("Week 3", "aval", F.col("AVISITN") == 3),
         ("Change from Baseline", "chg", F.col("AVISITN") == 3),
     ]
-    return summary.layered_summary(rows, "arm", layers)
+    return summary.layered_summary(rows, "arm", ARMS, layers)
 
 
 @query(

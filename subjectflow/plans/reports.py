@@ -79,7 +79,7 @@ def demographics(adsl: DataFrame, arms: Sequence[str] = tuple(_ARMS), study: str
     block = {name: i for i, (name, _) in enumerate(DEMOGRAPHICS, start=1)}
     numeric = [name for name, _ in DEMOGRAPHICS if name not in levels]
 
-    stats = summary.describe(itt, ["TRT01P"], numeric).select(
+    stats = summary.describe(itt, ["TRT01P"], numeric, few_groups=True).select(
         "TRT01P", "variable", masked("xx.xx (xx.xx)", "mean", "sd", align=False).alias("_1"),
         masked("xx.xx", "median", align=False).alias("_2"), masked("xx.xx - xx.xx", "min", "max", align=False).alias("_3"),
     )
@@ -154,7 +154,7 @@ def primary_endpoint(adsl: DataFrame, adadas: DataFrame, arms: Sequence[str] = t
         (f"Week {visit}", "AVAL", F.col("AVISITN") == visit),
         ("Change from Baseline", "CHG", F.col("AVISITN") == visit),
     ]
-    body = summary.stat_rows(summary.layered_summary(rows, "TRTP", layers), "TRTP", arms, [
+    body = summary.stat_rows(summary.layered_summary(rows, "TRTP", arms, layers), "TRTP", arms, [
         ("n", masked("xx", "n")),
         ("Mean (SD)", masked("xx.x (xx.xx)", "mean", "sd")),
         ("Median (Range)", masked("xx.x (xxx;xx)", "median", "min", "max")),

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from subjectflow.functions.cells import if_else, n_distinct, round_half_up, safe_ratio, sum_or_null
 from subjectflow.operators import merges, picks, ranges, summary
 from subjectflow.operators.joins import lookup_join
-from subjectflow.plans.analogs import ARMS, exposure, raw_results, reference_dates, steady, subjects, windowed, with_views
+from subjectflow.plans.analogs import ARMS, exposure, raw_results, reference_dates, steady, subjects, table, windowed, with_views
 from subjectflow.plans.registry import query
 
 AGE_RANGES = ["<65", "65-80", ">80"]
@@ -32,7 +32,7 @@ def half_up_sql(expression: str, digits: int) -> str:
 )
 def describe_by_arm(spark, sf_dir):
     """n, mean, sd, median, minimum, maximum of two variables by arm."""
-    stats = summary.describe(subjects(spark, sf_dir).filter(IN_ARM), ["arm"], ["age", "measure"])
+    stats = summary.describe(subjects(spark, sf_dir).filter(IN_ARM), ["arm"], ["age", "measure"], few_groups=True)
     return stats.select("arm", "variable", "n", *[steady(c).alias(c) for c in ("mean", "sd", "median")], "min", "max")
 
 
@@ -52,8 +52,8 @@ def describe_by_arm(spark, sf_dir):
 )
 def category_counts(spark, sf_dir):
     """Counts by arm for fixed levels, zero cells included."""
-    nation = spark.read.parquet(f"{sf_dir}/nation.parquet").select(F.col("n_nationkey").alias("siteid"), "n_regionkey")
-    region = spark.read.parquet(f"{sf_dir}/region.parquet").select(F.col("r_regionkey").alias("n_regionkey"), F.col("r_name").alias("region"))
+    nation = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("siteid"), "n_regionkey")
+    region = table(spark, sf_dir, "region").select(F.col("r_regionkey").alias("n_regionkey"), F.col("r_name").alias("region"))
     s = subjects(spark, sf_dir).join(nation, "siteid", "left").join(region, "n_regionkey", "left")
     s = ranges.range_category(s, "age", AGE_RANGES, "agegr1")
     return summary.category_counts(s, "arm", ARMS, {"agegr1": AGE_RANGES, "region": ["AFRICA", "AMERICA", "ATLANTIS"]})
@@ -318,7 +318,7 @@ def merge_first_last(spark, sf_dir):
 )
 def unique_keys(spark, sf_dir):
     """Keys that break uniqueness."""
-    return merges.duplicate_keys(spark.read.parquet(f"{sf_dir}/lineitem.parquet"), ["l_orderkey", "l_linenumber"])
+    return merges.duplicate_keys(table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"])
 
 
 @query(
@@ -343,8 +343,8 @@ def population_right_join(spark, sf_dir):
 )
 def codelist_map(spark, sf_dir):
     """Code to decode through a codelist table and through a literal codelist."""
-    s = spark.read.parquet(f"{sf_dir}/supplier.parquet").select("s_suppkey", "s_nationkey")
-    n = spark.read.parquet(f"{sf_dir}/nation.parquet")
+    s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
+    n = table(spark, sf_dir, "nation")
     coded = n.select(F.col("n_nationkey").alias("code"), F.col("n_name").alias("decode"))
     out = merges.map_codelist(s, coded, "s_nationkey", "nation", decode_to_code=False)
     regions = n.select(F.col("n_nationkey").alias("code"), F.col("n_regionkey").alias("decode"))

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -109,14 +109,16 @@ def write_dataset_ndjson(
     """Write the line-delimited layout: every task writes its own rows.
 
     Floats are written as decimal text so that they read back exactly. ``records`` is
-    counted from the written rows when it is not given.
+    counted while the rows are written when it is not given.
     """
     spark = df.sparkSession
     # A null cell stays null in the array, so to_json must keep it.
     row = F.to_json(F.array(*[_cell(f) for f in df.schema.fields]))
-    df.select(row.alias("value")).write.mode(mode).text(f"{path}/rows")
+    counted = Observation()
+    lines = df.select(row.alias("value")).observe(counted, F.count(F.lit(1)).alias("n"))
+    lines.write.mode(mode).text(f"{path}/rows")
     if records is None:
-        records = spark.read.text(f"{path}/rows").count()
+        records = counted.get["n"]
     meta = {
         "datasetJSONCreationDateTime": created,
         "datasetJSONVersion": "1.1.0",

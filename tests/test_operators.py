@@ -194,6 +194,14 @@ def test_exact_median(spark, values):
     df = spark.createDataFrame([("g", v) for v in values] + [("g", None), ("h", 4.0)], "g string, value double")
     got = dict(tuple(r) for r in summary.exact_median(df, ["g"]).collect())
     assert got == {"g": statistics.median(values), "h": 4.0}
+    assert dict(tuple(r) for r in summary.exact_median(df, ["g"], few_groups=True).collect()) == got
+
+
+def test_pivots(spark, rows):
+    df = spark.createDataFrame([("a", "H", 1.0), ("a", "W", 2.0), ("b", "H", 3.0)], "id string, t string, v double")
+    wide = summary.pivot_wide(df, ["id"], "t", ["H", "W"], "v", fill=0.0, pattern="%sBL")
+    assert rows(wide, "id", "HBL", "WBL") == [("a", 1.0, 2.0), ("b", 3.0, 0.0)]
+    assert rows(summary.pivot_long(wide, ["id"], ["HBL", "WBL"])) == [("a", "HBL", 1.0), ("a", "WBL", 2.0), ("b", "HBL", 3.0), ("b", "WBL", 0.0)]
 
 
 def test_category_counts_keep_zero_cells(spark, rows):
