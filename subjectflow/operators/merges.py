@@ -38,11 +38,14 @@ def merge_vars(
     order: Sequence[str | Column] | None = None,
     mode: str = "first",
     unique: bool = False,
+    one_to_one: bool = False,
 ) -> DataFrame:
     """Left-join columns of ``add`` by key, keeping the row count of ``df``.
 
     With ``order`` the first/last row per key is used; without it ``add`` must hold
     one row per key, which is checked at run time unless ``unique`` says it is known.
+    ``one_to_one`` says that ``df`` holds one row per key too: no key can be hot, and a
+    plain join keeps the partitioning that further joins on the key share.
     """
     right = add if where is None else add.filter(where)
     if order is not None:
@@ -50,7 +53,7 @@ def merge_vars(
     right = right.select(*by, *[F.col(old).alias(new) for new, old in _pairs(columns).items()])
     if order is None and not unique:
         right = one_per_key(right, by)
-    return lookup_join(df, right, by)
+    return df.join(right, list(by), "left") if one_to_one else lookup_join(df, right, by)
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str], name: str = "n_rows") -> DataFrame:

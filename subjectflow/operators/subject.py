@@ -22,12 +22,13 @@ def treatment_vars(df: DataFrame, arm: str, codes: Mapping[str, int], planned: s
 
 def dose_summary(
     ex: DataFrame, by: Sequence[str], start: str, end: str, dose: str, valid: Column,
-    names: tuple[str, str, str, str, str] = ("trtsdt", "trtedt", "trtdurd", "cumdose", "avgdd"),
+    names: tuple[str, str, str, str, str] = ("trtsdt", "trtedt", "trtdurd", "cumdose", "avgdd"), carry: Sequence[str] = (),
 ) -> DataFrame:
     """First/last valid dosing date, duration, cumulative and average daily dose per subject.
 
     One aggregate: the first start and last end date need no row, only the extreme date.
-    The cumulative dose is null as soon as one record's dose is unknown.
+    The cumulative dose is null as soon as one record's dose is unknown. ``carry`` columns
+    are equal on all records of a subject and come along.
     """
     first, last, days, total, average = names
     amount = F.col(dose) * (F.datediff(end, start) + 1)
@@ -35,6 +36,7 @@ def dose_summary(
         F.min(F.when(valid, F.col(start))).alias(first),
         F.max(F.when(valid, F.col(end))).alias(last),
         sum_or_null(amount).alias(total),
+        *[F.any_value(c).alias(c) for c in carry],
     )
     summed = summed.withColumn(days, duration(first, last))
     return summed.withColumn(average, round_half_up(safe_ratio(total, days), 1))

@@ -113,7 +113,7 @@ def subject_level(
         out = merges.map_codelist(out, race_codes, "RACE", "RACEN")
     for side in (doses, questionnaire_facts(qs), visit_facts(sv), baseline_vitals(vs, bmi_groups), education, onset):
         out = out.join(side, SUBJECT, "left")
-    out = merges.merge_vars(out, disposition, SUBJECT, ["EOSDT", "DCDECOD", "DSTERM"])
+    out = merges.merge_vars(out, disposition, SUBJECT, ["EOSDT", "DCDECOD", "DSTERM"], one_to_one=True)
     out = subject.population_flag_vars(out, "ARMCD", "TRTSDT", "EFFCNT", names=("SAFFL", "ITTFL", "EFFFL"))
     out = subject.disposition_vars(
         out, "DCDECOD", "EOSDT", "DSTERM", reasons or {}, F.col("DSTERM") == "PROTOCOL ENTRY CRITERIA NOT MET", "I/E Not Met",
@@ -217,7 +217,7 @@ def time_to_first_event(ds: DataFrame, adsl: DataFrame, adae: DataFrame, spec: T
     ended = ds.filter(
         (F.col("DSCAT") == "DISPOSITION EVENT") & ~F.col("DSDECOD").isin("SCREEN FAILURE", "FINAL LAB VISIT")
     ).select(*SUBJECT, parse_iso_date("DSSTDTC").alias("EOSDT"))
-    subjects = merges.merge_vars(adsl.drop("EOSDT"), ended, SUBJECT, ["EOSDT"])
+    subjects = merges.merge_vars(adsl.drop("EOSDT"), ended, SUBJECT, ["EOSDT"], one_to_one=True)
     end = case_chain([(F.col("DCDECOD") == "DEATH", parse_iso_date("RFENDTC")), (F.col("DCDECOD") != "DEATH", F.col("EOSDT"))])
     subjects = subjects.withColumn("EOS2DT", end)
     first = (F.col("AOCC01FL") == "Y") & (F.col("CQ01NAM") == values.CUSTOM_QUERY_NAME) & (F.col("SAFFL") == "Y")
@@ -236,7 +236,7 @@ def time_to_first_event(ds: DataFrame, adsl: DataFrame, adae: DataFrame, spec: T
         **{c: c for c in ("AGE", "AGEGR1", "AGEGR1N", "RACE", "RACEN", "SAFFL", "SEX", "SITEID", "TRTEDT", "TRTSDT")},
     }
     carried = {new: old for new, old in carried.items() if old in adsl.columns}
-    return _finish(merges.merge_vars(out, adsl, SUBJECT, carried, unique=True), spec)
+    return _finish(merges.merge_vars(out, adsl, SUBJECT, carried, unique=True, one_to_one=True), spec)
 
 
 # ------------------------------------------------------------------- questionnaire scores

@@ -278,12 +278,13 @@ def subject_level(spark, sf_dir):
     closed = lookup_join(ex, last, ["usubjid"]).withColumn(
         "exendt", F.coalesce("exendt", F.when(F.col("laststatus") != "F", F.col("eosdt")))
     )
-    dosed = dose_summary(closed, ["usubjid"], "exstdt", "exendt", "dose", F.col("dose") > 1000).select(
-        "usubjid", F.col("trtsdt").alias("exsdt"), F.col("trtedt").alias("exedt"), F.round("cumdose", 2).alias("cumdose")
+    valid = F.col("dose") > 1000
+    dosed = dose_summary(closed, ["usubjid"], "exstdt", "exendt", "dose", valid, carry=["laststatus"]).select(
+        "usubjid", F.col("trtsdt").alias("exsdt"), F.col("trtedt").alias("exedt"), F.round("cumdose", 2).alias("cumdose"), "laststatus"
     )
     s = subjects(spark, sf_dir).filter("armcd <> 'Scrnfail'")
     s = ranges.range_category(s, "age", AGE_RANGES, "agegr1")
-    for part in (dosed, reference_dates(spark, sf_dir), eff_population(spark, sf_dir), last):
+    for part in (dosed, reference_dates(spark, sf_dir), eff_population(spark, sf_dir)):
         s = s.join(part, "usubjid", "left")
     s = population_flag_vars(s, "armcd", "trtsdt", "effcnt")
     status = if_else(F.col("laststatus") == "F", F.lit("COMPLETED"), F.lit("DISCONTINUED"))
@@ -308,8 +309,8 @@ def merge_first_last(spark, sf_dir):
     """First exposure by start date and last by end date (nulls sort last), merged to subjects."""
     s, ex = subjects(spark, sf_dir).select("usubjid"), exposure(spark, sf_dir)
     dosed = F.col("dose") > 50000
-    s = merges.merge_vars(s, ex, ["usubjid"], {"firstdt": "exstdt", "firsttrt": "trt"}, dosed, ["exstdt", "seq"])
-    return merges.merge_vars(s, ex, ["usubjid"], {"lastdt": "exendt", "lastseq": "seq"}, dosed, ["exendt", "seq"], "last")
+    s = merges.merge_vars(s, ex, ["usubjid"], {"firstdt": "exstdt", "firsttrt": "trt"}, dosed, ["exstdt", "seq"], one_to_one=True)
+    return merges.merge_vars(s, ex, ["usubjid"], {"lastdt": "exendt", "lastseq": "seq"}, dosed, ["exendt", "seq"], "last", one_to_one=True)
 
 
 @query(

@@ -286,3 +286,57 @@ def test_text_status(spark, rows):
 def test_fenced_pairs(spark, rows):
     df = spark.createDataFrame([(1, "```csv\nVariable,Dataset\nAGE,adsl\nRACE,adsl\n```"), (2, "```\nAVAL,adadas\n```")], "k int, text string")
     assert rows(compare.parse_fenced_pairs(df, ["k"])) == [(1, "AGE", "adsl"), (1, "RACE", "adsl"), (2, "AVAL", "adadas")]
+
+
+def test_restrict_columns(visits, rows):
+    out = picks.restrict_columns(visits, {"n": F.col("seq") * 2}, F.col("v") > 1)
+    assert rows(out, "seq", "n") == [(1, 2), (2, None), (3, None), (4, None), (5, 10)]
+
+
+def test_baseline_record_equals_flag_then_lookup(spark, rows):
+    df = spark.createDataFrame([(i % 4, i, i % 7, float(i % 5) if i % 6 else None) for i in range(60)], "id int, seq int, d int, AVAL double")
+    early = F.col("d") < 3
+    one = longitudinal.baseline_record(df, ["id"], ["d"], ["seq"], {"BASE": "AVAL"}, where=early)
+    two = longitudinal.baseline(picks.flag_extreme(df, ["id"], ["d"], ["seq"], "ABLFL", "last", early), ["id"], "AVAL", "BASE")
+    assert rows(one, "seq", "ABLFL", "BASE") == rows(two, "seq", "ABLFL", "BASE")
+
+
+def test_closest_records_are_the_flagged_ones(spark, rows):
+    df = ranges.visit_of_day(spark.createDataFrame([(i % 3, i, (i * 17) % 200) for i in range(80)], "id int, seq int, ADY int"), SCORE)
+    flagged = longitudinal.flag_closest(df, ["id", "AVISIT"], ["seq"]).filter("ANL01FL = 'Y'")
+    assert rows(longitudinal.closest_records(df, ["id", "AVISIT"], ["seq"]), "seq") == rows(flagged, "seq")
+
+
+def test_population_join_keeps_everyone(spark, visits, rows):
+    population = spark.createDataFrame([("a",), ("z",)], "id string")
+    assert rows(merges.population_right_join(visits, population, ["id"]), "id", "seq") == [("a", 1), ("a", 2), ("a", 3), ("z", None)]
+
+
+def test_merge_one_to_one_gives_the_same(spark, rows):
+    df = spark.createDataFrame([("a",), ("b",), ("c",)], "id string")
+    add = spark.createDataFrame([("a", 1, 5), ("a", 2, 6), ("b", 3, None)], "id string, seq int, w int")
+    args = (add, ["id"], {"new": "w"}, None, ["seq"], "last")
+    assert rows(merges.merge_vars(df, *args)) == rows(merges.merge_vars(df, *args, one_to_one=True)) == [("a", 6), ("b", None), ("c", None)]
+
+
+def test_natural_and_full_joins(spark, rows):
+    a = spark.createDataFrame([(1, "x", 1.0), (2, "y", 2.0)], "k int, t string, v double")
+    b = spark.createDataFrame([(1, "x", "p"), (2, "z", "q")], "k int, t string, m string")
+    assert rows(merges.natural_join(a, b), "k", "t", "v", "m") == [(1, "x", 1.0, "p")]
+    assert rows(merges.stamp_full_join(a, b, ["k", "t"]), "k", "t", "v", "m") == [(1, "x", 1.0, "p"), (2, "y", 2.0, None), (2, "z", None, "q")]
+
+
+def test_codelist_table_and_literal_agree(spark, rows):
+    df = spark.createDataFrame([("A",), ("B",), ("?",), (None,)], "s string")
+    codes = spark.createDataFrame([(1, "A"), (2, "B")], "code int, decode string")
+    want = [("?", None), ("A", 1), ("B", 2), (None, None)]
+    assert rows(merges.map_codelist(df, codes, "s", "n"), "s", "n") == want
+    assert rows(merges.map_codelist(df, {"A": 1, "B": 2}, "s", "n"), "s", "n") == want
+    assert rows(compare.codelist_offenders(df, "s", codes, "decode")) == [("s", "?", 1)]
+
+
+def test_conformance_counts(spark, rows):
+    columns = spark.createDataFrame([("d1", "ADT", "date", "Date", None), ("d1", "AGE", "double", "Age (y)", None)], "dataset string, name string, type string, label string, display_format string")
+    standard = spark.createDataFrame([("ADT", "Date", "date"), ("AGE", "Age", "int")], "name string, label string, type string")
+    names = spark.createDataFrame([("d1", "Mine", "Standard")], "dataset string, label string, standard_label string")
+    assert rows(compare.conformance(columns, standard, names)) == [("AD0018", "d1", 1), ("AD0041A", "d1", 1), ("AD0320", "d1", 1), ("SD0059", "d1", 1)]
