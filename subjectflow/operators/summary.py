@@ -26,62 +26,114 @@ def long_values(df: DataFrame, by: Sequence[str], layers: Sequence[tuple[str, st
     return exploded.filter(F.col("_e.value").isNotNull()).select(*by, "_e.layer_no", "_e.layer", "_e.value")
 
 
+_PER_OCTAVE = 64
+_SLICES = 65_536
+
+
 def _log_bucket(v: Column) -> Column:
     """Monotone integer bucket of a double; the number of buckets is bounded for any data."""
-    size = F.lit(100_000) + F.floor(F.log2(F.abs(v)) * 64)
+    size = F.lit(100_000) + F.floor(F.log2(F.abs(v)) * _PER_OCTAVE)
     return F.when(v > 0, size).when(v < 0, -size).otherwise(F.lit(0)).cast("int")
 
 
-def exact_median(
-    long: DataFrame, by: Sequence[str], value: str = "value", name: str = "median", few_groups: bool = False
-) -> DataFrame:
-    """Exact median per group without holding or moving a group.
+def _slice(v: Column) -> Column:
+    """Monotone position of a double inside its bucket, one of a fixed number of slices."""
+    place = F.log2(F.abs(v)) * _PER_OCTAVE
+    part = F.floor((place - F.floor(place)) * _SLICES)
+    return F.when(v > 0, part).when(v < 0, -part).otherwise(F.lit(0)).cast("int")
 
-    First pass: rows per logarithmic bucket, combined on the map side; a running count
-    over the bounded set of buckets finds the bucket(s) of the two middle ranks. Second
-    pass: only the rows of those buckets collapse to counts per value and are ordered.
-    The bucket list has at most two rows per group; it is broadcast when the caller
-    states that the groups are a fixed short list (``few_groups``).
+
+def _ranks() -> tuple[Column, Column]:
+    """The two middle ranks (equal for an odd count)."""
+    return F.floor((F.col("_n") + 1) / 2), F.floor(F.col("_n") / 2) + 1
+
+
+def _holding_middle(sizes: DataFrame, group: Sequence[str], key: str, before: Column | None, keep: Sequence[str]) -> DataFrame:
+    """Of the counted keys of each group, those holding a middle rank, with the count before them."""
+    running = Window.partitionBy(*group).orderBy(key).rowsBetween(Window.unboundedPreceding, -1)
+    earlier = F.coalesce(F.sum("_size").over(running), F.lit(0))
+    placed = sizes.withColumn("_before", earlier if before is None else before + earlier)
+    lower, upper = _ranks()
+    test = None
+    for rank in (lower, upper):
+        part = (rank > F.col("_before")) & (rank <= F.col("_before") + F.col("_size"))
+        test = part if test is None else test | part
+    return placed.filter(test).select(*group, key, "_before", *keep)
+
+
+def _measured(long: DataFrame, by: Sequence[str], value: str, few_groups: bool, moments: bool) -> DataFrame:
+    """Median per group, with n, mean, sd, min and max when ``moments``; see ``exact_median``.
+
+    Everything is one chain: the moments of the buckets are merged next to the running
+    count and ride along, so the rows are read once for all of them and once more for
+    the values near the middle.
     """
     by = list(by)
-    rows = long.filter(F.col(value).isNotNull()).select(*by, value, _log_bucket(F.col(value)).alias("_b"))
-    per_bucket = rows.groupBy(*by, "_b").agg(F.count("*").alias("_bc"))
+    bucket, part = [*by, "_b"], [*by, "_b", "_s"]
     whole = Window.partitionBy(*by)
-    running = whole.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    per_bucket = per_bucket.select(
-        *by, "_b", "_bc",
-        F.coalesce(F.sum("_bc").over(running), F.lit(0)).alias("_before"),
-        F.sum("_bc").over(whole).alias("_n"),
-    )
-    lower, upper = F.floor((F.col("_n") + 1) / 2), F.floor(F.col("_n") / 2) + 1
 
-    def holds(rank: Column) -> Column:
-        return (rank > F.col("_before")) & (rank <= F.col("_before") + F.col("_bc"))
-
-    hit = per_bucket.filter(holds(lower) | holds(upper)).select(*by, "_b", "_before", "_n")
-    inside = rows.join(F.broadcast(hit) if few_groups else hit, [*by, "_b"], "inner")
-    values = inside.groupBy(*by, "_b", "_before", "_n", value).agg(F.count("*").alias("_c"))
-    order = Window.partitionBy(*by, "_b").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
-    ranked = values.withColumn("_last", F.col("_before") + F.sum("_c").over(order))
+    def hint(hits: DataFrame) -> DataFrame:
+        return F.broadcast(hits) if few_groups else hits
+
+    rows = long.filter(F.col(value).isNotNull()).select(*by, F.col(value).alias("_v"), _log_bucket(F.col(value)).alias("_b"))
+    measures = [F.count("*").alias("_size")]
+    if moments:
+        measures += [F.avg("_v").alias("_bm"), F.var_pop("_v").alias("_bv"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi")]
+    sizes = rows.groupBy(*bucket).agg(*measures).withColumn("_n", F.sum("_size").over(whole))
+    keep = ["_n"]
+    if moments:
+        sizes = sizes.withColumn("_mean", F.sum(F.col("_size") * F.col("_bm")).over(whole) / F.col("_n"))
+        off = F.col("_bm") - F.col("_mean")
+        spread = F.sum(F.col("_size") * (F.col("_bv") + off * off)).over(whole)
+        sizes = sizes.withColumns({
+            "_sd": F.when(F.col("_n") > 1, F.sqrt(spread / (F.col("_n") - 1))),
+            "_min": F.min("_lo").over(whole),
+            "_max": F.max("_hi").over(whole),
+        })
+        keep += ["_mean", "_sd", "_min", "_max"]
+    hits = _holding_middle(sizes, by, "_b", None, keep)
+
+    # What is known of the bucket travels as grouping keys: both uses of the counts then
+    # share one shuffle, and the buckets are worked out once.
+    known = ["_base", *keep]
+    near = rows.join(hint(hits.withColumnRenamed("_before", "_base")), bucket, "inner")
+    counts = near.groupBy(*bucket, *known, "_v").agg(F.count("*").alias("_c")).withColumn("_s", _slice(F.col("_v")))
+    slices = counts.groupBy(*part, *known).agg(F.sum("_c").alias("_size"))
+    hits = _holding_middle(slices, bucket, "_s", F.col("_base"), [])
+
+    order = Window.partitionBy(*part).orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = counts.drop("_base").join(hint(hits), part, "inner").withColumn("_last", F.col("_before") + F.sum("_c").over(order))
     ranked = ranked.withColumn("_first", F.col("_last") - F.col("_c") + 1)
+    lower, upper = _ranks()
 
     def at(rank: Column) -> Column:
-        return F.max(F.when((rank >= F.col("_first")) & (rank <= F.col("_last")), F.col(value)))
+        return F.max(F.when((rank >= F.col("_first")) & (rank <= F.col("_last")), F.col("_v")))
+
+    same = [F.max(c).alias(c.lstrip("_")) for c in keep]
+    return ranked.groupBy(*by).agg(((at(lower) + at(upper)) / 2).alias("median"), *same)
 
-    return ranked.groupBy(*by).agg(((at(lower) + at(upper)) / 2).alias(name))
+
+def exact_median(
+    long: DataFrame, by: Sequence[str], value: str = "value", name: str = "median", few_groups: bool = False
+) -> DataFrame:
+    """Exact median per group without holding or moving a group.
+
+    First pass: rows per logarithmic bucket, combined on the map side; a running count
+    over the bounded set of buckets finds the bucket(s) of the two middle ranks. Second
+    pass: only the rows of those buckets collapse to counts per value; a running count
+    over the fixed number of slices of a bucket leaves the few values that are ordered.
+    The lists of hits have at most two rows per group; they are broadcast when the
+    caller states that the groups are a fixed short list (``few_groups``).
+    """
+    return _measured(long, by, value, few_groups, moments=False).select(*by, F.col("median").alias(name))
 
 
 def describe_long(long: DataFrame, by: Sequence[str], value: str = "value", few_groups: bool = False) -> DataFrame:
-    """n, mean, sd, median, minimum and maximum per group; nulls are left out."""
-    by = list(by)
-    stats = long.groupBy(*by).agg(
-        F.count(value).alias("n"),
-        F.avg(value).alias("mean"),
-        F.stddev_samp(value).alias("sd"),
-        F.min(value).alias("min"),
-        F.max(value).alias("max"),
-    )
-    return stats.join(exact_median(long, by, value, few_groups=few_groups), by, "left").select(*by, "n", "mean", "sd", "median", "min", "max")
+    """n, mean, sd, median, minimum and maximum per group; nulls are left out.
+
+    Groups without any value do not appear.
+    """
+    return _measured(long, by, value, few_groups, moments=True).select(*by, "n", "mean", "sd", "median", "min", "max")
 
 
 def describe(df: DataFrame, by: Sequence[str], variables: Sequence[str], few_groups: bool = False) -> DataFrame:
