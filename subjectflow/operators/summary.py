@@ -30,17 +30,23 @@ _PER_OCTAVE = 64
 _SLICES = 65_536
 
 
+def _never_null(c: Column) -> Column:
+    """Zero for null. Being non-nullable, the column gets no null filter from a join, and
+    plans that use it stay equal and share their shuffles."""
+    return F.coalesce(c, F.lit(0))
+
+
 def _log_bucket(v: Column) -> Column:
     """Monotone integer bucket of a double; the number of buckets is bounded for any data."""
     size = F.lit(100_000) + F.floor(F.log2(F.abs(v)) * _PER_OCTAVE)
-    return F.when(v > 0, size).when(v < 0, -size).otherwise(F.lit(0)).cast("int")
+    return _never_null(F.when(v > 0, size).when(v < 0, -size).cast("int"))
 
 
 def _slice(v: Column) -> Column:
     """Monotone position of a double inside its bucket, one of a fixed number of slices."""
     place = F.log2(F.abs(v)) * _PER_OCTAVE
     part = F.floor((place - F.floor(place)) * _SLICES)
-    return F.when(v > 0, part).when(v < 0, -part).otherwise(F.lit(0)).cast("int")
+    return _never_null(F.when(v > 0, part).when(v < 0, -part).cast("int"))
 
 
 def _ranks() -> tuple[Column, Column]:
