@@ -26,27 +26,14 @@ def long_values(df: DataFrame, by: Sequence[str], layers: Sequence[tuple[str, st
     return exploded.filter(F.col("_e.value").isNotNull()).select(*by, "_e.layer_no", "_e.layer", "_e.value")
 
 
-_PER_OCTAVE = 64
-_SLICES = 65_536
-
-
-def _never_null(c: Column) -> Column:
-    """Zero for null. Being non-nullable, the column gets no null filter from a join, and
-    plans that use it stay equal and share their shuffles."""
-    return F.coalesce(c, F.lit(0))
+_PER_OCTAVE = 4096
+_ABOVE_ALL = 10_000_000  # more than the bucket number of any positive double
 
 
 def _log_bucket(v: Column) -> Column:
     """Monotone integer bucket of a double; the number of buckets is bounded for any data."""
-    size = F.lit(100_000) + F.floor(F.log2(F.abs(v)) * _PER_OCTAVE)
-    return _never_null(F.when(v > 0, size).when(v < 0, -size).cast("int"))
-
-
-def _slice(v: Column) -> Column:
-    """Monotone position of a double inside its bucket, one of a fixed number of slices."""
-    place = F.log2(F.abs(v)) * _PER_OCTAVE
-    part = F.floor((place - F.floor(place)) * _SLICES)
-    return _never_null(F.when(v > 0, part).when(v < 0, -part).cast("int"))
+    size = F.lit(_ABOVE_ALL) + F.floor(F.log2(F.abs(v)) * _PER_OCTAVE)
+    return F.when(v > 0, size).when(v < 0, -size).otherwise(F.lit(0)).cast("int")
 
 
 def _ranks() -> tuple[Column, Column]:
@@ -54,19 +41,6 @@ def _ranks() -> tuple[Column, Column]:
     return F.floor((F.col("_n") + 1) / 2), F.floor(F.col("_n") / 2) + 1
 
 
-def _holding_middle(sizes: DataFrame, group: Sequence[str], key: str, before: Column | None, keep: Sequence[str]) -> DataFrame:
-    """Of the counted keys of each group, those holding a middle rank, with the count before them."""
-    running = Window.partitionBy(*group).orderBy(key).rowsBetween(Window.unboundedPreceding, -1)
-    earlier = F.coalesce(F.sum("_size").over(running), F.lit(0))
-    placed = sizes.withColumn("_before", earlier if before is None else before + earlier)
-    lower, upper = _ranks()
-    test = None
-    for rank in (lower, upper):
-        part = (rank > F.col("_before")) & (rank <= F.col("_before") + F.col("_size"))
-        test = part if test is None else test | part
-    return placed.filter(test).select(*group, key, "_before", *keep)
-
-
 def _measured(long: DataFrame, by: Sequence[str], value: str, few_groups: bool, moments: bool) -> DataFrame:
     """Median per group, with n, mean, sd, min and max when ``moments``; see ``exact_median``.
 
@@ -75,12 +49,9 @@ def _measured(long: DataFrame, by: Sequence[str], value: str, few_groups: bool,
     the values near the middle.
     """
     by = list(by)
-    bucket, part = [*by, "_b"], [*by, "_b", "_s"]
+    bucket = [*by, "_b"]
     whole = Window.partitionBy(*by)
 
-    def hint(hits: DataFrame) -> DataFrame:
-        return F.broadcast(hits) if few_groups else hits
-
     rows = long.filter(F.col(value).isNotNull()).select(*by, F.col(value).alias("_v"), _log_bucket(F.col(value)).alias("_b"))
     measures = [F.count("*").alias("_size")]
     if moments:
@@ -97,21 +68,22 @@ def _measured(long: DataFrame, by: Sequence[str], value: str, few_groups: bool,
             "_max": F.max("_hi").over(whole),
         })
         keep += ["_mean", "_sd", "_min", "_max"]
-    hits = _holding_middle(sizes, by, "_b", None, keep)
-
-    # What is known of the bucket travels as grouping keys: both uses of the counts then
-    # share one shuffle, and the buckets are worked out once.
-    known = ["_base", *keep]
-    near = rows.join(hint(hits.withColumnRenamed("_before", "_base")), bucket, "inner")
-    counts = near.groupBy(*bucket, *known, "_v").agg(F.count("*").alias("_c")).withColumn("_s", _slice(F.col("_v")))
-    slices = counts.groupBy(*part, *known).agg(F.sum("_c").alias("_size"))
-    hits = _holding_middle(slices, bucket, "_s", F.col("_base"), [])
-
-    order = Window.partitionBy(*part).orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = counts.drop("_base").join(hint(hits), part, "inner").withColumn("_last", F.col("_before") + F.sum("_c").over(order))
-    ranked = ranked.withColumn("_first", F.col("_last") - F.col("_c") + 1)
+    running = whole.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = sizes.withColumn("_before", F.coalesce(F.sum("_size").over(running), F.lit(0)))
     lower, upper = _ranks()
 
+    def holds(rank: Column) -> Column:
+        return (rank > F.col("_before")) & (rank <= F.col("_before") + F.col("_size"))
+
+    hits = sizes.filter(holds(lower) | holds(upper)).select(*bucket, "_before", *keep)
+
+    # What is known of the bucket travels as grouping keys, so it is worked out only once.
+    near = rows.join(F.broadcast(hits) if few_groups else hits, bucket, "inner")
+    counts = near.groupBy(*bucket, "_before", *keep, "_v").agg(F.count("*").alias("_c"))
+    order = Window.partitionBy(*bucket).orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = counts.withColumn("_last", F.col("_before") + F.sum("_c").over(order))
+    ranked = ranked.withColumn("_first", F.col("_last") - F.col("_c") + 1)
+
     def at(rank: Column) -> Column:
         return F.max(F.when((rank >= F.col("_first")) & (rank <= F.col("_last")), F.col("_v")))
 
@@ -124,12 +96,12 @@ def exact_median(
 ) -> DataFrame:
     """Exact median per group without holding or moving a group.
 
-    First pass: rows per logarithmic bucket, combined on the map side; a running count
-    over the bounded set of buckets finds the bucket(s) of the two middle ranks. Second
-    pass: only the rows of those buckets collapse to counts per value; a running count
-    over the fixed number of slices of a bucket leaves the few values that are ordered.
-    The lists of hits have at most two rows per group; they are broadcast when the
-    caller states that the groups are a fixed short list (``few_groups``).
+    First pass: rows per logarithmic bucket (thousands per factor of two), combined on the
+    map side; a running count over the bounded set of buckets finds the bucket(s) of the
+    two middle ranks. Second pass: only the rows of those buckets collapse to counts per
+    value, and those few values are ordered. The list of hits has at most two rows per
+    group; it is broadcast when the caller states that the groups are a fixed short list
+    (``few_groups``).
     """
     return _measured(long, by, value, few_groups, moments=False).select(*by, F.col("median").alias(name))
 
