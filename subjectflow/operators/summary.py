@@ -33,7 +33,8 @@ _ABOVE_ALL = 10_000_000  # more than the bucket number of any positive double
 def _log_bucket(v: Column) -> Column:
     """Monotone integer bucket of a double; the number of buckets is bounded for any data."""
     size = F.lit(_ABOVE_ALL) + F.floor(F.log2(F.abs(v)) * _PER_OCTAVE)
-    return F.when(v > 0, size).when(v < 0, -size).otherwise(F.lit(0)).cast("int")
+    size = F.when(F.abs(v) == F.lit(float("inf")), 2 * _ABOVE_ALL).otherwise(size)
+    return F.when(F.isnan(v), 2 * _ABOVE_ALL + 1).when(v > 0, size).when(v < 0, -size).otherwise(F.lit(0)).cast("int")
 
 
 def _ranks() -> tuple[Column, Column]:

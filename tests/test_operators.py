@@ -187,7 +187,7 @@ def test_site_groups(spark, rows):
     assert rows(pooled.select("site", "g").distinct()) == [("701", "701"), ("702", "900")]
 
 
-@pytest.mark.parametrize("values", [[3.0], [1.0, 2.0], [5.0, 5.0, 5.0, 1.0], [-3.0, 0.0, 0.0, 7.5], [1e-9, -1e-9, 1e9, 2.5, 2.5, 2.25], list(map(float, range(-50, 51)))])
+@pytest.mark.parametrize("values", [[3.0], [1.0, 2.0], [5.0, 5.0, 5.0, 1.0], [-3.0, 0.0, 0.0, 7.5], [1e-9, -1e-9, 1e9, 2.5, 2.5, 2.25], list(map(float, range(-50, 51))), [float("-inf"), 2.0, float("inf")], [1.0, 3.0, float("inf")]])
 def test_exact_median(spark, values):
     import statistics
 
