@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from subjectflow.llm import bpe
-from subjectflow.llm.common import table
+from subjectflow.llm import bpe, quality
+from subjectflow.llm.common import held_out, table, text_of
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -32,3 +33,15 @@ RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 @query("op7_byte_bpe")
 def byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip_digest(table(spark, sf_dir, "documents"), RANKS, public_tokenizers.PATTERN)
+
+
+@query("op10_quality_classifier")
+def quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality.train(docs, table(spark, sf_dir, "labels"))
+    return _judged(docs, quality.score_of(text_of(), model), quality.THRESHOLD)
+
+
+def _judged(docs: DataFrame, score, threshold: float) -> DataFrame:
+    scored = docs.select("doc_id", held_out().alias("held_out"), score.alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
