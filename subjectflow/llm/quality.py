@@ -41,7 +41,7 @@ def _bytes_in(*chars: str) -> np.ndarray:
 
 
 _CLASSES = np.stack([
-    _bytes_in("ABCDEFGHIJKLMNOPQRSTUVWXYZ"), _bytes_in("0123456789"), _bytes_in(" \t\n\r\x0b\x0c"), _bytes_in("^~`+=<>{}[]_\;:\"'()?-"),
+    _bytes_in("ABCDEFGHIJKLMNOPQRSTUVWXYZ"), _bytes_in("0123456789"), _bytes_in(" \t\n\r\x0b\x0c"), _bytes_in("^~`+=<>{}[]_;:\"'()?-"),
     np.repeat([0.0, 1.0], 128), _bytes_in(",."), _bytes_in("!"), _bytes_in("$"), _bytes_in("%"), _bytes_in("&"), _bytes_in("*"), _bytes_in("#"),
     _bytes_in("|"), _bytes_in("@/"),
 ], axis=1)
