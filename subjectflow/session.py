@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -19,8 +21,8 @@ ADAPTIVE = {
 }
 
 
-def local_session(app: str = "subjectflow", cores: str = "*", partitions: int = 8) -> SparkSession:
-    """A session for tests and benchmarks on one machine."""
+def local_session(app: str = "subjectflow", cores: str = "*", partitions: int = 8, shared: str | None = None) -> SparkSession:
+    """A session for tests and benchmarks on one machine; ``shared``: its ``spark.checkpoint.dir``."""
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
@@ -30,6 +32,8 @@ def local_session(app: str = "subjectflow", cores: str = "*", partitions: int =
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", os.environ.get("SPARK_DRIVER_MEMORY", "8g"))
     )
+    if shared:
+        builder = builder.config("spark.checkpoint.dir", shared)
     for key, value in ADAPTIVE.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
@@ -44,20 +48,25 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
+_LOCAL: list[str] = []
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach: ``spark.checkpoint.dir``.
 
-    A temporary folder is used only where the setting is absent and the master is
-    local, as in tests; on a cluster the setting is required.
+    Where the setting is absent and the master is local there is one process, and a folder
+    of this machine will do: one is made, once, and removed when Python ends. On a cluster
+    the setting is required.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder
-    if not spark.sparkContext.master.startswith("local"):
+    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
         raise RuntimeError("spark.checkpoint.dir must name a folder shared by the executors")
-    folder = tempfile.mkdtemp(prefix="subjectflow-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    if not _LOCAL:
+        _LOCAL.append(tempfile.mkdtemp(prefix="subjectflow-"))
+        atexit.register(shutil.rmtree, _LOCAL[0], ignore_errors=True)
+    return _LOCAL[0]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -10,9 +10,7 @@ from subjectflow.session import local_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
-    session = local_session("tests", "4", 4)
-    if session.conf.get("spark.checkpoint.dir", None) is None:
-        session.conf.set("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
+    session = local_session("tests", "4", 4, str(tmp_path_factory.mktemp("shared")))
     yield session
     session.stop()
 
