@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from subjectflow.llm import bpe, quality
+from subjectflow.llm import bpe, quality, toxicity
 from subjectflow.llm.common import held_out, table, text_of
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -45,3 +45,10 @@ def quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _judged(docs: DataFrame, score, threshold: float) -> DataFrame:
     scored = docs.select("doc_id", held_out().alias("held_out"), score.alias("score"))
     return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
+
+
+@query("op6_toxicity")
+def toxicity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    return _judged(docs, toxicity.score_of(text_of(), model), toxicity.THRESHOLD)

@@ -33,10 +33,11 @@ from pyspark.sql import functions as F
 
 from subjectflow.llm.common import labelled_sample, small_join, stored, text_of
 
-#: Labelled documents used for fitting, about, at most; lexicon entries; nats of evidence asked of an entry.
+#: Labelled documents used for fitting, about, at most; lexicon entries; nats of evidence asked of an
+#: entry beyond the logarithm of the number of candidates (at 0, one entry by chance at most).
 SAMPLE = 10_000
 ENTRIES = 2_000
-EVIDENCE = 18.0
+EVIDENCE = 0.0
 THRESHOLD = 0.5
 
 # Insults that open the general lexicon, by language.
@@ -126,10 +127,14 @@ def voters_of(entries: list[str]) -> Voters:
 
 
 class LabelModel:
-    """Hidden label of binary votes, with a forest of dependences between voters."""
+    """Hidden label of binary votes, with a forest of dependences between voters.
 
-    def __init__(self, rounds: int = 40, dependence: float = 0.005):
-        self.rounds, self.dependence = rounds, dependence
+    What label 1 means is held by three things: its share is given, a voter fires seldom
+    under label 0 unless the votes say otherwise, and the first guess comes from the lexicons.
+    """
+
+    def __init__(self, share: float, rounds: int = 40, dependence: float = 0.005):
+        self.share, self.rounds, self.dependence = min(0.5, max(0.01, share)), rounds, dependence
 
     def fit(self, votes: np.ndarray, start: np.ndarray) -> LabelModel:
         """``votes``: rows by voters, 0/1. ``start``: first guess of each row's probability."""
@@ -147,14 +152,13 @@ class LabelModel:
 
     def _estimate(self, votes: np.ndarray, q: np.ndarray) -> None:
         """Tables: chance that a voter fires, by label and by its parent's vote (row 0 if it has none)."""
-        n, m = votes.shape
-        self.share = (q.sum() + 1) / (n + 10)
+        m = votes.shape[1]
         self.fires = np.zeros((2, 2, m))
         above = np.where(self.parent >= 0, votes[:, self.parent], 0)
         for label, weight in ((0, 1 - q), (1, q)):
             for given in (0, 1):
                 w = weight[:, None] * (above == given)
-                self.fires[label, given] = ((w * votes).sum(axis=0) + 0.1) / (w.sum(axis=0) + (1.0 if label else 20.0))
+                self.fires[label, given] = ((w * votes).sum(axis=0) + (0.5 if label else 0.1)) / (w.sum(axis=0) + (1.0 if label else 10.0))
 
     def posterior(self, votes: np.ndarray) -> np.ndarray:
         """Probability of label 1 of each row."""
@@ -250,22 +254,28 @@ def _mined(sample: DataFrame) -> list[str]:
             part = rest[i : i + 50_000]
             yield pd.DataFrame({"entry": part, "pos": 0, "neg": [seen[0][k] for k in part]})
 
-    base = sample.agg(F.count("*").alias("n"), F.sum(F.when(F.col("label") > 0, 1).otherwise(0)).alias("pos")).first()
-    if not base["n"] or not base["pos"] or base["pos"] == base["n"]:
+    share = _share(sample)
+    if not 0 < share < 1:
         return []
-    share = base["pos"] / base["n"]
     n = F.col("pos") + F.col("neg")
     p = F.col("pos") / n
     info = F.col("pos") * F.log(p / share) + F.when(F.col("neg") > 0, F.col("neg") * F.log((1 - p) / (1 - share))).otherwise(0)
+    counted = sample.mapInPandas(run, "entry string, pos long, neg long").groupBy("entry").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+    counted = stored(counted.filter(n >= 3), "toxicity-entries")
+    needed = EVIDENCE + float(np.log(max(1, counted.count())))
     rows = (
-        sample.mapInPandas(run, "entry string, pos long, neg long").groupBy("entry").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
-        .filter((F.col("pos") >= 3) & (p > F.greatest(F.lit(0.6), F.lit(1.5 * share))))
-        .withColumn("info", info).filter(F.col("info") > EVIDENCE)
-        .orderBy(F.desc("info"), "entry").limit(ENTRIES).select("entry").collect()
-    )
+        counted.filter((F.col("pos") >= 3) & (p > F.greatest(F.lit(0.6), F.lit(1.5 * share)))).withColumn("info", info)
+        .filter(F.col("info") > needed).orderBy(F.desc("info"), "entry").limit(ENTRIES).select("entry").collect()
+    )
     return [r["entry"] for r in rows]
 
 
+def _share(sample: DataFrame) -> float:
+    """Share of label 1."""
+    row = sample.agg(F.avg(F.when(F.col("label") > 0, 1.0).otherwise(0.0)).alias("share")).first()
+    return float(row["share"] or 0.0)
+
+
 def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", bound: int = SAMPLE) -> Classifier:
     """Mine the lexicons, fit the label model on votes over the sample, and the classifier on its posteriors."""
     sample = _sample(docs, labels, label, bound)
@@ -276,21 +286,20 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", bound: int =
             yield pd.DataFrame({"x": [voters.counts(t) for t in batch["text"]]})
 
     rows = sample.select("text").mapInPandas(run, "x array<double>").toPandas()["x"].tolist()
-    return fit(voters, np.array(sorted(map(list, rows)), dtype=float).reshape(-1, voters.lexicons + 4))
+    return fit(voters, np.array(sorted(map(list, rows)), dtype=float).reshape(-1, voters.lexicons + 4), _share(sample))
 
 
-def fit(voters: Voters, counts: np.ndarray) -> Classifier:
-    """Label model and classifier from hit counts. Two made-up rows, a silent one and one that the
+def fit(voters: Voters, counts: np.ndarray, share: float) -> Classifier:
+    """Label model and classifier from hit counts. Four made-up rows, silent ones and one that the
     general lexicon marks, keep both defined where the sample is small or empty."""
     silent, marked = np.zeros((1, counts.shape[1])), np.zeros((1, counts.shape[1]))
     marked[0, 0] = 1
     counts = np.concatenate([counts, silent, silent, silent, marked])
     votes = (counts > 0).astype(float)
     lexical = votes[:, : voters.lexicons].sum(axis=1)
-    model = LabelModel().fit(votes, np.where(lexical > 0, 0.9, 0.02))
-    q = model.posterior(votes)
-    if q[lexical > 0].mean() < q[lexical == 0].mean():  # the labels' names may have been exchanged
-        q = 1 - q
+    start = np.where(lexical > 0, 0.9, 0.02)
+    said = votes[:, votes.any(axis=0)]  # a voter that never fires tells nothing
+    q = LabelModel(share or 0.1).fit(said, start).posterior(said)
     weights, bias = regression(_features(counts), q)
     return Classifier(voters, weights, bias)
 
