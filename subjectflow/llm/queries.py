@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from subjectflow.llm import bpe, quality, toxicity
+from subjectflow.llm import bpe, mixing, quality, toxicity
 from subjectflow.llm.common import held_out, table, text_of
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -52,3 +52,8 @@ def toxicity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = toxicity.train(docs, table(spark, sf_dir, "labels"))
     return _judged(docs, toxicity.score_of(text_of(), model), toxicity.THRESHOLD)
+
+
+@query("op1_source_mix", mixing.ORACLE_SQL)
+def source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"))
