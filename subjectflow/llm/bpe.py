@@ -390,18 +390,22 @@ def decoded(vocabulary: Vocabulary, packed: bytes | None, portion: int = 65_536)
     return "".join(parts) + stream.finish()
 
 
-def round_trip_digest(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
-    """``doc_id``, ``n_tokens``, ``ids_sha256`` and ``decoded_sha256`` of every text."""
+def round_trip(docs: DataFrame, ranks_path: str, pattern: str, keep: tuple[str, ...] = ("doc_id",), ids: bool = False) -> DataFrame:
+    """``keep`` columns, ``n_tokens``, ``ids_sha256`` and ``decoded_sha256`` of every text; with ``ids`` the packed ids too."""
     ranks = broadcast_ranks(docs.sparkSession, ranks_path)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         coder, vocabulary = _worker(ranks.value[0], ranks.value[1], pattern)
         for batch in batches:
-            ids = [coder.encode(t) for t in batch.pop("_text")]
-            batch["n_tokens"] = np.array([len(x) // 4 for x in ids], dtype="int64")
-            batch["ids_sha256"] = [hashlib.sha256(x).hexdigest() for x in ids]
-            batch["decoded_sha256"] = [hashlib.sha256(decoded(vocabulary, x).encode()).hexdigest() for x in ids]
+            coded = [coder.encode(t) for t in batch.pop("_text")]
+            batch["n_tokens"] = np.array([len(x) // 4 for x in coded], dtype="int64")
+            batch["ids_sha256"] = [hashlib.sha256(x).hexdigest() for x in coded]
+            batch["decoded_sha256"] = [hashlib.sha256(decoded(vocabulary, x).encode()).hexdigest() for x in coded]
+            if ids:
+                batch["ids"] = coded
             yield batch
 
-    schema = docs.select("doc_id").schema.add("n_tokens", "long").add("ids_sha256", "string").add("decoded_sha256", "string")
-    return docs.select("doc_id", text_of().alias("_text")).mapInPandas(run, schema)
+    schema = docs.select(*keep).schema.add("n_tokens", "long").add("ids_sha256", "string").add("decoded_sha256", "string")
+    if ids:
+        schema = schema.add("ids", "binary")
+    return docs.select(*keep, text_of().alias("_text")).mapInPandas(run, schema)

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from subjectflow.llm import bpe, mixing, quality, toxicity
+from subjectflow.llm import bpe, mixing, neardup, quality, toxicity
 from subjectflow.llm.common import held_out, table, text_of
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -32,7 +32,7 @@ RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 @query("op7_byte_bpe")
 def byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bpe.round_trip_digest(table(spark, sf_dir, "documents"), RANKS, public_tokenizers.PATTERN)
+    return bpe.round_trip(table(spark, sf_dir, "documents"), RANKS, public_tokenizers.PATTERN)
 
 
 @query("op10_quality_classifier")
@@ -57,3 +57,8 @@ def toxicity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op1_source_mix", mixing.ORACLE_SQL)
 def source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
+
+
+@query("op9_minhash_near_dedup")
+def minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.report(table(spark, sf_dir, "documents"))
