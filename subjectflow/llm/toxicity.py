@@ -32,6 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from subjectflow.llm.common import labelled_sample, small_join, stored, text_of
+from subjectflow.llm.neardup import mixed, runs
 
 #: Labelled documents used for fitting, about, at most; lexicon entries; nats of evidence asked of an
 #: entry beyond the logarithm of the number of candidates (at 0, one entry by chance at most).
@@ -230,13 +231,23 @@ def regression(x: np.ndarray, q: np.ndarray, ridge: float = 0.05, steps: int = 3
 
 
 def _sample(docs: DataFrame, labels: DataFrame, label: str, bound: int) -> DataFrame:
-    """``label``, ``text`` of the sampled labelled documents, near copies once (written to the shared folder)."""
+    """``label``, ``text`` of the sampled labelled documents, near copies once (written to the shared folder).
+
+    Two texts with the same smallest run of words, under either of two hash orders, count as
+    copies; a pair at a similarity of 0.8 escapes both with a chance of 0.04.
+    """
     sample = labelled_sample(docs.sparkSession, labels, label, bound)
     rows = small_join(docs.select("doc_id", text_of().alias("text")), sample, ["doc_id"], 2 * bound).select("label", "text")
-    words = F.split("text", r"\s+")
-    runs = F.transform(F.sequence(F.lit(1), F.greatest(F.size(words) - 4, F.lit(1))), lambda i: F.concat_ws(" ", F.slice(words, i, 5)))
-    keyed = rows.withColumn("a", F.array_min(F.transform(runs, lambda r: F.xxhash64(r)))).withColumn("b", F.array_min(F.transform(runs, lambda r: F.hash(r))))
-    return stored(keyed.dropDuplicates(["a"]).dropDuplicates(["b"]).select("label", "text"), "toxicity-sample")
+
+    def keyed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            found = [runs(t)[0] for t in batch["text"]]
+            batch["a"] = [int(u.min() >> np.uint64(1)) if len(u) else 0 for u in found]
+            batch["b"] = [int(mixed(u).min() >> np.uint64(1)) if len(u) else 0 for u in found]
+            yield batch
+
+    marked = rows.mapInPandas(keyed, "label int, text string, a long, b long")
+    return stored(marked.dropDuplicates(["a"]).dropDuplicates(["b"]).select("label", "text"), "toxicity-sample")
 
 
 def _mined(sample: DataFrame) -> list[str]:
