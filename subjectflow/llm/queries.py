@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from subjectflow.llm import bpe, mixing, neardup, quality, topk, toxicity
+from subjectflow.llm import ann, bpe, mixing, neardup, quality, topk, toxicity
 from subjectflow.llm.common import held_out, table, text_of
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -67,3 +67,8 @@ def minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_exact_topk", topk.ORACLE_SQL)
 def exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.search(table(spark, sf_dir, "embeddings"), lambda vec_id: vec_id % 20 == 0)
+
+
+@query("op8_hilbert_ann")
+def hilbert_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(table(spark, sf_dir, "embeddings"), lambda vec_id: vec_id % 50 == 0)
