@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from subjectflow.llm import ann, bpe, mixing, neardup, quality, topk, toxicity
-from subjectflow.llm.common import held_out, table, text_of
+from subjectflow.llm import ann, bpe, chat, mixing, neardup, quality, topk, toxicity
+from subjectflow.llm.common import held_out, stored, table, text_of
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -72,3 +72,11 @@ def exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_hilbert_ann")
 def hilbert_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.search(table(spark, sf_dir, "embeddings"), lambda vec_id: vec_id % 50 == 0)
+
+
+@query("op3_chat_format", chat.ORACLE_SQL)
+def chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    says = "</s>[INST] ok [/INST]"
+    more = spark.createDataFrame([(-1, 0, "user", says), (-1, 1, "assistant", says)], "conv_id long, turn long, role string, text string")
+    return chat.digests(stored(chat.format_conversations(turns.unionByName(more)), "chat"))
