@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from subjectflow.llm import ann, bpe, chat, mixing, neardup, quality, topk, toxicity
-from subjectflow.llm.common import held_out, stored, table, text_of
+from subjectflow.llm import ann, bpe, chat, mixing, neardup, quality, tokens, topk, toxicity
+from subjectflow.llm.common import held_out, scratch, stored, table, text_of
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -80,3 +80,10 @@ def chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     says = "</s>[INST] ok [/INST]"
     more = spark.createDataFrame([(-1, 0, "user", says), (-1, 1, "assistant", says)], "conv_id long, turn long, role string, text string")
     return chat.digests(stored(chat.format_conversations(turns.unionByName(more)), "chat"))
+
+
+@query("op2_token_store")
+def token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, path = table(spark, sf_dir, "documents"), scratch(spark, "token-store")
+    tokens.write_store(docs, path, public_tokenizers.path("byte_bpe_50k.json"))
+    return tokens.digests(docs, path)
