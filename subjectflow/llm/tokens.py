@@ -20,7 +20,6 @@ from __future__ import annotations
 
 import json
 import os
-import re
 import zlib
 from collections.abc import Iterator
 
@@ -50,8 +49,6 @@ class TextEncoder:
     any other tokenizer encodes each whole text.
     """
 
-    _clean = re.compile(r"(?<=\S) (?=\S)")
-
     def __init__(self, definition: str, end_id: int):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
         from tokenizers import Tokenizer
@@ -83,9 +80,8 @@ class TextEncoder:
         firsts = [c.pop(0) for c in cuts]
         odd = self._learn(cuts)
         for i, (first, words) in enumerate(zip(firsts, cuts, strict=True)):
-            if words and (not first or first[-1].isspace() or not odd.isdisjoint(words)):
-                firsts[i], *cuts[i] = self._clean.split(texts[i])
-                odd |= self._learn([cuts[i]])
+            if words and (not first or first[-1].isspace() or odd and not odd.isdisjoint(words)):
+                firsts[i], cuts[i] = texts[i], []  # blanks that aren't clean: the text in one go
         get = self.words.__getitem__
         return [f + b"".join(map(get, c)) + self.end for f, c in zip(self._encoded(firsts), cuts, strict=True)]
 
