@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from subjectflow.llm import ann, bpe, chat, mixing, neardup, quality, tokens, topk, toxicity
+from subjectflow.llm import ann, bpe, chat, licenses, mixing, neardup, quality, tokens, topk, toxicity
 from subjectflow.llm.common import held_out, scratch, stored, table, text_of
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -87,3 +87,8 @@ def token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, path = table(spark, sf_dir, "documents"), scratch(spark, "token-store")
     tokens.write_store(docs, path, public_tokenizers.path("byte_bpe_50k.json"))
     return tokens.digests(docs, path)
+
+
+@query("op4_license_scan")
+def license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.report(table(spark, sf_dir, "documents"))
