@@ -2,8 +2,8 @@
 
 * **Voters.** Lexicon voters fire on words or word beginnings, pattern voters on the shape of
   a text. Their lexicons are a short general list and what a bounded sample of labelled
-  documents shows: words and beginnings whose share of toxic documents is above the base
-  rate beyond chance (a Chernoff bound over all candidates), dealt out over several voters.
+  documents shows: words, beginnings and recurring beginnings whose share of toxic documents
+  is above the base rate beyond chance (a Chernoff bound over all candidates), dealt out over several voters.
   Near copies in the sample count once, else the words of one much-copied text would look
   telling.
 * **Label model.** Votes have a hidden label. Expectation maximisation estimates how often
@@ -36,7 +36,7 @@ from subjectflow.llm.neardup import mixed, runs
 
 #: Labelled documents used for fitting, about, at most; lexicon entries; nats of evidence asked of an
 #: entry beyond the logarithm of the number of candidates (at 0, one entry by chance at most).
-SAMPLE = 10_000
+SAMPLE = 8_000
 ENTRIES = 2_000
 EVIDENCE = 0.0
 THRESHOLD = 0.5
@@ -50,45 +50,57 @@ GENERAL = {
 }
 
 _WORDS = re.compile(r"\w+")
+_UPPER = re.compile(r"[A-ZÀ-ÖØ-Þ]+")
 _PLAIN = str.maketrans("013457@$", "oieastas")
-BEGINNINGS = (3, 4, 5, 6)
+BEGINNINGS = (3, 4, 5, 6, 7, 8)
+#: How often a beginning must occur in a text to count: rare ones tell at once, others when they recur.
+TIMES = (1, 2, 3)
+#: Voters that share the entries of each kind: whole words, beginnings by times.
 WORD_VOTERS, BEGINNING_VOTERS = 4, 3
 
 
 def candidates(text: str) -> set[str]:
-    """Whole words (``=word``) and word beginnings (``^begin``) of a text."""
-    words = set(_WORDS.findall(text.lower()))
+    """Entries that a text holds: whole words (``=word``) and recurring beginnings (``2^begin``: at least twice)."""
+    words = Counter(_WORDS.findall(text.lower()))
     out = {"=" + w for w in words if len(w) <= 30}
-    out.update(["^" + w[:k] for w in words for k in BEGINNINGS if len(w) >= k])
+    for k in BEGINNINGS:
+        begins: Counter = Counter()
+        for w, n in words.items():
+            if len(w) >= k:
+                begins[w[:k]] += n
+        for times in TIMES:
+            out.update([f"{times}^{b}" for b, n in begins.items() if n >= times])
     return out
 
 
 @lru_cache(maxsize=2)
 def _searcher(lexicon: tuple[tuple[str, int], ...]):
-    """An automaton over all entries; an entry has the voters that it makes fire."""
-    entries: dict[str, list[tuple[bool, int]]] = {}
-    for entry, voter in lexicon:
-        entries.setdefault(entry[1:], []).append((entry[0] == "=", voter))
+    """An automaton over the strings of all entries; each finds the numbers of its entries."""
+    strings: dict[str, list[int]] = {}
+    for number, (entry, _) in enumerate(lexicon):
+        strings.setdefault(entry[1:] if entry[0] == "=" else entry[2:], []).append(number)
     automaton = ahocorasick.Automaton()
-    for word, fires in entries.items():
-        automaton.add_word(word, (len(word), tuple(fires)))
-    if entries:
+    for string, numbers in strings.items():
+        automaton.add_word(string, (len(string), tuple((n, lexicon[n][0][0] == "=") for n in numbers)))
+    if strings:
         automaton.make_automaton()
     return automaton
 
 
-def _hits(lexicon: tuple, text: str, counts: list[float], shift: int | None = None) -> None:
-    automaton, n = _searcher(lexicon), len(text)
+def _hits(lexicon: tuple, text: str) -> Counter:
+    """How often each entry (by number) occurs in a lower-case text, at the beginnings of words."""
+    automaton, n, hits = _searcher(lexicon), len(text), Counter()
     if not len(automaton):
-        return
-    for end, (size, fires) in automaton.iter(text):
+        return hits
+    for end, (size, entries) in automaton.iter(text):
         begin = end - size + 1
         if begin and (text[begin - 1].isalnum() or text[begin - 1] == "_"):
             continue
         closed = end + 1 == n or not (text[end + 1].isalnum() or text[end + 1] == "_")
-        for whole, voter in fires:
+        for number, whole in entries:
             if closed or not whole:
-                counts[voter if shift is None else shift] += 1
+                hits[number] += 1
+    return hits
 
 
 @dataclass
@@ -102,25 +114,29 @@ class Voters:
         """Hits of each voter in one text."""
         counts = [0.0] * (self.lexicons + 4)
         low = text.lower()
-        _hits(self.lexicon, low, counts)
+        hits = _hits(self.lexicon, low)
+        for number, n in hits.items():
+            entry, voter = self.lexicon[number]
+            if entry[0] == "=" or n >= int(entry[0]):
+                counts[voter] += n
         plain = low.translate(_PLAIN)
-        if plain != low:  # hits that only the spelling with look-alikes hides
-            before = [0.0] * len(counts)
-            _hits(self.lexicon, plain, before, 0)
-            counts[self.lexicons] = max(0.0, before[0] - sum(counts[: self.lexicons]))
+        if plain != low:  # whole words that only the spelling with look-alikes hides
+            for number, n in _hits(self.lexicon, plain).items():
+                if self.lexicon[number][0][0] == "=":
+                    counts[self.lexicons] += max(0, n - hits[number])
         n = max(1, len(text))
         counts[self.lexicons + 1] = float(text.count("!") / n > 0.01)
-        counts[self.lexicons + 2] = float(sum(map(str.isupper, text[:: max(1, n // 4000)])) / min(n, 4000) > 0.3)
-        counts[self.lexicons + 3] = float(text.count("***") > 0)
+        counts[self.lexicons + 2] = float(sum(map(len, _UPPER.findall(text))) / n > 0.3)
+        counts[self.lexicons + 3] = float("***" in text)
         return counts
 
 
 def voters_of(entries: list[str]) -> Voters:
     """Deal entries, strongest first, out over the voters of their kind; the general list votes as well."""
     lexicon = [("=" + w, 0) for line in GENERAL.values() for w in line.split()]
-    first, kinds = 1, ["=", *BEGINNINGS]
-    for kind in kinds:
-        own = [e for e in entries if (e[0] == "=" if kind == "=" else e[0] == "^" and len(e) == kind + 1)]
+    first = 1
+    for kind in ("=", *map(str, TIMES)):
+        own = [e for e in entries if e[0] == kind]
         groups = WORD_VOTERS if kind == "=" else BEGINNING_VOTERS
         lexicon += [(e, first + i % groups) for i, e in enumerate(own)]
         first += groups
