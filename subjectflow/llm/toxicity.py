@@ -155,10 +155,9 @@ class LabelModel:
 
     def fit(self, votes: np.ndarray, start: np.ndarray) -> LabelModel:
         """``votes``: rows by voters, 0/1. ``start``: first guess of each row's probability."""
-        self.parent = np.full(votes.shape[1], -1)
-        q = self._maximise(votes, start)
-        self.parent = self._forest(votes, q)
-        self._maximise(votes, q)
+        # by the first guess: once the tables fit voters that repeat one another, the label is what they say
+        self.parent = self._forest(votes, start)
+        self._maximise(votes, start)
         return self
 
     def _maximise(self, votes: np.ndarray, q: np.ndarray) -> np.ndarray:
