@@ -107,7 +107,7 @@ def _encoder(key: tuple, definition: str, end_id: int) -> TextEncoder:
     return _WORKER[key]
 
 
-def write_store(docs: DataFrame, path: str, tokenizer_path: str, end_id: int = 2) -> None:
+def write_store(docs: DataFrame, path: str, tokenizer_path: str, end_id: int = 2, bucket_keys: int = BUCKET_KEYS) -> None:
     """Encode ``doc_id``, ``text`` of all rows and write the two tables."""
     spark = docs.sparkSession
     with open(tokenizer_path, encoding="utf-8") as file:  # read where the driver runs; a vocabulary has a fixed size
@@ -147,7 +147,7 @@ def write_store(docs: DataFrame, path: str, tokenizer_path: str, end_id: int = 2
     # the hash only spreads rows that repeat an id
     ordered = rows.repartitionByRange(parts, "doc_id", F.xxhash64("_text")).sortWithinPartitions("doc_id", "_text")
     ordered.mapInPandas(run, "part int, seq int, n_ids long, width int, doc_ids binary, lengths binary, payload binary").write.mode("overwrite").parquet(f"{path}/shards")
-    _write_index(spark, path)
+    _write_index(spark, path, bucket_keys)
 
 
 def shards(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
@@ -171,11 +171,11 @@ def _entries(table: DataFrame) -> DataFrame:
                 yield pd.DataFrame({"doc_id": np.frombuffer(ids, dtype="<i8"), "part": part, "seq": seq, "offset": np.cumsum(n) - n, "n": n})
 
     entries = table.select("part", "seq", "doc_ids", "lengths").mapInPandas(run, "doc_id long, part int, seq int, offset long, n long")
-    return entries.withColumn("occurrence", F.row_number().over(Window.partitionBy("doc_id").orderBy("part", "seq", "offset")) - 1)
+    return entries.withColumn("occurrence", F.row_number().over(Window.partitionBy("doc_id").orderBy("part", "seq", "offset")).cast("long") - 1)
 
 
 def _bucket(buckets: int):
-    return F.pmod(F.xxhash64("doc_id", "occurrence"), F.lit(buckets)).cast("int").alias("bucket")
+    return F.pmod(F.xxhash64(F.col("doc_id").cast("long"), F.col("occurrence").cast("long")), F.lit(buckets)).cast("int").alias("bucket")
 
 
 def key_hash(ids: np.ndarray, occurrences: np.ndarray, level: int) -> np.ndarray:
@@ -215,13 +215,13 @@ def find(bits: list[bytes], sizes: list[int], ids: np.ndarray, occurrences: np.n
     return slots
 
 
-_INDEX = "bucket int, bits array<binary>, sizes array<int>, fingerprints binary, parts binary, seqs binary, offsets binary, lengths binary"
+_INDEX = "bucket int, buckets int, bits array<binary>, sizes array<int>, fingerprints binary, parts binary, seqs binary, offsets binary, lengths binary"
 
 
-def _write_index(spark: SparkSession, path: str) -> None:
+def _write_index(spark: SparkSession, path: str, bucket_keys: int) -> None:
     table = spark.read.parquet(f"{path}/shards")
     n = table.agg(F.sum(F.length("doc_ids") / 8)).first()[0] or 0
-    buckets = max(1, -(-int(n) // BUCKET_KEYS))
+    buckets = max(1, -(-int(n) // bucket_keys))
 
     def build(rows: pd.DataFrame) -> pd.DataFrame:
         ids, occurrences = rows["doc_id"].to_numpy(), rows["occurrence"].to_numpy()
@@ -229,7 +229,7 @@ def _write_index(spark: SparkSession, path: str) -> None:
         placed = rows.iloc[np.argsort(slots)]
         marks = key_hash(placed["doc_id"].to_numpy(), placed["occurrence"].to_numpy(), -1).astype("<u4")
         packed = [placed[c].to_numpy().astype(t).tobytes() for c, t in (("part", "<i4"), ("seq", "<i4"), ("offset", "<i8"), ("n", "<i8"))]
-        return pd.DataFrame([(int(rows["bucket"].iat[0]), bits, sizes, marks.tobytes(), *packed)], columns=[c.split()[0] for c in _INDEX.split(", ")])
+        return pd.DataFrame([(int(rows["bucket"].iat[0]), buckets, bits, sizes, marks.tobytes(), *packed)], columns=[c.split()[0] for c in _INDEX.split(", ")])
 
     entries = _entries(table).select("*", _bucket(buckets))
     entries.groupBy("bucket").applyInPandas(build, _INDEX).write.mode("overwrite").parquet(f"{path}/index")
@@ -241,7 +241,7 @@ def locate(spark: SparkSession, path: str, keys: DataFrame) -> DataFrame:
     A key meets only the index row of its bucket; a bucket's keys are looked up together.
     """
     index = spark.read.parquet(f"{path}/index")
-    buckets = max(1, index.count())
+    buckets = max(1, int(index.agg(F.max("buckets")).first()[0] or 1))
     names = ["part", "seq", "offset", "n"]
 
     def probe(asked: pd.DataFrame, row: pd.DataFrame) -> pd.DataFrame:

@@ -90,6 +90,9 @@ def test_store(spark, docs):
     read = {(r.doc_id, r.occurrence): r.ids for r in tokens.read_documents(spark, path, keys).collect()}
     assert set(read) == {(9, 0), (2, 1), (None, 0)}
     assert read[9, 0] == ENCODER[1].encode("some words here", add_special_tokens=False).ids + [2]
+    many, path = docs([(i, f"text {i}") for i in range(300)]), scratch(spark, "test-store")
+    tokens.write_store(many, path, FILE, bucket_keys=16)
+    assert spark.read.parquet(f"{path}/index").count() > 10 and tokens.digests(many, path).count() == 300
     empty = scratch(spark, "test-store")
     tokens.write_store(docs([]), empty, FILE)
     assert tokens.digests(docs([]), empty).count() == 0
