@@ -20,7 +20,9 @@ from __future__ import annotations
 
 import json
 import os
+import sys
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -44,9 +46,10 @@ _STEP = 0x9E3779B97F4A7C15
 class TextEncoder:
     """Ids of whole texts from a tokenizer file.
 
-    A byte-level tokenizer without normalizer splits before a single blank between two
-    characters that aren't blank, so texts may be cut there and equal words encoded once;
-    any other tokenizer encodes each whole text.
+    A byte-level tokenizer without normalizer starts a new piece at a single blank and at a
+    single line feed between two characters that aren't blank, and at a point or comma behind
+    a letter or digit. Texts may be cut there and equal words encoded once. A text with any
+    other blank is encoded whole, and so is every text for any other tokenizer.
     """
 
     def __init__(self, definition: str, end_id: int):
@@ -68,6 +71,9 @@ class TextEncoder:
 
     def _encoded(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        code = self.kind.char
+        if sys.byteorder == "little":
+            return [array(code, x.ids).tobytes() for x in found]
         return [np.array(x.ids, dtype=self.kind).tobytes() for x in found]
 
     def encode(self, texts: list[str]) -> list[bytes]:
@@ -76,7 +82,7 @@ class TextEncoder:
             return [x + self.end for x in self._encoded(texts)]
         if len(self.words) > WORDS_KEPT:
             self.older, self.words = self.words, {}
-        cuts = [t.split(" ") for t in texts]
+        cuts = [t.replace("\n", " \n").split(" ") for t in texts]
         firsts = [c.pop(0) for c in cuts]
         odd = self._learn(cuts)
         for i, (first, words) in enumerate(zip(firsts, cuts, strict=True)):
@@ -86,14 +92,37 @@ class TextEncoder:
         return [f + b"".join(map(get, c)) + self.end for f, c in zip(self._encoded(firsts), cuts, strict=True)]
 
     def _learn(self, cuts: list[list[str]]) -> set[str]:
-        """Encode the words that aren't known; return those that don't stand between clean blanks."""
-        seen = set().union(*cuts)
-        new = seen.difference(self.words)
-        old = new.intersection(self.older)
-        self.words.update([(w, self.older[w]) for w in old])
-        odd = {w for w in new - old if not w or w[0].isspace() or w[-1].isspace()}
-        missing = list(new - old - odd)
-        self.words.update(zip(missing, self._encoded([" " + w for w in missing]), strict=True))
+        """Encode the words that aren't known; return those that don't stand between clean blanks.
+
+        A word that begins a line has its line feed, any other stands for itself behind a blank.
+        """
+        known, older = self.words, self.older
+        new = set().union(*cuts).difference(known)
+        odd, missing, closed = set(), set(), []
+        for word in new:
+            if word in older:
+                known[word] = older[word]
+                continue
+            body = word[1:] if word[:1] == "\n" else word
+            if not body or body[0].isspace() or body[-1].isspace():
+                odd.add(word)
+                continue
+            stem = word.rstrip(".,")
+            if stem != word and stem and stem[-1].isalnum():
+                closed.append((word, stem))
+                if stem in known:
+                    continue
+                if stem in older:
+                    known[stem] = older[stem]
+                    continue
+                word = stem
+            missing.add(word)
+        missing = list(missing)
+        known.update(zip(missing, self._encoded([w if w[0] == "\n" else " " + w for w in missing]), strict=True))
+        ends = {word[len(stem) :] for word, stem in closed}
+        ends = dict(zip(ends, self._encoded(list(ends)), strict=True))
+        for word, stem in closed:
+            known[word] = known[stem] + ends[word[len(stem) :]]
         return odd
 
 
