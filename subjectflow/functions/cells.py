@@ -148,10 +148,15 @@ _HALF_SLACK = 0.5 + 2.0**-26  # one half plus the square root of the double epsi
 
 
 def round_half_up(c: str | Column, digits: int = 0) -> Column:
-    """Round half away from zero, with slack for decimals a double cannot hold."""
+    """Round half away from zero, with slack for decimals a double cannot hold.
+
+    A value that has no fraction left at this scale (2^53 and above) and an infinite one
+    are returned as they are.
+    """
     c = col(c).cast("double")
     scale = F.lit(float(10**digits))
-    return F.signum(c) * F.floor(F.abs(c) * scale + F.lit(_HALF_SLACK)) / scale
+    whole = F.abs(c) * scale >= F.lit(2.0**53)
+    return F.when(whole | F.isnan(c), c).otherwise(F.signum(c) * F.floor(F.abs(c) * scale + F.lit(_HALF_SLACK)) / scale)
 
 
 def half_even_units(c: str | Column, digits: int) -> Column:
@@ -193,5 +198,5 @@ def clean_precision(c: str | Column, significant: int = 7) -> Column:
     magnitude = F.floor(F.log10(F.abs(x))) + 1
     places = F.greatest(F.lit(significant) - magnitude, F.lit(0))
     scale = F.pow(F.lit(10.0), places)
-    rounded = F.signum(x) * F.floor(F.abs(x) * scale + F.lit(0.5)) / scale
+    rounded = F.when(F.abs(x) * scale >= F.lit(2.0**53), x).otherwise(F.signum(x) * F.floor(F.abs(x) * scale + F.lit(0.5)) / scale)
     return F.when(text.rlike(r"\.[0-9]{3,}(E.*)?$") & (x != 0), rounded).otherwise(x)

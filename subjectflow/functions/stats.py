@@ -26,8 +26,8 @@ def _beta_fraction(a: float, b: float, x: float) -> float:
             c = c if abs(c) > tiny else tiny
             total *= c * d
         if abs(c * d - 1.0) < 1e-15:
-            break
-    return total
+            return total
+    raise ArithmeticError(f"the beta fraction did not converge for a={a}, b={b}, x={x}")
 
 
 def beta_inc(a: float, b: float, x: float) -> float:
@@ -46,8 +46,14 @@ def t_two_sided(t: float, df: float) -> float:
     """Two-sided p-value of a t statistic."""
     if t != t or df != df or df <= 0:
         return math.nan
-    if df > 1e7:  # the normal limit, where the beta fraction converges slowly
-        return math.erfc(abs(t) / math.sqrt(2.0))
+    if math.isinf(t):
+        return 0.0
+    if df > 1e7:
+        # the first terms of the expansion around the normal law; what is left out is of order
+        # df^-2, below 1e-13, so the value is continuous here to that error (tested)
+        z = abs(t)
+        density = math.exp(-z * z / 2.0) / math.sqrt(2.0 * math.pi)
+        return math.erfc(z / math.sqrt(2.0)) + density * (z**3 + z) / (2.0 * df)
     return beta_inc(df / 2.0, 0.5, df / (df + t * t))
 
 
@@ -55,7 +61,9 @@ def t_quantile(level: float, df: float) -> float:
     """Two-sided critical value: P(|T| > q) = 1 - level."""
     if df != df or df <= 0:
         return math.nan
-    lo, hi = 0.0, 1e4
+    lo, hi = 0.0, 1.0
+    while t_two_sided(hi, df) > 1.0 - level:
+        lo, hi = hi, hi * 2.0
     for _ in range(200):
         mid = (lo + hi) / 2.0
         if t_two_sided(mid, df) > 1.0 - level:

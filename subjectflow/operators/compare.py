@@ -16,13 +16,15 @@ _TOLERANCE = 2.0**-26  # relative difference below which two numbers count as eq
 
 @dataclass(frozen=True)
 class Comparison:
-    """Frames of a dataset comparison, all lazy."""
+    """Frames of a dataset comparison. All but ``schema`` are views of ``found``: to count
+    several of them, aggregate ``found`` once."""
 
     only_in_base: DataFrame
     only_in_compare: DataFrame
     differences: DataFrame
     by_variable: DataFrame
     schema: DataFrame
+    found: DataFrame
 
 
 def _numeric(kind: T.DataType) -> bool:
@@ -38,70 +40,79 @@ def _differs(a: Column, b: Column, numeric: bool, tolerance: float) -> Column:
 
 
 def _paired(base: DataFrame, compare: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Full join on null-safe keys with both sides as structs."""
+    """One row per key with both sides as structs; null keys match. A key that occurs twice on
+    one side is an error at run time, for its rows have no partners.
+
+    Both tables are stacked and grouped: one shuffle each, no join.
+    """
     a = base.select(*keys, F.struct(*base.columns).alias("_b"))
-    b = compare.select(*[F.col(k).alias(f"_k_{k}") for k in keys], F.struct(*compare.columns).alias("_c"))
-    test = None
-    for k in keys:
-        part = F.col(k).eqNullSafe(F.col(f"_k_{k}"))
-        test = part if test is None else test & part
-    joined = a.join(b, test, "full")
-    return joined.select(
-        *[F.when(F.col("_b").isNotNull(), F.col(k)).otherwise(F.col(f"_k_{k}")).alias(k) for k in keys], "_b", "_c"
+    b = compare.select(*keys, F.struct(*compare.columns).alias("_c"))
+    sides = a.unionByName(b, allowMissingColumns=True).groupBy(*keys).agg(
+        F.first("_b", ignorenulls=True).alias("_b"), F.first("_c", ignorenulls=True).alias("_c"),
+        F.greatest(F.count("_b"), F.count("_c")).alias("_n"),
     )
+    shown = F.concat_ws(", ", *[F.col(k).cast("string") for k in keys])
+    twice = F.raise_error(F.concat(F.lit("duplicate key in comparison: "), shown))
+    # the check is part of what is kept, so it can't be pruned
+    kept = F.when(F.col("_n") == 1, F.col("_b")).otherwise(twice)
+    return sides.select(*keys, kept.alias("_b"), F.when(F.col("_n") == 1, F.col("_c")).otherwise(twice).alias("_c"))
 
 
-def value_differences(
-    base: DataFrame, compare: DataFrame, keys: Sequence[str], tolerance: float = _TOLERANCE
-) -> DataFrame:
-    """One row per differing cell of matching records: keys, variable, base and compare text."""
+def findings(base: DataFrame, compare: DataFrame, keys: Sequence[str], tolerance: float = _TOLERANCE) -> DataFrame:
+    """Everything that differs, in one pass: keys, ``side`` (BASE or COMPARE for a lone row, DIFF
+    for a cell), variable, base and compare text."""
     shared = [c for c in base.columns if c in compare.columns and c not in keys]
-    cells = []
+    both = F.col("_b").isNotNull() & F.col("_c").isNotNull()
+    none = F.lit(None).cast("string")
+
+    def entry(side: str, variable: Column, a: Column, b: Column) -> Column:
+        return F.struct(F.lit(side).alias("side"), variable.alias("variable"), a.alias("base"), b.alias("compare"))
+
+    cells = [
+        F.when(F.col("_c").isNull(), entry("BASE", none, none, none)), F.when(F.col("_b").isNull(), entry("COMPARE", none, none, none)),
+    ]
     for c in shared:
         numeric = _numeric(base.schema[c].dataType) and _numeric(compare.schema[c].dataType)
         a, b = F.col(f"_b.{c}"), F.col(f"_c.{c}")
         if base.schema[c].dataType != compare.schema[c].dataType and not numeric:
             a, b = a.cast("string"), b.cast("string")
-        cells.append(
-            F.when(
-                _differs(a, b, numeric, tolerance),
-                F.struct(F.lit(c).alias("variable"), a.cast("string").alias("base"), b.cast("string").alias("compare")),
-            )
-        )
-    both = _paired(base, compare, keys).filter(F.col("_b").isNotNull() & F.col("_c").isNotNull())
-    if not cells:
-        return both.limit(0).select(*keys, *[F.lit(None).cast("string").alias(n) for n in ("variable", "base", "compare")])
-    return (
-        both.select(*keys, F.explode(F.array(*cells)).alias("_d"))
-        .filter(F.col("_d").isNotNull())
-        .select(*keys, "_d.variable", "_d.base", "_d.compare")
-    )
+        cells.append(F.when(both & _differs(a, b, numeric, tolerance), entry("DIFF", F.lit(c), a.cast("string"), b.cast("string"))))
+    return _paired(base, compare, keys).select(*keys, F.explode(F.array_compact(F.array(*cells))).alias("_d")).select(*keys, "_d.*")
+
+
+def value_differences(
+    base: DataFrame, compare: DataFrame, keys: Sequence[str], tolerance: float = _TOLERANCE
+) -> DataFrame:
+    """One row per differing cell of matching records: keys, variable, base and compare text."""
+    return findings(base, compare, keys, tolerance).filter("side = 'DIFF'").drop("side")
 
 
 def lone_keys(base: DataFrame, compare: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys found on one side only, with the side (``BASE`` or ``COMPARE``)."""
-    joined = _paired(base.select(*keys), compare.select(*keys), keys)
-    side = F.when(F.col("_c").isNull(), "BASE").when(F.col("_b").isNull(), "COMPARE")
-    return joined.withColumn("side", side).filter(F.col("side").isNotNull()).select(*keys, "side")
+    return findings(base.select(*keys), compare.select(*keys), keys).select(*keys, "side")
 
 
 def compare_datasets(
     base: DataFrame, compare: DataFrame, keys: Sequence[str] | None = None, order: Sequence[str] | None = None,
     tolerance: float = _TOLERANCE,
 ) -> Comparison:
-    """Compare two tables by key, or by row position in ``order`` when no keys are given."""
+    """Compare two tables by key, or by row position in ``order`` when no keys are given.
+
+    By position both tables are numbered first, which runs a job for each (``number_rows``).
+    """
     schema = compare_schemas(base, compare)
     if keys is None:
         order = list(order or base.columns)
         base, compare, keys = number_rows(base, order), number_rows(compare, order), ["row_no"]
-    lone = lone_keys(base, compare, keys)
-    diffs = value_differences(base, compare, keys, tolerance)
+    found = findings(base, compare, keys, tolerance)
+    diffs = found.filter("side = 'DIFF'").drop("side")
     return Comparison(
-        only_in_base=lone.filter("side = 'BASE'").drop("side"),
-        only_in_compare=lone.filter("side = 'COMPARE'").drop("side"),
+        only_in_base=found.filter("side = 'BASE'").select(*keys),
+        only_in_compare=found.filter("side = 'COMPARE'").select(*keys),
         differences=diffs,
         by_variable=diffs.groupBy("variable").agg(F.count("*").alias("n_differences")),
         schema=schema,
+        found=found,
     )
 
 

@@ -150,15 +150,24 @@ def end_of_treatment(
     highest visit, not counting rows ``after`` treatment, is a real post-baseline visit
     and not yet 99 has that row copied in the second frame.
     """
-    stamp = {"AVISIT": F.lit(label), "AVISITN": F.lit(number), "AENTMTFL": F.lit("Y")}
-    copies = df.filter(F.coalesce(endpoint | last_visit, F.lit(False))).withColumns(stamp)
-    visits = (df if kept is None else df.filter(kept)).withColumn("AENTMTFL", F.lit(""))
-    both = visits.unionByName(copies)
+    stamp = {"AVISIT": F.lit(label), "AVISITN": F.lit(number).cast(df.schema["AVISITN"].dataType), "AENTMTFL": F.lit("Y")}
+    copied = F.coalesce(endpoint | last_visit, F.lit(False))
+    stays = F.lit(True) if kept is None else F.coalesce(kept, F.lit(False))
+    # a row and its copy in one pass over the rows
+    visit = F.struct(F.col("AVISIT"), F.col("AVISITN"), F.lit("").alias("AENTMTFL"))
+    copy = F.struct(*[c.alias(n) for n, c in stamp.items()])
+    unfolded = df.withColumn("_e", F.explode(F.array_compact(F.array(F.when(stays, visit), F.when(copied, copy)))))
+    both = unfolded.select(*[F.col(f"_e.{c}").alias(c) if c in stamp else F.col(c) for c in dict.fromkeys([*df.columns, *stamp])])
     top = pick_row(both.filter(~after), by, ["-AVISITN", *row_key])
     fallback = top.filter(F.col("AVISITN").isNotNull() & ~F.col("AVISITN").isin(0.0, number)).withColumns(stamp)
     return both, fallback
 
 
+def text_result(value: str, text: str) -> Column:
+    """Text form of a result, kept only where there is a number."""
+    return F.when(F.col(value).isNotNull(), F.col(text))
+
+
 def limit_ratios(df: DataFrame, low: str = "LBSTNRLO", high: str = "LBSTNRHI") -> DataFrame:
     """Normal-range limits and the ratios of value and baseline to them."""
     return df.withColumns({

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from subjectflow.functions.cells import col, if_else
-from subjectflow.operators.joins import lookup_join
+from subjectflow.operators.joins import common_types, lookup_join
 from subjectflow.operators.picks import pick_row
 
 
@@ -39,13 +39,15 @@ def merge_vars(
     mode: str = "first",
     unique: bool = False,
     one_to_one: bool = False,
+    null_safe: bool = False,
 ) -> DataFrame:
     """Left-join columns of ``add`` by key, keeping the row count of ``df``.
 
     With ``order`` the first/last row per key is used; without it ``add`` must hold
     one row per key, which is checked at run time unless ``unique`` says it is known.
     ``one_to_one`` says that ``df`` holds one row per key too: no key can be hot, and a
-    plain join keeps the partitioning that further joins on the key share.
+    plain join keeps the partitioning that further joins on the key share. ``null_safe``:
+    a missing key matches a missing key, as statistical languages join.
     """
     right = add if where is None else add.filter(where)
     if order is not None:
@@ -53,7 +55,9 @@ def merge_vars(
     right = right.select(*by, *[F.col(old).alias(new) for new, old in _pairs(columns).items()])
     if order is None and not unique:
         right = one_per_key(right, by)
-    return df.join(right, list(by), "left") if one_to_one else lookup_join(df, right, by)
+    if one_to_one and not null_safe:
+        return df.join(right, list(by), "left")
+    return lookup_join(df, right, by, null_safe=null_safe)
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str], name: str = "n_rows") -> DataFrame:
@@ -70,7 +74,11 @@ def population_right_join(df: DataFrame, population: DataFrame, by: Sequence[str
     """
     by = list(by)
     found = lookup_join(df, population, by, "inner")
-    lone = population.join(df.select(*by).distinct(), by, "left_anti")
+    # the anti join compares in the common type, like the inner one
+    kinds = common_types(population, df, by)
+    seen = df.select(*[F.col(k).cast(kinds[k]).alias(f"_s_{k}") for k in by]).distinct()
+    test = [F.col(k).cast(kinds[k]) == F.col(f"_s_{k}") for k in by]
+    lone = population.join(seen, test, "left_anti")
     return found.unionByName(lone, allowMissingColumns=True)
 
 
@@ -110,14 +118,15 @@ def map_codelist(
     """Look ``source`` up in a codelist and put the partner value into ``target``.
 
     A literal mapping becomes an expression; a table is left-joined, and Spark
-    broadcasts it only if its measured size allows.
+    broadcasts it only if its measured size allows. A code that occurs twice in the table
+    is an error at run time.
     """
     if isinstance(codelist, Mapping):
         pairs = [F.lit(x) for kv in codelist.items() for x in kv]
         return df.withColumn(target, F.try_element_at(F.create_map(*pairs), F.col(source)))
     key, value = (decode, code) if decode_to_code else (code, decode)
     lookup = codelist.select(F.col(key).alias(source), F.col(value).alias(target))
-    return lookup_join(df, lookup, [source])
+    return lookup_join(df, one_per_key(lookup, [source]), [source])
 
 
 def build_predecessors(

@@ -69,6 +69,18 @@ def column_descriptors(ds_vars: DataFrame, var_spec: DataFrame) -> DataFrame:
     )
 
 
+def descriptor_kind(name: str, given: str | None, length: int | None, fmt: str | None, found: str) -> str:
+    """The rules of ``column_descriptors`` for one column that is written; ``found``: the class of
+    its data, which decides where a rule would not fit what the cells hold."""
+    if found == "string":
+        if name.endswith("DTC") and length in (8, 20):
+            return "date" if length == 8 else "datetime"
+        return "string"
+    if found == "date" and fmt == "DATETIME20.":
+        return "datetime"
+    return given if found == "integer" and given in ("integer", "float", "decimal") else found
+
+
 def display_format(text: str | None) -> str | None:
     """Stored display format: blank becomes none, the date format loses its dot."""
     if not text:

@@ -42,6 +42,11 @@ def dose_summary(
     return summed.withColumn(average, round_half_up(safe_ratio(total, days), 1))
 
 
+def characteristic(df: DataFrame, by: Sequence[str], test: str, code: str, value: str, name: str) -> DataFrame:
+    """One characteristic of each subject: the largest value of the rows of one test."""
+    return df.filter(F.col(test) == code).groupBy(*by).agg(F.max(value).alias(name))
+
+
 def population_flag_vars(
     df: DataFrame, armcd: str, start: str, tests: str, needed: int = 2, failure: str = "Scrnfail",
     names: tuple[str, str, str] = ("saffl", "ittfl", "efffl"),

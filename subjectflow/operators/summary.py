@@ -26,7 +26,7 @@ def long_values(df: DataFrame, by: Sequence[str], layers: Sequence[tuple[str, st
     return exploded.filter(F.col("_e.value").isNotNull()).select(*by, "_e.layer_no", "_e.layer", "_e.value")
 
 
-_PER_OCTAVE = 4096
+_PER_OCTAVE = 2048
 _ABOVE_ALL = 10_000_000  # more than the bucket number of any positive double
 
 
@@ -42,7 +42,7 @@ def _ranks() -> tuple[Column, Column]:
     return F.floor((F.col("_n") + 1) / 2), F.floor(F.col("_n") / 2) + 1
 
 
-def _measured(long: DataFrame, by: Sequence[str], value: str, few_groups: bool, moments: bool) -> DataFrame:
+def _measured(long: DataFrame, by: Sequence[str], value: str, moments: bool) -> DataFrame:
     """Median per group, with n, mean, sd, min and max when ``moments``; see ``exact_median``.
 
     Everything is one chain: the moments of the buckets are merged next to the running
@@ -79,7 +79,7 @@ def _measured(long: DataFrame, by: Sequence[str], value: str, few_groups: bool,
     hits = sizes.filter(holds(lower) | holds(upper)).select(*bucket, "_before", *keep)
 
     # What is known of the bucket travels as grouping keys, so it is worked out only once.
-    near = rows.join(F.broadcast(hits) if few_groups else hits, bucket, "inner")
+    near = rows.join(hits, bucket, "inner")
     counts = near.groupBy(*bucket, "_before", *keep, "_v").agg(F.count("*").alias("_c"))
     order = Window.partitionBy(*bucket).orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
     ranked = counts.withColumn("_last", F.col("_before") + F.sum("_c").over(order))
@@ -93,7 +93,7 @@ def _measured(long: DataFrame, by: Sequence[str], value: str, few_groups: bool,
 
 
 def exact_median(
-    long: DataFrame, by: Sequence[str], value: str = "value", name: str = "median", few_groups: bool = False
+    long: DataFrame, by: Sequence[str], value: str = "value", name: str = "median"
 ) -> DataFrame:
     """Exact median per group without holding or moving a group.
 
@@ -101,27 +101,23 @@ def exact_median(
     map side; a running count over the bounded set of buckets finds the bucket(s) of the
     two middle ranks. Second pass: only the rows of those buckets collapse to counts per
     value, and those few values are ordered. The list of hits has at most two rows per
-    group; it is broadcast when the caller states that the groups are a fixed short list
-    (``few_groups``).
+    group and is broadcast only if its measured size allows.
     """
-    return _measured(long, by, value, few_groups, moments=False).select(*by, F.col("median").alias(name))
+    return _measured(long, by, value, moments=False).select(*by, F.col("median").alias(name))
 
 
-def describe_long(long: DataFrame, by: Sequence[str], value: str = "value", few_groups: bool = False) -> DataFrame:
+def describe_long(long: DataFrame, by: Sequence[str], value: str = "value") -> DataFrame:
     """n, mean, sd, median, minimum and maximum per group; nulls are left out.
 
     Groups without any value do not appear.
     """
-    return _measured(long, by, value, few_groups, moments=True).select(*by, "n", "mean", "sd", "median", "min", "max")
+    return _measured(long, by, value, moments=True).select(*by, "n", "mean", "sd", "median", "min", "max")
 
 
-def describe(df: DataFrame, by: Sequence[str], variables: Sequence[str], few_groups: bool = False) -> DataFrame:
-    """Descriptive statistics of several numeric variables per group.
-
-    ``few_groups`` states that the groups are a fixed short list, such as the arms.
-    """
+def describe(df: DataFrame, by: Sequence[str], variables: Sequence[str]) -> DataFrame:
+    """Descriptive statistics of several numeric variables per group."""
     long = long_values(df, by, [(v, v, None) for v in variables]).withColumnRenamed("layer", "variable")
-    return describe_long(long, [*by, "variable"], few_groups=few_groups)
+    return describe_long(long, [*by, "variable"])
 
 
 def category_counts(
@@ -170,7 +166,7 @@ def layered_summary(
 ) -> DataFrame:
     """The same statistics for several (label, value, condition) layers, per listed arm."""
     rows = df.filter(F.col(arm).isin(list(arms)))
-    return describe_long(long_values(rows, [arm], layers), ["layer_no", "layer", arm], few_groups=True)
+    return describe_long(long_values(rows, [arm], layers), ["layer_no", "layer", arm])
 
 
 def pivot_wide(

@@ -111,3 +111,8 @@ def risk_table(df: DataFrame, by: str, times: Sequence[int], time: str = "AVAL")
     counted = df.filter(F.col(time).isNotNull() & F.col(by).isNotNull()).groupBy(by).agg(*at)
     rows = F.array(*[F.struct(F.lit(t).alias("time"), F.col(f"_t{t}").alias("n_risk")) for t in times])
     return counted.select(by, F.explode(rows).alias("_e")).select(by, "_e.time", "_e.n_risk")
+
+
+def censor_date(decode: str, death: Column, end: Column, code: str = "DEATH") -> Column:
+    """Date at which a subject without the event leaves: of death, else of the end; null if the reason is."""
+    return F.when(F.col(decode) == code, death).when(F.col(decode) != code, end)

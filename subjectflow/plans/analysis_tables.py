@@ -103,7 +103,7 @@ def subject_level(
     doses = subject.dose_summary(
         dosing, SUBJECT, "EXSTDT", "EXENDT", "EXDOSE", valid, ("TRTSDT", "TRTEDT", "TRTDURD", "CUMDOSE", "AVGDD")
     )
-    education = sc.filter(F.col("SCTESTCD") == "EDLEVEL").groupBy(*SUBJECT).agg(F.max("SCSTRESN").alias("EDUCLVL"))
+    education = subject.characteristic(sc, SUBJECT, "SCTESTCD", "EDLEVEL", "SCSTRESN", "EDUCLVL")
     onset = mh.filter(F.col("MHCAT") == "PRIMARY DIAGNOSIS").groupBy(*SUBJECT).agg(F.min(parse_iso_date("MHSTDTC")).alias("DISONSDT"))
 
     out = dm.drop("DOMAIN").filter(F.col("ACTARMCD") != "Scrnfail")
@@ -132,7 +132,7 @@ def subject_level(
 def adverse_events(ae: DataFrame, adsl: DataFrame, spec: TableSpec | None = None) -> DataFrame:
     """Events with dates, days, duration, emergent flag and first-occurrence flags."""
     carried = ["TRTSDT", "TRTEDT", "SITEID", "TRT01A", "TRT01AN", "AGE", "AGEGR1", "AGEGR1N", "RACE", "RACEN", "SEX", "SAFFL"]
-    out = merges.merge_vars(ae, adsl, SUBJECT, [c for c in carried if c in adsl.columns], unique=True)
+    out = merges.merge_vars(ae, adsl, SUBJECT, [c for c in carried if c in adsl.columns])
     out = out.withColumnsRenamed({"TRT01A": "TRTA", "TRT01AN": "TRTAN"})
     out = out.withColumns({"ASTDTM": impute_datetime("AESTDTC", "D"), "AENDTM": impute_datetime("AEENDTC", "h")})
     out = out.withColumns({"ASTDT": F.col("ASTDTM").cast("date"), "AENDT": F.col("AENDTM").cast("date")})
@@ -166,11 +166,11 @@ def chemistry(
         "SUBJID", "TRT01PN", "TRT01P", "TRT01AN", "TRT01A", "TRTSDT", "TRTEDT", "AGE", "AGEGR1", "AGEGR1N", "RACE", "RACEN", "SEX",
         "COMP24FL", "DSRAEFL", "SAFFL",
     ]
-    out = merges.merge_vars(out, adsl, SUBJECT, [c for c in carried if c in adsl.columns and c not in out.columns], unique=True)
+    out = merges.merge_vars(out, adsl, SUBJECT, [c for c in carried if c in adsl.columns and c not in out.columns])
     out = out.withColumns({
         "ADT": impute_date("LBDTC", "n"),
         "AVAL": F.col("LBSTRESN"),
-        "AVALC": F.when(F.col("LBSTRESN").isNotNull(), F.col("LBSTRESC")),
+        "AVALC": longitudinal.text_result("LBSTRESN", "LBSTRESC"),
         "PARAM": paste("LBTEST", F.lit(" ("), "LBSTRESU", F.lit(")")),
         "PARAMCD": F.col("LBTESTCD"),
         "PARCAT1": F.lit("CHEM"),
@@ -218,7 +218,7 @@ def time_to_first_event(ds: DataFrame, adsl: DataFrame, adae: DataFrame, spec: T
         (F.col("DSCAT") == "DISPOSITION EVENT") & ~F.col("DSDECOD").isin("SCREEN FAILURE", "FINAL LAB VISIT")
     ).select(*SUBJECT, parse_iso_date("DSSTDTC").alias("EOSDT"))
     subjects = merges.merge_vars(adsl.drop("EOSDT"), ended, SUBJECT, ["EOSDT"], one_to_one=True)
-    end = case_chain([(F.col("DCDECOD") == "DEATH", parse_iso_date("RFENDTC")), (F.col("DCDECOD") != "DEATH", F.col("EOSDT"))])
+    end = survival.censor_date("DCDECOD", parse_iso_date("RFENDTC"), F.col("EOSDT"))
     subjects = subjects.withColumn("EOS2DT", end)
     first = (F.col("AOCC01FL") == "Y") & (F.col("CQ01NAM") == values.CUSTOM_QUERY_NAME) & (F.col("SAFFL") == "Y")
     event = survival.EventSource("adae", "ASTDT", first, {
@@ -236,7 +236,7 @@ def time_to_first_event(ds: DataFrame, adsl: DataFrame, adae: DataFrame, spec: T
         **{c: c for c in ("AGE", "AGEGR1", "AGEGR1N", "RACE", "RACEN", "SAFFL", "SEX", "SITEID", "TRTEDT", "TRTSDT")},
     }
     carried = {new: old for new, old in carried.items() if old in adsl.columns}
-    return _finish(merges.merge_vars(out, adsl, SUBJECT, carried, unique=True, one_to_one=True), spec)
+    return _finish(merges.merge_vars(out, adsl, SUBJECT, carried, one_to_one=True), spec)
 
 
 # ------------------------------------------------------------------- questionnaire scores
@@ -260,7 +260,7 @@ def scores(
         *SUBJECT, "QSSEQ", "VISIT", "VISITNUM", F.col("QSTESTCD").alias("PARAMCD"), title_case("QSTEST").alias("PARAM"),
         F.col("QSSTRESN").alias("AVAL"), parse_iso_date("QSDTC").alias("ADT"), F.col("QSBLFL").alias("ABLFL"),
     )
-    out = merges.merge_vars(rows, adsl, SUBJECT, from_subject, unique=True)
+    out = merges.merge_vars(rows, adsl, SUBJECT, from_subject)
     out = out.withColumn("ADY", study_day("ADT", "TRTSDT"))
     keep = ["VISIT", "VISITNUM", "ADY", "ADT", "PARAM", "QSSEQ"]
     if param_codes:

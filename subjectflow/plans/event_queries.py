@@ -315,8 +315,11 @@ _LIMITS = """, lim AS (SELECT * REPLACE (CASE paramcd WHEN 'view' THEN NULL WHEN
 
 
 def limited(spark, sf_dir):
-    b = baselined(spark, sf_dir)
-    return b.withColumns({
+    return _with_limits(baselined(spark, sf_dir))
+
+
+def _with_limits(rows):
+    return rows.withColumns({
         "lo": F.when(F.col("paramcd") == "click", 0.0).when(F.col("paramcd") != "view", F.col("lo")),
         "hi": F.when(F.col("paramcd") != "purchase", F.col("hi")),
     })
@@ -346,8 +349,9 @@ def analysis_flag(spark, sf_dir):
 )
 def range_indicator(spark, sf_dir):
     """Range indicator and its baseline value; a missing limit gives null."""
-    ind = limited(spark, sf_dir).withColumn("anrind", longitudinal.range_indicator("aval", "lo", "hi"))
-    return longitudinal.baseline(ind, PAIR, "anrind", "bnrind", "ablfl").select("seq", "anrind", "bnrind")
+    ind = _with_limits(windowed(spark, sf_dir)).withColumn("anrind", longitudinal.range_indicator("aval", "lo", "hi"))
+    found = longitudinal.baseline_record(ind, PAIR, ["adt"], ["seq"], {"bnrind": "anrind"}, "ablfl", where=F.col("AVISITN") == 0)
+    return found.select("seq", "anrind", "bnrind")
 
 
 @query(

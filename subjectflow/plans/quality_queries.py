@@ -22,28 +22,30 @@ def blank_na(spark, sf_dir):
     """Blank to null and null to blank over all text columns."""
     d = table(spark, sf_dir, "documents").select("doc_id", F.when(F.col("lang") != "en", F.col("lang")).otherwise("").alias("lang_na"), "n_chars")
     nulls = cells.blanks_to_null(d)
-    kept = nulls.withColumn("lang_blank", F.col("lang_na"))
-    return cells.nulls_to_blank(kept.select("doc_id", "lang_blank", "n_chars")).join(nulls.select("doc_id", "lang_na"), "doc_id")
+    # the second step sees text columns only, so the first result travels beside it in a struct
+    both = nulls.select("doc_id", F.col("lang_na").alias("lang_blank"), "n_chars", F.struct("lang_na").alias("_kept"))
+    return cells.nulls_to_blank(both).select("doc_id", "_kept.lang_na", "lang_blank", "n_chars")
 
 
 @query(
     "rounding",
     """SELECT p_partkey, p_size / 2.0 AS x, floor(p_size / 2.0 + 0.5) AS half_up, -floor(p_size / 2.0 + 0.5) AS half_up_negative,
          CASE WHEN p_size % 2 = 0 THEN p_size / 2.0 WHEN (p_size // 2) % 2 = 0 THEN p_size // 2 ELSE p_size // 2 + 1 END AS half_even,
-         CASE WHEN p_size % 2 = 1 THEN 0.1 * (p_size + CASE WHEN p_size % 4 = 1 THEN -1 ELSE 1 END) / 2 * 10 / 10 ELSE p_size / 20.0 END AS half_even1
-       FROM part""".replace(
-        "0.1 * (p_size + CASE WHEN p_size % 4 = 1 THEN -1 ELSE 1 END) / 2 * 10 / 10",
-        "CAST((p_size + CASE WHEN p_size % 4 = 1 THEN -1 ELSE 1 END) / 2 AS DOUBLE) / 10",
-    ),
+         CASE WHEN p_size % 2 = 0 THEN p_size * 2.5 WHEN floor(p_size * 2.5) % 2 = 0 THEN floor(p_size * 2.5)
+           ELSE floor(p_size * 2.5) + 1 END / CAST(10 AS DOUBLE) AS half_even1,
+         p_size * CAST(1e18 AS DOUBLE) AS half_up_large, -p_size * CAST(1e18 AS DOUBLE) AS half_up_large_negative
+       FROM part""",
 )
 def rounding(spark, sf_dir):
-    """Half-up and half-even rounding of halves; 0.25-like decimal ties at one digit."""
+    """Half-up and half-even rounding of halves, of quarters at one digit, and of values beyond whole numbers."""
     p = table(spark, sf_dir, "part")
     x = F.col("p_size") / F.lit(2.0)
     return p.select(
         "p_partkey", x.alias("x"), cells.round_half_up(x).alias("half_up"), cells.round_half_up(-x).alias("half_up_negative"),
         cells.round_half_even(x).alias("half_even"),
-        (cells.round_half_even(x) / 10.0).alias("half_even1"),
+        cells.round_half_even(F.col("p_size") / F.lit(4.0), 1).alias("half_even1"),
+        cells.round_half_up(F.col("p_size") * F.lit(1e18), 2).alias("half_up_large"),
+        cells.round_half_up(-F.col("p_size") * F.lit(1e18), 2).alias("half_up_large_negative"),
     )
 
 
@@ -257,18 +259,19 @@ _COPY_SQL = """WITH changed AS (SELECT c_custkey, c_name, c_nationkey, CASE WHEN
 def dataset_compare(spark, sf_dir):
     """Keyed comparison of a table and a changed copy: counts per variable, lone rows, status."""
     base, changed = _copies(spark, sf_dir)
-    found = compare.compare_datasets(base, changed, ["c_custkey"])
-    lone = compare.lone_keys(base, changed, ["c_custkey"]).agg(
-        F.count_if(F.col("side") == "BASE").alias("b"), F.count_if(F.col("side") == "COMPARE").alias("c")
-    )
-    entries = F.array(F.struct(F.lit("only in base").alias("item"), F.col("b").alias("n")),
-                      F.struct(F.lit("only in compare").alias("item"), F.col("c").alias("n")))
-    lone = lone.select(F.explode(entries).alias("_e")).select(F.lit("rows").alias("part"), "_e.item", "_e.n")
-    status = compare.comparison_status(found.differences.select(F.lit("customer").alias("dataset")), ["customer"])
-    counts = found.by_variable.select(F.lit("variable").alias("part"), F.col("variable").alias("item"), F.col("n_differences").alias("n"))
-    return counts.unionByName(lone).unionByName(
-        status.select(F.lit("status").alias("part"), F.col("status").alias("item"), F.col("n_differences").alias("n"))
-    )
+    found = compare.compare_datasets(base, changed, ["c_custkey"]).found
+    # every kind of finding counts itself, and a differing cell also counts for the status; zeros are always there
+    kinds = {"BASE": "only in base", "COMPARE": "only in compare"}
+    rows = F.array_compact(F.array(
+        *[F.when(F.col("side") == side, F.struct(F.lit("rows").alias("part"), F.lit(item).alias("item"))) for side, item in kinds.items()],
+        F.when(F.col("side") == "DIFF", F.struct(F.lit("variable").alias("part"), F.col("variable").alias("item"))),
+        F.when(F.col("side") == "DIFF", F.struct(F.lit("status").alias("part"), F.lit(None).cast("string").alias("item"))),
+    ))
+    counted = found.select(F.explode(rows).alias("_e"), F.lit(1).alias("_n")).select("_e.*", "_n")
+    zeros = spark.createDataFrame([("rows", item, 0) for item in kinds.values()] + [("status", None, 0)], "part string, item string, _n int")
+    out = counted.unionByName(zeros).groupBy("part", "item").agg(F.sum("_n").alias("n"))
+    status = F.when(F.col("n") > 0, "fail").otherwise("pass")
+    return out.select("part", F.when(F.col("part") == "status", status).otherwise(F.col("item")).alias("item"), "n")
 
 
 @query("dataset_differences", _COPY_SQL + "SELECT c_custkey, variable FROM diffs")
@@ -353,30 +356,62 @@ def parse_fenced_csv(spark, sf_dir):
 
 
 # ------------------------------------------------------------------- file formats
-@query("dsjson_roundtrip", "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM orders")
+@query(
+    "dsjson_roundtrip",
+    """SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority, o_orderkey % 2 = 0 AS even,
+         CASE WHEN o_orderkey % 3 > 0 THEN CAST(o_orderdate AS DATE) END AS day, CAST(o_totalprice AS DECIMAL(18, 2)) AS exact FROM orders""",
+)
 def dsjson_roundtrip(spark, sf_dir):
-    """Orders written as line-delimited Dataset-JSON and read back."""
+    """Orders with integer, boolean, date, decimal and null cells, written as line-delimited Dataset-JSON and read back."""
     path = scratch_path(spark, "orders")
-    dataset_json.write_dataset_ndjson(table(spark, sf_dir, "orders"), path, "orders", "Orders")
-    return dataset_json.read_dataset_ndjson(spark, path)
+    o = table(spark, sf_dir, "orders").withColumns({
+        "even": F.col("o_orderkey") % 2 == 0, "day": F.when(F.col("o_orderkey") % 3 > 0, F.col("o_orderdate").cast("date")),
+        "exact": F.col("o_totalprice").cast("decimal(18,2)"),
+    })
+    dataset_json.write_dataset_ndjson(o, path, "orders", "Orders")
+    back = dataset_json.read_dataset_ndjson(spark, path, decimals_as_floats=False)
+    return back.withColumns({"o_totalprice": F.col("o_totalprice").cast("double"), "exact": F.col("exact").cast("decimal(18,2)")})
+
+
+@query("dsjson_standard_file", "SELECT s_suppkey, s_name, s_nationkey, s_acctbal FROM supplier")
+def dsjson_standard_file(spark, sf_dir):
+    """A line-delimited file whose first line is the metadata: all parts of a written table taken as one."""
+    path = scratch_path(spark, "supplier")
+    dataset_json.write_dataset_ndjson(table(spark, sf_dir, "supplier"), path, "supplier", "Suppliers")
+    return dataset_json.read_ndjson_file(spark, f"{path}/*")
+
+
+@query("dsjson_classic", "SELECT n_nationkey, n_name, n_regionkey FROM nation")
+def dsjson_classic(spark, sf_dir):
+    """A classic Dataset-JSON object (one line, all cells text) read back. The format puts a table into one object."""
+    n = table(spark, sf_dir, "nation").select(F.array(F.concat(F.lit(" "), F.col("n_nationkey").cast("string")), "n_name", F.col("n_regionkey").cast("string")).alias("r"))
+    column = lambda name, kind: F.struct(F.lit(f"IT.{name}").alias("itemOID"), F.lit(name).alias("name"), F.lit(name).alias("label"), F.lit(kind).alias("dataType"))
+    columns = F.array(column("n_nationkey", "integer"), column("n_name", "string"), column("n_regionkey", "decimal"))
+    whole = n.agg(F.to_json(F.struct(F.lit("1.1.0").alias("datasetJSONVersion"), columns.alias("columns"), F.collect_list("r").alias("rows"))).alias("value"))
+    path = scratch_path(spark, "nation")
+    whole.write.text(path)
+    back = dataset_json.read_dataset_json(spark, path)
+    return back.withColumns({"n_nationkey": F.col("n_nationkey").cast("int"), "n_regionkey": F.col("n_regionkey").cast("int")})
+
+
+_ALL = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
 
 @query(
     "batch_convert",
-    """SELECT 'customer' AS dataset, COUNT(*) AS n_rows, round(SUM(c_acctbal), 2) AS total FROM customer
-       UNION ALL SELECT 'part', COUNT(*), round(SUM(p_retailprice), 2) FROM part
-       UNION ALL SELECT 'supplier', COUNT(*), round(SUM(s_acctbal), 2) FROM supplier""",
+    " UNION ALL ".join(
+        f"SELECT '{t}' AS dataset, variable, n_filled FROM (UNPIVOT (SELECT COUNT(COLUMNS('(.*)')) AS '\\1' FROM {t}) ON COLUMNS(*) INTO NAME variable VALUE n_filled)"
+        for t in _ALL
+    ),
 )
 def batch_convert(spark, sf_dir):
-    """Several tables converted to line-delimited Dataset-JSON, then read back and summed."""
+    """All tables converted to line-delimited Dataset-JSON, read back, and the filled cells of every column counted."""
     target = scratch_path(spark, "batch")
-    given = {n: table(spark, sf_dir, n) for n in ("customer", "part", "supplier")}
+    given = {n: table(spark, sf_dir, n) for n in _ALL}
     tables.convert_folder(spark, {**given, "extra.ts": given["part"]}, target)
-    back = tables.load_tables(spark, target, given, "dataset-ndjson")
-    money = {"customer": "c_acctbal", "part": "p_retailprice", "supplier": "s_acctbal"}
     out = None
-    for name, df in back.items():
-        part = df.agg(F.count("*").alias("n_rows"), F.round(F.sum(money[name]), 2).alias("total")).select(F.lit(name).alias("dataset"), "*")
+    for name, df in tables.load_tables(spark, target, given, "dataset-ndjson").items():
+        part = compare.filled_cells(df).select(F.lit(name).alias("dataset"), "variable", "n_filled")
         out = part if out is None else out.unionByName(part)
     return out
 

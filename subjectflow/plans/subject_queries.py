@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from subjectflow.functions.cells import if_else, n_distinct, round_half_up, safe_ratio, sum_or_null
 from subjectflow.operators import merges, picks, ranges, summary
 from subjectflow.operators.joins import lookup_join
-from subjectflow.plans.analogs import ARMS, exposure, raw_results, reference_dates, steady, subjects, table, windowed, with_views
+from subjectflow.plans.analogs import ARM_NUMBERS, ARMS, exposure, raw_results, reference_dates, steady, subjects, table, windowed, with_views
 from subjectflow.plans.registry import query
 
 AGE_RANGES = ["<65", "65-80", ">80"]
@@ -32,7 +32,7 @@ def half_up_sql(expression: str, digits: int) -> str:
 )
 def describe_by_arm(spark, sf_dir):
     """n, mean, sd, median, minimum, maximum of two variables by arm."""
-    stats = summary.describe(subjects(spark, sf_dir).filter(IN_ARM), ["arm"], ["age", "measure"], few_groups=True)
+    stats = summary.describe(subjects(spark, sf_dir).filter(IN_ARM), ["arm"], ["age", "measure"])
     return stats.select("arm", "variable", "n", *[steady(c).alias(c) for c in ("mean", "sd", "median")], "min", "max")
 
 
@@ -44,7 +44,8 @@ def describe_by_arm(spark, sf_dir):
         FROM subject s LEFT JOIN nation ON siteid = n_nationkey LEFT JOIN region ON n_regionkey = r_regionkey),
       grid AS (SELECT * FROM (VALUES ('Placebo'), ('Low Dose'), ('High Dose')) a(arm),
         (VALUES ('agegr1', 1, '<65'), ('agegr1', 2, '65-80'), ('agegr1', 3, '>80'), ('region', 1, 'AFRICA'),
-          ('region', 2, 'AMERICA'), ('region', 3, 'ATLANTIS')) l(variable, level_no, level)),
+          ('region', 2, 'AMERICA'), ('region', 3, 'ASIA'), ('region', 4, 'EUROPE'), ('region', 5, 'MIDDLE EAST'),
+          ('region', 6, 'ATLANTIS')) l(variable, level_no, level)),
       c AS (SELECT arm, 'agegr1' AS variable, agegr1 AS level, COUNT(*) AS n FROM s GROUP BY 1, 3
         UNION ALL SELECT arm, 'region', region, COUNT(*) FROM s GROUP BY 1, 3)
       SELECT g.arm, g.variable, g.level_no, g.level, COALESCE(c.n, 0) AS n
@@ -56,7 +57,7 @@ def category_counts(spark, sf_dir):
     region = table(spark, sf_dir, "region").select(F.col("r_regionkey").alias("n_regionkey"), F.col("r_name").alias("region"))
     s = subjects(spark, sf_dir).join(nation, "siteid", "left").join(region, "n_regionkey", "left")
     s = ranges.range_category(s, "age", AGE_RANGES, "agegr1")
-    return summary.category_counts(s, "arm", ARMS, {"agegr1": AGE_RANGES, "region": ["AFRICA", "AMERICA", "ATLANTIS"]})
+    return summary.category_counts(s, "arm", ARMS, {"agegr1": AGE_RANGES, "region": ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST", "ATLANTIS"]})
 
 
 @query(
@@ -126,7 +127,7 @@ def cumulative_dose(spark, sf_dir):
     """Cumulative dose per subject and treatment; null as soon as one dose is unknown."""
     ex = exposure(spark, sf_dir).withColumn("amount", F.col("dose") * (F.datediff("exendt", "exstdt") + 1))
     return ex.groupBy("usubjid", "trt").agg(
-        F.lit(1).cast("long").alias("cnt"), F.round(sum_or_null("amount"), 2).alias("cumdose")
+        n_distinct("trt").alias("cnt"), F.round(sum_or_null("amount"), 2).alias("cumdose")
     )
 
 
@@ -269,7 +270,7 @@ def subject_level(spark, sf_dir):
     Every side table is reduced to one row per subject on the subject key before the
     joins, so each input is shuffled once and all joins share that partitioning.
     """
-    from subjectflow.operators.subject import dose_summary, population_flag_vars
+    from subjectflow.operators.subject import dose_summary, population_flag_vars, treatment_vars
 
     ex = exposure(spark, sf_dir)
     last = picks.pick_row(ex, ["usubjid"], ["exstdt", "seq"], "last").select(
@@ -286,11 +287,10 @@ def subject_level(spark, sf_dir):
     s = ranges.range_category(s, "age", AGE_RANGES, "agegr1")
     for part in (dosed, reference_dates(spark, sf_dir), eff_population(spark, sf_dir)):
         s = s.join(part, "usubjid", "left")
-    s = population_flag_vars(s, "armcd", "trtsdt", "effcnt")
+    s = treatment_vars(population_flag_vars(s, "armcd", "trtsdt", "effcnt"), "arm", ARM_NUMBERS, "trt01p", "trt01a")
     status = if_else(F.col("laststatus") == "F", F.lit("COMPLETED"), F.lit("DISCONTINUED"))
     return s.select(
-        "usubjid", "siteid", F.col("arm").alias("trt01p"), F.col("armn").alias("trt01pn"), F.col("arm").alias("trt01a"),
-        F.col("armn").alias("trt01an"), "age", "agegr1", "exsdt", "exedt", "cumdose", "trtsdt", "effcnt", "saffl",
+        "usubjid", "siteid", "trt01p", F.col("trt01pN").alias("trt01pn"), "trt01a", F.col("trt01aN").alias("trt01an"), "age", "agegr1", "exsdt", "exedt", "cumdose", "trtsdt", "effcnt", "saffl",
         status.alias("eosstt"),
     )
 

@@ -1,8 +1,11 @@
 """Dataset-JSON as a source and a sink.
 
 A classic Dataset-JSON file is one JSON object and can only be read whole by one task.
-The line-delimited layout splits: here it is a folder with the metadata object in
-``metadata`` and one positional array per line in ``rows``.
+The line-delimited layout splits: the metadata object is the first line and each further
+line is one positional array. Written in parallel it is a folder with the first line in
+``metadata`` and the others in ``rows``; its files in this order are one valid file, and
+single files are read as well. Numbers and booleans are JSON literals; decimals, dates and
+text are JSON strings.
 """
 
 from __future__ import annotations
@@ -13,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from subjectflow.operators.spec import TableSpec, data_class, display_format
+from subjectflow.operators.spec import TableSpec, data_class, descriptor_kind, display_format
 
 _COLUMN = (
     "struct<itemOID:string,name:string,label:string,dataType:string,targetDataType:string,length:int,"
@@ -31,18 +34,33 @@ def _spark_type(column, decimals_as_floats: bool) -> str:
         return "double" if decimals_as_floats else "decimal(38,18)"
     return {
         "integer": "bigint", "float": "double", "double": "double", "boolean": "boolean", "date": "date",
-        "datetime": "timestamp_ntz",
+        "datetime": "timestamp_ntz", "time": "time",
     }.get(kind, "string")
 
 
+def _refused(text: Column, column) -> Column:
+    """Fail at run time: the number does not fit the column's type."""
+    return F.raise_error(F.concat(F.lit(f"column {column['name']} can't hold the number "), text))
+
+
 def _typed(cell: Column, column, decimals_as_floats: bool) -> Column:
     kind = _spark_type(column, decimals_as_floats)
+    text = F.trim(cell)
     if kind == "bigint":
-        value = F.trim(cell).try_cast("decimal(38,4)").try_cast("bigint")
+        # zeros behind the point are dropped; any other number would change, so it is refused
+        value = F.regexp_replace(text, r"\\.0*$", "").try_cast("bigint")
+        value = F.when(value.isNull() & text.try_cast("double").isNotNull(), _refused(text, column)).otherwise(value)
     elif kind == "string":
         value = cell
+    elif kind.startswith("decimal"):
+        value, near = text.try_cast(kind), text.try_cast("double")
+        exact = F.abs(value.cast("double") - near) <= F.abs(near) * F.lit(1e-15)
+        value = F.when(near.isNotNull() & ~F.coalesce(exact, F.lit(False)), _refused(text, column)).otherwise(value)
+    elif kind == "time":
+        part = [F.try_element_at(F.split(text, ":"), F.lit(i)).try_cast("double") for i in (1, 2, 3)]
+        value = part[0] * 3600 + part[1] * 60 + F.coalesce(part[2], F.lit(0.0))
     else:
-        value = F.trim(cell).try_cast(kind)
+        value = text.try_cast(kind)
     metadata = {k: column[k] for k in ("label", "displayFormat", "length", "keySequence") if column[k] is not None}
     return value.alias(column["name"], metadata=metadata)
 
@@ -67,6 +85,14 @@ def read_dataset_ndjson(spark: SparkSession, path: str, decimals_as_floats: bool
     return _project(rows, "_r", columns, decimals_as_floats)
 
 
+def read_ndjson_file(spark: SparkSession, path: str, decimals_as_floats: bool = True) -> DataFrame:
+    """Read one line-delimited file (or a folder of its parts): metadata line, then rows."""
+    lines = spark.read.text(path)
+    meta = lines.filter(F.ltrim("value").startswith("{")).select(F.from_json("value", _META).alias("_m")).select("_m.columns")
+    rows = lines.filter(F.ltrim("value").startswith("[")).select(F.from_json("value", "array<string>").alias("_r"))
+    return _project(rows, "_r", meta.first()["columns"], decimals_as_floats)
+
+
 def read_metadata(spark: SparkSession, path: str) -> DataFrame:
     """The metadata object of a line-delimited Dataset-JSON folder."""
     return spark.read.schema(_META).json(f"{path}/metadata")
@@ -76,9 +102,9 @@ def _described(df: DataFrame, name: str, spec: TableSpec | None) -> list[dict]:
     given = {c.name: c for c in spec.columns} if spec else {}
     out = []
     for f in df.schema.fields:
-        kind = data_class(f.dataType)
         c = given.get(f.name)
         fmt = c.format if c else f.metadata.get("displayFormat")
+        kind = descriptor_kind(f.name, c.type if c else None, c.length if c else None, fmt, data_class(f.dataType))
         entry = {
             "itemOID": f"IT.{name.upper()}.{f.name}",
             "name": f.name,
@@ -94,12 +120,16 @@ def _described(df: DataFrame, name: str, spec: TableSpec | None) -> list[dict]:
 
 
 def _cell(f: T.StructField) -> Column:
+    """JSON text of one cell: a literal for integers and booleans, else a string; null stays null."""
     c = F.col(f"`{f.name}`")
+    if isinstance(f.dataType, (T.IntegralType, T.BooleanType)):
+        return F.coalesce(c.cast("string"), F.lit("null"))
     if isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType)):
-        return F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
-    if isinstance(f.dataType, (T.StructType, T.ArrayType, T.MapType)):
-        return F.to_json(c)
-    return c.cast("string")
+        c = F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+    elif isinstance(f.dataType, (T.StructType, T.ArrayType, T.MapType)):
+        c = F.to_json(c)
+    quoted = F.to_json(F.array(c.cast("string")))
+    return F.when(c.isNull(), F.lit("null")).otherwise(F.substring(quoted, 2, F.length(quoted) - 2))
 
 
 def write_dataset_ndjson(
@@ -112,8 +142,7 @@ def write_dataset_ndjson(
     counted while the rows are written when it is not given.
     """
     spark = df.sparkSession
-    # A null cell stays null in the array, so to_json must keep it.
-    row = F.to_json(F.array(*[_cell(f) for f in df.schema.fields]))
+    row = F.concat(F.lit("["), F.concat_ws(",", *[_cell(f) for f in df.schema.fields]), F.lit("]"))
     counted = Observation()
     lines = df.select(row.alias("value")).observe(counted, F.count(F.lit(1)).alias("n"))
     lines.write.mode(mode).text(f"{path}/rows")

@@ -194,7 +194,7 @@ def test_exact_median(spark, values):
     df = spark.createDataFrame([("g", v) for v in values] + [("g", None), ("h", 4.0)], "g string, value double")
     got = dict(tuple(r) for r in summary.exact_median(df, ["g"]).collect())
     assert got == {"g": statistics.median(values), "h": 4.0}
-    assert dict(tuple(r) for r in summary.exact_median(df, ["g"], few_groups=True).collect()) == got
+    assert dict(tuple(r) for r in summary.exact_median(df, ["g"]).collect()) == got
 
 
 def test_pivots(spark, rows):
