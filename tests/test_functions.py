@@ -151,3 +151,26 @@ def test_t_distribution():
 def test_clean_precision(spark):
     data = [(3.5,), (1.25,), (4.100000001,), (12.0,), (0.0,), (None,)]
     assert values(spark, cells.clean_precision("x"), data, "x double") == [3.5, 1.25, 4.1, 12.0, 0.0, None]
+
+
+def test_round_half_up_of_values_without_a_fraction(spark):
+    import math
+
+    from pyspark.sql import functions as F
+
+    from subjectflow.functions.cells import round_half_up
+
+    values = [1e19, -1e19, 9.3e16, float("inf"), float("-inf"), 2.5, -2.5, 0.125]
+    df = spark.createDataFrame([(v,) for v in values], "x double").select("x", round_half_up("x", 2).alias("r"))
+    assert [r.r for r in df.collect()] == [1e19, -1e19, 9.3e16, math.inf, -math.inf, 2.5, -2.5, 0.13]
+    assert spark.range(1).select(round_half_up(F.lit(float("nan")), 1).alias("r")).first().r != 0
+
+
+def test_t_law_at_its_ends():
+    import math
+
+    from subjectflow.functions.stats import t_quantile, t_two_sided
+
+    assert abs(t_quantile(0.99999, 1) - math.tan(math.pi * 0.99999 / 2)) < 1e-2
+    below, above = t_two_sided(2.1, 1e7), t_two_sided(2.1, 1e7 * (1 + 1e-9))
+    assert abs(below - above) < 1e-9 and t_two_sided(math.inf, 5) == 0.0

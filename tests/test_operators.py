@@ -5,7 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from subjectflow.operators import compare, longitudinal, merges, occurrence, picks, ranges, subject, summary, survival
+from subjectflow.operators import compare, joins, longitudinal, merges, occurrence, picks, ranges, subject, summary, survival
 
 D = dt.date
 
@@ -340,3 +340,42 @@ def test_conformance_counts(spark, rows):
     standard = spark.createDataFrame([("ADT", "Date", "date"), ("AGE", "Age", "int")], "name string, label string, type string")
     names = spark.createDataFrame([("d1", "Mine", "Standard")], "dataset string, label string, standard_label string")
     assert rows(compare.conformance(columns, standard, names)) == [("AD0018", "d1", 1), ("AD0041A", "d1", 1), ("AD0320", "d1", 1), ("SD0059", "d1", 1)]
+
+
+# ------------------------------------------------------------- keys of different types
+@pytest.mark.parametrize(
+    ("left", "right"),
+    [("int", "bigint"), ("decimal(10,2)", "decimal(12,4)"), ("date", "timestamp_ntz"), ("string", "string"), ("float", "double")],
+)
+def test_lookup_join_compares_in_the_common_type(spark, left, right):
+    value = {"date": "DATE'2024-01-0{}'", "string": "'k{}'"}.get(left, "{}")
+    rows = " UNION ALL ".join(f"SELECT CAST({value.format(i)} AS {{}}) AS k, {i} AS v" for i in (1, 2, 3))
+    a = spark.sql(rows.replace("{}", left)).withColumnRenamed("v", "a")
+    b = spark.sql(rows.replace("{}", right)).withColumnRenamed("v", "b").filter("b < 3")
+    assert sorted(tuple(r) for r in joins.lookup_join(a, b, ["k"]).select("a", "b").collect()) == [(1, 1), (2, 2), (3, None)]
+    found = merges.population_right_join(b, a.select("k"), ["k"])
+    assert found.count() == 3 and found.filter("b IS NOT NULL").count() == 2
+
+
+def test_null_keys_match_only_if_asked(spark):
+    a, b = spark.createDataFrame([(None, 1), (1, 2)], "k int, a int"), spark.createDataFrame([(None, 7)], "k long, b int")
+    assert [r.b for r in joins.lookup_join(a, b, ["k"]).orderBy("a").collect()] == [None, None]
+    assert [r.b for r in joins.lookup_join(a, b, ["k"], null_safe=True).orderBy("a").collect()] == [7, None]
+
+
+def test_repeated_codes_and_subjects_are_refused(spark):
+    df = spark.createDataFrame([(1,)], "c int")
+    twice = spark.createDataFrame([(1, "a"), (1, "b")], "code int, decode string")
+    with pytest.raises(Exception, match="duplicate key in merge"):
+        merges.map_codelist(df, twice, "c", "d", decode_to_code=False).collect()
+
+
+def test_comparison_with_itself_and_with_repeated_keys(spark):
+    df = spark.createDataFrame([(1, "a"), (None, "b"), (3, None)], "k int, v string")
+    assert compare.findings(df, df, ["k"]).count() == 0
+    twice = df.union(df.limit(1))
+    with pytest.raises(Exception, match="duplicate key in comparison"):
+        compare.findings(twice, twice, ["k"]).collect()
+    other = spark.createDataFrame([(1, "x"), (4, "b")], "k bigint, v string")
+    got = sorted((r.k is None, r.k, r.side, r.variable) for r in compare.findings(df, other, ["k"]).collect())
+    assert got == [(False, 1, "DIFF", "v"), (False, 3, "BASE", None), (False, 4, "COMPARE", None), (True, None, "BASE", None)]
