@@ -32,12 +32,12 @@ import pandas as pd
 import regex
 from pyspark.sql import DataFrame, SparkSession
 
-from subjectflow.llm.common import text_of
+from subjectflow.llm.common import kept_by_worker, text_of
 
 #: Words whose ids a worker remembers (twice: lately used, and before), and states of the
 #: transducer before it starts anew. Both only bound memory; results don't depend on them.
-WORDS_KEPT = 200_000
-STATES_KEPT = 300_000
+WORDS_KEPT = 150_000
+STATES_KEPT = 220_000
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -51,7 +51,7 @@ class Merges:
 
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks, self.token = ranks, {r: t for t, r in ranks.items()}
-        self.stable: dict[tuple[int, int], bool] = {}
+        self.stable: dict[int, bool] = {}
 
     def merged(self, piece: bytes) -> list[bytes]:
         """The plain definition: join the adjacent pair of lowest rank until none is left."""
@@ -71,10 +71,10 @@ class Merges:
 
     def pair(self, left: int, right: int) -> bool:
         """True if the two tokens side by side are an encoding."""
-        key = (left, right)
+        key = left << 32 | right
         known = self.stable.get(key)
         if known is None:
-            if len(self.stable) > 400_000:
+            if len(self.stable) > 100_000:
                 self.stable.clear()
             a, b = self.token[left], self.token[right]
             known = self.stable[key] = a + b not in self.ranks and self.merged(a + b) == [a, b]
@@ -333,15 +333,9 @@ def _stays_open(state: int, data: bytes) -> bool:
     return True
 
 
-_WORKER: dict[tuple, tuple[Encoder, Vocabulary]] = {}
-
-
 def _worker(key: str, ranks: dict[bytes, int], pattern: str) -> tuple[Encoder, Vocabulary]:
     """The encoder of this Python worker: made once, used by all its tasks."""
-    if (key, pattern) not in _WORKER:
-        _WORKER.clear()
-        _WORKER[key, pattern] = (Encoder(ranks, pattern), Vocabulary(ranks))
-    return _WORKER[key, pattern]
+    return kept_by_worker(("bpe", key, pattern), lambda: (Encoder(ranks, pattern), Vocabulary(ranks)))
 
 
 def broadcast_ranks(spark: SparkSession, path: str):

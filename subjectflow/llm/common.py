@@ -48,6 +48,24 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/llm/{name}-{uuid.uuid4().hex}"
 
 
+_KEPT: dict[tuple, object] = {}
+
+
+def kept_by_worker(key: tuple, make: Callable[[], object] | None = None):
+    """What one operator keeps in a Python worker from task to task.
+
+    Workers outlive their tasks and serve all operators in turn, so a worker keeps the tables
+    of the operator that it served last and no other: a call with another key drops them
+    (without ``make``: drops whatever there is).
+    """
+    if key not in _KEPT:
+        _KEPT.clear()
+        if make is None:
+            return None
+        _KEPT[key] = make()
+    return _KEPT[key]
+
+
 def labelled_sample(spark: SparkSession, labels: DataFrame, label: str, bound: int) -> DataFrame:
     """``doc_id``, ``label`` of the rows that may be learned from, about ``bound`` at most.
 

@@ -31,7 +31,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from subjectflow.llm.common import fresh, stored, text_of
+from subjectflow.llm.common import fresh, kept_by_worker, stored, text_of
 from subjectflow.operators.joins import lookup_join
 
 RUN = 5
@@ -152,6 +152,7 @@ def signed(docs: DataFrame) -> DataFrame:
     """``doc_id``, ``node``, and for texts with words the 25 band keys and the order of each within its bucket."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        kept_by_worker(("neardup",))
         for batch in batches:
             ids, texts = batch["doc_id"].tolist(), batch["_text"].tolist()
             for part in _portions(texts):

@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from subjectflow.llm.common import labelled_sample, small_join, text_of
+from subjectflow.llm.common import kept_by_worker, labelled_sample, small_join, text_of
 
 #: Labelled documents used for fitting, about, at most.
 SAMPLE = 20_000
@@ -140,6 +140,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", bound: int
     sample = labelled_sample(docs.sparkSession, labels, label, bound)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        kept_by_worker(("quality",))
         for batch in batches:
             yield pd.DataFrame({"doc_id": batch["doc_id"], "label": batch["label"], "x": list(_matrix(batch["_text"]))})
 
@@ -156,6 +157,7 @@ def score_of(text: Column, model: Trees) -> Column:
 
     @F.pandas_udf("double")
     def score(texts: pd.Series) -> pd.Series:
+        kept_by_worker(("quality",))
         return pd.Series(np.concatenate([model.score(_matrix(texts[i : i + 512])) for i in range(0, len(texts), 512)] or [np.zeros(0)]))
 
     return score(text)

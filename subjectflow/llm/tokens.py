@@ -30,7 +30,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from subjectflow.llm.common import text_of
+from subjectflow.llm.common import kept_by_worker, text_of
 from subjectflow.llm.neardup import mixed
 
 #: Ids of a shard and keys of an index bucket, about; words whose ids a worker remembers (twice).
@@ -126,14 +126,9 @@ class TextEncoder:
         return odd
 
 
-_WORKER: dict[tuple, TextEncoder] = {}
-
-
 def _encoder(key: tuple, definition: str, end_id: int) -> TextEncoder:
-    if key not in _WORKER:
-        _WORKER.clear()
-        _WORKER[key] = TextEncoder(definition, end_id)
-    return _WORKER[key]
+    """The encoder of this Python worker: made once, used by all its tasks."""
+    return kept_by_worker(("tokens", *key), lambda: TextEncoder(definition, end_id))
 
 
 def write_store(docs: DataFrame, path: str, tokenizer_path: str, end_id: int = 2, bucket_keys: int = BUCKET_KEYS) -> None:

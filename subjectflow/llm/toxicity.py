@@ -31,7 +31,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from subjectflow.llm.common import labelled_sample, small_join, stored, text_of
+from subjectflow.llm.common import kept_by_worker, labelled_sample, small_join, stored, text_of
 from subjectflow.llm.neardup import mixed, runs
 
 #: Labelled documents used for fitting, about, at most; lexicon entries; nats of evidence asked of an
@@ -269,6 +269,7 @@ def _mined(sample: DataFrame) -> list[str]:
     """Entries whose toxic share is above the base rate beyond chance, strongest first."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        kept_by_worker(("toxicity",))
         seen: tuple[Counter, Counter] = (Counter(), Counter())
         for batch in batches:
             for label, text in zip(batch["label"], batch["text"], strict=True):
@@ -335,6 +336,7 @@ def score_of(text: Column, model: Classifier) -> Column:
 
     @F.pandas_udf("double")
     def score(texts: pd.Series) -> pd.Series:
+        kept_by_worker(("toxicity",))
         return pd.Series(model.score(texts))
 
     return score(text)
