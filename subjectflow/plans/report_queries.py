@@ -175,6 +175,27 @@ def nest_rowlabels(spark, sf_dir):
 
 
 # ------------------------------------------------------------------- models
+def _t_p(t: str, df: str) -> str:
+    """SQL for the two-sided p-value of a t statistic with whole df: a finite sum of cosine powers."""
+    angle = f"atan(abs({t}) / sqrt({df}))"
+    even = f"coalesce(list_sum(list_transform(range(0, {df} // 2), lambda j: exp(lgamma(2 * j + 1) - 2 * lgamma(j + 1) - j * ln(4) + 2 * j * ln(cos({angle}))))), 0)"
+    odd = f"coalesce(list_sum(list_transform(range(0, ({df} - 1) // 2), lambda j: exp(j * ln(4) + 2 * lgamma(j + 1) - lgamma(2 * j + 2) + (2 * j + 1) * ln(cos({angle}))))), 0)"
+    return f"(1 - CASE WHEN {df} % 2 = 0 THEN sin({angle}) * {even} ELSE 2 / pi() * ({angle} + sin({angle}) * {odd}) END)"
+
+
+def _critical(rows: str) -> str:
+    """SQL views: ``q`` has the 95 % two-sided t quantile of each df in ``rows``, by bisection."""
+    mid = "(lo + hi) / 2"
+    outside = f"{_t_p(mid, 'df')} > 0.05"
+    return f""", bis AS (SELECT DISTINCT df, CAST(0 AS DOUBLE) AS lo, CAST(64 AS DOUBLE) AS hi, 0 AS k FROM {rows}
+        UNION ALL SELECT df, CASE WHEN {outside} THEN {mid} ELSE lo END, CASE WHEN {outside} THEN hi ELSE {mid} END, k + 1 FROM bis WHERE k < 60),
+      q AS (SELECT df, lo AS q FROM bis WHERE k = 60)"""
+
+
+def _recursive(sql: str) -> str:
+    return sql.replace("WITH ", "WITH RECURSIVE ", 1)
+
+
 _TWO_ARM = """, d AS (SELECT arm, base AS x, chg AS y FROM a WHERE paramcd = 'purchase' AND avisitn = 2
           AND arm IN ('Placebo', 'High Dose') AND base IS NOT NULL AND chg IS NOT NULL),
       c AS (SELECT arm, COUNT(*) AS n, AVG(x) AS mx, AVG(y) AS my, VAR_POP(x) * COUNT(*) AS sxx,
@@ -184,7 +205,8 @@ _TWO_ARM = """, d AS (SELECT arm, base AS x, chg AS y FROM a WHERE paramcd = 'pu
       m AS (SELECT h.n AS n1, p.n AS n2, b, CAST(t.n - 3 AS BIGINT) AS df, sse, t.n AS n, t.sxx AS sxx, xbar,
           h.mx AS x1, p.mx AS x2, h.my AS y1, p.my AS y2, sse / (t.n - 3) AS s2
         FROM t, (SELECT * FROM c WHERE arm = 'High Dose') h, (SELECT * FROM c WHERE arm = 'Placebo') p)
-      SELECT n1, n2, round(b + 3e-10, 6) AS slope, df, round(y1 - b * (x1 - xbar) + 3e-10, 6) AS lsmean1,
+"""
+_TWO_ARM_ROWS = """      SELECT n1, n2, round(b + 3e-10, 6) AS slope, df, round(y1 - b * (x1 - xbar) + 3e-10, 6) AS lsmean1,
         round(sqrt(s2 * (1.0 / n1 + (x1 - xbar) * (x1 - xbar) / sxx)) + 3e-10, 6) AS se1, round(y2 - b * (x2 - xbar) + 3e-10, 6) AS lsmean2,
         round(sqrt(s2 * (1.0 / n2 + (x2 - xbar) * (x2 - xbar) / sxx)) + 3e-10, 6) AS se2, round(y1 - y2 - b * (x1 - x2) + 3e-10, 6) AS diff,
         round(sqrt(s2 * (1.0 / n1 + 1.0 / n2 + (x1 - x2) * (x1 - x2) / sxx)) + 3e-10, 6) AS diff_se, round(sqrt(sse / n) + 3e-10, 6) AS rmse
@@ -196,7 +218,7 @@ def two_arm_fit(spark, sf_dir):
     return models.ancova_two_arm(rows, "chg", "base", "arm", ["High Dose", "Placebo"])
 
 
-@query("ancova_two_arm", with_views("subject based", _ARM_ROWS + _TWO_ARM))
+@query("ancova_two_arm", with_views("subject based", _ARM_ROWS + _TWO_ARM + _TWO_ARM_ROWS))
 def ancova_two_arm(spark, sf_dir):
     """Fit of change on baseline and arm for two arms: LS means, difference, errors."""
     fit = two_arm_fit(spark, sf_dir)
@@ -205,14 +227,27 @@ def ancova_two_arm(spark, sf_dir):
     ])
 
 
-@query("ancova_two_arm_report")
+@query(
+    "ancova_two_arm_report",
+    _recursive(with_views("subject based", _ARM_ROWS + _TWO_ARM + _critical("m") + """, l AS (
+        SELECT 'High Dose' AS arm, n1 AS n, y1 - b * (x1 - xbar) AS e, sqrt(s2 * (1.0 / n1 + (x1 - xbar) * (x1 - xbar) / sxx)) AS se, df FROM m
+        UNION ALL SELECT 'Placebo', n2, y2 - b * (x2 - xbar), sqrt(s2 * (1.0 / n2 + (x2 - xbar) * (x2 - xbar) / sxx)), df FROM m)
+      SELECT arm, n, printf('%5.2f (%5.2f,%5.2f)', e, e - q * se, e + q * se) AS ls_mean_ci FROM l JOIN q USING (df)""")),
+)
 def ancova_two_arm_report(spark, sf_dir):
-    """LS mean rows with t limits, as report text (t quantiles have no SQL form)."""
+    """LS mean rows with t limits, as report text."""
     rows = models.ancova_two_arm_report(two_arm_fit(spark, sf_dir), ["High Dose", "Placebo"])
     return rows.select("arm", "n", formats.fmt_ci("lsmean", "lower", "upper").alias("ls_mean_ci"))
 
 
-@query("ancova_two_arm_pairwise")
+@query(
+    "ancova_two_arm_pairwise",
+    with_views("subject based", _ARM_ROWS + _TWO_ARM + f""", l AS (
+        SELECT y1 - y2 - b * (x1 - x2) AS e, sqrt(s2 * (1.0 / n1 + 1.0 / n2 + (x1 - x2) * (x1 - x2) / sxx)) AS se, df, sqrt(sse / n) AS rmse FROM m),
+      v AS (SELECT *, {_t_p("(e / se)", "df")} AS p FROM l)
+      SELECT printf('%5.2f (%5.2f,%5.2f)', e, e - 1.96 * se, e + 1.96 * se) AS difference_ci,
+        CASE WHEN p < 0.001 THEN '<0.001' ELSE printf('%7.3f', p) END AS p, printf('%.2f', rmse) AS rmse FROM v"""),
+)
 def ancova_two_arm_pairwise(spark, sf_dir):
     """Pairwise difference with 1.96 limits and t-test p-value, as report text."""
     rows = models.pairwise_report(two_arm_fit(spark, sf_dir))
@@ -235,30 +270,53 @@ _FACTOR = """, d AS (SELECT arm, armn, siteid, base AS x, chg AS y FROM a WHERE
       inv AS (SELECT *, (ll*xx - lx*lx)/dd AS ihh, (hx*lx - hl*xx)/dd AS ihl, (hl*lx - hx*ll)/dd AS ihx, (hh*xx - hx*hx)/dd AS ill,
           (hx*hl - hh*lx)/dd AS ilx, (hh*ll - hl*hl)/dd AS ixx FROM det),
       bet AS (SELECT *, ihh*hy + ihl*ly + ihx*xy AS bh, ihl*hy + ill*ly + ilx*xy AS bl, ihx*hy + ilx*ly + ixx*xy AS bx FROM inv),
-      fit AS (SELECT *, (yy - bh*hy - bl*ly - bx*xy) / df AS s2 FROM bet)
-      SELECT 'dose' AS test, round(bz + 3e-10, 6) AS estimate, round(sqrt((yy - bz*zy - bx*xy) / df * vz) + 3e-10, 6) AS se, CAST(df AS BIGINT) AS df FROM m1
-      UNION ALL SELECT 'Hi - Lo', round(bh - bl + 3e-10, 6), round(sqrt(s2 * (ihh - 2*ihl + ill)) + 3e-10, 6), df FROM fit
-      UNION ALL SELECT 'Hi - Pbo', round(bh + 3e-10, 6), round(sqrt(s2 * ihh) + 3e-10, 6), df FROM fit
-      UNION ALL SELECT 'Lo - Pbo', round(bl + 3e-10, 6), round(sqrt(s2 * ill) + 3e-10, 6), df FROM fit"""
-
-
-def factor_fit(spark, sf_dir):
+      fit AS (SELECT *, (yy - bh*hy - bl*ly - bx*xy) / df AS s2 FROM bet),
+      r AS (SELECT 'dose' AS test, bz AS e, sqrt((yy - bz*zy - bx*xy) / df * vz) AS se, CAST(df AS BIGINT) AS df FROM m1
+        UNION ALL SELECT 'Hi - Lo', bh - bl, sqrt(s2 * (ihh - 2*ihl + ill)), df FROM fit
+        UNION ALL SELECT 'Hi - Pbo', bh, sqrt(s2 * ihh), df FROM fit UNION ALL SELECT 'Lo - Pbo', bl, sqrt(s2 * ill), df FROM fit)"""
+_FACTOR_ROWS = _critical("r") + f"""
+      SELECT test, round(e + 3e-10, 6) AS estimate, round(se + 3e-10, 6) AS se, df, round({_t_p("(e / se)", "df")} + 3e-10, 6) AS p_value,
+        round(e - q * se + 3e-10, 6) AS lower, round(e + q * se + 3e-10, 6) AS upper FROM r JOIN q USING (df)"""
+_FACTOR_WITHOUT = """, d AS (SELECT arm, armn, siteid, chg AS y FROM a WHERE paramcd = 'error' AND avisitn = 3 AND chg IS NOT NULL),
+      ctr AS (SELECT y - AVG(y) OVER w AS y, armn - AVG(armn) OVER w AS z, (arm = 'High Dose')::INT - AVG((arm = 'High Dose')::INT) OVER w AS h,
+          (arm = 'Low Dose')::INT - AVG((arm = 'Low Dose')::INT) OVER w AS l FROM d WINDOW w AS (PARTITION BY siteid)),
+      s AS (SELECT SUM(y*y) yy, SUM(z*z) zz, SUM(z*y) zy, SUM(h*h) hh, SUM(h*l) hl, SUM(h*y) hy, SUM(l*l) ll, SUM(l*y) ly,
+          COUNT(*) - (SELECT COUNT(DISTINCT siteid) FROM d) AS free FROM ctr),
+      inv AS (SELECT *, ll / (hh*ll - hl*hl) AS ihh, -hl / (hh*ll - hl*hl) AS ihl, hh / (hh*ll - hl*hl) AS ill FROM s),
+      fit AS (SELECT *, ihh*hy + ihl*ly AS bh, ihl*hy + ill*ly AS bl, free - 2 AS df FROM inv),
+      r AS (SELECT 'dose' AS test, zy / zz AS e, sqrt((yy - zy / zz * zy) / (free - 1) / zz) AS se, CAST(free - 1 AS BIGINT) AS df FROM s
+        UNION ALL SELECT 'Hi - Lo', bh - bl, sqrt((yy - bh*hy - bl*ly) / df * (ihh - 2*ihl + ill)), df FROM fit
+        UNION ALL SELECT 'Hi - Pbo', bh, sqrt((yy - bh*hy - bl*ly) / df * ihh), df FROM fit
+        UNION ALL SELECT 'Lo - Pbo', bl, sqrt((yy - bh*hy - bl*ly) / df * ill), df FROM fit)"""
+
+
+def factor_fit(spark, sf_dir, covariate="base"):
     rows = arm_rows(spark, sf_dir).filter("paramcd = 'error' AND AVISITN = 3")
     arms = ["High Dose", "Low Dose", "Placebo"]
     return models.ancova_factor(
-        rows, "chg", "arm", arms, [ARM_NUMBERS[a] for a in arms], ["Hi", "Lo", "Pbo"], "siteid", "base"
+        rows, "chg", "arm", arms, [ARM_NUMBERS[a] for a in arms], ["Hi", "Lo", "Pbo"], "siteid", covariate
     )
 
 
-@query("ancova_factor", with_views("subject based", _ARM_ROWS + _FACTOR))
+def _factor_rows(fit):
+    return fit.select("test", "df", *[steady(c).alias(c) for c in ("estimate", "se", "p_value", "lower", "upper")])
+
+
+@query("ancova_factor", _recursive(with_views("subject based", _ARM_ROWS + _FACTOR + _FACTOR_ROWS)))
 def ancova_factor(spark, sf_dir):
     """Dose slope and pairwise contrasts with site absorbed and baseline as covariate."""
-    return factor_fit(spark, sf_dir).select("test", steady("estimate").alias("estimate"), steady("se").alias("se"), "df")
+    return _factor_rows(factor_fit(spark, sf_dir))
+
+
+@query("ancova_factor_nocov", _recursive(with_views("subject based", _ARM_ROWS + _FACTOR_WITHOUT + _FACTOR_ROWS)))
+def ancova_factor_nocov(spark, sf_dir):
+    """The same contrasts without a covariate."""
+    return _factor_rows(factor_fit(spark, sf_dir, None))
 
 
 @query("ancova_factor_report")
 def ancova_factor_report(spark, sf_dir):
-    """Model rows as label x arm report text (p-values and t limits have no SQL form)."""
+    """Model rows as label x arm report text (its numbers are those of ancova_factor)."""
     from subjectflow.plans.reports import efficacy_rows
 
     names = {"Lo - Pbo": ("Low Dose", 1), "Hi - Pbo": ("High Dose", 1), "Hi - Lo": ("High Dose", 5)}
