@@ -34,10 +34,11 @@ from pyspark.sql import functions as F
 from subjectflow.llm.common import kept_by_worker, labelled_sample, small_join, stored, text_of
 from subjectflow.llm.neardup import mixed, runs
 
-#: Labelled documents used for fitting, about, at most; lexicon entries; nats of evidence asked of an
-#: entry beyond the logarithm of the number of candidates (at 0, one entry by chance at most).
+#: Labelled documents used for fitting, about, at most; lexicon entries; the toxic share that the
+#: documents of an entry must have; nats of evidence asked of an entry beyond the logarithm of the number of candidates (at 0, one entry by chance at most).
 SAMPLE = 8_000
 ENTRIES = 2_000
+PRECISION = 0.9
 EVIDENCE = 0.0
 THRESHOLD = 0.5
 
@@ -262,7 +263,9 @@ def _sample(docs: DataFrame, labels: DataFrame, label: str, bound: int) -> DataF
             yield batch
 
     marked = rows.mapInPandas(keyed, "label int, text string, a long, b long")
-    return stored(marked.dropDuplicates(["a"]).dropDuplicates(["b"]).select("label", "text"), "toxicity-sample")
+    # of copies the smallest row, so that reruns agree
+    once = marked.groupBy("a").agg(F.min(F.struct("b", "label", "text")).alias("r")).select("r.*")
+    return stored(once.groupBy("b").agg(F.min(F.struct("label", "text")).alias("r")).select("r.*"), "toxicity-sample")
 
 
 def _mined(sample: DataFrame) -> list[str]:
@@ -291,7 +294,7 @@ def _mined(sample: DataFrame) -> list[str]:
     counted = stored(counted.filter(n >= 3), "toxicity-entries")
     needed = EVIDENCE + float(np.log(max(1, counted.count())))
     rows = (
-        counted.filter((F.col("pos") >= 3) & (p > F.greatest(F.lit(0.6), F.lit(1.5 * share)))).withColumn("info", info)
+        counted.filter((F.col("pos") >= 3) & (p > F.greatest(F.lit(PRECISION), F.lit(1.5 * share)))).withColumn("info", info)
         .filter(F.col("info") > needed).orderBy(F.desc("info"), "entry").limit(ENTRIES).select("entry").collect()
     )
     return [r["entry"] for r in rows]
