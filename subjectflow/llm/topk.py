@@ -10,7 +10,8 @@ block gives each query a k-th score to start with, so that later blocks stop ear
 Queries and candidates meet block by block, all pairs of blocks once. Vectors of different
 lengths have no inner product and do not meet. Rows without an id, null vectors and vectors
 that hold a null or a value that is not finite take no part; rows that repeat an id count
-once, by their smallest vector. An empty table has an empty result.
+once, by their smallest vector. An empty table has an empty result. Components so large that
+a score could exceed 64 bits are an error.
 """
 
 from __future__ import annotations
@@ -61,7 +62,9 @@ def best(q: np.ndarray, v: np.ndarray, q_ids: np.ndarray, v_ids: np.ndarray, p:
     """
     out: list[tuple] = []
     largest = max(1, int(np.abs(q).max(initial=0)), int(np.abs(v).max(initial=0)))
-    exact = float if q.shape[1] * largest**2 < 1 << 52 else np.int64 if q.shape[1] * largest**2 < 1 << 62 else object
+    if q.shape[1] * largest**2 >= 1 << 63:
+        raise OverflowError("inner products beyond 64 bits")
+    exact = float if q.shape[1] * largest**2 < 1 << 52 else np.int64
     to_q, to_v = (_distances(x.astype(float), p) if len(p) else np.zeros((len(x), 0)) for x in (q, v))
     # both ends of a bound may be off by rounding: give way by more than that
     slack = 1e-5 * (1 + max(to_q.max(initial=0), to_v.max(initial=0)))

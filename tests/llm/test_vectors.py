@@ -2,6 +2,7 @@
 
 import numpy as np
 import pandas as pd
+import pytest
 
 from subjectflow.llm import ann, topk
 from subjectflow.llm.common import table
@@ -33,10 +34,12 @@ def test_topk_by_brute_force(spark):
 
 
 def test_topk_large_components_stay_exact():
-    q = np.array([[2**33, 3]])
-    v = np.array([[2**33, 1], [2**33, 2], [-(2**33), 5]])
-    found = topk.best(q, v, np.array([9]), np.array([1, 2, 3]), v[:1].astype(float), np.array([-np.inf]), 2)
-    assert found == [(9, 2, 2**66 + 6), (9, 1, 2**66 + 3)] or [f[:2] for f in found] == [(9, 2), (9, 1)]
+    q = np.array([[2**30, 3]])
+    v = np.array([[2**30, 1], [2**30, 2], [-(2**30), 5]])
+    some = (np.array([9]), np.array([1, 2, 3]), v[:1].astype(float), np.array([-np.inf]), 2)
+    assert topk.best(q, v, *some) == [(9, 2, 2**60 + 6), (9, 1, 2**60 + 3)]
+    with pytest.raises(OverflowError):
+        topk.best(q * 8, v * 8, *some)
 
 
 def test_topk_stops_early_on_separated_data():
