@@ -32,7 +32,7 @@ import pandas as pd
 import regex
 from pyspark.sql import DataFrame, SparkSession
 
-from subjectflow.llm.common import kept_by_worker, text_of
+from subjectflow.llm.common import kept_by_worker, text_of, whole_texts
 
 #: Words whose ids a worker remembers (twice: lately used, and before), and states of the
 #: transducer before it starts anew. Both only bound memory; results don't depend on them.
@@ -359,7 +359,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text", k
 
     fields = docs.select(*keep).schema
     schema = fields.add("ids", "binary").add("n_tokens", "long")
-    return docs.select(*keep, text_of(text).alias("_text")).mapInPandas(run, schema)
+    return whole_texts(docs, *keep, text_of(text).alias("_text")).mapInPandas(run, schema)
 
 
 def decode(encoded: DataFrame, ranks_path: str, pattern: str, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
@@ -373,7 +373,7 @@ def decode(encoded: DataFrame, ranks_path: str, pattern: str, keep: tuple[str, .
             yield batch
 
     schema = encoded.select(*keep).schema.add("decoded", "string")
-    return encoded.select(*keep, "ids").mapInPandas(run, schema)
+    return whole_texts(encoded, *keep, "ids").mapInPandas(run, schema)
 
 
 def decoded(vocabulary: Vocabulary, packed: bytes | None, portion: int = 65_536) -> str:
@@ -402,4 +402,4 @@ def round_trip(docs: DataFrame, ranks_path: str, pattern: str, keep: tuple[str,
     schema = docs.select(*keep).schema.add("n_tokens", "long").add("ids_sha256", "string").add("decoded_sha256", "string")
     if ids:
         schema = schema.add("ids", "binary")
-    return docs.select(*keep, text_of().alias("_text")).mapInPandas(run, schema)
+    return whole_texts(docs, *keep, text_of().alias("_text")).mapInPandas(run, schema)

@@ -48,6 +48,23 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/llm/{name}-{uuid.uuid4().hex}"
 
 
+#: Rows that go to a Python worker at once.
+BATCH = 500
+
+
+def whole_texts(docs: DataFrame, *columns: Column | str) -> DataFrame:
+    """``docs.select(*columns)`` for a Python function over whole texts.
+
+    Texts may be long and a worker holds a batch in several forms, so batches are made
+    smaller than Spark's default of 10,000 rows (a setting of the session).
+    """
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    conf = docs.sparkSession.conf
+    if not 0 < int(conf.get(key)) <= BATCH:
+        conf.set(key, str(BATCH))
+    return docs.select(*columns)
+
+
 _KEPT: dict[tuple, object] = {}
 
 

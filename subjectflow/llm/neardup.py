@@ -31,7 +31,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from subjectflow.llm.common import fresh, kept_by_worker, stored, text_of
+from subjectflow.llm.common import fresh, kept_by_worker, stored, text_of, whole_texts
 from subjectflow.operators.joins import lookup_join
 
 RUN = 5
@@ -171,7 +171,7 @@ def signed(docs: DataFrame) -> DataFrame:
                     "orders": [o if s else None for o, s in zip(order.astype(np.int64), some, strict=True)],
                 })
 
-    source = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)).alias("doc_id"), text_of().alias("_text"))
+    source = whole_texts(docs, F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)).alias("doc_id"), text_of().alias("_text"))
     return source.mapInPandas(run, "doc_id long, node binary, keys array<long>, orders array<long>")
 
 

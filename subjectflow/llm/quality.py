@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from subjectflow.llm.common import kept_by_worker, labelled_sample, small_join, text_of
+from subjectflow.llm.common import kept_by_worker, labelled_sample, small_join, text_of, whole_texts
 
 #: Labelled documents used for fitting, about, at most.
 SAMPLE = 20_000
@@ -145,7 +145,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", bound: int
             yield pd.DataFrame({"doc_id": batch["doc_id"], "label": batch["label"], "x": list(_matrix(batch["_text"]))})
 
     rows = (
-        small_join(docs.select("doc_id", text_of().alias("_text")), sample, ["doc_id"], 2 * bound)
+        small_join(whole_texts(docs, "doc_id", text_of().alias("_text")), sample, ["doc_id"], 2 * bound)
         .mapInPandas(run, "doc_id long, label int, x array<double>").toPandas()
     )
     rows = rows.iloc[sorted(range(len(rows)), key=lambda i: (rows["doc_id"][i], list(rows["x"][i])))]

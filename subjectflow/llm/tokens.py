@@ -30,7 +30,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from subjectflow.llm.common import kept_by_worker, text_of
+from subjectflow.llm.common import kept_by_worker, text_of, whole_texts
 from subjectflow.llm.neardup import mixed
 
 #: Ids of a shard and keys of an index bucket, about; words whose ids a worker remembers (twice).
@@ -167,7 +167,7 @@ def write_store(docs: DataFrame, path: str, tokenizer_path: str, end_id: int = 2
             yield shard()
 
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc_id"), text_of().alias("_text"))
+    rows = whole_texts(docs, F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc_id"), text_of().alias("_text"))
     # the hash only spreads rows that repeat an id
     ordered = rows.repartitionByRange(parts, "doc_id", F.xxhash64("_text")).sortWithinPartitions("doc_id", "_text")
     ordered.mapInPandas(run, "part int, seq int, n_ids long, width int, doc_ids binary, lengths binary, payload binary").write.mode("overwrite").parquet(f"{path}/shards")

@@ -31,7 +31,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from subjectflow.llm.common import kept_by_worker, labelled_sample, small_join, stored, text_of
+from subjectflow.llm.common import kept_by_worker, labelled_sample, small_join, stored, text_of, whole_texts
 from subjectflow.llm.neardup import mixed, runs
 
 #: Labelled documents used for fitting, about, at most; lexicon entries; the toxic share that the
@@ -40,6 +40,8 @@ SAMPLE = 8_000
 ENTRIES = 2_000
 PRECISION = 0.9
 EVIDENCE = 0.0
+#: Candidates that a task counts before it hands them on.
+COUNTED = 200_000
 THRESHOLD = 0.5
 
 # Insults that open the general lexicon, by language.
@@ -253,7 +255,7 @@ def _sample(docs: DataFrame, labels: DataFrame, label: str, bound: int) -> DataF
     copies; a pair at a similarity of 0.8 escapes both with a chance of 0.04.
     """
     sample = labelled_sample(docs.sparkSession, labels, label, bound)
-    rows = small_join(docs.select("doc_id", text_of().alias("text")), sample, ["doc_id"], 2 * bound).select("label", "text")
+    rows = small_join(whole_texts(docs, "doc_id", text_of().alias("text")), sample, ["doc_id"], 2 * bound).select("label", "text")
 
     def keyed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -274,15 +276,20 @@ def _mined(sample: DataFrame) -> list[str]:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         kept_by_worker(("toxicity",))
         seen: tuple[Counter, Counter] = (Counter(), Counter())
+
+        def counted() -> pd.DataFrame:
+            keys = [*seen[0].keys() | seen[1].keys()]
+            out = pd.DataFrame({"entry": keys, "pos": [seen[1][k] for k in keys], "neg": [seen[0][k] for k in keys]})
+            seen[0].clear()
+            seen[1].clear()
+            return out
+
         for batch in batches:
             for label, text in zip(batch["label"], batch["text"], strict=True):
                 seen[int(label > 0)].update(candidates(text))
-        keys = [*seen[1]]  # what no toxic text has can't become an entry
-        yield pd.DataFrame({"entry": keys, "pos": [seen[1][k] for k in keys], "neg": [seen[0][k] for k in keys]})
-        rest = [k for k in seen[0] if k not in seen[1]]
-        for i in range(0, len(rest), 50_000):
-            part = rest[i : i + 50_000]
-            yield pd.DataFrame({"entry": part, "pos": 0, "neg": [seen[0][k] for k in part]})
+                if len(seen[0]) + len(seen[1]) > COUNTED:
+                    yield counted()
+        yield counted()
 
     share = _share(sample)
     if not 0 < share < 1:
