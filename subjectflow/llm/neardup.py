@@ -10,11 +10,17 @@
    5e-5. All rows of a band are range-partitioned and sorted by band key *and the registers
    after it*, so that in a large bucket the most similar texts are neighbours and the bucket
    may lie across tasks. Each text is a candidate pair with the first of its bucket and with
-   its neighbours before it: candidates grow with the rows, never with the square of a
-   bucket, and no bucket is cut short. Where a bucket crosses tasks, its heads are paired.
+   its neighbours before it. Where a bucket crosses tasks, its heads are paired.
 4. **Verification** on the whole texts' runs: exact probability Jaccard of 0.8 or more.
 5. **Classes** are the connected components of the verified links: smallest labels travel
    along links and jump to their label's label, every round in the shared folder.
+6. **The rest of the buckets.** A bucket whose texts are of one component by now can add
+   nothing. In every other bucket all pairs of texts of different components are compared,
+   block against block (blocks by the hash of the node, bounded in rows and runs; the texts
+   of the bucket's largest component are never compared with each other). A bound that no
+   similar pair is below (the cosine of the roots of the shares) goes before the exact
+   similarity. Only links that join two components leave a task; with them the classes are
+   made again. So a class is whole whenever its links meet in any bucket.
 
 Texts of one to four words are one run of all of them. A null or empty text (no words) is
 like no other: a class of its own, per id. A null id takes part by its text; its class has
@@ -40,6 +46,10 @@ BANDS, ROWS = 25, 5
 REGISTERS = BANDS * ROWS
 #: Neighbours before it, in the order of a bucket, that a text is compared with.
 NEIGHBOURS = 2
+#: Texts and runs of a block, about, when the rest of a bucket is compared.
+BLOCK_TEXTS, BLOCK_RUNS = 1_024, 2_000_000
+#: Columns of a dense matrix of shared runs at a time.
+_COLUMNS = 4_096
 _NO_ID = (1 << 63) - 1
 
 _U = np.uint64
@@ -149,7 +159,7 @@ def node_of(doc_id, text: str) -> bytes:
 
 
 def signed(docs: DataFrame) -> DataFrame:
-    """``doc_id``, ``node``, and for texts with words the 25 band keys and the order of each within its bucket."""
+    """``doc_id``, ``node``, and for texts with words the 25 band keys and the order of each within its bucket; ``size``: its distinct runs."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         kept_by_worker(("neardup",))
@@ -169,10 +179,11 @@ def signed(docs: DataFrame) -> DataFrame:
                     "doc_id": [ids[i] for i in part], "node": [node_of(ids[i], texts[i]) for i in part],
                     "keys": [k if s else None for k, s in zip(keys.astype(np.int64), some, strict=True)],
                     "orders": [o if s else None for o, s in zip(order.astype(np.int64), some, strict=True)],
+                    "size": [len(u) for u, _ in items],
                 })
 
     source = whole_texts(docs, F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)).alias("doc_id"), text_of().alias("_text"))
-    return source.mapInPandas(run, "doc_id long, node binary, keys array<long>, orders array<long>")
+    return source.mapInPandas(run, "doc_id long, node binary, keys array<long>, orders array<long>, size long")
 
 
 def _portions(texts: list[str], chars: int = 1_000_000) -> Iterator[range]:
@@ -187,42 +198,48 @@ def _portions(texts: list[str], chars: int = 1_000_000) -> Iterator[range]:
         yield range(start, len(texts))
 
 
-def candidates(nodes: DataFrame) -> DataFrame:
-    """Distinct pairs of nodes (``a`` < ``b``) that meet in a bucket, as the module's text says."""
+def candidates(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Distinct pairs of nodes (``a`` < ``b``) of the linear pass, and the buckets (``band``, ``key``) that have other pairs."""
     rows = nodes.filter(F.col("keys").isNotNull()).select("node", F.posexplode(F.arrays_zip("keys", "orders")).alias("band", "_p"))
     rows = rows.select(F.col("band").cast("int").alias("band"), F.col("_p.keys").alias("key"), F.col("_p.orders").alias("place"), "node")
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = rows.repartitionByRange(parts, "band", "key", "place", "node").sortWithinPartitions("band", "key", "place", "node")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        last: list = []  # the latest rows of the open bucket: (band, key, node)
+        last: list = []  # the latest nodes of the open bucket
+        size = 0
         head = None
         heads: list[tuple] = []
         for batch in batches:
             band, key, node = batch["band"].tolist(), batch["key"].tolist(), batch["node"].tolist()
-            left, right = [], []
+            left, right, large = [], [], []
             for b, k, v in zip(band, key, node, strict=True):
                 if head is None or head[0] != b or head[1] != k:
                     if head is None:
                         heads.append((b, k, v))
-                    head, last = (b, k, v), [v]
+                    head, last, size = (b, k, v), [v], 1
                     continue
+                size += 1
+                if size == NEIGHBOURS + 3:  # up to here every pair of the bucket is made
+                    large.append((b, k))
                 for u in {head[2], *last[-NEIGHBOURS:]}:
                     left.append(u)
                     right.append(v)
                 last.append(v)
                 del last[: -NEIGHBOURS]
             yield pd.DataFrame({"a": left, "b": right, "band": None, "key": None})
+            yield pd.DataFrame({"a": None, "b": None, "band": [x[0] for x in large], "key": [x[1] for x in large]})
         if head is not None:  # a bucket may go on in the task before or after: its heads meet below
             heads.append(head)
         yield pd.DataFrame({"a": [h[2] for h in heads], "b": None, "band": [h[0] for h in heads], "key": [h[1] for h in heads]})
 
     met = stored(rows.mapInPandas(run, "a binary, b binary, band int, key long"), "near-met")
-    heads = met.filter(F.col("b").isNull()).select("band", "key", "a").distinct()
+    heads = met.filter(F.col("a").isNotNull() & F.col("b").isNull()).select("band", "key", "a").distinct()
     least = heads.groupBy("band", "key").agg(F.min("a").alias("b"), F.count("*").alias("n")).filter(F.col("n") > 1).drop("n")
+    large = met.filter(F.col("a").isNull()).select("band", "key").union(least.select("band", "key")).distinct()
     crossing = heads.join(least, ["band", "key"]).select("a", "b")
     pairs = met.filter(F.col("b").isNotNull()).select("a", "b").unionByName(crossing).filter(F.col("a") != F.col("b"))
-    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), large
 
 
 def _packed(text: str) -> bytes:
@@ -238,10 +255,8 @@ def _unpacked(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     return both[: len(both) // 2], both[len(both) // 2 :]
 
 
-def links(docs: DataFrame, nodes: DataFrame, threshold: float = SIMILAR) -> DataFrame:
-    """Verified pairs of nodes with their ``similarity``."""
-    pairs = stored(candidates(nodes), "near-pairs")
-    needed = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
+def packed_runs(docs: DataFrame, nodes: DataFrame, needed: DataFrame) -> DataFrame:
+    """``node``, ``runs`` (packed) of the distinct nodes ``needed``."""
     reps = nodes.select("node", F.col("doc_id").alias("_id")).join(needed, "node").select("_id").distinct()
     texts = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)).alias("_id"), text_of().alias("_text")).join(reps, "_id", "left_semi")
 
@@ -251,7 +266,14 @@ def links(docs: DataFrame, nodes: DataFrame, threshold: float = SIMILAR) -> Data
             yield pd.DataFrame({"node": [node_of(i, t) for i, t in zip(ids, texts, strict=True)], "runs": [_packed(t) for t in texts]})
 
     # copies of one text under one id: one row per node
-    packed = stored(texts.mapInPandas(pack, "node binary, runs binary").dropDuplicates(["node"]), "near-runs")
+    return stored(texts.mapInPandas(pack, "node binary, runs binary").dropDuplicates(["node"]), "near-runs")
+
+
+def links(docs: DataFrame, nodes: DataFrame, threshold: float = SIMILAR) -> tuple[DataFrame, DataFrame]:
+    """Verified pairs of nodes of the linear pass with their ``similarity``, and the buckets that have other pairs."""
+    pairs, large = candidates(nodes)
+    pairs = stored(pairs, "near-pairs")
+    packed = packed_runs(docs, nodes, pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct())
 
     def verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -262,7 +284,96 @@ def links(docs: DataFrame, nodes: DataFrame, threshold: float = SIMILAR) -> Data
     both = lookup_join(pairs, packed.select(F.col("node").alias("a"), F.col("runs").alias("x")), ["a"], "inner")
     both = lookup_join(both, packed.select(F.col("node").alias("b"), F.col("runs").alias("y")), ["b"], "inner")
     checked = both.select("a", "b", "x", "y").mapInPandas(verify, "a binary, b binary, similarity double")
-    return stored(checked.filter(F.col("similarity") >= threshold), "near-links")
+    return stored(checked.filter(F.col("similarity") >= threshold), "near-links"), large
+
+
+def _products(items: list[tuple[np.ndarray, np.ndarray]], first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    """For each pair of texts (places ``first`` by ``second``): the sum over shared runs of the root of the counts' product."""
+    sizes = [len(u) for u, _ in items]
+    _, column, often = np.unique(np.concatenate([u for u, _ in items]), return_inverse=True, return_counts=True)
+    row, root = np.repeat(np.arange(len(items)), sizes), np.sqrt(np.concatenate([c for _, c in items]).astype(np.float32))
+    shared = often[column] > 1
+    number = np.cumsum(often > 1) - 1
+    row, column, root = row[shared], number[column[shared]], root[shared]
+    order = np.argsort(column, kind="stable")
+    row, column, root = row[order], column[order], root[order]
+    out = np.zeros((len(first), len(second)), dtype=np.float32)
+    for start in range(0, int(number[-1]) + 1, _COLUMNS):
+        low, high = np.searchsorted(column, [start, start + _COLUMNS])
+        dense = np.zeros((len(items), _COLUMNS), dtype=np.float32)
+        dense[row[low:high], column[low:high] - start] = root[low:high]
+        out += dense[first] @ dense[second].T
+    return out
+
+
+def joining(items: list[tuple[np.ndarray, np.ndarray]], first: np.ndarray, second: np.ndarray, groups: list, threshold: float) -> list[tuple[int, int]]:
+    """Pairs of places (``first`` by ``second``) at the threshold that join groups not joined before; all pairs are looked at."""
+    names: dict = {}
+    group = np.array([names.setdefault(g, len(names)) for g in groups])
+    if len(names) < 2:
+        return []
+    parent = list(range(len(names)))
+
+    def top(g: int) -> int:
+        while parent[g] != g:
+            parent[g] = parent[parent[g]]
+            g = parent[g]
+        return g
+
+    total = np.array([c.sum() for _, c in items], dtype=float)
+    flat = np.array([(c == 1).all() for _, c in items])
+    product = _products(items, first, second).astype(float)
+    bound = product / np.sqrt(total[first][:, None] * total[second][None, :])
+    # the similarity is at most the sum of the smaller shares, and that at most this cosine (kept in 32 bits, hence the margin)
+    x, y = np.nonzero((bound >= threshold - 1e-3) & (group[first][:, None] != group[second][None, :]))
+    a, b, bound, product = first[x], second[y], bound[x, y], np.rint(product[x, y])
+    plain = flat[a] & flat[b]
+    # without repeated runs the product is the number of shared ones
+    similar = plain & (product / np.maximum(total[a] + total[b] - product, 1) >= threshold)
+    out = []
+    for i in [*np.flatnonzero(similar), *(j := np.flatnonzero(~plain))[np.argsort(-bound[j], kind="stable")]]:
+        g, h = top(group[a[i]]), top(group[b[i]])
+        if g != h and (similar[i] or similarity(items[a[i]], items[b[i]]) >= threshold):
+            parent[g] = h
+            out.append((int(a[i]), int(b[i])))
+    return out
+
+
+def rest(docs: DataFrame, nodes: DataFrame, large: DataFrame, labels: DataFrame, threshold: float = SIMILAR) -> DataFrame:
+    """Verified pairs ``a``, ``b`` by which the buckets ``large`` join components; ``labels``: those of the linear pass."""
+    bucket = ["band", "key"]
+    places = nodes.filter(F.col("keys").isNotNull()).select("node", "size", F.posexplode("keys").alias("band", "key"))
+    rows = places.withColumn("band", F.col("band").cast("int")).join(large, bucket, "left_semi")
+    rows = lookup_join(rows, labels.select("node", F.col("label.node").alias("comp")), ["node"]).withColumn("comp", F.coalesce("comp", "node"))
+    rows = stored(rows.select(*bucket, "node", "size", "comp"), "near-large")
+    parts = rows.groupBy(*bucket, "comp").agg(F.count("*").alias("n"), F.sum("size").alias("size"))
+    whole = parts.groupBy(*bucket).agg(F.count("*").alias("comps"), F.sum("n").alias("n"), F.sum("size").alias("size"), F.max(F.struct("n", "size", "comp")).alias("main"))
+
+    def blocks(n, size):
+        return F.greatest(F.ceil(n / BLOCK_TEXTS), F.ceil(size / BLOCK_RUNS), F.lit(1)).cast("int")
+
+    main_blocks = blocks(F.col("main.n"), F.col("main.size")).alias("main_blocks")
+    other_blocks = blocks(F.col("n") - F.col("main.n"), F.col("size") - F.col("main.size")).alias("other_blocks")
+    split = stored(whole.filter("comps > 1").select(*bucket, F.col("main.comp").alias("main"), main_blocks, other_blocks), "near-open")
+    rows = lookup_join(rows, split, bucket, "inner").withColumn("h", F.xxhash64("node"))
+    # blocks 0 .. other_blocks - 1: outside the largest component, compared with all blocks from their own on
+    outside = F.col("comp") != F.col("main")
+    rows = rows.withColumn("block", F.when(outside, F.pmod("h", F.col("other_blocks"))).otherwise(F.col("other_blocks") + F.pmod("h", F.col("main_blocks"))).cast("int"))
+    last = F.when(outside, F.col("other_blocks") + F.col("main_blocks")).otherwise(F.col("other_blocks")) - 1
+    rows = rows.withColumn("with", F.explode(F.sequence(F.lit(0), last)))
+    rows = rows.select(*bucket, F.least("block", "with").alias("i"), F.greatest("block", "with").alias("j"), (F.col("block") <= F.col("with")).alias("first"), "node", "comp")
+    packed = packed_runs(docs, nodes, rows.select("node").distinct())
+
+    def run(group: pd.DataFrame) -> pd.DataFrame:
+        items, node = [_unpacked(r) for r in group["runs"]], group["node"].tolist()
+        of_first = group["first"].to_numpy(dtype=bool)
+        first = np.flatnonzero(of_first)
+        second = first if group["i"].iloc[0] == group["j"].iloc[0] else np.flatnonzero(~of_first)
+        found = joining(items, first, second, group["comp"].tolist(), threshold) if len(second) else []
+        return pd.DataFrame({"a": [node[a] for a, _ in found], "b": [node[b] for _, b in found]})
+
+    rows = lookup_join(rows, packed, ["node"], "inner")
+    return stored(rows.groupBy(*bucket, "i", "j").applyInPandas(run, "a binary, b binary"), "near-links")
 
 
 def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
@@ -284,25 +395,27 @@ def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
 
 
 def classes(docs: DataFrame) -> DataFrame:
-    """``doc_id``, ``node``, ``class_id``, ``class_node``, ``links`` (verified links of its text) for every row."""
+    """``doc_id``, ``node``, ``class_id``, ``class_node`` for every row."""
     rows = stored(signed(docs), "near-signed")
-    nodes = stored(rows.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("keys").alias("keys"), F.first("orders").alias("orders")), "near-nodes")
-    edges = links(docs, nodes)
+    nodes = stored(rows.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("keys").alias("keys"), F.first("orders").alias("orders"), F.first("size").alias("size")), "near-nodes")
+    edges, large = links(docs, nodes)
     labels = components(nodes, edges)
-    degree = edges.select("a").union(edges.select("b")).toDF("node").groupBy("node").agg(F.count("*").alias("links"))
-    per_node = nodes.select("node", F.col("doc_id").alias("rep")).join(labels.join(degree, "node", "left"), "node", "left")
-    per_node = per_node.select(
-        "node", F.coalesce("label.id", "rep").alias("class_id"), F.coalesce("label.node", "node").alias("class_node"), F.coalesce("links", F.lit(0)).alias("links")
-    )
+    large = stored(large, "near-buckets")
+    if not large.isEmpty():
+        more = rest(docs, nodes, large, labels)
+        if not more.isEmpty():
+            labels = components(nodes, edges.select("a", "b").union(more))
+    per_node = nodes.select("node", F.col("doc_id").alias("rep")).join(labels, "node", "left")
+    per_node = per_node.select("node", F.coalesce("label.id", "rep").alias("class_id"), F.coalesce("label.node", "node").alias("class_node"))
     return lookup_join(rows.select("doc_id", "node"), per_node, ["node"])
 
 
 def report(docs: DataFrame) -> DataFrame:
-    """One row per document: ``doc_id``, ``class_id``, ``links``, ``kept`` (it stands for its class)."""
+    """One row per document: ``doc_id``, ``class_id``, ``kept`` (it stands for its class)."""
     found = classes(docs)
     known = lambda c: F.when(F.col(c) != _NO_ID, F.col(c)).alias(c)
     kept = (F.col("doc_id") == F.col("class_id")) & (F.col("node") == F.col("class_node"))
-    return found.select(known("doc_id"), known("class_id"), "links", kept.alias("kept"))
+    return found.select(known("doc_id"), known("class_id"), kept.alias("kept"))
 
 
 def keep(docs: DataFrame) -> DataFrame:

@@ -85,3 +85,34 @@ def test_keep_one_of_each_group(spark, docs):
     assert kept.columns == df.columns
     assert sorted((r.doc_id, r.text or "") for r in kept.collect()) == [(1, "x y z"), (7, ""), (8, ""), (9, "other words entirely here now")]
     assert neardup.keep(docs([])).count() == 0 and neardup.report(docs([])).count() == 0
+
+
+def test_star_of_copies_that_are_similar_to_the_original_only(spark, docs):
+    original = words(304, 1)
+    draw = np.random.default_rng(2)
+    rows = [(10_000, " ".join(original))]
+    for i in range(600):
+        text = list(original)
+        for k in draw.choice(np.arange(5, 299, 5), 5, replace=False):
+            text[k] = f"own{i}x{k}"
+        rows.append((i, " ".join(text)))
+    found = {r.doc_id: r.class_id for r in neardup.report(docs(rows)).collect()}
+    assert found == brute(dict(rows))
+
+
+def test_rest_of_a_bucket_finds_every_join_of_components():
+    draw = np.random.default_rng(3)
+    texts = []
+    for g in range(12):
+        base = words(60, g % 4)
+        for _ in range(6):
+            text = [w if draw.random() > 0.02 else f"z{draw.integers(10**9)}" for w in base]
+            texts.append(" ".join(text + text[: g * 2]))
+    items = [neardup._unpacked(neardup._packed(t)) for t in texts]
+    every = np.arange(len(items))
+    got = neardup.joining(items, every, every, list(range(len(items))), neardup.SIMILAR)
+    assert all(neardup.similarity(items[a], items[b]) >= neardup.SIMILAR for a, b in got)
+    want = brute(dict(enumerate(texts)))
+    assert len(got) == len(items) - len(set(want.values()))
+    assert all(want[a] == want[b] for a, b in got)
+    assert not neardup.joining(items, every, every, [0] * len(items), neardup.SIMILAR)
