@@ -16,7 +16,14 @@ runs on the executors.
   every template can't be confirmed; those words (``anchors``) are the exact filter before
   anything is split into words.
 
-Equal paragraphs are classified once, however often they occur. A null or empty text has no
+* **Units**: every line, and for notices that are wrapped over lines overlapping windows of
+  words over the joined lines of a paragraph (up to a blank line): short windows for short
+  templates, long ones for the others, each overlapping by more than its templates have words.
+* **Several families**: beside the likeliest family, any family that is likelier than
+  ``unknown`` counts if the unit also holds the share ``CONTAINED`` of those words of a
+  template that no other family's templates have.
+
+Equal units are classified once, however often they occur. A null or empty text has no
 finding; rows that repeat an id each get the findings of the id; an empty table gives an
 empty result.
 """
@@ -38,6 +45,10 @@ SAMPLE = 2_000
 CERTAIN = 0.5
 CONTAINED = 0.6
 UNKNOWN = "unknown"
+#: Between paragraphs: a blank line.
+BETWEEN = r"\n[ \t\r]*\n"
+#: Words of a window; the next one begins half a window later.
+WINDOWS = (24, 96)
 
 # Notices by which works state their licence, by family.
 TEMPLATES = {
@@ -187,8 +198,9 @@ def train(docs: DataFrame) -> tuple[DataFrame, list[str]]:
     n = docs.count()
     threshold = min(1.0, SAMPLE / max(1, n))
     some = docs.filter(F.pmod(F.xxhash64("doc_id", F.lit(23)), F.lit(1 << 30)) < int(threshold * (1 << 30)))
-    # one paragraph of each sampled document: its first that no anchor marks
-    plain = F.filter(F.split(text_of(), "\n"), lambda p: (F.length(p) > 0) & ~p.rlike(anchors(spark)))
+    # one line of each sampled document: the first of its first paragraph that no anchor marks (a line of a wrapped notice is not unknown)
+    plain = F.filter(F.split(text_of(), BETWEEN), lambda p: (F.length(F.trim(p)) > 0) & ~p.rlike(anchors(spark)))
+    plain = F.flatten(F.transform(plain, lambda p: F.filter(F.split(p, "\n"), lambda x: F.length(x) > 0)))
     unknown = some.select(F.try_element_at(plain, F.lit(1)).alias("paragraph")).filter(F.col("paragraph").isNotNull()).limit(2 * SAMPLE)
     rows = stored(_training(spark, unknown), "license-training")
     classes = [UNKNOWN, *sorted(TEMPLATES)]
@@ -236,37 +248,74 @@ def _temperature(held: DataFrame, weights: DataFrame, classes: list[str]) -> flo
 
 
 def classify(paragraphs: DataFrame, weights: DataFrame, classes: list[str]) -> DataFrame:
-    """``key``, ``family``, ``probability``, ``template``, ``contained`` of the confirmed paragraphs.
+    """``key``, ``family``, ``probability``, ``template``, ``contained`` of the confirmed units, a row for each family.
 
-    ``paragraphs``: distinct ``key`` and the ``words`` of each.
+    ``paragraphs``: distinct ``key``, the ``words`` and the ``window`` (0: a line) of each. A
+    family that is not the likeliest has its probability against ``unknown`` alone.
     """
     rows = paragraphs.select("key", grams_of(F.col("words")).alias("grams"))
     scored = _margins(rows, "key", weights, classes).withColumn("p", _softmax(F.col("m")))
-    best = F.array_position("p", F.array_max("p")).cast("int")
-    scored = scored.select("key", F.element_at(F.lit(classes), best).alias("family"), F.array_max("p").alias("probability"))
-    likely = scored.filter((F.col("family") != UNKNOWN) & (F.col("probability") >= CERTAIN)).join(paragraphs.select("key", "words"), "key")
+    # unknown is the first class
+    against = F.transform("m", lambda x: 1 / (1 + F.exp(F.col("m")[0] - x)))
+    one = F.transform(F.lit(classes), lambda c, i: F.struct(c.alias("family"), F.col("p")[i].alias("p"), against[i].alias("against"), (F.col("p")[i] == F.array_max("p")).alias("top")))
+    scored = scored.select("key", F.inline(one)).withColumn("top", F.col("top") & (F.col("p") >= CERTAIN))
+    scored = scored.filter((F.col("family") != UNKNOWN) & (F.col("top") | (F.col("against") >= CERTAIN)))
+    likely = scored.select("key", "family", "top", F.when(F.col("top"), F.col("p")).otherwise(F.col("against")).alias("probability"))
+    likely = likely.join(paragraphs.select("key", "words", "window"), "key")
     known = templates(paragraphs.sparkSession).withColumnRenamed("words", "its")
+    # fixed, small lists
+    owned = known.select("family", F.explode("its").alias("w")).distinct().groupBy("w").agg(F.count("*").alias("n"), F.first("family").alias("family"))
+    owned = owned.filter("n = 1").groupBy("family").agg(F.collect_list("w").alias("owned"))
+    known = known.join(F.broadcast(owned), "family", "left").withColumn("own", F.array_intersect("its", F.coalesce("owned", F.array().cast("array<string>")))).drop("owned")
     share = F.size(F.array_intersect("words", "its")) / F.size("its")
-    held = likely.join(F.broadcast(known), "family").withColumn("contained", share).filter(F.col("contained") >= CONTAINED)
+    # a try for no own words: null, which only the likeliest family of a unit may have
+    own = F.try_divide(F.size(F.array_intersect("words", "own")), F.size("own"))
+    short = F.size("its") <= WINDOWS[0] // 2
+    fits = (F.col("window") == 0) | (F.col("window") == F.when(short, WINDOWS[0]).otherwise(WINDOWS[1]))
+    certain = F.when(F.col("top") & (F.col("window") == 0), True).otherwise(F.coalesce(own >= CONTAINED, F.col("top")))
+    held = likely.join(F.broadcast(known), "family").withColumn("contained", share).filter((F.col("contained") >= CONTAINED) & fits & certain)
     best_of = F.max(F.struct("contained", F.length("template"), "template")).alias("b")
     return held.groupBy("key", "family", "probability").agg(best_of).select("key", "family", "probability", "b.template", "b.contained")
 
 
+def units(docs: DataFrame, pattern: str) -> DataFrame:
+    """``doc_id``, ``para``, ``line`` (from 1; 0: a window), ``window`` (its words; 0: a line), ``words`` of all units that may be confirmed."""
+    marked = docs.filter(F.col("text").rlike(pattern)).select("doc_id", F.posexplode(F.split("text", BETWEEN)).alias("para", "body"))
+    marked = marked.filter(F.col("body").rlike(pattern))
+    lines = marked.select("doc_id", "para", F.posexplode(F.split("body", "\n")).alias("line", "paragraph")).filter(F.col("paragraph").rlike(pattern))
+    lines = lines.select("doc_id", "para", (F.col("line") + 1).alias("line"), F.lit(0).alias("window"), words_of(F.col("paragraph")).alias("words"))
+    wrapped = marked.filter(F.col("body").contains("\n")).select("doc_id", "para", words_of(F.col("body")).alias("all"))
+    for n in WINDOWS:
+        starts = F.sequence(F.lit(1), F.greatest(F.size("all"), F.lit(1)), F.lit(n // 2))
+        parts = wrapped.select("doc_id", "para", F.explode(F.transform(starts, lambda i: F.slice("all", i, n))).alias("words"))  # noqa: B023
+        parts = parts.filter(F.array_join("words", " ").rlike(pattern))
+        lines = lines.unionByName(parts.select("doc_id", "para", F.lit(0).alias("line"), F.lit(n).alias("window"), "words"))
+    return lines
+
+
 def findings(docs: DataFrame) -> DataFrame:
-    """``doc_id``, ``at`` (paragraph number), ``family``, ``probability``, ``template``, ``contained`` of all notices."""
+    """``doc_id``, ``para``, ``line`` (0: a window), ``family``, ``probability``, ``template``, ``contained`` of all notices."""
     weights, classes = train(docs)
-    pattern = anchors(docs.sparkSession)
-    marked = docs.filter(F.col("text").rlike(pattern)).select("doc_id", F.posexplode(F.split("text", "\n")).alias("at", "paragraph"))
-    marked = marked.filter(F.col("paragraph").rlike(pattern)).select("doc_id", "at", words_of(F.col("paragraph")).alias("words"))
-    marked = stored(marked.withColumn("key", F.md5(F.array_join("words", " ").cast("binary"))), "license-paragraphs")
-    distinct = stored(marked.groupBy("key").agg(F.first("words").alias("words")), "license-distinct")
-    return lookup_join(marked.select("doc_id", "at", "key"), stored(classify(distinct, weights, classes), "license-classified"), ["key"], "inner").drop("key")
+    key = F.md5(F.concat_ws(" ", F.col("window").cast("string"), F.array_join("words", " ")).cast("binary"))
+    marked = stored(units(docs, anchors(docs.sparkSession)).withColumn("key", key), "license-paragraphs")
+    distinct = stored(marked.groupBy("key").agg(F.first("words").alias("words"), F.first("window").alias("window")), "license-distinct")
+    return _found_in(marked.select("doc_id", "para", "line", "key"), stored(classify(distinct, weights, classes), "license-classified"))
+
+
+def _found_in(marked: DataFrame, classified: DataFrame) -> DataFrame:
+    """The findings of each unit; a key may have several families, at most as many as there are: one row per key for the join."""
+    found = F.collect_list(F.struct("family", "probability", "template", "contained")).alias("found")
+    return lookup_join(marked, classified.groupBy("key").agg(found), ["key"], "inner").select("doc_id", "para", "line", F.inline("found"))
 
 
 def report(docs: DataFrame) -> DataFrame:
     """One row per document: ``doc_id``, ``families`` (sorted, joined by a comma; null if none), ``notices``, ``probability`` (the highest)."""
-    found = findings(docs).groupBy("doc_id").agg(
-        F.array_join(F.sort_array(F.collect_set("family")), ",").alias("families"), F.countDistinct("at").alias("notices"), F.round(F.max("probability"), 4).alias("probability")
+    # a family that a paragraph's windows find counts once there, and not if one of its lines has it
+    where = F.collect_set(F.when(F.col("line") > 0, F.col("line").cast("string")))
+    places = findings(docs).groupBy("doc_id", "para", "family").agg(where.alias("lines"), F.max("probability").alias("probability"))
+    places = places.withColumn("line", F.explode(F.when(F.size("lines") > 0, F.col("lines")).otherwise(F.array("family"))))
+    found = places.groupBy("doc_id").agg(
+        F.array_join(F.sort_array(F.collect_set("family")), ",").alias("families"), F.countDistinct("para", "line").alias("notices"), F.round(F.max("probability"), 4).alias("probability")
     )
     found = found.withColumnRenamed("doc_id", "_found")
     rows = docs.select("doc_id").join(found, F.col("doc_id").eqNullSafe(F.col("_found")), "left")

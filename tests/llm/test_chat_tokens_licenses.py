@@ -113,6 +113,18 @@ def test_license_scan(spark, docs):
     assert licenses.report(docs([])).count() == 0
 
 
+def test_wrapped_notices_and_two_families_in_a_line(spark, docs):
+    mit = 'MIT License\n\nPermission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation files (the "Software"), to deal\nin the Software without restriction, including without limitation the rights\nto use, copy, modify, merge, publish, distribute, sublicense, and/or sell'
+    bsd = "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following conditions are met:"
+    gpl = "This program is free software: you can redistribute it and/or modify\nit under the terms of the GNU General Public License as published by\nthe Free Software Foundation, either version 3 of the License, or\n(at your option) any later version."
+    two = "Licensed under the MIT license or the Apache License, Version 2.0."
+    plain = [(i, f"Plain prose number {i} about a river and the hills.\nIt goes on here.") for i in range(10)]
+    rows = [*plain, (20, mit), (21, bsd), (22, gpl), (23, two), (24, "A library was released\nunder the general public eye.")]
+    got = {r.doc_id: (r.families, r.notices) for r in licenses.report(docs(rows)).collect()}
+    assert {i: got[i][0] for i in range(20, 25)} == {20: "MIT", 21: "BSD", 22: "GPL", 23: "Apache-2.0,MIT", 24: None}
+    assert [got[i][1] for i in range(20, 24)] == [1, 1, 1, 1] and not any(got[i][0] for i in range(10))
+
+
 def test_anchors_are_in_every_confirmable_paragraph(spark):
     import re
 
