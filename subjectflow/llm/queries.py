@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from subjectflow.llm import ann, bpe, chat, licenses, mixing, neardup, quality, tokens, topk, toxicity
+from subjectflow.llm import align, ann, bpe, chat, licenses, mixing, neardup, quality, tokens, topk, toxicity
 from subjectflow.llm.common import held_out, scratch, stored, table, text_of
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -92,3 +92,8 @@ def token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op4_license_scan")
 def license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.report(table(spark, sf_dir, "documents"))
+
+
+@query("op12_token_alignment")
+def token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align.report(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
