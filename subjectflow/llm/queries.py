@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from subjectflow.llm import align, ann, bpe, chat, divergence, licenses, mixing, neardup, quality, tokens, topk, toxicity
+from subjectflow.llm import align, ann, bpe, chat, collocations, divergence, licenses, mixing, neardup, quality, tokens, topk, toxicity
 from subjectflow.llm.common import held_out, scratch, stored, table, text_of
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -102,3 +102,8 @@ def token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op13_divergence_rules", divergence.ORACLE_SQL)
 def divergence_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.judge(table(spark, sf_dir, "documents")).drop("class_distance", "word_distance")
+
+
+@query("op11_collocations", collocations.ORACLE_SQL)
+def phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine(table(spark, sf_dir, "documents"))
