@@ -21,9 +21,9 @@ with the same id, and repeated rows, are judged each for itself; an empty table
 from __future__ import annotations
 
 import json
-import re
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterator
+from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
@@ -46,8 +46,7 @@ CLASSES = {
     "lower": "abcdefghijklmnopqrstuvwxyz", "upper": "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "digit": "0123456789", "blank": " \t\n\x0b\x0c\r",
     "point": ".,", "mark": "!?;:", "symbol": "#*$%&|<>",
 }
-SYMBOLS = CLASSES["symbol"]
-_WORD = re.compile(WORD)
+_BLANK, _SYMBOL = list(CLASSES).index("blank"), list(CLASSES).index("symbol")
 
 
 def _class_of_bytes() -> np.ndarray:
@@ -64,29 +63,53 @@ _CLASS = _class_of_bytes()
 BINS = len(CLASSES) + 2
 
 
-def class_counts(text: str) -> np.ndarray:
-    """Characters of each class."""
-    data = np.bincount(np.frombuffer(text.encode("utf-8", "replace"), dtype=np.uint8), minlength=256)
-    return np.bincount(_CLASS, weights=data, minlength=BINS + 1)[:BINS].astype(np.int64)
-
-
-def base(text: str, words: list[str]) -> tuple[int, int, int, int, int]:
-    """``n_words``, ``word_chars``, ``n_symbols``, ``n_dup_lines``, ``n_repeat_words``."""
-    lines = [x for x in text.split("\n") if _WORD.search(x)]
+@dataclass
+class Counts:
+    """What the rules need of one text. Words are bytes: blanks are all ASCII, so splitting UTF-8 is splitting the text."""
+
+    words: list[bytes]
+    classes: np.ndarray
+    word_chars: int
+    n_symbols: int
+    n_dup_lines: int
+    n_repeat_words: int
+
+    @classmethod
+    def of(cls, text: str) -> Counts:
+        data = text.encode("utf-8", "replace")
+        by_byte = np.bincount(np.frombuffer(data, dtype=np.uint8), minlength=256)
+        classes = np.bincount(_CLASS, weights=by_byte, minlength=BINS + 1)[:BINS].astype(np.int64)
+        words = data.split()  # at the six ASCII blanks, as WORD has them
+        lines = [x for x in data.split(b"\n") if x.strip()]
+        return cls(words, classes, len(text) - int(classes[_BLANK]), int(classes[_SYMBOL]), len(lines) - len(set(lines)), repeated(words))
+
+    def base(self) -> tuple[int, int, int, int, int]:
+        return len(self.words), self.word_chars, self.n_symbols, self.n_dup_lines, self.n_repeat_words
+
+    def failed(self) -> bool:
+        """The plain rules."""
+        return len(self.words) < MIN_WORDS or 100 * self.n_repeat_words > 50 * len(self.words)
+
+
+def repeated(words: list[bytes]) -> int:
+    """Words in windows of three words that occur twice or more.
+
+    Hashes tell at once whether any window may occur twice; only then windows are compared.
+    """
+    if len(words) < 4:
+        return 0
+    h = np.fromiter(map(hash, words), dtype=np.int64, count=len(words)).view(np.uint64)
+    h = h[:-2] * np.uint64(0x9E3779B97F4A7C15) + (h[1:-1] ^ h[1:-1] >> np.uint64(29)) * np.uint64(0xBF58476D1CE4E5B9) + h[2:]
+    h.sort()
+    if not (h[1:] == h[:-1]).any():
+        return 0
     windows = list(zip(words, words[1:], words[2:]))
-    times, covered = Counter(windows), 0
-    if len(times) < len(windows):
-        upto = 0  # words before this place are counted
-        for at, window in enumerate(windows):
-            if times[window] > 1:
-                covered += at + 3 - max(at, upto)
-                upto = at + 3
-    return len(words), sum(map(len, words)), sum([text.count(c) for c in SYMBOLS]), len(lines) - len(set(lines)), covered
-
-
-def fails(n_words, n_repeat_words):
-    """The plain rules."""
-    return (n_words < MIN_WORDS) | (100 * n_repeat_words > 50 * n_words)
+    times, covered, upto = Counter(windows), 0, 0  # words before ``upto`` are counted
+    for at, window in enumerate(windows):
+        if times[window] > 1:
+            covered += at + 3 - max(at, upto)
+            upto = at + 3
+    return covered
 
 
 def limit(part: tuple[float, float], n_words: int) -> float:
@@ -112,29 +135,34 @@ def references(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         kept_by_worker(("divergence",))
-        sums: Counter = Counter()
+        docs_of, classes_of = Counter(), defaultdict(lambda: np.zeros(BINS, dtype=np.int64))
+        words_of: dict[str, dict[bytes, int]] = defaultdict(lambda: defaultdict(int))
+        held = 0
 
-        def told() -> pd.DataFrame:
-            rows = [(lang, kind, key, n) for (lang, kind, key), n in sums.items()]
-            return pd.DataFrame(rows, columns=["lang", "kind", "key", "n"])
+        def told() -> Iterator[pd.DataFrame]:
+            rows = [(lang, 0, "", n) for lang, n in docs_of.items()]
+            rows += [(lang, 1, str(i), n) for lang, shares in classes_of.items() for i, n in enumerate(shares.tolist())]
+            yield pd.DataFrame(rows, columns=["lang", "kind", "key", "n"])
+            for lang, words in words_of.items():
+                yield pd.DataFrame({"lang": lang, "kind": 2, "key": [w.decode() for w in words], "n": list(words.values())})
 
         for batch in batches:
             for lang, text in zip(batch["_lang"], batch["_text"], strict=True):
-                words = _WORD.findall(text)
-                n_words, _, _, _, repeated = base(text, words)
-                if fails(n_words, repeated):
+                counts = Counts.of(text)
+                if counts.failed():
                     continue
-                sums[lang, 0, ""] += 1
-                counts = class_counts(text)
-                for i, n in enumerate((counts * UNIT // counts.sum()).tolist()):
-                    sums[lang, 1, str(i)] += n
-                for word, n in Counter(words).items():
-                    sums[lang, 2, word] += n * UNIT // n_words
-                if len(sums) > WORDS_HELD:
-                    yield told()
-                    sums.clear()
-        if sums:
-            yield told()
+                docs_of[lang] += 1
+                classes_of[lang] += counts.classes * UNIT // counts.classes.sum()
+                n_words, words = len(counts.words), words_of[lang]
+                held -= len(words)
+                for word, n in Counter(counts.words).items():
+                    words[word] += n * UNIT // n_words
+                held += len(words)
+                if held > WORDS_HELD:
+                    yield from told()
+                    docs_of.clear(), classes_of.clear(), words_of.clear()
+                    held = 0
+        yield from told()
 
     rows = whole_texts(docs, _language("lang").alias("_lang"), text_of().alias("_text"))
     sums = stored(rows.mapInPandas(run, "lang string, kind int, key string, n long").groupBy("lang", "kind", "key").agg(F.sum("n").alias("n")), "divergence-sums")
@@ -154,25 +182,25 @@ def references(docs: DataFrame) -> DataFrame:
 
 
 @lru_cache(maxsize=256)
-def _parsed(reference: str) -> tuple[np.ndarray, dict[str, int], np.ndarray] | None:
+def _parsed(reference: str) -> tuple[np.ndarray, dict[bytes, int], np.ndarray] | None:
     known = json.loads(reference)
     if known["docs"] < MIN_DOCUMENTS:
         return None
     shares = np.array([*known["shares"], known["others"]], dtype=float)
-    return np.array(known["classes"], dtype=float), {w: i for i, w in enumerate(known["common"])}, shares
+    return np.array(known["classes"], dtype=float), {w.encode(): i for i, w in enumerate(known["common"])}, shares
 
 
-def distances(text: str, words: list[str], reference: str) -> tuple[float, float] | None:
+def distances(counts: Counts, reference: str) -> tuple[float, float] | None:
     """(of the class histogram, of the word histogram) to a reference; None if it has too few documents."""
     known = _parsed(reference)
     if known is None:
         return None
     classes, common, shares = known
-    counts = np.zeros(len(shares))
-    for word, n in Counter(filter(common.__contains__, words)).items():
-        counts[common[word]] = n
-    counts[-1] = len(words) - counts.sum()
-    return distance(class_counts(text).astype(float), classes), distance(counts, shares)
+    own = np.zeros(len(shares))
+    for word, n in Counter(filter(common.__contains__, counts.words)).items():
+        own[common[word]] = n
+    own[-1] = len(counts.words) - own.sum()
+    return distance(counts.classes.astype(float), classes), distance(own, shares)
 
 
 _JUDGED = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, class_distance double, word_distance double, kept boolean"
@@ -182,12 +210,11 @@ def _judge(texts: pd.Series, references: pd.Series) -> pd.DataFrame:
     kept_by_worker(("divergence",))
     rows = []
     for text, reference in zip(texts, references, strict=True):
-        words = _WORD.findall(text)
-        counts = base(text, words)
-        failed = bool(fails(counts[0], counts[4]))
-        away = None if failed or reference is None else distances(text, words, reference)
-        kept = not failed and (away is None or (away[0] <= limit(CLASS_LIMIT, counts[0]) and away[1] <= limit(WORD_LIMIT, counts[0])))
-        rows.append((*counts, failed, *(away or (None, None)), kept))
+        counts = Counts.of(text)
+        failed, n = counts.failed(), len(counts.words)
+        away = None if failed or reference is None else distances(counts, reference)
+        kept = not failed and (away is None or (away[0] <= limit(CLASS_LIMIT, n) and away[1] <= limit(WORD_LIMIT, n)))
+        rows.append((*counts.base(), failed, *(away or (None, None)), kept))
     return pd.DataFrame(rows, columns=[c.split()[0] for c in _JUDGED.split(", ")])
 
 

@@ -123,5 +123,4 @@ def test_tasks_that_hand_on_often(spark, monkeypatch):
 
 def test_very_long_text():
     text = "the same few words and again " * 40_000
-    counts = divergence.base(text, text.split())
-    assert counts == (240_000, 920_000, 0, 0, 240_000)
+    assert divergence.Counts.of(text).base() == (240_000, 920_000, 0, 0, 240_000)
