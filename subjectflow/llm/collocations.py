@@ -40,9 +40,9 @@ from subjectflow.operators.joins import lookup_join
 
 MIN_WORDS, MAX_WORDS, THRESHOLD, SHARE, TOP = 2, 3, 10, 50, 2000
 #: Characters of text per hash partition; entries of a row; bits of the filter, at most, and per survivor.
-PART_CHARS, ROW_ENTRIES, FILTER_BITS, BITS_PER_KEY = 1 << 25, 1 << 14, 1 << 27, 16
+PART_CHARS, ROW_ENTRIES, FILTER_BITS, BITS_PER_KEY = 1 << 25, 1 << 13, 1 << 27, 16
 #: Occurrences that a task gathers before it adds them up, distinct ones and words that it holds.
-RAW, HELD, WORDS_HELD = 1 << 22, 1 << 21, 600_000
+RAW, HELD, WORDS_HELD = 1 << 21, 1 << 20, 400_000
 #: Bytes of text taken apart at once; bytes of a slice of the filter; partitions up to which masses are broadcast.
 SEGMENT, SLICE, BROADCAST_PARTS = 1 << 20, 1 << 17, 100_000
 
