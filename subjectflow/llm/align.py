@@ -32,6 +32,7 @@ import os
 from array import array
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -45,6 +46,8 @@ from subjectflow.operators.joins import lookup_join
 BLOCK_DOCS, BLOCK_POSTINGS, WORDS_KEPT = 4096, 2_000_000, 400_000
 #: Distinct pairs that a task adds up before it hands them on.
 PAIRS_HELD = 2_000_000
+#: Characters above which a word isn't remembered (a group of it might have very many links): its text is aligned in one go.
+LONG_WORD = 200
 #: Rows of the table of best counts that may be broadcast: far above any vocabulary.
 BROADCAST_IDS = 1 << 20
 
@@ -81,6 +84,9 @@ class Aligner:
             and not parsed.get("normalizer") and not any("\n" in p or "▁" in p.lstrip("▁") for p in pieces)
         )
         self.a_names, self.b_names = [str(i) for i in range(len(self.a_bytes))], [str(i) for i in range(len(self.b_bytes))]
+        self.a_sizes, self.b_sizes = np.array([len(x) for x in self.a_bytes]), np.array([len(x) for x in self.b_bytes])
+        # ids with what may follow them: A "," "|", B "," ";" and nothing
+        self.marked = [f"{n}{c}" for names, marks in ((self.a_names, ",|"), (self.b_names, (",", ";", ""))) for c in marks for n in names]
         self.pair_numbers: dict[int, int] = {}
         self.forget()
 
@@ -89,11 +95,11 @@ class Aligner:
         self.numbers: dict[str, int] = {}
         self.texts: list[str] = []
         self.sizes = [array("q") for _ in range(4)]  # by word: tokens of A, of B, groups, links
-        self.first, self.pairs, self.times = array("q", [0]), array("q"), array("q")
+        self.first, self.pairs = array("q", [0]), array("q")  # by word: its links, as pair numbers
         self.bad: set[str] = set()  # words that a tokenizer doesn't give back
 
-    def align(self, a: list[int], b: list[int], data: bytes) -> tuple[int, str, Counter] | None:
-        """(links, groups as text, links by pair of ids), or None if the tokens' bytes aren't ``data``."""
+    def align(self, a: list[int], b: list[int], data: bytes) -> tuple[int, int, str, Counter] | None:
+        """(groups, links, groups as text, links by pair of ids) of one text, or None if the tokens' bytes aren't ``data``."""
         if b"".join([self.a_bytes[i] for i in a]) != data or b"".join([self.b_bytes[i] for i in b]) != data:
             return None
         size_a, size_b = [len(self.a_bytes[i]) for i in a], [len(self.b_bytes[i]) for i in b]
@@ -116,44 +122,79 @@ class Aligner:
             for t, n in Counter(in_a).items():
                 for u, m in many:
                     linked[t << 32 | u] += n * m
-        self.groups = len(groups)
-        return links, ";".join(groups), linked
+        return len(groups), links, ";".join(groups), linked
 
     def _pair(self, key: int) -> int:
         return self.pair_numbers.setdefault(key, len(self.pair_numbers))
 
     def learn(self, cuts: list[list[str]]) -> set[str]:
-        """Align the words that aren't known; return those that don't stand between clean blanks."""
+        """Align the words that aren't known; return those that don't stand between clean blanks or are too long."""
         odd, new = set(), []
         for word in set().union(*cuts).difference(self.numbers, self.bad):
             body = word[1:] if word[:1] == "\n" else word
-            if not body or body[0].isspace() or body[-1].isspace():
+            if not body or body[0].isspace() or body[-1].isspace() or len(word) > LONG_WORD:
                 odd.add(word)
             else:
                 new.append(word)
         found_a = self.a.encode_batch_fast([w if w[0] == "\n" else " " + w for w in new], add_special_tokens=False)
-        found_b = self.b.encode(new, num_threads=1)
-        for word, a, b in zip(new, found_a, found_b, strict=True):
+        words, a_ids, b_ids = [], [], []
+        for word, a, b in zip(new, found_a, self.b.encode(new, num_threads=1), strict=True):
             if word[0] == "\n":  # the model put a blank before it
                 if b[:1] != [self.blank]:
                     odd.add(word)
                     continue
                 b = b[1:]
-            a = a.ids
-            got = self.align(a, b, (word if word[0] == "\n" else " " + word).encode())
-            if got is None:
-                self.bad.add(word)
-                continue
-            links, text, linked = got
-            self.numbers[word] = len(self.texts)
-            self.texts.append(text)
-            for kept, n in zip(self.sizes, (len(a), len(b), self.groups, links), strict=True):
-                kept.append(n)
-            self.pairs.extend([self._pair(k) for k in linked])
-            self.times.extend(linked.values())
-            self.first.append(len(self.pairs))
+            words.append(word)
+            a_ids.append(a.ids)
+            b_ids.append(b)
+        self._remember(words, a_ids, b_ids)
         return odd
 
+    def _remember(self, words: list[str], a_ids: list[list[int]], b_ids: list[list[int]]) -> None:
+        """Align many words at once: one after another they are one run of bytes that both sides cut."""
+        data = [(w if w[0] == "\n" else " " + w).encode() for w in words]
+        if not data:
+            return
+        n_a, n_b = (np.fromiter(map(len, ids), dtype=np.int64, count=len(ids)) for ids in (a_ids, b_ids))
+        a, b = (np.fromiter(chain.from_iterable(ids), dtype=np.int64, count=int(n.sum())) for ids, n in ((a_ids, n_a), (b_ids, n_b)))
+        end_a, end_b = np.cumsum(self.a_sizes[a]), np.cumsum(self.b_sizes[b])
+        whole, ends = b"".join(data), np.cumsum(np.fromiter(map(len, data), dtype=np.int64, count=len(data)))
+        last_a, last_b = np.cumsum(n_a) - 1, np.cumsum(n_b) - 1
+        given_back = (
+            n_a.all() and n_b.all() and np.array_equal(end_a[last_a], ends) and np.array_equal(end_b[last_b], ends)
+            and b"".join([self.a_bytes[i] for i in a.tolist()]) == whole and b"".join([self.b_bytes[i] for i in b.tolist()]) == whole
+        )
+        if not given_back:
+            good = []
+            for i, expected in enumerate(data):
+                same = all(b"".join([table[t] for t in ids[i]]) == expected for table, ids in ((self.a_bytes, a_ids), (self.b_bytes, b_ids)))
+                good += [i] if same else []
+                self.bad.update([] if same else [words[i]])
+            return self._remember([words[i] for i in good], [a_ids[i] for i in good], [b_ids[i] for i in good])
+        cuts = np.intersect1d(end_a, end_b, assume_unique=True)
+        group_a, group_b = np.searchsorted(cuts, end_a), np.searchsorted(cuts, end_b)
+        in_a, in_b = np.bincount(group_a), np.bincount(group_b)
+        upto_a, upto_b = np.cumsum(in_a), np.cumsum(in_b)
+        word = np.repeat(np.arange(len(words)), n_a)
+        of_group = word[upto_a - 1]
+        links = np.bincount(of_group, weights=in_a * in_b, minlength=len(words)).astype(np.int64)
+        wide = in_b[group_a]  # every token of A meets all of B in its group
+        partner = np.repeat((upto_b - in_b)[group_a] - (np.cumsum(wide) - wide), wide) + np.arange(int(wide.sum()))
+        keys, inverse = np.unique(np.repeat(a, wide) << 32 | b[partner], return_inverse=True)
+        numbers = np.array([self._pair(k) for k in keys.tolist()], dtype=np.int64)[inverse]
+        marked = np.empty(len(a) + len(b), dtype=np.int64)
+        closes_a, closes_b = np.arange(len(a)) == upto_a[group_a] - 1, (np.arange(len(b)) == upto_b[group_b] - 1).astype(np.int64)
+        closes_b[last_b] = 2
+        marked[np.arange(len(a)) + (upto_b - in_b)[group_a]] = a + closes_a * len(self.a_names)
+        marked[np.arange(len(b)) + upto_a[group_b]] = b + closes_b * len(self.b_names) + 2 * len(self.a_names)
+        pieces, edges = [self.marked[i] for i in marked.tolist()], [0, *np.cumsum(n_a + n_b).tolist()]
+        self.numbers.update(zip(words, range(len(self.texts), len(self.texts) + len(words)), strict=True))
+        self.texts += ["".join(pieces[i:j]) for i, j in zip(edges, edges[1:], strict=False)]
+        for kept, n in zip(self.sizes, (n_a, n_b, np.bincount(of_group, minlength=len(words)), links), strict=True):
+            kept.frombytes(n.astype(np.int64).tobytes())
+        self.first.frombytes((np.cumsum(links) + self.first[-1]).tobytes())
+        self.pairs.frombytes(numbers.tobytes())
+
     def documents(self, texts: list[str]) -> tuple[list[tuple], np.ndarray, np.ndarray, np.ndarray]:
         """((n_a, n_b, n_groups, n_links, sha256) of each text; postings as place, pair number, links)."""
         if len(self.numbers) + len(self.bad) > WORDS_KEPT:
@@ -176,8 +217,9 @@ class Aligner:
                 a, b = self.a.encode(" " + text, add_special_tokens=False).ids, self.b.encode(text, num_threads=1)
                 got = self.align(a, b, (" " + text).encode())
                 if got:
-                    row = (len(a), len(b), self.groups, got[0], hashlib.sha256(got[1].encode()).hexdigest())
-                    whole += [(place, self._pair(k), n) for k, n in got[2].items()]
+                    n_groups, n_links, groups, linked = got
+                    row = (len(a), len(b), n_groups, n_links, hashlib.sha256(groups.encode()).hexdigest())
+                    whole += [(place, self._pair(k), n) for k, n in linked.items()]
             rows.append(row)
         postings = [np.array(whole, dtype=np.int64).reshape(-1, 3).T]
         if numbers:
@@ -187,8 +229,7 @@ class Aligner:
             first = np.array(self.first, dtype=np.int64)
             wide = first[word + 1] - first[word]
             index = np.repeat(first[word] - (np.cumsum(wide) - wide), wide) + np.arange(wide.sum())
-            pairs, links = np.array(self.pairs, dtype=np.int64)[index], np.array(self.times, dtype=np.int64)[index]
-            postings.append(np.stack([np.repeat(at, wide), pairs, links * np.repeat(times, wide)]))
+            postings.append(np.stack([np.repeat(at, wide), np.array(self.pairs, dtype=np.int64)[index], np.repeat(times, wide)]))
         place, pair, links = np.concatenate(postings, axis=1)
         return rows, place, pair, links
 
