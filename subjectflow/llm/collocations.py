@@ -40,11 +40,11 @@ from subjectflow.operators.joins import lookup_join
 
 MIN_WORDS, MAX_WORDS, THRESHOLD, SHARE, TOP = 2, 3, 10, 50, 2000
 #: Characters of text per hash partition; entries of a row; bits of the filter, at most, and per survivor.
-PART_CHARS, ROW_ENTRIES, FILTER_BITS, BITS_PER_KEY = 1 << 25, 1 << 13, 1 << 27, 16
+PART_CHARS, ROW_ENTRIES, FILTER_BITS, BITS_PER_KEY = 1 << 24, 1 << 13, 1 << 27, 16
 #: Occurrences that a task gathers before it adds them up, distinct ones and words that it holds.
-RAW, HELD, WORDS_HELD = 1 << 21, 1 << 20, 400_000
-#: Bytes of text taken apart at once; bytes of a slice of the filter; partitions up to which masses are broadcast.
-SEGMENT, SLICE, BROADCAST_PARTS = 1 << 20, 1 << 17, 100_000
+RAW, HELD, WORDS_HELD = 1 << 20, 1 << 20, 400_000
+#: Bytes of text taken apart at once; bytes of a slice of the filter; partitions up to which masses are broadcast; shares of a language.
+SEGMENT, SLICE, BROADCAST_PARTS, SALTS = 1 << 20, 1 << 17, 100_000, 32
 
 #: A-Z to a-z; everything that ends a piece to a point.
 _LETTERS = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ" + b",;:!?\n\x0b\x0c\r", b"abcdefghijklmnopqrstuvwxyz" + b"." * 9)
@@ -267,7 +267,7 @@ def survivors(rows: DataFrame, parts: int, threshold: int = THRESHOLD) -> DataFr
         if summary:
             yield from told()
 
-    dealt = small_join(rows.drop("mass"), masses, ["part"], BROADCAST_PARTS).repartition(parts, "part").sortWithinPartitions("part")
+    dealt = small_join(rows.drop("mass"), masses, ["part"], BROADCAST_PARTS).repartition(4 * parts, "part").sortWithinPartitions("part")
     return stored(dealt.mapInPandas(run, "part int, keys binary, n long"), "collocations-survivors")
 
 
@@ -373,8 +373,11 @@ def mine(docs: DataFrame, top: int = TOP) -> DataFrame:
     counts = counted(docs, bloom(survivors(summaries(docs, parts), parts)), parts)
     scored = lookup_join(_scored(counts), _covered(counts), ["lang", "phrase"])
     scored = scored.filter(~F.coalesce(100 * F.col("most") >= SHARE * F.col("a"), F.lit(False)))
-    best = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    ranked = scored.withColumn("rank", F.row_number().over(best).cast("long")).filter(F.col("rank") <= top)
+    order = [F.desc("score"), F.desc("a"), F.col("phrase")]
+    # first within shares of a language, so that no more than SALTS * top rows of it ever meet
+    share = F.row_number().over(Window.partitionBy("lang", F.pmod(F.xxhash64("phrase"), F.lit(SALTS))).orderBy(*order))
+    first = scored.withColumn("rank", share).filter(F.col("rank") <= top).drop("rank")
+    ranked = first.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order)).cast("long")).filter(F.col("rank") <= top)
     whole = counts.filter("words = 0").select("lang", F.col("f").alias("n"))
     return lookup_join(ranked, whole, ["lang"], "inner").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
 
