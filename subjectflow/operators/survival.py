@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from subjectflow.functions.cells import col
+from subjectflow.operators.scans import ranged, scan
 
 
 @dataclass(frozen=True)
@@ -78,9 +79,10 @@ def km_curve(df: DataFrame, by: str, time: str = "AVAL", event: Column | None =
     """Kaplan-Meier estimate per arm at every observed time.
 
     ``event`` is the event test (default ``CNSR = 0``). Rows collapse to one per arm and
-    time before anything is ordered, so the ordered set is bounded by the number of
-    distinct times (whole days), not by the data. The confidence limits use the log
-    transform; they are null once survival is zero.
+    time. The times of an arm are cut into ranges and the numbers at risk, the product and
+    the Greenwood sum are carried from range to range (``scans.scan``), so times may be as
+    many and as fine as the rows. The confidence limits use the log transform; they are null
+    once survival is zero.
     """
     test = F.coalesce((F.col("CNSR") == 0) if event is None else event, F.lit(False))
     counts = (
@@ -88,13 +90,11 @@ def km_curve(df: DataFrame, by: str, time: str = "AVAL", event: Column | None =
         .groupBy(by, F.col(time).alias("time"))
         .agg(F.count_if(test).alias("n_event"), F.count_if(~test).alias("n_censor"))
     )
-    group = Window.partitionBy(by)
-    so_far = group.orderBy("time").rowsBetween(Window.unboundedPreceding, 0)
-    onwards = group.orderBy("time").rowsBetween(0, Window.unboundedFollowing)
-    risk = counts.withColumn("n_risk", F.sum(F.col("n_event") + F.col("n_censor")).over(onwards))
+    placed = ranged(counts, [by], "time", "_range")
+    risk = scan(placed, [by], "_range", ["time"], {"n_risk": ("sum", F.col("n_event") + F.col("n_censor"))}, backwards=True)
     kept = F.lit(1.0) - F.col("n_event") / F.col("n_risk")
-    spread = F.col("n_event") / (F.col("n_risk") * F.nullif(F.col("n_risk") - F.col("n_event"), F.lit(0)))
-    curve = risk.withColumn("surv", F.product(kept).over(so_far)).withColumn("_g", F.sum(spread).over(so_far))
+    spread = F.coalesce(F.col("n_event") / (F.col("n_risk") * F.nullif(F.col("n_risk") - F.col("n_event"), F.lit(0))), F.lit(0.0))
+    curve = scan(risk, [by], "_range", ["time"], {"surv": ("product", kept), "_g": ("sum", spread)})
     error = F.when(F.col("surv") > 0, F.sqrt("_g"))
     width = F.exp(F.lit(_NORMAL_975) * error)
     return curve.select(
