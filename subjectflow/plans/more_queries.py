@@ -9,7 +9,7 @@ from subjectflow.plans.analogs import exposure, raw_results, subjects, table, wi
 from subjectflow.plans.quality_queries import _CATALOG, CUSTOMER_SPEC, catalog
 from subjectflow.plans.registry import query
 from subjectflow.session import scratch_path
-from subjectflow.sources import tables
+from subjectflow.sources import splits, tables
 
 
 @query(
@@ -64,6 +64,21 @@ def text_file_lines(spark, sf_dir):
     return tables.read_lines(spark, path).select("line_no", "line")
 
 
+@query(
+    "report_line_numbers",
+    """SELECT CAST(c_nationkey AS VARCHAR) AS nation, row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) AS line_no,
+         c_custkey || ' ' || c_name AS line FROM customer""",
+)
+def report_line_numbers(spark, sf_dir):
+    """Numbered lines of one file per nation; the files grow with the table and are read by byte ranges."""
+    path = scratch_path(spark, "reports")
+    line = F.concat_ws(" ", F.col("c_custkey").cast("string"), "c_name").alias("value")
+    files = table(spark, sf_dir, "customer").repartition("c_nationkey").sortWithinPartitions("c_nationkey", "c_custkey")
+    files.select("c_nationkey", line).write.partitionBy("c_nationkey").text(path)
+    nation = F.regexp_extract("path", "c_nationkey=([^/]*)", 1).alias("nation")
+    return splits.numbered_lines(spark, f"{path}/*").select(nation, "line_no", "line")
+
+
 @query(
     "column_labels",
     """SELECT v.variable, v.label, v.display_format, CASE v.variable WHEN 'c_mktsegment' THEN a WHEN 'c_custkey' THEN b ELSE c END AS n_filled

@@ -384,7 +384,9 @@ def dsjson_standard_file(spark, sf_dir):
 @query("dsjson_classic", "SELECT n_nationkey, n_name, n_regionkey FROM nation")
 def dsjson_classic(spark, sf_dir):
     """A classic Dataset-JSON object (one line, all cells text) read back. The format puts a table into one object."""
-    n = table(spark, sf_dir, "nation").select(F.array(F.concat(F.lit(" "), F.col("n_nationkey").cast("string")), "n_name", F.col("n_regionkey").cast("string")).alias("r"))
+    key = F.col("n_nationkey").cast("string")
+    key = F.when(F.col("n_nationkey") % 3 == 0, F.concat(F.lit(" "), key)).when(F.col("n_nationkey") % 3 == 1, F.concat(key, F.lit(".0"))).otherwise(F.concat(key, F.lit("e0")))
+    n = table(spark, sf_dir, "nation").select(F.array(key, "n_name", F.col("n_regionkey").cast("string")).alias("r"))
     column = lambda name, kind: F.struct(F.lit(f"IT.{name}").alias("itemOID"), F.lit(name).alias("name"), F.lit(name).alias("label"), F.lit(kind).alias("dataType"))
     columns = F.array(column("n_nationkey", "integer"), column("n_name", "string"), column("n_regionkey", "decimal"))
     whole = n.agg(F.to_json(F.struct(F.lit("1.1.0").alias("datasetJSONVersion"), columns.alias("columns"), F.collect_list("r").alias("rows"))).alias("value"))
@@ -394,6 +396,26 @@ def dsjson_classic(spark, sf_dir):
     return back.withColumns({"n_nationkey": F.col("n_nationkey").cast("int"), "n_regionkey": F.col("n_regionkey").cast("int")})
 
 
+#: Rows of one classic object: whoever writes the format holds an object whole.
+_OBJECT_ROWS = 50_000
+
+
+@query("dsjson_classic_split", """SELECT o_orderkey, o_custkey, o_totalprice, '] ' || o_orderpriority || ' ["' AS note FROM orders""")
+def dsjson_classic_split(spark, sf_dir):
+    """Orders as classic Dataset-JSON objects, one per range of keys, read back by byte ranges of the files."""
+    cells = F.array(
+        F.concat(F.col("o_orderkey").cast("string"), F.lit(".0")), F.col("o_custkey").cast("string"), F.col("o_totalprice").cast("string"),
+        F.concat(F.lit("] "), "o_orderpriority", F.lit(' ["')),
+    )
+    kinds = {"o_orderkey": "integer", "o_custkey": "integer", "o_totalprice": "decimal", "note": "string"}
+    columns = F.array(*[F.struct(F.lit(f"IT.{n}").alias("itemOID"), F.lit(n).alias("name"), F.lit(n).alias("label"), F.lit(k).alias("dataType")) for n, k in kinds.items()])
+    rows = table(spark, sf_dir, "orders").select(F.floor(F.col("o_orderkey") / _OBJECT_ROWS).alias("part"), cells.alias("r"))
+    whole = F.to_json(F.struct(F.lit("1.1.0").alias("datasetJSONVersion"), columns.alias("columns"), F.collect_list("r").alias("rows")))
+    path = scratch_path(spark, "orders-classic")
+    rows.groupBy("part").agg(whole.alias("value")).write.partitionBy("part").text(path)
+    return dataset_json.read_dataset_json_split(spark, f"{path}/*")
+
+
 _ALL = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
 

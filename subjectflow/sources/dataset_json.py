@@ -1,6 +1,7 @@
 """Dataset-JSON as a source and a sink.
 
-A classic Dataset-JSON file is one JSON object and can only be read whole by one task.
+A classic Dataset-JSON file is one JSON object. Spark's reader takes it whole in one task, which
+will do for small files; ``read_dataset_json_split`` cuts large ones into byte ranges.
 The line-delimited layout splits: the metadata object is the first line and each further
 line is one positional array. Written in parallel it is a folder with the first line in
 ``metadata`` and the others in ``rows``; its files in this order are one valid file, and
@@ -17,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from subjectflow.operators.spec import TableSpec, data_class, descriptor_kind, display_format
+from subjectflow.sources.splits import json_elements, rows_of, whole_array
 
 _COLUMN = (
     "struct<itemOID:string,name:string,label:string,dataType:string,targetDataType:string,length:int,"
@@ -47,9 +49,12 @@ def _typed(cell: Column, column, decimals_as_floats: bool) -> Column:
     kind = _spark_type(column, decimals_as_floats)
     text = F.trim(cell)
     if kind == "bigint":
-        # zeros behind the point are dropped; any other number would change, so it is refused
-        value = F.regexp_replace(text, r"\\.0*$", "").try_cast("bigint")
-        value = F.when(value.isNull() & text.try_cast("double").isNotNull(), _refused(text, column)).otherwise(value)
+        # zeros behind the point are dropped and whole numbers with an exponent written out;
+        # any other number would change, so it is refused
+        value, near = F.regexp_replace(text, r"\.0*$", "").try_cast("bigint"), text.try_cast("double")
+        whole = F.when(text.rlike("[eE]") & (near == F.floor(near)) & (F.abs(near) <= 2.0**53), near.cast("bigint"))
+        value = F.coalesce(value, whole)
+        value = F.when(value.isNull() & near.isNotNull(), _refused(text, column)).otherwise(value)
     elif kind == "string":
         value = cell
     elif kind.startswith("decimal"):
@@ -77,6 +82,21 @@ def read_dataset_json(spark: SparkSession, path: str, decimals_as_floats: bool =
     return _project(rows, "_r", columns, decimals_as_floats)
 
 
+def read_dataset_json_split(spark: SparkSession, path: str, decimals_as_floats: bool = True) -> DataFrame:
+    """Read classic files of any size, each cut into byte ranges that many tasks read.
+
+    The same rows as ``read_dataset_json``. Files of one call must have the same columns. The
+    rows' texts are written to the shared folder once, to be read for the columns and the cells.
+    """
+    elements = json_elements(spark, path)
+    described = whole_array(elements, "columns").select(F.from_json("array", f"array<{_COLUMN}>").alias("columns")).distinct()
+    found = described.limit(2).collect()
+    if len(found) != 1:
+        raise ValueError(f"{'no' if not found else 'different'} columns in the files of {path}")
+    rows = rows_of(elements, "rows").select(F.from_json("row", "array<string>").alias("_r"))
+    return _project(rows, "_r", found[0]["columns"], decimals_as_floats)
+
+
 def read_dataset_ndjson(spark: SparkSession, path: str, decimals_as_floats: bool = True) -> DataFrame:
     """Read the line-delimited layout; the row files split across tasks."""
     columns = spark.read.schema(_META).json(f"{path}/metadata").select("columns").first()["columns"]

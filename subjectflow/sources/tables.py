@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from subjectflow.functions.cells import blanks_to_null
 from subjectflow.operators.spec import profile_columns
 from subjectflow.sources.dataset_json import read_dataset_json, read_dataset_ndjson, write_dataset_ndjson
+from subjectflow.sources.splits import numbered_lines
 
 
 def load_tables(
@@ -39,16 +40,8 @@ def load_tables(
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Lines of report files with file name and line number.
-
-    A line number needs the whole file, so each file is one row: for report outputs,
-    not for bulk text (keep that in a table and use ``text_lines``).
-    """
-    files = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_name").alias("file"), "value")
-    body = F.regexp_replace("value", r"\n$", "")
-    return files.select("file", F.posexplode(F.split(body, "\r?\n")).alias("_i", "line")).select(
-        "file", (F.col("_i") + 1).alias("line_no"), "line"
-    )
+    """Lines of report files with file name and line number; large files are read split by split."""
+    return numbered_lines(spark, path).select("file", "line_no", "line")
 
 
 def define_labels(spark: SparkSession, path: str) -> DataFrame:
