@@ -8,7 +8,7 @@ from subjectflow.functions import cells, dates
 from subjectflow.functions.cells import round_half_up, safe_ratio
 from subjectflow.operators import longitudinal, merges, occurrence, picks, ranges
 from subjectflow.plans.analogs import (
-    EXPECTED_VISITS, baselined, occurrences, raw_results, reference_dates, results, steady, windowed, with_views,
+    EXPECTED_VISITS, PARAMS, baselined, occurrences, raw_results, reference_dates, results, steady, table, windowed, with_views,
 )
 from subjectflow.plans.registry import query
 from subjectflow.plans.subject_queries import half_up_sql
@@ -170,6 +170,54 @@ def visit_window(spark, sf_dir):
     return windowed(spark, sf_dir).select("seq", "ady", "AVISIT", "AVISITN", "AWRANGE", "AWTARGET", "AWLO", "AWHI")
 
 
+@query(
+    "interval_lookup",
+    """WITH i AS (SELECT p_name, p_brand, CAST(p_partkey AS DOUBLE) / 8 AS low, (CAST(p_partkey AS DOUBLE) + 0.75::DOUBLE) / 8 AS high FROM part)
+       SELECT event_id, value, p_name, p_brand, low FROM events LEFT JOIN i ON value >= low AND value < high""",
+)
+def interval_lookup(spark, sf_dir):
+    """The interval, out of as many as there are parts, that holds a measured value."""
+    key = F.col("p_partkey").cast("double")
+    bands = table(spark, sf_dir, "part").select("p_name", "p_brand", (key / 8).alias("low"), ((key + F.lit(0.75)) / 8).alias("high"))
+    events = table(spark, sf_dir, "events").select("event_id", "value")
+    return ranges.interval_lookup(events, "value", bands, "low", "high", ["p_name", "p_brand", "low"], ends="[)")
+
+
+@query(
+    "interval_overlaps",
+    """WITH i AS (SELECT s_suppkey, CAST(s_suppkey AS DOUBLE) AS low, CASE WHEN s_suppkey % 10 > 0 THEN s_suppkey + CAST(s_nationkey AS DOUBLE) / 10 END AS high FROM supplier)
+       SELECT event_id, s_suppkey FROM events LEFT JOIN i ON value >= low AND (high IS NULL OR value <= high) WHERE event_id % 2 = 0""",
+)
+def interval_overlaps(spark, sf_dir):
+    """Every interval that holds a value, where intervals overlap or are open."""
+    first = F.col("s_suppkey").cast("double")
+    bands = table(spark, sf_dir, "supplier").select(
+        "s_suppkey", first.alias("low"), F.when(F.col("s_suppkey") % 10 > 0, first + F.col("s_nationkey").cast("double") / 10).alias("high")
+    )
+    events = table(spark, sf_dir, "events").filter("event_id % 2 = 0").select("event_id", "value")
+    return ranges.interval_lookup(events, "value", bands, "low", "high", ["s_suppkey"], overlaps="list").select("event_id", "s_suppkey")
+
+
+@query(
+    "visit_window_table",
+    with_views("results", """, w AS (SELECT ['click', 'error', 'purchase', 'signup', 'view'][n_nationkey % 5 + 1] AS paramcd, n_name, n_nationkey,
+          CASE WHEN n_nationkey >= 5 THEN (n_nationkey // 5) * 6 + n_nationkey % 5 END AS wlo, CASE WHEN n_nationkey < 20 THEN (n_nationkey // 5) * 6 + n_nationkey % 5 + 5 END AS whi FROM nation)
+      SELECT seq, ady, n_name AS "AVISIT", n_nationkey AS "AVISITN", wlo AS "AWLO", whi AS "AWHI"
+      FROM results r LEFT JOIN w ON w.paramcd = r.paramcd AND (wlo IS NULL OR ady >= wlo) AND (whi IS NULL OR ady <= whi) AND ady IS NOT NULL"""),
+)
+def visit_window_table(spark, sf_dir):
+    """Analysis visits from a table of windows that differ by parameter, the outer ones open."""
+    n, number = table(spark, sf_dir, "nation"), F.col("n_nationkey")
+    start = F.floor(number / 5).cast("int") * 6 + number % 5
+    windows = n.select(
+        F.element_at(F.array(*[F.lit(p) for p in PARAMS]), (number % 5 + 1).cast("int")).alias("paramcd"), F.col("n_name").alias("AVISIT"), number.alias("AVISITN"),
+        F.lit(None).cast("string").alias("AWRANGE"), F.lit(None).cast("int").alias("AWTARGET"),
+        F.when(number >= 5, start).cast("int").alias("AWLO"), F.when(number < 20, start + 5).cast("int").alias("AWHI"),
+    )
+    found = ranges.visit_of_day_table(results(spark, sf_dir), windows, "ady", ["paramcd"])
+    return found.select("seq", "ady", "AVISIT", "AVISITN", "AWLO", "AWHI")
+
+
 _CLOSEST = """, closest AS (SELECT *, abs(awtarget - ady) AS awtdiff, CASE WHEN avisit IS NOT NULL AND ROW_NUMBER() OVER (
           PARTITION BY usubjid, paramcd, avisit ORDER BY abs(awtarget - ady), awtarget - ady, seq) = 1 THEN 'Y' END AS anl01fl
         FROM windowed)"""
