@@ -94,16 +94,17 @@ def lone_keys(base: DataFrame, compare: DataFrame, keys: Sequence[str]) -> DataF
 
 def compare_datasets(
     base: DataFrame, compare: DataFrame, keys: Sequence[str] | None = None, order: Sequence[str] | None = None,
-    tolerance: float = _TOLERANCE,
+    tolerance: float = _TOLERANCE, unique: bool = False,
 ) -> Comparison:
     """Compare two tables by key, or by row position in ``order`` when no keys are given.
 
-    By position both tables are numbered first, which runs a job for each (``number_rows``).
+    By position both tables are numbered first, which runs a small job for each
+    (``number_rows``; ``unique``: no rows tie in the order).
     """
     schema = compare_schemas(base, compare)
     if keys is None:
         order = list(order or base.columns)
-        base, compare, keys = number_rows(base, order), number_rows(compare, order), ["row_no"]
+        base, compare, keys = number_rows(base, order, unique=unique), number_rows(compare, order, unique=unique), ["row_no"]
     found = findings(base, compare, keys, tolerance)
     diffs = found.filter("side = 'DIFF'").drop("side")
     return Comparison(

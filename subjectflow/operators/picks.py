@@ -12,6 +12,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from subjectflow.functions.cells import col
 from subjectflow.operators.joins import lookup_join
@@ -169,25 +170,55 @@ def flag_group_max(
     return out if max_name else out.drop(top)
 
 
-def number_rows(df: DataFrame, order: Sequence[str | Column], name: str = "row_no") -> DataFrame:
-    """Global 1-based row numbers in ``order`` without a single-task window.
+#: Ranges of a global order are found in two steps of this many; rows sampled per range; rows of a range that are worth another.
+_STEP, _SAMPLED, _RANGE_ROWS = 32, 16, 100_000
 
-    A range sort is checkpointed with its (partition, position) numbers; partition
-    sizes give the offsets.
-    """
-    from subjectflow.session import ensure_checkpoint_dir
 
-    ensure_checkpoint_dir(df.sparkSession)
-    placed = df.orderBy(*sort_keys(order)).withColumn("_mid", F.monotonically_increasing_id()).checkpoint()
-    placed = placed.withColumn("_pid", F.shiftright("_mid", 33)).withColumn(
-        "_pos", F.col("_mid") - F.shiftleft(F.col("_pid"), 33)
-    )
-    sizes = placed.groupBy("_pid").agg(F.count("*").alias("_n"))
-    # One row per shuffle partition, so this window is small whatever the data size.
-    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-    return (
-        placed.join(F.broadcast(offsets), "_pid")
-        .withColumn(name, F.col("_before") + F.col("_pos") + 1)
-        .drop("_mid", "_pid", "_pos", "_before")
-    )
+def _reached(keys: Sequence[tuple[Column, bool]], bound: Column) -> Column:
+    """Whether a row stands at or behind a bound in the order of ``sort_keys``: nulls last, either direction."""
+    test = F.lit(True)
+    for i, (c, down) in reversed(list(enumerate(keys))):
+        other = bound[f"k{i}"]
+        beyond = F.when(c.isNull(), other.isNotNull()).otherwise(F.coalesce(c < other if down else c > other, F.lit(False)))
+        test = beyond | (c.eqNullSafe(other) & test)
+    return test
+
+
+def number_rows(df: DataFrame, order: Sequence[str | Column], name: str = "row_no", unique: bool = False) -> DataFrame:
+    """Global 1-based row numbers in ``order`` without a single-task window or a checkpoint.
+
+    Bounds that cut the order into up to 1,024 ranges come from a sample of some 16,000 rows
+    (those whose hashes are smallest, so reruns agree), for which a job is run. The rows of a
+    range are numbered together, after the rows of the ranges before, whose counts are one
+    row per range. Rows that tie in ``order`` are told apart by a hash of the whole row, unless
+    the order is ``unique``; then only its columns are read for sample and counts.
+    """
+    keys = [(F.col(o[1:] if o.startswith("-") else o) if isinstance(o, str) else o, isinstance(o, str) and o.startswith("-")) for o in order]
+    hashed = [f"`{f.name}`" for f in df.schema if not isinstance(f.dataType, T.MapType)]
+    if not unique:
+        keys.append((F.xxhash64(*hashed), False))
+    sort = [c.desc_nulls_last() if down else c.asc_nulls_last() for c, down in keys]
+    parts = [c.alias(f"k{i}") for i, (c, _) in enumerate(keys)]
+    rows = df.select(*parts)
+    sample = rows.withColumn("_h", F.xxhash64(*rows.columns, F.lit(29))).orderBy("_h").limit(_SAMPLED * _STEP**2)
+    ordered = [F.col(f"k{i}").desc_nulls_last() if down else F.col(f"k{i}").asc_nulls_last() for i, (_, down) in enumerate(keys)]
+    places = sample.select(F.struct(*rows.columns).alias("b"), "_h", F.ntile(_STEP**2).over(Window.orderBy(*ordered)).alias("_t"), F.row_number().over(Window.orderBy(*ordered)).alias("_n"))
+    cuts = places.groupBy("_t").agg(F.to_json(F.min_by("b", "_n")).alias("b"), F.max("_h").alias("h"), F.count("*").alias("n")).orderBy("_t").collect()
+    # the largest of the smallest hashes tells about how many rows there are
+    seen, reach = sum(r["n"] for r in cuts), max((r["h"] for r in cuts), default=0) + (1 << 63)
+    about = seen if seen < _SAMPLED * _STEP**2 else seen * (1 << 64) // max(1, reach)
+    ranges = min(len(cuts), 1 + about // _RANGE_ROWS)
+    # one literal: bounds in groups; a format that shortens a value only moves a bound
+    texts = [cuts[i * len(cuts) // ranges]["b"] for i in range(1, ranges)] if cuts else []
+    groups = "[" + ",".join("[" + ",".join(texts[i : i + _STEP]) + "]" for i in range(0, len(texts), _STEP)) + "]"
+    known = F.from_json(F.lit(groups), T.ArrayType(T.ArrayType(T.StructType([T.StructField(f.name, f.dataType) for f in rows.schema]))))
+    coarse = F.size(F.filter(known, lambda g: _reached(keys, g[0])))
+    fine = F.filter(F.element_at(known, F.greatest(coarse, F.lit(1))), lambda b: _reached(keys, b))
+    place = F.when(coarse > 0, coarse * _STEP + F.size(fine)).otherwise(0) if texts else F.lit(0)
+    placed = df.withColumn("_range", place)
+    # at most one row per range, so this window and the broadcast are small whatever the data size
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = placed.groupBy("_range").agg(F.count("*").alias("_n"))
+    offsets = sizes.select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    within = F.row_number().over(Window.partitionBy("_range").orderBy(*sort))
+    return placed.withColumn(name, within).join(F.broadcast(offsets), "_range").withColumn(name, F.col("_before") + F.col(name)).drop("_range", "_before")

@@ -95,8 +95,22 @@ def column_labels(spark, sf_dir):
 @query("sorted_position", "SELECT c_custkey, row_number() OVER (ORDER BY c_custkey) AS row_no FROM customer")
 def sorted_position(spark, sf_dir):
     """Position of each row after the specification's sort."""
-    placed = spec.conform(table(spark, sf_dir, "customer"), CUSTOMER_SPEC, sort=True).select("c_custkey", F.monotonically_increasing_id().alias("at"))
-    return picks.number_rows(placed, ["at"]).select("c_custkey", "row_no")
+    placed = spec.conform(table(spark, sf_dir, "customer"), CUSTOMER_SPEC)
+    return picks.number_rows(placed, CUSTOMER_SPEC.keys, unique=True).select("c_custkey", "row_no")
+
+
+@query(
+    "tied_position",
+    """SELECT event_type, CAST(floor(value) AS BIGINT) AS v, COUNT(*) AS n, MIN(p) AS first_no, MAX(p) AS last_no
+       FROM (SELECT event_type, value, row_number() OVER (ORDER BY event_type DESC, CASE WHEN CAST(floor(value) AS BIGINT) % 7 > 0 THEN CAST(floor(value) AS BIGINT) END NULLS LAST, CAST(floor(value) AS BIGINT)) AS p FROM events)
+       GROUP BY 1, 2""",
+)
+def tied_position(spark, sf_dir):
+    """The span of positions of rows that tie, in an order down and up with missing values last."""
+    v = F.floor("value")
+    e = table(spark, sf_dir, "events").select("event_id", "event_type", v.alias("v"), F.when(v % 7 > 0, v).alias("w"))
+    placed = picks.number_rows(e, ["-event_type", "w", "v"])
+    return placed.groupBy("event_type", "v").agg(F.count("*").alias("n"), F.min("row_no").alias("first_no"), F.max("row_no").alias("last_no"))
 
 
 @query(

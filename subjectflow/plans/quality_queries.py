@@ -292,7 +292,7 @@ def position_compare(spark, sf_dir):
     """Comparison by row position in a given order, for tables without keys."""
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus")
     doubled = o.withColumn("o_totalprice", F.when(F.col("o_orderstatus") == "P", F.col("o_totalprice") * 2).otherwise(F.col("o_totalprice")))
-    found = compare.compare_datasets(o, doubled, order=["o_orderkey"])
+    found = compare.compare_datasets(o, doubled, order=["o_orderkey"], unique=True)
     return found.differences.select("row_no", "variable")
 
 

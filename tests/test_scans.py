@@ -73,3 +73,31 @@ def test_scan_equals_the_plain_fold(spark, backwards, exclusive):
     for g, i, _, _ in rows:
         seen = [v for h, j, _, v in rows if h == g and ((j >= i if backwards else j <= i) and (not exclusive or j != i))]
         assert got[g, i][0] == sum(seen) and got[g, i][1] == pytest.approx(np.prod([v / 6 for v in seen]))
+
+
+@pytest.mark.parametrize("rows_of_range", [20, 1000, 10**9])
+def test_row_numbers_in_any_direction_with_ties(spark, monkeypatch, rows_of_range):
+    from subjectflow.operators import picks
+
+    monkeypatch.setattr(picks, "_RANGE_ROWS", rows_of_range)
+    rows = [(chance, n % 13 if n % 5 else None, f"t{n % 3}", {"m": n}) for n, chance in enumerate(np.random.default_rng(3).integers(0, 40, 30_000).tolist())]
+    df = spark.createDataFrame(rows, "a int, b int, c string, d map<string,int>").repartition(7)
+    got = picks.number_rows(df, ["-b", "a"]).select("row_no", "a", "b").collect()
+    assert sorted(r.row_no for r in got) == list(range(1, 30_001))
+    ordered = [(r.b is None, -(r.b or 0), r.a) for r in sorted(got, key=lambda r: r.row_no)]
+    assert ordered == sorted(ordered)
+    again = picks.number_rows(df.repartition(3), ["-b", "a", "c"]).agg(F.sum(F.shiftright(F.xxhash64("row_no", "a", "b", "c"), 20))).first()[0]
+    assert again == picks.number_rows(df, ["-b", "a", "c"]).agg(F.sum(F.shiftright(F.xxhash64("row_no", "a", "b", "c"), 20))).first()[0]
+    plan = picks.number_rows(df, ["a"])._jdf.queryExecution().optimizedPlan().toString()
+    windows = [line for line in plan.splitlines() if "Window [row_number" in line]
+    assert "Checkpoint" not in plan and (rows_of_range == 10**9 or windows and all("_range#" in w for w in windows))
+
+
+def test_row_numbers_of_few_rows(spark):
+    from subjectflow.operators import picks
+
+    one = spark.createDataFrame([("x",)], "a string")
+    assert [tuple(r) for r in picks.number_rows(one, ["a"]).collect()] == [("x", 1)]
+    assert picks.number_rows(one.limit(0), ["a"]).collect() == []
+    same = spark.createDataFrame([(float("nan"),), (None,), (1.0,), (1.0,)], "a double")
+    assert sorted(str(r.a) + str(r.row_no) for r in picks.number_rows(same, ["-a"]).collect()) == ["1.02", "1.03", "None4", "nan1"]
