@@ -167,6 +167,25 @@ def filled_cells(df: DataFrame) -> DataFrame:
     return counts.select(F.explode(rows).alias("_e")).select("_e.*")
 
 
+def _canonical(c: Column, kind: T.DataType) -> Column:
+    """Text of a cell that doesn't depend on how its type prints: numbers in whole thousandths, moments in microseconds."""
+    if isinstance(kind, (T.DoubleType, T.FloatType, T.DecimalType)):
+        return F.floor(c.cast("double") * 1000).cast("string")
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        return F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS")
+    if isinstance(kind, T.ArrayType):
+        return F.array_join(F.transform(c, lambda x: _canonical(x, kind.elementType)), ",", "")
+    return c.cast("string")
+
+
+def cell_digests(df: DataFrame) -> DataFrame:
+    """``filled_cells`` with ``digest``, the sum over the cells of 32 bits of their text's md5: one pass."""
+    hashed = {f.name: F.conv(F.substring(F.md5(_canonical(F.col(f"`{f.name}`"), f.dataType).cast("binary")), 1, 8), 16, 10).cast("long") for f in df.schema}
+    counts = df.agg(*[F.count(F.col(f"`{c}`")).alias(f"n{i}") for i, c in enumerate(hashed)], *[F.coalesce(F.sum(h), F.lit(0)).alias(f"d{i}") for i, h in enumerate(hashed.values())])
+    rows = F.array(*[F.struct(F.lit(c).alias("variable"), F.col(f"n{i}").alias("n_filled"), F.col(f"d{i}").alias("digest")) for i, c in enumerate(hashed)])
+    return counts.select(F.explode(rows).alias("_e")).select("_e.*")
+
+
 def variable_labels(wanted: DataFrame, tables: dict[str, DataFrame]) -> DataFrame:
     """Attach the distinct labels of all tables to a (variable, dataset) list."""
     labels = schema_frame(wanted.sparkSession, tables).select(F.col("name").alias("variable"), "label").distinct()

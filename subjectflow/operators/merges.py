@@ -105,10 +105,14 @@ def supp_wide(
 def join_supp(
     parent: DataFrame, supp: DataFrame, subject: Sequence[str], names: Sequence[str], seq: str, **columns
 ) -> DataFrame:
-    """Attach supplemental qualifiers to their parent records."""
+    """Attach supplemental qualifiers to their parent records.
+
+    Keys are compared as numbers. Texts of one subject that read as the same number, such as
+    ``1`` and `` 1``, would give a parent several rows: that is an error at run time.
+    """
     wide = supp_wide(supp, subject, names, seq, **columns)
-    kind = parent.schema[seq].dataType
-    return parent.join(wide.withColumn(seq, F.col(seq).cast(kind)), [*subject, seq], "left")
+    wide = wide.withColumn(seq, F.col(seq).cast(parent.schema[seq].dataType)).filter(F.col(seq).isNotNull())
+    return lookup_join(parent, one_per_key(wide, [*subject, seq]), [*subject, seq])
 
 
 def map_codelist(

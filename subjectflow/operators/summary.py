@@ -235,12 +235,18 @@ def pad_rows(rows: DataFrame, n: int = 1, order: str = "ord") -> DataFrame:
 
 
 def arm_header(
-    df: DataFrame, arm: str, arm_order: str, counts: DataFrame, n: str = "n", pattern: str = "|%s\\line(N=%s)"
+    df: DataFrame, arm: str, arm_order: str, counts: DataFrame, n: str = "n", pattern: str = "|%s\\line(N=%s)",
+    names: Sequence[str] | None = None,
 ) -> DataFrame:
-    """One header text: the distinct arms in order, each with its population count.
+    """One header text: the arms in order, each with its population count.
 
-    ``counts`` holds one row per arm, so the collected set is as small as the arm list.
+    With ``names``, the arms of the report, the counts go to fixed places of one row. Without
+    them the arms that occur are gathered into it, which suits columns of few values only.
     """
+    if names is not None:
+        found = counts.filter(F.col(arm).isin(list(names))).agg(*[F.max(F.when(F.col(arm) == a, F.col(n))).alias(f"_{i}") for i, a in enumerate(names)])
+        texts = [F.format_string(pattern, F.lit(a), F.coalesce(F.col(f"_{i}"), F.lit(0)).cast("string")) for i, a in enumerate(names)]
+        return found.select(F.concat(*texts).alias("header"))
     arms = df.filter(F.col(arm).isNotNull()).select(arm, arm_order).distinct()
     labelled = arms.join(counts, arm, "left").select(
         F.struct(F.col(arm_order), F.format_string(pattern, F.col(arm), F.col(n).cast("string")).alias("text")).alias("_h")

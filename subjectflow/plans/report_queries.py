@@ -314,9 +314,30 @@ def ancova_factor_nocov(spark, sf_dir):
     return _factor_rows(factor_fit(spark, sf_dir, None))
 
 
-@query("ancova_factor_report")
+def _number_sql(expression: str, digits: int, size: int, int_len: int) -> str:
+    """Text of a number on its decimal point, padded on the right; no sign before a zero."""
+    text = f"printf('%{int_len + digits + 1}.{digits}f', {expression})"
+    text = f"CASE WHEN CAST(trim({text}) AS DOUBLE) = 0 THEN printf('%{int_len + digits + 1}.{digits}f', abs({expression})) ELSE {text} END"
+    return f"rpad({text}, CAST(greatest({size}, length({text})) AS INTEGER), ' ')"
+
+
+_FACTOR_REPORT = _critical("r") + f""", v AS (SELECT test, e, se, {_t_p("(e / se)", "df")} AS p, e - q * se AS lo, e + q * se AS hi FROM r JOIN q USING (df)),
+      t AS (SELECT test, {_number_sql("p", 3, 12, 4)} AS p, {_number_sql("e", 1, 4, 2)} || ' (' || {_number_sql("se", 2, 4, 1)} || ')' AS d,
+          '(' || {_number_sql("lo", 1, 4, 2)} || ';' || {_number_sql("hi", 1, 3, 1)} || ')' AS c FROM v),
+      g AS (SELECT -1 AS ord, 'High Dose' AS arm, p AS txt FROM t WHERE test = 'dose'
+        UNION ALL SELECT 0, 'High Dose', '' FROM t WHERE test = 'dose'
+        UNION ALL SELECT x.ord, b.arm, CASE (x.ord - 1) % 4 WHEN 0 THEN p WHEN 1 THEN d WHEN 2 THEN c ELSE '' END
+          FROM t JOIN (VALUES ('Lo - Pbo', 'Low Dose', 1, 4), ('Hi - Pbo', 'High Dose', 1, 4), ('Hi - Lo', 'High Dose', 5, 7)) b(test, arm, a, z) USING (test)
+          JOIN (SELECT unnest(range(1, 8)) AS ord) x ON x.ord BETWEEN b.a AND b.z)
+      SELECT CAST(ord AS INTEGER) AS ord, CASE ord WHEN -1 THEN 'p-value(Dose Response) [1][2]' WHEN 1 THEN 'p-value(Xan - Placebo) [1][3]' WHEN 5 THEN 'p-value(Xan High - Xan Low) [1][3]'
+          WHEN 2 THEN '  Diff of LS Means (SE)' WHEN 6 THEN '  Diff of LS Means (SE)' WHEN 3 THEN '  95% CI' WHEN 7 THEN '  95% CI' ELSE '' END AS row_label,
+        coalesce(max(txt) FILTER (arm = 'Low Dose'), '') AS "var1_Low Dose", coalesce(max(txt) FILTER (arm = 'High Dose'), '') AS "var1_High Dose"
+      FROM g GROUP BY ord"""
+
+
+@query("ancova_factor_report", _recursive(with_views("subject based", _ARM_ROWS + _FACTOR + _FACTOR_REPORT)))
 def ancova_factor_report(spark, sf_dir):
-    """Model rows as label x arm report text (its numbers are those of ancova_factor)."""
+    """Model rows as label x arm report text."""
     from subjectflow.plans.reports import efficacy_rows
 
     names = {"Lo - Pbo": ("Low Dose", 1), "Hi - Pbo": ("High Dose", 1), "Hi - Lo": ("High Dose", 5)}

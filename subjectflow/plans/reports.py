@@ -146,7 +146,7 @@ def primary_endpoint(adsl: DataFrame, adadas: DataFrame, arms: Sequence[str] = t
         (F.col("EFFFL") == "Y") & (F.col("ITTFL") == "Y") & (F.col("PARAMCD") == "ACTOT") & (F.col("ANL01FL") == "Y")
     )
     population = population_n(adsl.filter((F.col("EFFFL") == "Y") & (F.col("ITTFL") == "Y")).withColumnRenamed("TRT01P", "TRTP"), "TRTP", "USUBJID")
-    header = summary.arm_header(rows, "TRTP", "TRTPN", population).select(
+    header = summary.arm_header(rows, "TRTP", "TRTPN", population, names=arms).select(
         F.replace("header", F.lit("|Xanomeline "), F.lit("|Xanomeline\\line ")).alias("header")
     )
     layers = [

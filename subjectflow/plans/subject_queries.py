@@ -83,7 +83,7 @@ def population_n(spark, sf_dir):
 def arm_header(spark, sf_dir):
     """Column header text with the arms in order and their population counts."""
     s = subjects(spark, sf_dir).filter(IN_ARM)
-    return summary.arm_header(s, "arm", "armn", summary.population_n(s, "arm", "usubjid"))
+    return summary.arm_header(s, "arm", "armn", summary.population_n(s, "arm", "usubjid"), names=ARMS)
 
 
 @query(

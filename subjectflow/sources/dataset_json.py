@@ -148,6 +148,9 @@ def _cell(f: T.StructField) -> Column:
         c = F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
     elif isinstance(f.dataType, (T.StructType, T.ArrayType, T.MapType)):
         c = F.to_json(c)
+    if isinstance(f.dataType, (T.NumericType, T.DatetimeType, T.TimestampNTZType)):  # nothing to escape
+        quoted = F.concat(F.lit('"'), c.cast("string"), F.lit('"'))
+        return F.coalesce(quoted, F.lit("null"))
     quoted = F.to_json(F.array(c.cast("string")))
     return F.when(c.isNull(), F.lit("null")).otherwise(F.substring(quoted, 2, F.length(quoted) - 2))
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +14,9 @@ from subjectflow.operators.spec import profile_columns
 from subjectflow.sources.dataset_json import read_dataset_json, read_dataset_ndjson, write_dataset_ndjson
 from subjectflow.sources.splits import numbered_lines
 
+#: Tables that a folder conversion writes at the same time.
+AT_ONCE = 8
+
 
 def load_tables(
     spark: SparkSession, folder: str, names: Iterable[str], fmt: str = "parquet", blanks_as_null: bool = False,
@@ -60,13 +64,15 @@ def convert_folder(
 
     Names matching ``skip`` are left out. The object id is the lower-case table name.
     """
+    chosen = [name for name in names or tables if not re.search(skip, name.lower())]
+
+    def write(name: str) -> None:
+        write_dataset_ndjson(tables[name], f"{target}/{name.lower()}", name.lower(), (labels or {}).get(name.lower(), ""))
+
+    with ThreadPoolExecutor(AT_ONCE) as pool:  # small tables don't fill a cluster: their jobs run side by side
+        list(pool.map(write, chosen))
     profiles = None
-    for name in names or tables:
-        if re.search(skip, name.lower()):
-            continue
-        oid = name.lower()
-        df = tables[name]
-        write_dataset_ndjson(df, f"{target}/{oid}", oid, (labels or {}).get(oid, ""))
-        part = profile_columns(df).select(F.lit(oid).alias("dataset"), "*")
+    for name in chosen:
+        part = profile_columns(tables[name]).select(F.lit(name.lower()).alias("dataset"), "*")
         profiles = part if profiles is None else profiles.unionByName(part)
     return profiles

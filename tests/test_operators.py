@@ -379,3 +379,25 @@ def test_comparison_with_itself_and_with_repeated_keys(spark):
     other = spark.createDataFrame([(1, "x"), (4, "b")], "k bigint, v string")
     got = sorted((r.k is None, r.k, r.side, r.variable) for r in compare.findings(df, other, ["k"]).collect())
     assert got == [(False, 1, "DIFF", "v"), (False, 3, "BASE", None), (False, 4, "COMPARE", None), (True, None, "BASE", None)]
+
+
+def test_supplemental_keys_that_read_as_one_number(spark):
+    parent = spark.createDataFrame([("s", 1), ("s", 2)], "u string, seq int")
+    supp = spark.createDataFrame([("s", "1", "A", "x"), ("s", " 1", "A", "y"), ("s", "odd", "A", "z")], "u string, IDVARVAL string, QNAM string, QVAL string")
+    with pytest.raises(Exception, match="duplicate key in merge"):
+        merges.join_supp(parent, supp, ["u"], ["A"], "seq").collect()
+    got = merges.join_supp(parent, supp.filter("IDVARVAL <> '1'"), ["u"], ["A"], "seq").collect()
+    assert sorted((r.seq, r.A) for r in got) == [(1, "y"), (2, None)]
+
+
+def test_arm_header_with_named_arms(spark):
+    counts = spark.createDataFrame([("A", 3), ("C", 5), ("D", 7)], "arm string, n long")
+    assert summary.arm_header(counts, "arm", "n", counts, names=["C", "B", "A"]).first()[0] == "|C\\line(N=5)|B\\line(N=0)|A\\line(N=3)"
+
+
+def test_cell_digests_see_a_changed_cell(spark):
+    df = spark.createDataFrame([(1, "a", 1.5, [1.0]), (2, None, None, None)], "i int, s string, d double, l array<float>")
+    same = {r.variable: (r.n_filled, r.digest) for r in compare.cell_digests(df).collect()}
+    changed = compare.cell_digests(df.withColumn("s", F.concat("s", F.lit("b"))).withColumn("d", F.col("d") + 0.01).repartition(3))
+    other = {r.variable: (r.n_filled, r.digest) for r in changed.collect()}
+    assert {k for k in same if same[k] != other[k]} == {"s", "d"} and same["l"][0] == 1
