@@ -6,14 +6,16 @@ one ordered pass over the sources: what capped sources can't take is shared agai
 until no target is above its cap.
 
 A source's documents are taken ``floor(target / size)`` times whole, and a seeded part of
-them once more. The part is cut by hash order (md5 of seed and id, a fixed shuffle): words
+them once more. The part is cut by hash order (md5 of seed, id and text, a fixed shuffle): words
 are first added up per hash bucket, which finds the bucket that the cut falls into; only
 the documents of that bucket are ordered. One more document, whose size fits the gap best,
 closes it. So no source is ever ordered as a whole, a source may hold any share of all
 rows, reruns agree, and what is taken differs from the target by little.
 
-A null text has size 0; null is a source of its own, the last one. Rows with the same id
-and size are ties that any of them may win. An empty table gives an empty mix.
+A null text has size 0; null is a source of its own, the last one. A null id is an id like any
+other; rows are told apart by id and text, so neither many null ids nor a repeated id fall
+into one bucket. Rows that repeat both are ties: any of them may win, and as many are sampled as
+the mix takes. An empty table gives an empty mix.
 """
 
 from __future__ import annotations
@@ -32,15 +34,20 @@ BROADCAST_SOURCES = 20_000
 
 
 def sizes(docs: DataFrame) -> DataFrame:
-    """``doc_id``, ``source``, ``size`` (words of the whole text) and ``h`` (place in the seeded shuffle, below 2^32)."""
+    """``doc_id``, ``source``, ``size`` (words of the whole text), ``mark`` (of id and text) and ``h`` (place in the seeded shuffle, below 2^32)."""
     size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
-    return docs.select("doc_id", F.col("source").cast("string").alias("source"), size.alias("size"), _place().alias("h"))
+    return docs.select("doc_id", F.col("source").cast("string").alias("source"), size.alias("size"), _mark().alias("mark")).withColumn("h", _place(F.col("mark")))
 
 
-def _place() -> Column:
-    """Place of a document in the seeded shuffle: 32 bits of a hash of its id."""
-    key = F.concat(F.lit(SEED + ":"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
-    return F.conv(F.substring(F.md5(key.cast("binary")), 1, 8), 16, 10).cast("long")
+def _mark() -> Column:
+    """md5 of seed, id and text."""
+    text = F.md5(F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary"))
+    return F.md5(F.concat(F.lit(SEED + ":"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), text).cast("binary"))
+
+
+def _place(mark: Column) -> Column:
+    """Place of a document in the seeded shuffle: 32 bits of its mark."""
+    return F.conv(F.substring(mark, 1, 8), 16, 10).cast("long")
 
 
 def targets(sized: DataFrame, epochs: int = MAX_EPOCHS) -> DataFrame:
@@ -136,18 +143,25 @@ def sample(docs: DataFrame) -> DataFrame:
     """The mix as documents: each row as often as it is taken, columns unchanged.
 
     Texts are not shuffled for the decision: whole repetitions and the cut come from the
-    source's row; only ids of the cut's bucket (some hundred per source) are looked up.
+    source's row; only marks of the cut's bucket (some hundred per source) are looked up. Of
+    rows with the same id and text the cut may take a part; only these are numbered.
     """
-    n, h, bucket, extra, s, whole, buckets, cut = fresh(docs, "n", "h", "bucket", "extra", "s", "whole", "buckets", "cut")
+    n, mark, bucket, won, equal, s, whole, buckets, cut, by, place = fresh(docs, "n", "mark", "bucket", "won", "equal", "s", "whole", "buckets", "cut", "by", "place")
     sized, per = plan(docs)
-    ids = _in_cut(sized, per).filter(F.col("extra") == 1).select(F.col("doc_id").alias(h), F.lit(1).alias(extra)).filter(F.col(h).isNotNull())
-    ids = stored(ids.dropDuplicates([h]), "mix-closing")
+    in_cut = _in_cut(sized, per).groupBy("source", "mark").agg(F.sum("extra").alias(won), F.count("*").alias(equal))
+    in_cut = stored(in_cut.filter(F.col(won) > 0).select(F.col("source").alias(by), F.col("mark").alias(place), won, equal), "mix-closing")
     right = per.select(F.col("source").alias(s), F.col("whole").alias(whole), F.col("buckets").alias(buckets), F.col("cut").alias(cut))
-    place = F.floor(_place() * F.col(buckets) / F.lit(1 << 32)).cast("long")
-    rows = docs.join(_small(right), F.col("source").cast("string").eqNullSafe(F.col(s)), "left").withColumn(bucket, place)
-    rows = rows.join(_small(ids), F.col("doc_id") == F.col(h), "left")
-    more = F.when(F.col(bucket) < F.col(cut), 1).when(F.col(bucket) == F.col(cut), F.coalesce(F.col(extra), F.lit(0))).otherwise(0)
-    times = (F.coalesce(F.col(whole), F.lit(0)) + F.coalesce(more, F.lit(0))).cast("int")
+    source = F.col("source").cast("string")
+    rows = docs.withColumn(mark, _mark()).join(_small(right), source.eqNullSafe(F.col(s)), "left")
+    rows = rows.withColumn(bucket, F.floor(_place(F.col(mark)) * F.col(buckets) / F.lit(1 << 32)).cast("long"))
+    rows = rows.join(_small(in_cut), (F.col(mark) == F.col(place)) & source.eqNullSafe(F.col(by)) & (F.col(bucket) == F.col(cut)), "left")
+    more = F.when(F.col(bucket) < F.col(cut), 1).when(F.col(won) == F.col(equal), 1).otherwise(0)
+    in_part = F.coalesce(F.col(won) < F.col(equal), F.lit(False))
+    # one group of equal rows at most is cut in a source, and one more closes its gap
+    numbered = rows.filter(in_part).withColumn(n, F.row_number().over(Window.partitionBy(s, mark).orderBy(F.lit(1))))
+    numbered = numbered.withColumn(n, (F.col(n) <= F.col(won)).cast("int"))
+    rows = rows.filter(~in_part).withColumn(n, F.coalesce(more, F.lit(0))).unionByName(numbered)
+    times = (F.coalesce(F.col(whole), F.lit(0)) + F.col(n)).cast("int")
     return rows.withColumn(n, F.explode(F.array_repeat(F.lit(1), times))).select(*docs.columns)
 
 
@@ -155,7 +169,7 @@ def sample(docs: DataFrame) -> DataFrame:
 ORACLE_SQL = """
 WITH s AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0)::BIGINT AS size,
-         ('0x' || md5('mix:' || coalesce(doc_id::VARCHAR, ''))[1:8])::BIGINT AS h FROM documents),
+         ('0x' || md5('mix:' || coalesce(doc_id::VARCHAR, '') || ':' || md5(coalesce(text, '')))[1:8])::BIGINT AS h FROM documents),
 p AS (SELECT source, count(*) AS n, sum(size)::BIGINT AS source_size FROM s GROUP BY source),
 w AS (SELECT *, (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS weight, source_size * 3 AS cap FROM p),
 l AS (SELECT *, (sum(source_size) OVER () - coalesce(sum(cap) OVER (ORDER BY cap / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
