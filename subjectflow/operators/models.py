@@ -7,15 +7,14 @@ cell by cell, so there are no indicator columns and any number of sites works.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from subjectflow.functions.stats import t_quantile, t_two_sided
+from subjectflow.operators.linear import Model, fit, gram
 
 
 def _complete(df: DataFrame, *names: str) -> DataFrame:
@@ -110,113 +109,16 @@ def pairwise_report(fit: DataFrame) -> DataFrame:
 
 
 # ------------------------------------------------- arms and an absorbed factor
-def within_factor_sums(
-    df: DataFrame, y: str, arm: str, arms: Sequence, factor: str, covariate: str | None = None
-) -> DataFrame:
-    """One row of within-factor cross products of arm indicators, covariate and response.
-
-    Level 1 reduces rows to one per factor level, with count, means and centred products
-    per arm; level 2 adds those up. Columns: ``n``, ``levels``, ``n_i`` per arm,
-    ``d_i_j`` arm by arm, ``dx_i``/``dy_i`` arm by covariate/response, ``xx``, ``xy``, ``yy``.
-    """
-    used = _complete(df.filter(F.col(arm).isin(list(arms))), y, factor, *([covariate] if covariate else []))
-    yv = F.col(y).cast("double")
-    xv = F.col(covariate).cast("double") if covariate else F.lit(0.0)
-    cells = [
-        F.count("*").alias("n"), F.avg(xv).alias("mx"), F.avg(yv).alias("my"),
-        F.var_pop(xv).alias("vx"), F.covar_pop(xv, yv).alias("cv"), F.var_pop(yv).alias("vy"),
-    ]
-    for i, a in enumerate(arms):
-        here = F.col(arm) == F.lit(a)
-        cells += [
-            F.count_if(here).alias(f"n_{i}"),
-            F.coalesce(F.avg(F.when(here, xv)), F.lit(0.0)).alias(f"mx_{i}"),
-            F.coalesce(F.avg(F.when(here, yv)), F.lit(0.0)).alias(f"my_{i}"),
-        ]
-    levels = used.groupBy(factor).agg(*cells)
-    totals = [
-        F.sum("n").alias("n"), F.count("*").alias("levels"),
-        F.sum(F.col("n") * F.col("vx")).alias("xx"),
-        F.sum(F.col("n") * F.col("cv")).alias("xy"),
-        F.sum(F.col("n") * F.col("vy")).alias("yy"),
-    ]
-    for i in range(len(arms)):
-        totals += [
-            F.sum(f"n_{i}").alias(f"n_{i}"),
-            F.sum(F.col(f"n_{i}") * (F.col(f"mx_{i}") - F.col("mx"))).alias(f"dx_{i}"),
-            F.sum(F.col(f"n_{i}") * (F.col(f"my_{i}") - F.col("my"))).alias(f"dy_{i}"),
-        ]
-        for j in range(i, len(arms)):
-            own = F.col(f"n_{i}") if i == j else F.lit(0)
-            totals.append(F.sum(own - F.col(f"n_{i}") * F.col(f"n_{j}") / F.col("n")).alias(f"d_{i}_{j}"))
-    return levels.agg(*totals)
-
-
-_FIT = "test string, estimate double, se double, df long, t double"
-
-
-def _solve(xtx: np.ndarray, xty: np.ndarray, yty: float, df: int, contrasts: dict) -> list[tuple]:
-    """Least squares on the normal equations of a few regressors."""
-    inverse = np.linalg.pinv(xtx, hermitian=True)
-    beta = inverse @ xty
-    sse = max(yty - float(beta @ xty), 0.0)
-    s2 = sse / df if df > 0 else math.nan
-    out = []
-    for name, c in contrasts.items():
-        estimable = np.allclose(c @ inverse @ xtx, c, atol=1e-8)
-        estimate = float(c @ beta) if estimable else math.nan
-        se = math.sqrt(s2 * float(c @ inverse @ c)) if estimable and df > 0 else math.nan
-        out.append((name, estimate, se, df, estimate / se if se and se > 0 else math.nan))
-    return out
-
-
-def fit_factor_models(sums: DataFrame, arms: Sequence, doses: Sequence[float], labels: Sequence[str], covariate: bool = True) -> DataFrame:
-    """Contrasts of both models from the one row of sums.
-
-    ``dose``: slope of the numeric dose (its F test with one degree of freedom is t
-    squared). ``A - B``: every pairwise arm contrast with the arms as a factor. Residual
-    df is rows less factor levels less regressors. A contrast with an empty arm is null.
-    """
-    k = len(arms)
-
-    def solve(batches):
-        for pdf in batches:
-            rows = []
-            for _, r in pdf.iterrows():
-                d = np.array([[r[f"d_{min(i, j)}_{max(i, j)}"] for j in range(k)] for i in range(k)], dtype=float)
-                dx = np.array([r[f"dx_{i}"] for i in range(k)], dtype=float)
-                dy = np.array([r[f"dy_{i}"] for i in range(k)], dtype=float)
-                w = np.array(doses, dtype=float)
-                extra = [0.0] if covariate else []
-                base = int(r["n"]) - int(r["levels"]) - (1 if covariate else 0)
-
-                def normal(a, ax, ay):
-                    if not covariate:
-                        return a, ay
-                    top = np.column_stack([a, ax])
-                    return np.vstack([top, np.append(ax, r["xx"])]), np.append(ay, r["xy"])
-
-                a, ay = normal(np.array([[w @ d @ w]]), np.array([w @ dx]), np.array([w @ dy]))
-                rows += _solve(a, ay, r["yy"], base - 1, {"dose": np.array([1.0, *extra])})
-                present = [i for i in range(k) if r[f"n_{i}"] > 0]
-                free = present[:-1]  # the last present arm is the reference
-                a, ay = normal(d[np.ix_(free, free)], dx[free], dy[free])
-                contrasts = {}
-                for i in range(k):
-                    for j in range(i + 1, k):
-                        if i in present and j in present:
-                            c = np.zeros(len(free))
-                            if i in free:
-                                c[free.index(i)] += 1
-                            if j in free:
-                                c[free.index(j)] -= 1
-                            contrasts[f"{labels[i]} - {labels[j]}"] = np.array([*c, *extra])
-                rows += _solve(a, ay, r["yy"], base - len(free), contrasts)
-            yield pd.DataFrame(rows, columns=["test", "estimate", "se", "df", "t"])
-
-    fitted = sums.filter(F.col("n") > 0).mapInPandas(solve, _FIT)
-    nulls = [F.nanvl(F.col(c), F.lit(None).cast("double")).alias(c) for c in ("estimate", "se", "t")]
-    return fitted.select("test", nulls[0], nulls[1], "df", nulls[2])
+def _factor_models(arms: Sequence, doses: Sequence[float], labels: Sequence[str], covariate: bool) -> dict[str, Model]:
+    """``dose``: slope of the numeric dose (its F test with one degree of freedom is t squared);
+    ``arms``: every pairwise contrast with the arms as a factor. Both beside the covariate, if any."""
+    k, x = len(arms), {"x": {"x": 1.0}} if covariate else {}
+    dose = {f"arm{i}": float(w) for i, w in enumerate(doses)}
+    pairs = {f"{labels[i]} - {labels[j]}": {f"arm{i}": 1.0, f"arm{j}": -1.0} for i in range(k) for j in range(i + 1, k)}
+    return {
+        "dose": Model({"dose": dose, **x}, "y", {"dose": {"dose": 1.0}}),
+        "arms": Model({**{f"arm{i}": {f"arm{i}": 1.0} for i in range(k)}, **x}, "y", pairs),
+    }
 
 
 def ancova_factor(
@@ -225,11 +127,15 @@ def ancova_factor(
 ) -> DataFrame:
     """Dose-response test and pairwise contrasts of ``y ~ arm + factor (+ covariate)``.
 
-    Pairwise limits use the t quantile, p-values are unadjusted.
+    Pairwise limits use the t quantile, p-values are unadjusted. Both models come from one
+    row of sums (``linear.gram``); a contrast with an empty arm has no row.
     """
-    sums = within_factor_sums(df, y, arm, arms, factor, covariate)
-    fit = fit_factor_models(sums, arms, doses, labels, covariate is not None)
-    q = fit.withColumns({"p_value": t_p_value(F.col("t"), F.col("df")), "_q": t_critical(F.col("df"))})
+    columns = {f"arm{i}": (F.col(arm) == F.lit(a)).cast("double") for i, a in enumerate(arms)} | {"y": F.col(y)}
+    if covariate:
+        columns["x"] = F.col(covariate)
+    sums = gram(df.filter(F.col(arm).isin(list(arms))), columns, factor)
+    found = fit(sums, list(columns), _factor_models(arms, doses, labels, covariate is not None))
+    q = found.withColumns({"p_value": t_p_value(F.col("t"), F.col("df")), "_q": t_critical(F.col("df"))})
     return q.select(
         "test", "estimate", "se", "df",
         (F.col("estimate") - F.col("_q") * F.col("se")).alias("lower"),

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from subjectflow.functions import formats
-from subjectflow.operators import longitudinal, merges, models, summary, survival
-from subjectflow.plans.analogs import ARM_NUMBERS, ARMS, baselined, raw_results, reference_dates, steady, subjects, with_views
+from subjectflow.operators import linear, longitudinal, merges, models, summary, survival
+from subjectflow.plans.analogs import ARM_NUMBERS, ARMS, baselined, raw_results, reference_dates, steady, subjects, table, with_views
 from subjectflow.plans.registry import query
 
 # ------------------------------------------------------------------- time to event
@@ -213,9 +213,12 @@ _TWO_ARM_ROWS = """      SELECT n1, n2, round(b + 3e-10, 6) AS slope, df, round(
       FROM m"""
 
 
+def two_arm_rows(spark, sf_dir):
+    return arm_rows(spark, sf_dir).filter("paramcd = 'purchase' AND AVISITN = 2 AND arm IN ('Placebo', 'High Dose')")
+
+
 def two_arm_fit(spark, sf_dir):
-    rows = arm_rows(spark, sf_dir).filter("paramcd = 'purchase' AND AVISITN = 2 AND arm IN ('Placebo', 'High Dose')")
-    return models.ancova_two_arm(rows, "chg", "base", "arm", ["High Dose", "Placebo"])
+    return models.ancova_two_arm(two_arm_rows(spark, sf_dir), "chg", "base", "arm", ["High Dose", "Placebo"])
 
 
 @query("ancova_two_arm", with_views("subject based", _ARM_ROWS + _TWO_ARM + _TWO_ARM_ROWS))
@@ -344,3 +347,68 @@ def ancova_factor_report(spark, sf_dir):
     return efficacy_rows(factor_fit(spark, sf_dir), names, "High Dose", ["Low Dose", "High Dose"])
 
 
+@query(
+    "linear_two_arm",
+    with_views("subject based", _ARM_ROWS + _TWO_ARM + """
+      SELECT round(b + 3e-10, 6) AS slope, round(y1 - y2 - b * (x1 - x2) + 3e-10, 6) AS diff,
+        round(sqrt(s2 * (1.0 / n1 + 1.0 / n2 + (x1 - x2) * (x1 - x2) / sxx)) + 3e-10, 6) AS diff_se, df, round(sqrt(sse / n) + 3e-10, 6) AS rmse FROM m"""),
+)
+def linear_two_arm(spark, sf_dir):
+    """Change on baseline and one arm, as a call of the general model: the numbers of the two-arm analysis."""
+    rows = two_arm_rows(spark, sf_dir)
+    fitted = linear.linear_model(rows, "chg", {"base": F.col("base"), "high": (F.col("arm") == "High Dose").cast("double")})
+    of = lambda term, c: F.max(F.when(F.col("term") == term, F.col(c)))
+    out = fitted.agg(
+        of("base", "estimate").alias("slope"), of("high", "estimate").alias("diff"), of("high", "se").alias("diff_se"), F.max("df").alias("df"), F.max("rmse").alias("rmse"),
+    )
+    return out.select(*[steady(c).alias(c) for c in ("slope", "diff", "diff_se", "rmse")], "df")
+
+
+_LINES = """WITH d AS (SELECT l_suppkey AS g, l_quantity AS a, l_discount * 100 AS b, l_tax * 100 AS c, l_extendedprice / 1000 AS y FROM lineitem),
+      {centred},
+      s AS (SELECT sum(a*a) aa, sum(a*b) ab, sum(a*c) ac, sum(b*b) bb, sum(b*c) bc, sum(c*c) cc, sum(a*y) ay, sum(b*y) "by", sum(c*y) cy, sum(y*y) yy,
+        count(*) - {levels} - 3 AS df, any_value(ma) AS ma, any_value(mb) AS mb, any_value(mc) AS mc, any_value(my) AS my, count(*) AS n FROM k),
+      i AS (SELECT *, aa*(bb*cc - bc*bc) - ab*(ab*cc - bc*ac) + ac*(ab*bc - bb*ac) AS dd FROM s),
+      v AS (SELECT *, (bb*cc - bc*bc)/dd AS iaa, (ac*bc - ab*cc)/dd AS iab, (ab*bc - ac*bb)/dd AS iac, (aa*cc - ac*ac)/dd AS ibb, (ab*ac - aa*bc)/dd AS ibc, (aa*bb - ab*ab)/dd AS icc FROM i),
+      e AS (SELECT *, iaa*ay + iab*"by" + iac*cy AS ba, iab*ay + ibb*"by" + ibc*cy AS bb_, iac*ay + ibc*"by" + icc*cy AS bc_ FROM v),
+      f AS (SELECT *, (yy - ba*ay - bb_*"by" - bc_*cy) / df AS s2 FROM e)
+      SELECT term, round(estimate + 3e-10, 6) AS estimate, round(se + 3e-10, 6) AS se, CAST(df AS BIGINT) AS df, aliased FROM (
+        SELECT 'quantity' AS term, ba AS estimate, sqrt(s2*iaa) AS se, df, false AS aliased FROM f
+        UNION ALL SELECT 'discount', bb_, sqrt(s2*ibb), df, false FROM f UNION ALL SELECT 'tax', bc_, sqrt(s2*icc), df, false FROM f
+        UNION ALL SELECT 'mixed', NULL, NULL, df, true FROM f{more})"""
+
+def _line_model(spark, sf_dir, absorb):
+    """Price on quantity, discount, tax and a term that the first and third make up."""
+    d = table(spark, sf_dir, "lineitem").select(
+        "l_suppkey", F.col("l_quantity").alias("quantity"), (F.col("l_discount") * 100).alias("discount"), (F.col("l_tax") * 100).alias("tax"),
+        (F.col("l_extendedprice") / 1000).alias("price"),
+    )
+    d = d.withColumn("mixed", F.col("quantity") * 2 - F.col("tax"))
+    found = linear.linear_model(d, "price", ["quantity", "discount", "tax", "mixed"], absorb)
+    return found.select("term", steady("estimate").alias("estimate"), steady("se").alias("se"), "df", "aliased")
+
+
+@query(
+    "linear_three_terms",
+    _LINES.format(
+        centred="""k AS (SELECT a - ma AS a, b - mb AS b, c - mc AS c, y - my AS y, ma, mb, mc, my FROM d, (SELECT avg(a) AS ma, avg(b) AS mb, avg(c) AS mc, avg(y) AS my FROM d))""",
+        levels=1, more="""
+        UNION ALL SELECT '(Intercept)', my - ba*ma - bb_*mb - bc_*mc, sqrt(s2 * (1.0 / n + ma*ma*iaa + mb*mb*ibb + mc*mc*icc + 2*(ma*mb*iab + ma*mc*iac + mb*mc*ibc))), df, false FROM f""",
+    ),
+)
+def linear_three_terms(spark, sf_dir):
+    """Three covariates and a collinear fourth, which is aliased."""
+    return _line_model(spark, sf_dir, None)
+
+
+@query(
+    "linear_absorbed",
+    _LINES.format(
+        centred="""k AS (SELECT a - avg(a) OVER w AS a, b - avg(b) OVER w AS b, c - avg(c) OVER w AS c, y - avg(y) OVER w AS y, 0 AS ma, 0 AS mb, 0 AS mc, 0 AS my
+          FROM d WINDOW w AS (PARTITION BY g))""",
+        levels="(SELECT count(DISTINCT g) FROM d)", more="",
+    ),
+)
+def linear_absorbed(spark, sf_dir):
+    """The same within suppliers: a factor of many levels is absorbed."""
+    return _line_model(spark, sf_dir, "l_suppkey")
