@@ -1,20 +1,22 @@
 """Per-subject, per-parameter derivations over time.
 
 Baselines, carried values and end-of-treatment records come from partial
-aggregates joined back to the rows. The number of expected visits is a small
-constant, so a carried value needs one slot per visit, not an ordered group.
+aggregates joined back to the rows. Where expected visits are a short list, a carried value
+needs one slot per visit, not an ordered group; where they are a table, a scan.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from subjectflow.functions.cells import case_chain, digits_to_number, if_else, safe_ratio, sentence_case
 from subjectflow.operators.joins import lookup_join
 from subjectflow.operators.picks import flag_extreme, pick_row
+from subjectflow.operators.ranges import interval_lookup
+from subjectflow.operators.scans import scan
 
 
 def baseline(
@@ -128,6 +130,52 @@ def locf(
     return observed.unionByName(added, allowMissingColumns=True)
 
 
+#: Visits of a group that one task orders.
+_VISITS = 1_024
+
+
+def locf_table(
+    df: DataFrame, by: Sequence[str], visits: DataFrame, keep: Sequence[str], row_key: Sequence[str], visit_number: str = "AVISITN",
+    visit: str | None = "AVISIT", value: str = "AVAL", where: Column | None = None, visit_by: Sequence[str] = (),
+) -> DataFrame:
+    """``locf`` for expected visits that are rows of a table: any number of them, and different ones by ``visit_by``.
+
+    ``visits`` holds ``visit_number`` (once per ``visit_by``, which is part of ``by``) and, unless
+    ``visit`` is None, its label. Records fall between two expected visits, and of those only the
+    latest is kept, so a group has no more rows than visits. Each row learns the next one of
+    its group by a scan over chunks of the visits, and fills those between. Added rows carry
+    ``keep`` columns of the record they come from and DTYPE ``LOCF``.
+    """
+    by, visit_by, labels = list(by), list(visit_by), [visit] if visit else []
+    one = [F.lit(0).alias("_one")] if not visit_by else []
+    place = Window.partitionBy(*(visit_by or ["_one"])).orderBy(visit_number)
+    listed = visits.select(*visit_by, visit_number, *labels, *one)
+    listed = listed.select(*visit_by, visit_number, *labels, F.row_number().over(place).alias("_i"), F.lead(visit_number).over(place).alias("_next"))
+    pool = df.filter(F.col(value).isNotNull() & F.col(visit_number).isNotNull())
+    if where is not None:
+        pool = pool.filter(where)
+    record = F.struct(F.col(visit_number).alias("_n"), *[F.col(k).alias(f"_k_{k}") for k in row_key], F.col(value).alias("_v"), *[F.col(k).alias(f"_c_{k}") for k in keep])
+    pool = pool.select(*by, F.col(visit_number).alias("_at"), record.alias("_r"))
+    starts = listed.select(*visit_by, F.col(visit_number).alias("_low"), F.col("_next").alias("_high"), "_i", F.col(visit_number).alias("_own"))
+    placed = interval_lookup(pool, "_at", starts, "_low", "_high", ["_i", "_own"], visit_by, ends="[)")
+    rows = placed.groupBy(*by, F.coalesce("_i", F.lit(0)).alias("_i")).agg(F.max("_r").alias("_r"), F.max(F.coalesce((F.col("_at") == F.col("_own")).cast("int"), F.lit(0))).alias("_seen"))
+    rows = rows.withColumn("_chunk", F.floor(F.col("_i") / _VISITS))
+    rows = scan(rows, by, "_chunk", ["_i"], {"_then": ("min", F.struct("_i", "_seen"))}, backwards=True, exclusive=True)
+    whole = listed.groupBy(*visit_by).agg(F.max("_i").alias("_all"))
+    # a group's last row fills all that is left; the total goes to each row by its keys
+    rows = rows.withColumn("_share", F.pmod(F.hash("_i", *by), F.lit(16)))
+    whole = whole.withColumn("_share", F.explode(F.sequence(F.lit(0), F.lit(15))))
+    rows = lookup_join(rows, whole, ["_share", *visit_by], "inner")
+    end = F.when(F.col("_then").isNull(), F.col("_all")).otherwise(F.col("_then._i") - F.col("_then._seen"))
+    filled = rows.filter(end > F.col("_i")).select(*by, "_r", F.explode(F.sequence(F.col("_i") + 1, end)).alias("_i"))
+    added = lookup_join(filled, listed.drop("_next"), [*visit_by, "_i"], "inner").select(
+        *by, F.col(visit_number).cast(df.schema[visit_number].dataType).alias(visit_number), *labels, F.col("_r._v").alias(value),
+        *[F.col(f"_r._c_{k}").alias(k) for k in keep], F.lit("LOCF").alias("DTYPE"),
+    )
+    observed = df if "DTYPE" in df.columns else df.withColumn("DTYPE", F.lit(None).cast("string"))
+    return observed.unionByName(added, allowMissingColumns=True)
+
+
 def name_visits(df: DataFrame, visit: str = "VISIT", flag: str = "ABLFL") -> DataFrame:
     """AVISIT and AVISITN: the baseline record is Baseline/0, unscheduled is blank, else
     the sentence-case visit name and the digits in it."""

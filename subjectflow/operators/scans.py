@@ -21,6 +21,7 @@ RANGES = 256
 _FOLDS = {
     "sum": (F.sum, 0, lambda a, b: a + b),
     "product": (F.product, 1, lambda a, b: a * b),
+    "min": (F.min, None, F.least),
 }
 
 
@@ -40,7 +41,7 @@ def scan(
     df: DataFrame, by: Sequence[str], chunk: str, order: Sequence[str | Column], values: Mapping[str, tuple[str, Column]],
     backwards: bool = False, exclusive: bool = False,
 ) -> DataFrame:
-    """Running folds per group: ``values`` maps a new column to ("sum" or "product", what is folded).
+    """Running folds per group: ``values`` maps a new column to ("sum", "product" or "min", what is folded).
 
     ``chunk`` numbers the chunks of a group in the order of its rows, ``order`` is total within
     a chunk. ``backwards`` folds from the end; ``exclusive`` leaves the row itself out. What is

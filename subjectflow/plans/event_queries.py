@@ -170,6 +170,25 @@ def visit_window(spark, sf_dir):
     return windowed(spark, sf_dir).select("seq", "ady", "AVISIT", "AVISITN", "AWRANGE", "AWTARGET", "AWLO", "AWHI")
 
 
+@query(
+    "locf_visit_table",
+    with_views("results", """, r AS (SELECT usubjid, paramcd, ady, aval, seq FROM results WHERE ady IS NOT NULL),
+      v AS (SELECT DISTINCT paramcd, ady AS n FROM r WHERE ady % 3 = 0),
+      obs AS (SELECT usubjid, paramcd, ady, arg_max(aval, seq) AS aval, max(seq) AS seq FROM r WHERE aval IS NOT NULL GROUP BY 1, 2, 3),
+      pair AS (SELECT DISTINCT usubjid, paramcd FROM obs),
+      gaps AS (SELECT p.usubjid, p.paramcd, v.n FROM pair p JOIN v ON v.paramcd = p.paramcd
+        ANTI JOIN obs o ON o.usubjid = p.usubjid AND o.paramcd = p.paramcd AND o.ady = v.n)
+      SELECT usubjid, paramcd, ady, aval, seq, CAST(NULL AS VARCHAR) AS dtype FROM r
+      UNION ALL SELECT g.usubjid, g.paramcd, g.n, o.aval, o.seq, 'LOCF' FROM gaps g ASOF JOIN obs o ON g.usubjid = o.usubjid AND g.paramcd = o.paramcd AND g.n > o.ady"""),
+)
+def locf_visit_table(spark, sf_dir):
+    """Values carried to every third study day that any subject has for the parameter: expected visits as rows."""
+    r = results(spark, sf_dir).filter("ady IS NOT NULL").select("usubjid", "paramcd", "ady", "aval", "seq")
+    visits = r.filter("ady % 3 = 0").select("paramcd", "ady").distinct()
+    out = longitudinal.locf_table(r, PAIR, visits, ["seq"], ["seq"], "ady", None, "aval", visit_by=["paramcd"])
+    return out.select("usubjid", "paramcd", "ady", "aval", "seq", F.col("DTYPE").alias("dtype"))
+
+
 @query(
     "interval_lookup",
     """WITH i AS (SELECT p_name, p_brand, CAST(p_partkey AS DOUBLE) / 8 AS low, (CAST(p_partkey AS DOUBLE) + 0.75::DOUBLE) / 8 AS high FROM part)
