@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from subjectflow.operators.picks import number_rows
+from subjectflow.operators.rules import Rule, check_rules
 
 _TOLERANCE = 2.0**-26  # relative difference below which two numbers count as equal
 
@@ -192,26 +193,26 @@ def variable_labels(wanted: DataFrame, tables: dict[str, DataFrame]) -> DataFram
     return wanted.join(labels, "variable", "left").distinct()
 
 
-def conformance(columns: DataFrame, standard: DataFrame, datasets: DataFrame | None = None) -> DataFrame:
+#: Rule ids of the conformance report. ``columns`` has the described columns with what the standard expects.
+CONFORMANCE = (
+    Rule("AD0018", "columns", "standard_label IS NULL OR label <=> standard_label", "label differs from the standard"),
+    Rule("AD0041A", "columns", "NOT endswith(name, 'DT') OR display_format IS NOT NULL", "date column without a display format"),
+    Rule("SD0059", "columns", "standard_type IS NULL OR type = standard_type", "type differs from the standard"),
+    Rule("AD0320", "datasets", "label <=> standard_label", "dataset label differs from the standard"),
+)
+
+
+def conformance(columns: DataFrame, standard: DataFrame, datasets: DataFrame | None = None, rules: Sequence[Rule] = CONFORMANCE) -> DataFrame:
     """Rule violations counted per rule and dataset.
 
     ``columns`` describes the data (dataset, name, type, label, display_format),
-    ``standard`` the expected name, label and type. Rules: label mismatch, type mismatch,
-    date column (name ends in DT) without a display format, and, with ``datasets``
-    (dataset, label, standard_label), a dataset label that is not the standard one.
+    ``standard`` the expected name, label and type, ``datasets`` the dataset labels
+    (dataset, label, standard_label). The rules are rows; others may be passed.
     """
-    expected = standard.select("name", F.col("label").alias("_label"), F.col("type").alias("_type"))
-    joined = columns.join(expected, "name", "left")
-    rules = F.array(
-        F.when(F.col("_label").isNotNull() & ~F.col("label").eqNullSafe(F.col("_label")), F.lit("AD0018")),
-        F.when(F.col("name").endswith("DT") & F.col("display_format").isNull(), F.lit("AD0041A")),
-        F.when(F.col("_type").isNotNull() & (F.col("type") != F.col("_type")), F.lit("SD0059")),
-    )
-    found = joined.select("dataset", F.explode(rules).alias("rule")).filter(F.col("rule").isNotNull())
-    if datasets is not None:
-        odd = datasets.filter(~F.col("label").eqNullSafe(F.col("standard_label")))
-        found = found.unionByName(odd.select("dataset", F.lit("AD0320").alias("rule")))
-    return found.groupBy("rule", "dataset").agg(F.count("*").alias("n"))
+    expected = standard.select("name", F.col("label").alias("standard_label"), F.col("type").alias("standard_type"))
+    tables = {"columns": columns.join(expected, "name", "left")} | ({} if datasets is None else {"datasets": datasets})
+    found = check_rules(tables, [r for r in rules if r.scope in tables], dict.fromkeys(tables, "dataset"))
+    return found.select("rule", "dataset", "n")
 
 
 def codelist_offenders(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from subjectflow.functions import cells, formats
-from subjectflow.operators import compare, spec
+from subjectflow.operators import compare, rules, spec
 from subjectflow.plans.analogs import table
 from subjectflow.plans.registry import query
 from subjectflow.session import scratch_path
@@ -209,6 +209,39 @@ def conformance_rules(spark, sf_dir):
     return compare.conformance(columns, standard, datasets)
 
 
+#: Rules as rows: id, table, test, message.
+_RULES = [
+    ("OR01", "orders", "o_orderstatus <> 'F' OR o_orderpriority <> '1-URGENT'", "urgent orders are not final"),
+    ("OR02", "orders", "o_totalprice < 100000 OR o_custkey % 2 = 0", "large orders come from even customers"),
+    ("OR03", "orders", "o_orderkey IS NOT NULL", "orders have a key"),
+    ("LI01", "lineitem", "l_extendedprice >= 100 * l_quantity", "lines have a least price"),
+    ("LI02", "lineitem", "l_returnflag <> 'R' OR l_discount <= l_tax", "returned lines have no discount above their tax"),
+    ("CU01", "customer", "c_acctbal > 0 OR c_mktsegment IN ('BUILDING', 'MACHINERY')", "balances below zero are for some segments"),
+]
+
+
+@query(
+    "rule_table",
+    " UNION ALL ".join(
+        f"SELECT '{i}' AS rule, '{t}' AS dataset, '{m}' AS message, COUNT(*) FILTER (NOT ({x})) AS n FROM {t}" for i, t, x, m in _RULES
+    ),
+)
+def rule_table(spark, sf_dir):
+    """Cross-column rules from a table of rules, all tables read once each."""
+    given = rules.rules_of(spark.createDataFrame(_RULES, "id string, scope string, test string, message string"))
+    return rules.check_rules({t: table(spark, sf_dir, t) for t in ("orders", "lineitem", "customer")}, given, clean=True)
+
+
+@query(
+    "rule_violations",
+    " UNION ALL ".join(f"SELECT '{i}' AS rule, '{m}' AS message, o_orderkey FROM orders WHERE NOT ({x})" for i, t, x, m in _RULES if t == "orders"),
+)
+def rule_violations(spark, sf_dir):
+    """Each order with the rules that it violates."""
+    mine = [rules.Rule(*r) for r in _RULES if r[1] == "orders"]
+    return rules.violations(table(spark, sf_dir, "orders"), mine, ["o_orderkey"])
+
+
 @query(
     "variable_labels",
     """WITH wanted AS (SELECT DISTINCT CASE p_size % 5 WHEN 0 THEN 'c_custkey' WHEN 1 THEN 'o_orderkey' WHEN 2 THEN 'c_name'
