@@ -8,9 +8,10 @@
 2. **Exact copies** collapse to one node per text, with partial aggregation.
 3. **Banding.** 25 bands of five registers: two texts at 0.8 miss all bands with a chance of
    5e-5. All rows of a band are range-partitioned and sorted by band key *and the registers
-   after it*, so that in a large bucket the most similar texts are neighbours and the bucket
-   may lie across tasks. Each text is a candidate pair with the first of its bucket and with
-   its neighbours before it. Where a bucket crosses tasks, its heads are paired.
+   after it*, so that a large bucket may lie across tasks. Each text is a candidate pair with
+   the first of its bucket, which is enough to join a group of copies: more links would only
+   be sent along in step 5. Where a bucket crosses tasks, its heads are paired. All other
+   pairs are left to step 6.
 4. **Verification** on the whole texts' runs: exact probability Jaccard of 0.8 or more.
 5. **Classes** are the connected components of the verified links: smallest labels travel
    along links and jump to their label's label, every round in the shared folder.
@@ -44,8 +45,6 @@ RUN = 5
 SIMILAR = 0.8
 BANDS, ROWS = 25, 5
 REGISTERS = BANDS * ROWS
-#: Neighbours before it, in the order of a bucket, that a text is compared with.
-NEIGHBOURS = 2
 #: Texts and runs of a block, about, when the rest of a bucket is compared.
 BLOCK_TEXTS, BLOCK_RUNS = 1_024, 2_000_000
 #: Columns of a dense matrix of shared runs at a time.
@@ -206,7 +205,6 @@ def candidates(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
     rows = rows.repartitionByRange(parts, "band", "key", "place", "node").sortWithinPartitions("band", "key", "place", "node")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        last: list = []  # the latest nodes of the open bucket
         size = 0
         head = None
         heads: list[tuple] = []
@@ -217,16 +215,13 @@ def candidates(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
                 if head is None or head[0] != b or head[1] != k:
                     if head is None:
                         heads.append((b, k, v))
-                    head, last, size = (b, k, v), [v], 1
+                    head, size = (b, k, v), 1
                     continue
                 size += 1
-                if size == NEIGHBOURS + 3:  # up to here every pair of the bucket is made
+                if size == 3:  # up to here every pair of the bucket is made
                     large.append((b, k))
-                for u in {head[2], *last[-NEIGHBOURS:]}:
-                    left.append(u)
-                    right.append(v)
-                last.append(v)
-                del last[: -NEIGHBOURS]
+                left.append(head[2])
+                right.append(v)
             yield pd.DataFrame({"a": left, "b": right, "band": None, "key": None})
             yield pd.DataFrame({"a": None, "b": None, "band": [x[0] for x in large], "key": [x[1] for x in large]})
         if head is not None:  # a bucket may go on in the task before or after: its heads meet below
