@@ -40,9 +40,9 @@ from subjectflow.operators.joins import lookup_join
 
 MIN_WORDS, MAX_WORDS, THRESHOLD, SHARE, TOP = 2, 3, 10, 50, 2000
 #: Characters of text per hash partition; entries of a row; bits of the filter, at most, and per survivor.
-PART_CHARS, ROW_ENTRIES, FILTER_BITS, BITS_PER_KEY = 1 << 24, 1 << 13, 1 << 27, 16
+PART_CHARS, ROW_ENTRIES, FILTER_BITS, BITS_PER_KEY = 1 << 24, 1 << 12, 1 << 27, 16
 #: Occurrences that a task gathers before it adds them up, distinct ones and words that it holds.
-RAW, HELD, WORDS_HELD = 1 << 20, 1 << 20, 400_000
+RAW, HELD, WORDS_HELD = 1 << 19, 1 << 19, 300_000
 #: Bytes of text taken apart at once; bytes of a slice of the filter; partitions up to which masses are broadcast; shares of a language.
 SEGMENT, SLICE, BROADCAST_PARTS, SALTS = 1 << 20, 1 << 17, 100_000, 32
 
@@ -331,7 +331,8 @@ def counted(docs: DataFrame, table: np.ndarray, parts: int, threshold: int = THR
         yield pd.DataFrame([(lang, 0, "", n) for lang, n in grams.mass.items()], columns=["lang", "words", "phrase", "f"])
 
     rows = _texts(docs).mapInPandas(run, "lang string, words int, phrase string, f long")
-    sums = rows.groupBy("lang", "words", "phrase").agg(F.sum("f").alias("f"))
+    # tasks have added up already: straight to the shuffle, no second sum before it
+    sums = rows.repartition("lang", "words", "phrase").groupBy("lang", "words", "phrase").agg(F.sum("f").alias("f"))
     return stored(sums.filter((F.col("f") >= threshold) | (F.col("words") == 0)), "collocations-counts")
 
 
