@@ -42,7 +42,7 @@ MIN_WORDS, MAX_WORDS, THRESHOLD, SHARE, TOP = 2, 3, 10, 50, 2000
 #: Characters of text per hash partition; entries of a row; bits of the filter, at most, and per survivor.
 PART_CHARS, ROW_ENTRIES, FILTER_BITS, BITS_PER_KEY = 1 << 24, 1 << 12, 1 << 27, 16
 #: Occurrences that a task gathers before it adds them up, distinct ones and words that it holds.
-RAW, HELD, WORDS_HELD = 1 << 19, 1 << 19, 300_000
+RAW, HELD, WORDS_HELD = 1 << 20, 1 << 21, 400_000
 #: Bytes of text taken apart at once; bytes of a slice of the filter; partitions up to which masses are broadcast; shares of a language.
 SEGMENT, SLICE, BROADCAST_PARTS, SALTS = 1 << 20, 1 << 17, 100_000, 32
 
