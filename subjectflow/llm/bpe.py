@@ -5,12 +5,12 @@ machine possible: every piece of an encoding encodes to itself, and a sequence o
 an encoding exactly if each adjacent pair is (``enc(a + b) == [a, b]``). So ``enc`` of a
 prefix ending at byte *i* is ``enc`` of some shorter prefix plus one token, and that token
 is the only one whose pair with its predecessor is stable. A state of the transducer is the
-set of prefixes that a later token may still start from, each with the tokens it has not
-yet shared with the others. What all of them share is final and is emitted at once; a
-prefix leaves the state as soon as no token of the vocabulary continues the bytes after it,
-so the lookahead is bounded by the longest token. States and their arcs are made when first
-met (subset construction by need) and dropped when they exceed a bound, as regular
-expression engines do.
+set of prefixes that a later token may still start from, each with its last token. A prefix
+leaves the state as soon as no token of the vocabulary continues the bytes after it, so what
+is open is bounded by the longest token. Tokens that all prefixes of the state share are
+final; they are emitted at the end of a piece and, within a long one, after each stretch of
+bytes. States and their arcs are made when first met (subset construction by need) and
+dropped when they exceed a bound, as regular expression engines do.
 
 **Decoding.** ``StreamDecoder`` takes token ids in any portions and runs a UTF-8 automaton
 over their bytes: text is handed out up to the last complete character, ill-formed bytes
@@ -34,10 +34,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 from subjectflow.llm.common import kept_by_worker, text_of, whole_texts
 
-#: Words whose ids a worker remembers (twice: lately used, and before), and states of the
-#: transducer before it starts anew. Both only bound memory; results don't depend on them.
+#: Words, and pieces, whose ids a worker remembers (twice: lately used, and before), and states
+#: of the transducer before it starts anew. Both only bound memory; results don't depend on them.
 WORDS_KEPT = 150_000
 STATES_KEPT = 220_000
+#: Bytes of a long piece after which its final tokens are emitted.
+STRETCH = 1_024
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -47,19 +49,21 @@ def load_ranks(path: str) -> dict[bytes, int]:
 
 
 class Merges:
-    """Stable pairs of tokens, by merging the bytes of the two by rank."""
+    """Stable pairs of tokens, by undoing the merges of the two that touch the place where they meet."""
 
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks, self.token = ranks, {r: t for t, r in ranks.items()}
+        self.never = max(ranks.values(), default=0) + 1
         self.stable: dict[int, bool] = {}
+        self.halves: dict[int, tuple[int, int] | None] = {}
 
-    def merged(self, piece: bytes) -> list[bytes]:
-        """The plain definition: join the adjacent pair of lowest rank until none is left."""
+    def merged(self, piece: bytes, parts_left: int = 1) -> list[bytes]:
+        """The plain definition: join the adjacent pair of lowest rank until none is left (or so few parts are)."""
         parts = [piece[i : i + 1] for i in range(len(piece))]
         rank = self.ranks.get
         none = len(self.ranks) + 1_000_000
         costs = [rank(parts[i] + parts[i + 1], none) for i in range(len(parts) - 1)]
-        while costs and (best := min(costs)) < none:
+        while len(costs) >= parts_left and (best := min(costs)) < none:
             at = costs.index(best)
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
             del costs[at]
@@ -69,6 +73,13 @@ class Merges:
                 costs[at - 1] = rank(parts[at - 1] + parts[at], none)
         return parts
 
+    def split(self, token: int) -> tuple[int, int] | None:
+        """The two tokens that a token's last merge joins; None for a single byte."""
+        if token not in self.halves:
+            data = self.token[token]
+            self.halves[token] = None if len(data) < 2 else tuple([self.ranks[x] for x in self.merged(data, 2)])
+        return self.halves[token]
+
     def pair(self, left: int, right: int) -> bool:
         """True if the two tokens side by side are an encoding."""
         key = left << 32 | right
@@ -76,26 +87,48 @@ class Merges:
         if known is None:
             if len(self.stable) > 100_000:
                 self.stable.clear()
-            a, b = self.token[left], self.token[right]
-            known = self.stable[key] = a + b not in self.ranks and self.merged(a + b) == [a, b]
+            known = self.stable[key] = self._apart(left, right)
         return known
 
+    def _apart(self, left: int, right: int) -> bool:
+        """True if no merge joins bytes of both tokens.
+
+        Backwards in time: the parts that meet are the tokens, then the halves of whichever
+        was made later, and so on to single bytes. Two parts are joined if their merge comes
+        before the merges that use up either of them; of equal merges the left one is first.
+        """
+        token, rank, never = self.token, self.ranks.get, self.never
+        left_used = right_used = never
+        while True:
+            joined = rank(token[left] + token[right], never)
+            if joined < left_used and joined <= right_used:
+                return False
+            left_halves, right_halves = self.split(left), self.split(right)
+            if left_halves and (left > right or not right_halves):
+                left_used, left = left, left_halves[1]
+            elif right_halves:
+                right_used, right = right, right_halves[0]
+            else:
+                return True
+
 
 class Transducer:
     """Encodes one pre-tokenised piece at a time; output is packed 32-bit ids.
 
-    A state is (``before``, ``paths``). ``paths`` has, for each prefix that may still
-    matter, the trie node of the bytes after it and its tokens not yet emitted; the last
-    one is the whole input read so far. ``before`` is the last emitted token (-1: none, or
-    no path depends on it). An arc is kept under its state and byte as one integer: the next
-    state, and above 32 bits the number of the token sequence that it emits.
+    A state is a tuple of paths, one for each prefix that may still matter: the trie node of
+    the bytes after it, and above 32 bits the number of the last token of the prefix (its id
+    plus one, 0: the prefix is empty). The last path is the whole input read so far. An arc is
+    kept under its state and byte as one integer: the next state, and above 32 bits the number
+    of the last token of the input up to there. Tokens of input that has not been emitted yet
+    are found from those, from its end backwards.
     """
 
-    def __init__(self, ranks: dict[bytes, int], states_kept: int = STATES_KEPT):
-        self.merges, self.states_kept = Merges(ranks), states_kept
-        # the vocabulary as a trie: node and byte -> node; the token that ends at a node
+    def __init__(self, ranks: dict[bytes, int], states_kept: int = STATES_KEPT, stretch: int = STRETCH):
+        self.merges, self.states_kept, self.stretch = Merges(ranks), states_kept, stretch
+        # the vocabulary as a trie: node and byte -> node; the number of the token that ends at a node
         self.step: dict[int, int] = {}
-        self.ends, self.inner = [-1], [True]
+        self.ends, self.inner, self.depth = [0], [True], [0]
+        self.length, self.packed = [0] * (self.merges.never + 1), [b""] * (self.merges.never + 1)
         for token, rank in ranks.items():
             node = 0
             for byte in token:
@@ -103,109 +136,124 @@ class Transducer:
                 key = node << 8 | byte
                 if key not in self.step:
                     self.step[key] = len(self.ends)
-                    self.ends.append(-1)
+                    self.ends.append(0)
                     self.inner.append(False)
+                    self.depth.append(self.depth[node] + 1)
                 node = self.step[key]
-            self.ends[node] = rank
+            self.ends[node] = rank + 1
+            self.length[rank + 1], self.packed[rank + 1] = len(token), rank.to_bytes(4, "little")
         self._reset()
 
     def _reset(self) -> None:
-        self.number: dict[tuple, int] = {}
-        self.states: list[tuple[int, tuple]] = []
-        self.finals: list[bytes] = []
+        self.number: dict[tuple[int, ...], int] = {}
+        self.states: list[tuple[int, ...]] = []
         self.arcs: dict[int, int] = {}
-        self.emits: list[bytes] = [b""]
-        self.emit_number: dict[tuple, int] = {(): 0}
-        self.shared: dict[tuple, tuple] = {}
-        self._state(-1, ((0, ()),))
-
-    def _state(self, before: int, paths: tuple) -> int:
-        key = (before, paths)
-        n = self.number.get(key)
-        if n is None:
-            n = self.number[key] = len(self.states)
-            self.states.append(key)
-            self.finals.append(_packed(paths[-1][1]))
+        self._state((0,))
+
+    def _state(self, paths: tuple[int, ...]) -> int:
+        n = self.number.setdefault(paths, len(self.states))
+        if n == len(self.states):
+            self.states.append(paths)
         return n
 
     def _arc(self, state: int, byte: int) -> int:
         """Make the arc of a state over one byte."""
-        step, ends, inner, pair = self.step, self.ends, self.inner, self.merges.pair
-        before, paths = self.states[state]
-        alive, whole = [], None
-        for node, tokens in paths:
-            node = step.get(node << 8 | byte)
+        step, ends, inner, pair = self.step.get, self.ends, self.inner, self.merges.pair
+        alive, whole = [], 0
+        for path in self.states[state]:
+            node = step((path & 0xFFFFFFFF) << 8 | byte)
             if node is None:
                 continue
-            if whole is None and ends[node] >= 0:
-                last = tokens[-1] if tokens else before
-                if last < 0 or pair(last, ends[node]):
-                    whole = (*tokens, ends[node])
+            last = path >> 32
+            if not whole and (end := ends[node]) and (not last or pair(last - 1, end - 1)):
+                whole = end
             if inner[node]:
-                alive.append((node, tokens))
-        if whole is None:
+                alive.append(last << 32 | node)
+        if not whole:
             raise ValueError(f"the vocabulary has no token for byte {byte}")
-        alive.append((0, whole))
-        common = min([len(tokens) for _, tokens in alive])
-        while common and any([tokens[:common] != whole[:common] for _, tokens in alive]):
-            common -= 1
-        if common:
-            alive = [(node, tokens[common:]) for node, tokens in alive]
-            before = whole[common - 1]
-        if all([tokens for _, tokens in alive]):
-            before = -1
-        emitted = whole[:common]
-        emit = self.emit_number.get(emitted)
-        if emit is None:
-            emit = self.emit_number[emitted] = len(self.emits)
-            self.emits.append(_packed(emitted))
-        same = self.shared.setdefault
-        arc = self.arcs[state << 8 | byte] = emit << 32 | self._state(before, tuple([same(x, x) for x in alive]))
+        alive.append(whole << 32)
+        arc = self.arcs[state << 8 | byte] = whole << 32 | self._state(tuple(alive))
         return arc
 
+    def _final(self, state: int, lasts: list[int]) -> int:
+        """How many bytes of the input that is held have tokens which all paths share."""
+        length, places = self.length, {len(lasts) - self.depth[path & 0xFFFFFFFF] for path in self.states[state]}
+        while len(places) > 1:
+            last = max(places)
+            places.remove(last)
+            places.add(last - length[lasts[last - 1]])
+        return places.pop()
+
+    def _tokens(self, lasts: list[int], at: int) -> bytes:
+        """Packed ids of the first ``at`` bytes that are held."""
+        out, length, packed = [], self.length, self.packed
+        while at:
+            token = lasts[at - 1]
+            out.append(packed[token])
+            at -= length[token]
+        out.reverse()
+        return b"".join(out)
+
     def encode(self, piece: bytes) -> bytes:
         """Packed ids of one piece."""
-        if len(self.states) > self.states_kept:
-            self._reset()
-        state, out, get = 0, [], self.arcs.get
-        for byte in piece:
-            arc = get(state << 8 | byte) or self._arc(state, byte)
-            state = arc & 0xFFFFFFFF
-            if arc > 0xFFFFFFFF:
-                out.append(self.emits[arc >> 32])
-        out.append(self.finals[state])
+        state, lasts, out = 0, [], []
+        for at in range(0, len(piece), self.stretch):
+            if at:
+                done = self._final(state, lasts)
+                out.append(self._tokens(lasts, done))
+                del lasts[:done]
+            if len(self.states) > self.states_kept:
+                paths = self.states[state]
+                self._reset()
+                state = self._state(paths)
+            get = self.arcs.get
+            for byte in piece[at : at + self.stretch]:
+                arc = get(state << 8 | byte) or self._arc(state, byte)
+                state = arc & 0xFFFFFFFF
+                lasts.append(arc >> 32)
+        out.append(self._tokens(lasts, len(lasts)))
         return b"".join(out)
 
 
-def _packed(ids: tuple[int, ...]) -> bytes:
-    return b"".join([i.to_bytes(4, "little") for i in ids])
-
-
 class Encoder:
     """Whole texts: cut at clean blanks, split by the pattern, run the transducer.
 
-    A single blank between two characters that are not blank always starts a piece of its
-    own, so the text may be cut there and equal words encoded once. A word that is empty or
-    begins or ends with a blank is never kept, so a text with such a blank is noticed and
-    cut by a search for the clean blanks instead.
+    A single blank or line feed between two characters that are not blank always begins a
+    piece (the line feed is one), so the text may be cut there and equal words, and equal
+    pieces of them, encoded once. A word that is empty or begins or ends with a blank is never
+    kept, so a text with such a blank is noticed and cut by a search for the clean blanks
+    instead.
     """
 
-    _clean = re.compile(r"(?<=\S) (?=\S)")
+    _clean = re.compile(r"(?<=\S)[ \n](?=\S)")
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.transducer, self.pieces = Transducer(ranks), regex.compile(pattern).findall
         self.words: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
+        self.parts: dict[str, bytes] = {}
+        self.older_parts: dict[str, bytes] = {}
 
     def _cut(self, cut: str) -> bytes:
+        get, make = self.parts.get, self._part
+        return b"".join([get(p) or make(p) for p in self.pieces(cut)])
+
+    def _part(self, piece: str) -> bytes:
+        """Ids of a piece of the pattern."""
         # surrogates can't come out of Spark; "replace" keeps direct callers safe as well
-        return b"".join([self.transducer.encode(p.encode("utf-8", "replace")) for p in self.pieces(cut)])
+        ids = self.older_parts.get(piece) or self.transducer.encode(piece.encode("utf-8", "replace"))
+        if len(piece) < 200:
+            self.parts[piece] = ids
+            if len(self.parts) > WORDS_KEPT:
+                self.older_parts, self.parts = self.parts, {}
+        return ids
 
     def _word(self, word: str) -> bytes:
-        """Ids of a word after a clean blank."""
-        if not word or word[0].isspace() or word[-1].isspace():
+        """Ids of a word after a clean blank; one that begins a line has its line feed."""
+        body = word[1:] if word[:1] == "\n" else word
+        if not body or body[0].isspace() or body[-1].isspace():
             raise KeyError(word)
-        ids = self.older.get(word) or self._cut(" " + word)
+        ids = self.older.get(word) or (self._cut(" " + word) if body is word else self._cut("\n") + self._cut(body))
         if len(word) < 200:
             self.words[word] = ids
         return ids
@@ -217,7 +265,7 @@ class Encoder:
         if len(self.words) > WORDS_KEPT:
             self.older, self.words = self.words, {}
         get, make = self.words.get, self._word
-        parts = text.split(" ")
+        parts = text.replace("\n", " \n").split(" ")
         first = parts.pop(0)
         if parts and (not first or first[-1].isspace()):
             return self._slow(text)
@@ -227,8 +275,8 @@ class Encoder:
             return self._slow(text)
 
     def _slow(self, text: str) -> bytes:
-        first, *rest = self._clean.split(text)
-        return self._cut(first) + b"".join([self._cut(" " + w) for w in rest])
+        starts = [0, *[m.start() for m in self._clean.finditer(text)], len(text)]
+        return b"".join([self._cut(text[a:b]) for a, b in zip(starts, starts[1:], strict=False)])
 
 
 # UTF-8 automaton: 0 is between characters; the other states name what must follow.

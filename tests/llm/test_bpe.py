@@ -42,6 +42,31 @@ def test_small_state_bound_changes_nothing():
         assert np.frombuffer(small.encode(word), "<u4").tolist() == LIBRARY.encode_ordinary(word.decode())
 
 
+def test_short_stretches_change_nothing():
+    short = bpe.Transducer(RANKS, states_kept=50, stretch=3)
+    draw = random.Random(5)
+    for letters in ("a", "ab", "etaoinshrdlu", "é中"):
+        for n in (1, 2, 3, 4, 40, 700):
+            word = "".join(draw.choice(letters) for _ in range(n))
+            assert np.frombuffer(short.encode(word.encode()), "<u4").tolist() == [RANKS[x] for x in short.merges.merged(word.encode())]
+
+
+def test_stable_pairs_equal_the_merging_of_both_tokens():
+    merges, draw = bpe.Merges(RANKS), random.Random(6)
+    runs = [r for t, r in RANKS.items() if len(set(t)) == 1]
+    for some in (runs, list(RANKS.values())[:2000], list(RANKS.values())):
+        for _ in range(4000):
+            left, right = draw.choice(some), draw.choice(some)
+            both = [merges.token[left], merges.token[right]]
+            assert merges.pair(left, right) == (merges.merged(both[0] + both[1]) == both)
+
+
+def test_line_feeds_and_words_met_again():
+    texts = ["one\ntwo,\nthree", "two, three\ntwo", "a \nb", "a\n b", "a\n\nb two,", "\none two", "one two\n", "one\r\ntwo", "x\xa0\ny z", "one\n's two's"]
+    for text in texts * 2:
+        assert ids(text) == LIBRARY.encode_ordinary(text)
+
+
 def test_stream_of_broken_bytes_equals_replacement():
     draw = random.Random(2)
     odd = [i for i, t in enumerate(VOCABULARY.token) if any(b > 127 for b in t)]
