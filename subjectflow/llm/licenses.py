@@ -13,8 +13,9 @@ runs on the executors.
   held out; a prediction needs a probability of ``CERTAIN``.
 * **Confirmation**: the predicted family must have a template of whose distinct words the
   paragraph holds the share ``CONTAINED``. So a paragraph without a certain few words of
-  every template can't be confirmed; those words (``anchors``) are the exact filter before
-  anything is split into words.
+  every template can't be confirmed; the least common such words (``seldom``) are the exact
+  filter before anything is split into words, and units that hold too little of every
+  template are dropped before anything is written.
 
 * **Units**: every line, and for notices that are wrapped over lines overlapping windows of
   words over the joined lines of a paragraph (up to a blank line): short windows for short
@@ -31,6 +32,9 @@ empty result.
 from __future__ import annotations
 
 import json
+from collections import Counter
+from functools import reduce
+from operator import or_
 
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import CountVectorizer
@@ -278,26 +282,78 @@ def classify(paragraphs: DataFrame, weights: DataFrame, classes: list[str]) -> D
     return held.groupBy("key", "family", "probability").agg(best_of).select("key", "family", "probability", "b.template", "b.contained")
 
 
-def units(docs: DataFrame, pattern: str) -> DataFrame:
-    """``doc_id``, ``para``, ``line`` (from 1; 0: a window), ``window`` (its words; 0: a line), ``words`` of all units that may be confirmed."""
-    marked = docs.filter(F.col("text").rlike(pattern)).select("doc_id", F.posexplode(F.split("text", BETWEEN)).alias("para", "body"))
-    marked = marked.filter(F.col("body").rlike(pattern))
-    lines = marked.select("doc_id", "para", F.posexplode(F.split("body", "\n")).alias("line", "paragraph")).filter(F.col("paragraph").rlike(pattern))
-    lines = lines.select("doc_id", "para", (F.col("line") + 1).alias("line"), F.lit(0).alias("window"), words_of(F.col("paragraph")).alias("words"))
-    wrapped = marked.filter(F.col("body").contains("\n")).select("doc_id", "para", words_of(F.col("body")).alias("all"))
-    for n in WINDOWS:
-        starts = F.sequence(F.lit(1), F.greatest(F.size("all"), F.lit(1)), F.lit(n // 2))
-        parts = wrapped.select("doc_id", "para", F.explode(F.transform(starts, lambda i: F.slice("all", i, n))).alias("words"))  # noqa: B023
-        parts = parts.filter(F.array_join("words", " ").rlike(pattern))
-        lines = lines.unionByName(parts.select("doc_id", "para", F.lit(0).alias("line"), F.lit(n).alias("window"), "words"))
-    return lines
+def seldom(docs: DataFrame) -> list[str]:
+    """Words of which every confirmable unit holds one, for each template those that the fewest texts hold.
+
+    Any such choice loses nothing (see ``anchors``); how seldom a word is, is counted on about
+    ``SAMPLE`` documents, for a choice with common words lets all prose through.
+    """
+    known = [sorted(r["words"]) for r in templates(docs.sparkSession).select("words").collect()]  # a fixed, small list
+    used = Counter(w for words in known for w in words)
+    share = min(1.0, SAMPLE / max(1, docs.count()))
+    some = docs.filter(F.pmod(F.xxhash64("doc_id", F.lit(29)), F.lit(1 << 30)) < int(share * (1 << 30))).limit(2 * SAMPLE)
+    has = F.transform(F.array(F.lower(text_of())), lambda t: F.filter(F.lit(sorted(used)), lambda w: F.contains(t, w)))
+    texts = dict(some.select(F.explode(F.flatten(has)).alias("w")).groupBy("w").count().collect())
+    found = set()
+    for words in known:
+        may_lack = int(len(words) * (1 - CONTAINED) + 1e-9)
+        found.update(sorted(words, key=lambda w: (texts.get(w, 0), -used[w], -len(w), w))[: may_lack + 1])
+    return sorted(found, key=lambda w: (-texts.get(w, 0), w))
+
+
+def _any_in(text: Column, words: list[str]) -> Column:
+    """The lower-case text holds one of the words (as a part of another, too). An element, so that the text is lowered once."""
+    return F.exists(F.array(F.lower(text)), lambda t: reduce(or_, [F.contains(t, F.lit(w)) for w in words]))
+
+
+def _confirmable(spark: SparkSession) -> Column:
+    """The unit's ``words`` hold the share ``CONTAINED`` of a template that may confirm units of its ``window``, as ``classify`` asks."""
+    known = [sorted(r["words"]) for r in templates(spark).select("words").collect()]  # a fixed, small list
+
+    def one_of(held: Column, some: list[list[str]]) -> Column:
+        need = [next(k for k in range(len(t) + 1) if k / len(t) >= CONTAINED) for t in some]
+        return (F.size(held) >= min(need)) & reduce(or_, [F.size(F.array_intersect(held, F.lit(t))) >= k for t, k in zip(some, need, strict=True)])
+
+    held = F.array_intersect("words", F.lit(sorted(set().union(*known))))
+    short = [t for t in known if len(t) <= WINDOWS[0] // 2]
+    long = [t for t in known if len(t) > WINDOWS[0] // 2]
+    here = F.col("window")
+    return F.exists(F.array(held), lambda h: F.when(here == WINDOWS[0], one_of(h, short)).when(here == WINDOWS[1], one_of(h, long)).otherwise(one_of(h, known)))
+
+
+def units(docs: DataFrame) -> DataFrame:
+    """``doc_id``, ``para``, ``line`` (from 1; 0: a window), ``window`` (its words; 0: a line), ``words`` of all units that may be confirmed.
+
+    Texts are read once; nothing but units that hold enough of a template's words goes on.
+    """
+    words = seldom(docs)
+    marked = docs.filter(_any_in(F.col("text"), words)).select("doc_id", F.posexplode(F.split("text", BETWEEN)).alias("para", "body"))
+    marked = marked.filter(_any_in(F.col("body"), words))
+
+    def unit(line: Column, window: int, its: Column) -> Column:
+        return F.struct(line.cast("int").alias("line"), F.lit(window).alias("window"), its.alias("words"))
+
+    lines = F.transform(F.split("body", "\n"), lambda x, i: F.struct(x.alias("x"), (i + 1).alias("i")))
+    lines = F.transform(F.filter(lines, lambda x: _any_in(x["x"], words)), lambda x: unit(x["i"], 0, words_of(x["x"])))
+
+    def windows(n: int) -> Column:
+        def parts(every: Column) -> Column:
+            starts = F.sequence(F.lit(1), F.greatest(F.size(every), F.lit(1)), F.lit(n // 2))
+            return F.transform(starts, lambda i: unit(F.lit(0), n, F.slice(every, i, n)))
+
+        # a paragraph of one line has none
+        wrapped = F.filter(F.array("body"), lambda b: F.contains(b, F.lit("\n")))
+        return F.flatten(F.transform(F.transform(wrapped, words_of), parts))
+
+    found = [lines, *[windows(n) for n in WINDOWS]]
+    return marked.select("doc_id", "para", F.inline(F.concat(*found))).filter(_confirmable(docs.sparkSession))
 
 
 def findings(docs: DataFrame) -> DataFrame:
     """``doc_id``, ``para``, ``line`` (0: a window), ``family``, ``probability``, ``template``, ``contained`` of all notices."""
     weights, classes = train(docs)
     key = F.md5(F.concat_ws(" ", F.col("window").cast("string"), F.array_join("words", " ")).cast("binary"))
-    marked = stored(units(docs, anchors(docs.sparkSession)).withColumn("key", key), "license-paragraphs")
+    marked = stored(units(docs).withColumn("key", key), "license-paragraphs")
     distinct = stored(marked.groupBy("key").agg(F.first("words").alias("words"), F.first("window").alias("window")), "license-distinct")
     return _found_in(marked.select("doc_id", "para", "line", "key"), stored(classify(distinct, weights, classes), "license-classified"))
 

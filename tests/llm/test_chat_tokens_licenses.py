@@ -134,3 +134,16 @@ def test_anchors_are_in_every_confirmable_paragraph(spark):
         need = int(np.ceil(len(row.words) * licenses.CONTAINED - 1e-9))
         for _ in range(30):
             assert pattern.search(" ".join(draw.permutation(row.words)[:need]))
+
+
+def test_only_units_that_a_template_may_confirm_go_on(spark, docs):
+    prose = [(i, f"Under this public domain number {i} the license of the general was released.\nAll of this is plain\nprose under the hills.") for i in range(40)]
+    gpl = "Words before\nThis work is licensed under the GNU General\nPublic License, version 3."
+    rows = [*prose, (50, "All rights\nreserved."), (51, gpl), (52, "One line: all rights reserved.\n\nThis."), (53, None)]
+    got = licenses.units(docs(rows)).collect()
+    assert {r.doc_id for r in got} == {50, 51, 52}
+    known = [(set(r.words), len(r.words) <= 12) for r in licenses.templates(spark).select("words").collect()]
+    for r in got:
+        fit = [t for t, short in known if r.window in (0, 24 if short else 96)]
+        assert any(len(t & set(r.words)) / len(t) >= licenses.CONTAINED for t in fit)
+    assert {(r.doc_id, r.line, r.window) for r in got if r.doc_id == 52} == {(52, 1, 0)}
