@@ -13,8 +13,9 @@
    be sent along in step 5. Where a bucket crosses tasks, its heads are paired. All other
    pairs are left to step 6.
 4. **Verification** on the whole texts' runs: exact probability Jaccard of 0.8 or more.
-5. **Classes** are the connected components of the verified links: smallest labels travel
-   along links and jump to their label's label, every round in the shared folder.
+5. **Classes** are the connected components of the verified links, of which a text keeps one
+   (its other heads are linked with that head instead): smallest labels travel along links
+   and jump to their label's label, every round in the shared folder.
 6. **The rest of the buckets.** A bucket whose texts are of one component by now can add
    nothing. In every other bucket all pairs of texts of different components are compared,
    block against block (blocks by the hash of the node, bounded in rows and runs; the texts
@@ -198,7 +199,10 @@ def _portions(texts: list[str], chars: int = 1_000_000) -> Iterator[range]:
 
 
 def candidates(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Distinct pairs of nodes (``a`` < ``b``) of the linear pass, and the buckets (``band``, ``key``) that have other pairs."""
+    """Distinct pairs of nodes (``a`` < ``b``) of the linear pass, and the buckets (``band``, ``key``) that have other pairs.
+
+    ``member``: which of the two met the other as a head. A text is in one bucket of each band, so it is the member of at most 25 pairs.
+    """
     rows = nodes.filter(F.col("keys").isNotNull()).select("node", F.posexplode(F.arrays_zip("keys", "orders")).alias("band", "_p"))
     rows = rows.select(F.col("band").cast("int").alias("band"), F.col("_p.keys").alias("key"), F.col("_p.orders").alias("place"), "node")
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -232,9 +236,9 @@ def candidates(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
     heads = met.filter(F.col("a").isNotNull() & F.col("b").isNull()).select("band", "key", "a").distinct()
     least = heads.groupBy("band", "key").agg(F.min("a").alias("b"), F.count("*").alias("n")).filter(F.col("n") > 1).drop("n")
     large = met.filter(F.col("a").isNull()).select("band", "key").union(least.select("band", "key")).distinct()
-    crossing = heads.join(least, ["band", "key"]).select("a", "b")
-    pairs = met.filter(F.col("b").isNotNull()).select("a", "b").unionByName(crossing).filter(F.col("a") != F.col("b"))
-    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), large
+    crossing = heads.join(least, ["band", "key"]).select("a", "b", F.col("a").alias("member"))
+    pairs = met.filter(F.col("b").isNotNull()).select("a", "b", F.col("b").alias("member")).unionByName(crossing).filter(F.col("a") != F.col("b"))
+    return pairs.groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.min("member").alias("member")), large
 
 
 def _packed(text: str) -> bytes:
@@ -278,7 +282,7 @@ def links(docs: DataFrame, nodes: DataFrame, threshold: float = SIMILAR) -> tupl
 
     both = lookup_join(pairs, packed.select(F.col("node").alias("a"), F.col("runs").alias("x")), ["a"], "inner")
     both = lookup_join(both, packed.select(F.col("node").alias("b"), F.col("runs").alias("y")), ["b"], "inner")
-    checked = both.select("a", "b", "x", "y").mapInPandas(verify, "a binary, b binary, similarity double")
+    checked = both.select("a", "b", "member", "x", "y").mapInPandas(verify, "a binary, b binary, member binary, similarity double")
     return stored(checked.filter(F.col("similarity") >= threshold), "near-links"), large
 
 
@@ -371,6 +375,20 @@ def rest(docs: DataFrame, nodes: DataFrame, large: DataFrame, labels: DataFrame,
     return stored(rows.groupBy(*bucket, "i", "j").applyInPandas(run, "a binary, b binary"), "near-links")
 
 
+def starred(edges: DataFrame) -> DataFrame:
+    """Pairs ``a``, ``b`` that join the same texts as the links ``a``, ``b``, ``member``, as a rule far fewer.
+
+    A member (of at most 25 links) keeps the link to the least of its heads, and that head is
+    linked with the member's other heads: the members of a large group share theirs, so those
+    pairs are few and the group has about one link a text.
+    """
+    head = F.when(F.col("member") == F.col("a"), F.col("b")).otherwise(F.col("a"))
+    heads = edges.groupBy("member").agg(F.sort_array(F.collect_set(head)).alias("heads"))
+    to_least = F.transform("heads", lambda h, i: F.struct(F.col("heads")[0].alias("a"), F.when(i == 0, F.col("member")).otherwise(h).alias("b")))
+    pairs = heads.select(F.inline(to_least))
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
 def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """``node``, ``label``: (smallest id, its node) of the component, for nodes that have a link."""
     both = edges.select(F.col("a").alias("v"), F.col("b").alias("u")).union(edges.select(F.col("b").alias("v"), F.col("a").alias("u")))
@@ -394,12 +412,13 @@ def classes(docs: DataFrame) -> DataFrame:
     rows = stored(signed(docs), "near-signed")
     nodes = stored(rows.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("keys").alias("keys"), F.first("orders").alias("orders"), F.first("size").alias("size")), "near-nodes")
     edges, large = links(docs, nodes)
+    edges = stored(starred(edges), "near-stars")
     labels = components(nodes, edges)
     large = stored(large, "near-buckets")
     if not large.isEmpty():
         more = rest(docs, nodes, large, labels)
         if not more.isEmpty():
-            labels = components(nodes, edges.select("a", "b").union(more))
+            labels = components(nodes, edges.union(more))
     per_node = nodes.select("node", F.col("doc_id").alias("rep")).join(labels, "node", "left")
     per_node = per_node.select("node", F.coalesce("label.id", "rep").alias("class_id"), F.coalesce("label.node", "node").alias("class_node"))
     return lookup_join(rows.select("doc_id", "node"), per_node, ["node"])

@@ -116,3 +116,24 @@ def test_rest_of_a_bucket_finds_every_join_of_components():
     assert len(got) == len(items) - len(set(want.values()))
     assert all(want[a] == want[b] for a, b in got)
     assert not neardup.joining(items, every, every, [0] * len(items), neardup.SIMILAR)
+
+
+def test_stars_join_what_the_links_join(spark):
+    draw = np.random.default_rng(8)
+    name = lambda kind, i: f"{kind}{i}".encode()
+    links = [(name("h", h), name("m", m)) for m in range(400) for h in draw.choice(25, size=int(draw.integers(10, 25)), replace=False)]
+    links += [(name("x", 1), name("m", 401)), (name("m", 401), name("m", 402)), (name("y", 1), name("y", 2))]
+    rows = [(min(a, b), max(a, b), b) for a, b in links]
+    stars = [(r.a, r.b) for r in neardup.starred(spark.createDataFrame(rows, "a binary, b binary, member binary")).collect()]
+
+    def groups(pairs):
+        top = {v: v for p in links for v in p}
+        for _ in range(len(top)):
+            before = dict(top)
+            for a, b in pairs:
+                top[a] = top[b] = min(top[a], top[b])
+            if top == before:
+                return {v: bytes(t) for v, t in top.items()}
+
+    assert groups([(bytes(a), bytes(b)) for a, b in stars]) == groups(links)
+    assert len(stars) <= 403 + 25 * 24 / 2 < len(links) / 4
