@@ -45,16 +45,28 @@ def _refused(text: Column, column) -> Column:
     return F.raise_error(F.concat(F.lit(f"column {column['name']} can't hold the number "), text))
 
 
+def _odd_whole(text: Column, column) -> Column:
+    """Other text of whole numbers: zeros behind the point are dropped and an exponent written out;
+    any other number would change, so it is refused.
+
+    Within a lambda, so that none of it is worked out for cells that don't come here.
+    """
+
+    def value(x: Column) -> Column:
+        near = x.try_cast("double")
+        whole = F.when(x.rlike("[eE]") & (near == F.floor(near)) & (F.abs(near) <= 2.0**53), near.cast("bigint"))
+        found = F.coalesce(F.regexp_replace(x, r"\.0*$", "").try_cast("bigint"), whole)
+        return F.when(found.isNull() & near.isNotNull(), _refused(x, column)).otherwise(found)
+
+    return F.get(F.transform(F.array(text), value), F.lit(0))
+
+
 def _typed(cell: Column, column, decimals_as_floats: bool) -> Column:
     kind = _spark_type(column, decimals_as_floats)
     text = F.trim(cell)
     if kind == "bigint":
-        # zeros behind the point are dropped and whole numbers with an exponent written out;
-        # any other number would change, so it is refused
-        value, near = F.regexp_replace(text, r"\.0*$", "").try_cast("bigint"), text.try_cast("double")
-        whole = F.when(text.rlike("[eE]") & (near == F.floor(near)) & (F.abs(near) <= 2.0**53), near.cast("bigint"))
-        value = F.coalesce(value, whole)
-        value = F.when(value.isNull() & near.isNotNull(), _refused(text, column)).otherwise(value)
+        # plain digits, as nearly all are, are taken as they stand
+        value = F.coalesce(cell.try_cast("bigint"), _odd_whole(text, column))
     elif kind == "string":
         value = cell
     elif kind.startswith("decimal"):

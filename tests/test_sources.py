@@ -2,6 +2,7 @@
 
 import datetime as dt
 import json
+import re
 
 from pyspark.sql import functions as F
 
@@ -100,3 +101,13 @@ def test_cells_survive_dataset_written_blank(spark, tmp_path):
     df = spark.createDataFrame([("x", None), ("", 1.5)], "s string, v double").withColumn("k", F.monotonically_increasing_id())
     path = dataset_json.write_dataset_ndjson(df, str(tmp_path / "b"), "b", records=2)
     assert sorted(r.s for r in dataset_json.read_dataset_ndjson(spark, path).collect()) == ["", "x"]
+
+
+def test_plain_whole_numbers_are_cast_first_and_odd_ones_as_before(spark, tmp_path):
+    cells = ["7", " 8 ", "9.0", "-3.000", "2e3", "9007199254740993", "9223372036854775807", "12345678901234567.0", None, "x", ""]
+    columns = [{"itemOID": "IT.N", "name": "N", "label": "n", "dataType": "integer"}]
+    (tmp_path / "whole.json").write_text(json.dumps({"columns": columns, "rows": [[c] for c in cells]}))
+    df = dataset_json.read_dataset_json(spark, str(tmp_path / "whole.json"))
+    assert [r.N for r in df.collect()] == [7, 8, 9, -3, 2000, 9007199254740993, 9223372036854775807, 12345678901234567, None, None, None]
+    # the pattern for odd ones comes after the plain cast
+    assert re.search(r"coalesce\(try_cast\(_r#\d+\[0\] as bigint\), .*regexp_replace", df._jdf.queryExecution().optimizedPlan().toString())
