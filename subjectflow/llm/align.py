@@ -52,7 +52,7 @@ LONG_WORD = 200
 BROADCAST_IDS = 1 << 20
 
 
-def _byte_letters() -> dict[str, int]:
+def byte_letters() -> dict[str, int]:
     """The letters by which byte-level vocabularies write the 256 bytes: printable ones stand for themselves."""
     plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
     others = [b for b in range(256) if b not in plain]
@@ -70,7 +70,7 @@ class Aligner:
         self.a, self.b = Tokenizer.from_str(definition), SentencePieceProcessor()
         self.a.encode_special_tokens = True  # their strings in a text are text
         self.b.LoadFromSerializedProto(model)
-        letters = _byte_letters()
+        letters = byte_letters()
         self.a_bytes = [b""] * (max(self.a.get_vocab().values(), default=-1) + 1)
         for token, i in self.a.get_vocab().items():
             self.a_bytes[i] = bytes([letters[c] for c in token]) if all(c in letters for c in token) else token.encode()

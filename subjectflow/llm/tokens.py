@@ -20,16 +20,21 @@ from __future__ import annotations
 
 import json
 import os
+import string
 import sys
 import zlib
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from itertools import pairwise
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from subjectflow.llm.align import byte_letters
 from subjectflow.llm.common import kept_by_worker, text_of, whole_texts
 from subjectflow.llm.neardup import mixed
 
@@ -37,6 +42,8 @@ from subjectflow.llm.neardup import mixed
 SHARD_IDS = 1_000_000
 BUCKET_KEYS = 16_384
 WORDS_KEPT = 400_000
+#: Bytes of text that are cut into words at once, about.
+TEXT_BYTES = 8_000_000
 NO_ID = -(1 << 63)
 
 _U = np.uint64
@@ -47,9 +54,12 @@ class TextEncoder:
     """Ids of whole texts from a tokenizer file.
 
     A byte-level tokenizer without normalizer starts a new piece at a single blank and at a
-    single line feed between two characters that aren't blank, and at a point or comma behind
-    a letter or digit. Texts may be cut there and equal words encoded once. A text with any
-    other blank is encoded whole, and so is every text for any other tokenizer.
+    single line feed between two characters that aren't blank, and at a mark of punctuation
+    behind a letter or digit. Texts may be cut there and equal words encoded once: Arrow cuts
+    the texts and numbers their different words, the library encodes those that are new, and
+    the ids are put together by number. A word of letters alone is one piece and goes to the
+    library's model at once. A text with any other blank is encoded whole, and so is every
+    text for any other tokenizer.
     """
 
     def __init__(self, definition: str, end_id: int):
@@ -57,73 +67,119 @@ class TextEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(definition)
+        self.model = self.tokenizer.model
         parsed = json.loads(definition)
-        before = parsed.get("pre_tokenizer") or {}
+        before, added = parsed.get("pre_tokenizer") or {}, parsed.get("added_tokens", [])
         self.by_word = (
             before.get("type") == "ByteLevel" and before.get("use_regex", True) and not before.get("add_prefix_space")
-            and not parsed.get("normalizer") and not any(" " in t["content"] or t.get("lstrip") or t.get("rstrip") for t in parsed.get("added_tokens", []))
+            and not any(parsed.get(k) for k in ("normalizer", "truncation", "padding"))
+            and not any(t.get("lstrip") or t.get("rstrip") or any(map(str.isspace, t["content"])) for t in added)
         )
+        # added tokens are found before texts are cut to pieces: no cut at a mark that one holds
+        self.marks = "".join(sorted(set(string.punctuation).difference("_", *(t["content"] for t in added))))
+        self.spelled = not any(t["content"].isalpha() for t in added)
+        self.letters = {byte: letter for letter, byte in byte_letters().items()}
         largest = max(end_id, self.tokenizer.get_vocab_size() - 1)
         self.kind = np.dtype("<u2" if largest < 1 << 16 else "<u4")
-        self.end = np.array([end_id], dtype=self.kind).tobytes()
+        self.end = self._packed([end_id])
+        self.feed = self._encoded(["\n"])[0]
         self.words: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
+        self.tails: dict[str, bytes] = {}
 
-    def _encoded(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        code = self.kind.char
+    def _packed(self, ids: list[int]) -> bytes:
         if sys.byteorder == "little":
-            return [array(code, x.ids).tobytes() for x in found]
-        return [np.array(x.ids, dtype=self.kind).tobytes() for x in found]
+            return array(self.kind.char, ids).tobytes()
+        return np.array(ids, dtype=self.kind).tobytes()
+
+    def _encoded(self, texts: list[str]) -> list[bytes]:
+        return [self._packed(x.ids) for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def encode(self, texts: list[str]) -> list[bytes]:
+    def encode(self, texts: pa.Array | list[str]) -> list[bytes]:
         """Packed ids of each text, with the end id."""
-        if not self.by_word:
-            return [x + self.end for x in self._encoded(texts)]
+        if not isinstance(texts, pa.Array):
+            texts = pa.array(texts, pa.string())
+        if not self.by_word or not len(texts):
+            return [x + self.end for x in self._encoded(texts.to_pylist())]
         if len(self.words) > WORDS_KEPT:
             self.older, self.words = self.words, {}
-        cuts = [t.replace("\n", " \n").split(" ") for t in texts]
-        firsts = [c.pop(0) for c in cuts]
-        odd = self._learn(cuts)
-        for i, (first, words) in enumerate(zip(firsts, cuts, strict=True)):
-            if words and (not first or first[-1].isspace() or odd and not odd.isdisjoint(words)):
-                firsts[i], cuts[i] = texts[i], []  # blanks that aren't clean: the text in one go
-        get = self.words.__getitem__
-        return [f + b"".join(map(get, c)) + self.end for f, c in zip(self._encoded(firsts), cuts, strict=True)]
-
-    def _learn(self, cuts: list[list[str]]) -> set[str]:
-        """Encode the words that aren't known; return those that don't stand between clean blanks.
+        if len(self.tails) > WORDS_KEPT:
+            self.tails = {}
+        cuts = pc.split_pattern(pc.replace_substring(texts, "\n", " \n"), " ")
+        starts, cut = cuts.offsets.to_numpy().astype(np.int64), cuts.flatten()
+        firsts, pieces = starts[:-1] - starts[0], np.diff(starts)
+        behind = np.ones(len(cut), dtype=bool)
+        behind[firsts] = False
+        heads, coded = cut.take(pa.array(firsts)).to_pylist(), cut.filter(pa.array(behind)).dictionary_encode()
+        packed = self._words(coded.dictionary)
+        codes = np.empty(len(cut), dtype=np.int64)
+        codes[behind], codes[firsts] = coded.indices.to_numpy(), len(packed) + np.arange(len(heads))
+        odd = np.array([x is None for x in packed] + [False] * len(heads), dtype=bool)
+        # blanks that aren't clean: the text in one go
+        whole = np.logical_or.reduceat(odd[codes], firsts) | (pieces > 1) & np.array([not h or h[-1].isspace() for h in heads])
+        if whole.any():
+            for i in np.flatnonzero(whole).tolist():
+                heads[i] = texts[i].as_py()
+            kept = ~np.repeat(whole, pieces)
+            kept[firsts] = True
+            codes, pieces = codes[kept], np.where(whole, 1, pieces)
+        joined = pa.array([*packed, *self._encoded(heads)], pa.large_binary()).take(pa.array(codes))
+        at = np.frombuffer(joined.buffers()[1], dtype=np.int64, count=len(joined) + 1)[np.append(0, np.cumsum(pieces))].tolist()
+        ids = memoryview(joined.buffers()[2] or b"")
+        return [b"".join((ids[a:b], self.end)) for a, b in pairwise(at)]
+
+    def _words(self, words: pa.Array) -> list[bytes | None]:
+        """Packed ids of different words; None for those that don't stand between clean blanks.
 
         A word that begins a line has its line feed, any other stands for itself behind a blank.
         """
+        odd = _judged(pc.utf8_slice_codeunits(words, 0, 2), lambda x: not x.removeprefix("\n") or x.removeprefix("\n")[0].isspace())
+        odd |= _judged(pc.utf8_slice_codeunits(words, -1), str.isspace)
+        stems = pc.ascii_rtrim(words, characters=self.marks)
+        closed = _judged(pc.utf8_slice_codeunits(stems, -1), str.isalnum) & ~odd
+        stems = pc.if_else(pa.array(odd), None, pc.if_else(pa.array(closed), stems, words)).dictionary_encode()
+        known = [*self._learn(stems.dictionary.to_numpy(zero_copy_only=False).tolist()), None]
+        packed = [known[i] for i in stems.indices.fill_null(len(known) - 1).to_numpy().tolist()]
+        sizes = [pc.binary_length(x).fill_null(0).to_numpy().astype(np.int64) for x in (words, stems.cast(words.type))]
+        closed = np.flatnonzero(closed & (sizes[0] > sizes[1])).tolist()
+        behind = [w[-n:] for w, n in zip(words.take(pa.array(closed, pa.int64())).to_numpy(zero_copy_only=False).tolist(), (sizes[0] - sizes[1])[closed].tolist(), strict=True)]
+        new = list(set(behind).difference(self.tails))
+        self.tails.update(zip(new, self._encoded(new), strict=True))
+        for i, tail in zip(closed, behind, strict=True):
+            packed[i] += self.tails[tail]
+        return packed
+
+    def _learn(self, words: list[str]) -> list[bytes]:
+        """Packed ids of different words that stand between clean blanks and aren't cut."""
         known, older = self.words, self.older
-        new = set().union(*cuts).difference(known)
-        odd, missing, closed = set(), set(), []
-        for word in new:
-            if word in older:
-                known[word] = older[word]
-                continue
-            body = word[1:] if word[:1] == "\n" else word
-            if not body or body[0].isspace() or body[-1].isspace():
-                odd.add(word)
-                continue
-            stem = word.rstrip(".,")
-            if stem != word and stem and stem[-1].isalnum():
-                closed.append((word, stem))
-                if stem in known:
-                    continue
-                if stem in older:
-                    known[stem] = older[stem]
+        found = list(map(known.get, words))
+        blank, tokenize = self.letters[0x20], self.model.tokenize
+        mixed = []
+        for i in [i for i, ids in enumerate(found) if ids is None]:
+            word = words[i]
+            ids = older.get(word)
+            if ids is None:
+                body = word.removeprefix("\n")
+                if not (self.spelled and body.isalpha()):
+                    mixed.append(i)
                     continue
-                word = stem
-            missing.add(word)
-        missing = list(missing)
-        known.update(zip(missing, self._encoded([w if w[0] == "\n" else " " + w for w in missing]), strict=True))
-        ends = {word[len(stem) :] for word, stem in closed}
-        ends = dict(zip(ends, self._encoded(list(ends)), strict=True))
-        for word, stem in closed:
-            known[word] = known[stem] + ends[word[len(stem) :]]
-        return odd
+                if not body.isascii():
+                    body = body.encode().decode("latin-1").translate(self.letters)
+                if word[0] == "\n":
+                    ids = self.feed + self._packed([x.id for x in tokenize(body)])
+                else:
+                    ids = self._packed([x.id for x in tokenize(blank + body)])
+            known[word] = found[i] = ids
+        spelled = [words[i] if words[i][0] == "\n" else " " + words[i] for i in mixed]
+        for i, ids in zip(mixed, self._encoded(spelled), strict=True):
+            known[words[i]] = found[i] = ids
+        return found
+
+
+def _judged(strings: pa.Array, test: Callable[[str], bool]) -> np.ndarray:
+    """``test`` of each string, called once for each different one."""
+    coded = strings.dictionary_encode()
+    return np.array([test(x) for x in coded.dictionary.to_pylist()], dtype=bool)[coded.indices.to_numpy()]
 
 
 def _encoder(key: tuple, definition: str, end_id: int) -> TextEncoder:
@@ -131,6 +187,31 @@ def _encoder(key: tuple, definition: str, end_id: int) -> TextEncoder:
     return kept_by_worker(("tokens", *key), lambda: TextEncoder(definition, end_id))
 
 
+def _portions(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[int], pa.Array]]:
+    """Ids and texts of rows with about ``TEXT_BYTES`` of text together, one row at least."""
+    held, room = [], TEXT_BYTES
+
+    def joined() -> tuple[list[int], pa.Array]:
+        return [x for b in held for x in b.column(0).to_pylist()], pa.concat_arrays([b.column(1) for b in held])
+
+    for batch in batches:
+        ends = np.append(0, np.cumsum(pc.binary_length(batch.column(1)).to_numpy().astype(np.int64)))
+        at = 0
+        while at < len(batch):
+            to = max(at + 1, int(np.searchsorted(ends, ends[at] + room, "right")) - 1)
+            held.append(batch.slice(at, to - at))
+            room -= int(ends[to] - ends[at])
+            at = to
+            if at < len(batch) or room <= 0:
+                yield joined()
+                held, room = [], TEXT_BYTES
+    if held:
+        yield joined()
+
+
+_SHARD = {"part": pa.int32(), "seq": pa.int32(), "n_ids": pa.int64(), "width": pa.int32(), "doc_ids": pa.binary(), "lengths": pa.binary(), "payload": pa.binary()}
+
+
 def write_store(docs: DataFrame, path: str, tokenizer_path: str, end_id: int = 2, bucket_keys: int = BUCKET_KEYS) -> None:
     """Encode ``doc_id``, ``text`` of all rows and write the two tables."""
     spark = docs.sparkSession
@@ -138,31 +219,27 @@ def write_store(docs: DataFrame, path: str, tokenizer_path: str, end_id: int = 2
         definition = spark.sparkContext.broadcast(file.read())
     key = (tokenizer_path, end_id)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         encoder = _encoder(key, definition.value, end_id)
         part, seq = TaskContext.get().partitionId(), 0
         ids, lengths, payload, held = [], [], [], 0
 
-        def shard() -> pd.DataFrame:
-            return pd.DataFrame({
-                "part": [part], "seq": [seq], "n_ids": [held], "width": [encoder.kind.itemsize], "doc_ids": [np.array(ids, dtype="<i8").tobytes()],
-                "lengths": [np.array(lengths, dtype="<i8").tobytes()], "payload": [b"".join(payload)],
-            })
-
-        for batch in batches:
-            for at in range(0, len(batch), 256):
-                keys = batch["doc_id"].iloc[at : at + 256].tolist()
-                for doc, packed in zip(keys, encoder.encode(batch["_text"].iloc[at : at + 256].tolist()), strict=True):
-                    n = len(packed) // encoder.kind.itemsize
-                    ids.append(doc)
-                    lengths.append(n)
-                    payload.append(packed)
-                    held += n
-                    if held >= SHARD_IDS:
-                        yield shard()
-                        seq, ids, lengths, payload, held = seq + 1, [], [], [], 0
+        def shard() -> pa.RecordBatch:
+            cells = [part, seq, held, encoder.kind.itemsize, np.array(ids, dtype="<i8").tobytes(), np.array(lengths, dtype="<i8").tobytes(), b"".join(payload)]
+            return pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(cells, _SHARD.values(), strict=True)], list(_SHARD))
+
+        for keys, texts in _portions(batches):
+            for doc, packed in zip(keys, encoder.encode(texts), strict=True):
+                n = len(packed) // encoder.kind.itemsize
+                ids.append(doc)
+                lengths.append(n)
+                payload.append(packed)
+                held += n
+                if held >= SHARD_IDS:
+                    yield shard()
+                    seq, ids, lengths, payload, held = seq + 1, [], [], [], 0
         if ids:
             yield shard()
 
@@ -170,7 +247,7 @@ def write_store(docs: DataFrame, path: str, tokenizer_path: str, end_id: int = 2
     rows = whole_texts(docs, F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc_id"), text_of().alias("_text"))
     # the hash only spreads rows that repeat an id
     ordered = rows.repartitionByRange(parts, "doc_id", F.xxhash64("_text")).sortWithinPartitions("doc_id", "_text")
-    ordered.mapInPandas(run, "part int, seq int, n_ids long, width int, doc_ids binary, lengths binary, payload binary").write.mode("overwrite").parquet(f"{path}/shards")
+    ordered.mapInArrow(run, "part int, seq int, n_ids long, width int, doc_ids binary, lengths binary, payload binary").write.mode("overwrite").parquet(f"{path}/shards")
     _write_index(spark, path, bucket_keys)
 
 

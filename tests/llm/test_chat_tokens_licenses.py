@@ -1,14 +1,17 @@
 """Chat formatting, token store and licence scan."""
 
 import hashlib
+import json
+import sys
 import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, pre_tokenizers
 
 from subjectflow.llm import chat, licenses, tokens
 from subjectflow.llm.common import scratch
@@ -65,6 +68,49 @@ def test_texts_encode_like_the_library(texts):
 ENCODER = (tokens.TextEncoder(open(FILE, encoding="utf-8").read(), 2), Tokenizer.from_file(FILE))
 
 
+def like_the_library(coder, texts):
+    found = [np.frombuffer(x, coder.kind).tolist() for x in coder.encode(pa.array(texts, pa.string()))]
+    return found == [coder.tokenizer.encode(t, add_special_tokens=False).ids + [2] for t in texts]
+
+
+def test_equal_words_are_encoded_once():
+    coder = tokens.TextEncoder(open(FILE, encoding="utf-8").read(), 2)
+    texts = [f"The river{a} (lehrt){b} über{a}\nRiver{b} x2{a}" for a in ("", ".", "!", "%%%", "?)", "';-") for b in (",", "$$$", ":", "]")]
+    assert like_the_library(coder, texts)
+    assert set(coder.words) == {"river", "(lehrt", "über", "\nRiver", "x2"}
+    texts += ["", "one", "one.", " river", "river  river.", "a\n\nriver!", "<|endoftext|>. a<|endoftext|>! |.", "river_ river|"]
+    assert like_the_library(coder, texts) and like_the_library(coder, ["one", ""]) and coder.encode([]) == []
+    assert "one" not in coder.words
+
+
+def test_added_tokens_of_letters_and_marks():
+    definition = json.loads(open(FILE, encoding="utf-8").read())
+    one = definition["added_tokens"][0]
+    definition["added_tokens"] += [one | {"id": 50257 + i, "content": t, "special": False, "single_word": t == "hill"} for i, t in enumerate(("river", "l!", "hill"))]
+    texts = ["a river rivers. the hill! hills, hill. hill_ hill", "still! river! l! all!? \nriver.\nhill:"]
+    assert like_the_library(tokens.TextEncoder(json.dumps(definition), 2), texts)
+
+
+def test_pieces_end_where_words_are_cut():
+    cut = pre_tokenizers.ByteLevel(add_prefix_space=False).pre_tokenize_str
+    for c in map(chr, [*range(0xD800), *range(0xE000, sys.maxunicode + 1)]):
+        if c.isalnum():
+            assert len(cut(c + "!")) == 2
+        if c.isalpha():
+            assert len(cut(f" a{c}a")) == 1
+
+
+def test_portions_keep_all_rows(monkeypatch):
+    monkeypatch.setattr(tokens, "TEXT_BYTES", 10)
+    texts = ["", "four", "fours", "x" * 30, "", "1", "é" * 5, "22", "x" * 11]
+    for size in (1, 2, 4, 9):
+        batches = [pa.RecordBatch.from_arrays([pa.array(range(at, min(at + size, 9))), pa.array(texts[at : at + size])], ["doc_id", "_text"]) for at in range(0, 9, size)]
+        got = list(tokens._portions(iter([batches[0].slice(0, 0), *batches])))
+        assert [i for ids, _ in got for i in ids] == list(range(9)) and [t for _, part in got for t in part.to_pylist()] == texts
+        assert len(got) > 2 and all(len(ids) == len(part) for ids, part in got)
+    assert list(tokens._portions(iter([]))) == []
+
+
 def test_perfect_hash():
     draw = np.random.default_rng(1)
     ids = np.unique(draw.integers(-(2**62), 2**62, 5000))
