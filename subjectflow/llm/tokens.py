@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import json
 import os
+import re
 import string
 import sys
 import zlib
@@ -50,6 +51,10 @@ _U = np.uint64
 _STEP = 0x9E3779B97F4A7C15
 
 
+#: A single blank, or the place before a single line feed, between characters that aren't blank.
+_CLEAN = re.compile(r"(?<=\S) (?=\S)|(?<=\S)(?=\n\S)")
+
+
 class TextEncoder:
     """Ids of whole texts from a tokenizer file.
 
@@ -58,8 +63,8 @@ class TextEncoder:
     behind a letter or digit. Texts may be cut there and equal words encoded once: Arrow cuts
     the texts and numbers their different words, the library encodes those that are new, and
     the ids are put together by number. A word of letters alone is one piece and goes to the
-    library's model at once. A text with any other blank is encoded whole, and so is every
-    text for any other tokenizer.
+    library's model at once. A text with any other blank is cut at the clean ones only. For any
+    other tokenizer texts are encoded whole.
     """
 
     def __init__(self, definition: str, end_id: int):
@@ -115,18 +120,24 @@ class TextEncoder:
         codes = np.empty(len(cut), dtype=np.int64)
         codes[behind], codes[firsts] = coded.indices.to_numpy(), len(packed) + np.arange(len(heads))
         odd = np.array([x is None for x in packed] + [False] * len(heads), dtype=bool)
-        # blanks that aren't clean: the text in one go
-        whole = np.logical_or.reduceat(odd[codes], firsts) | (pieces > 1) & np.array([not h or h[-1].isspace() for h in heads])
-        if whole.any():
-            for i in np.flatnonzero(whole).tolist():
-                heads[i] = texts[i].as_py()
-            kept = ~np.repeat(whole, pieces)
+        # blanks that aren't clean: the text apart, by its clean ones
+        apart = np.logical_or.reduceat(odd[codes], firsts) | (pieces > 1) & np.array([not h or h[-1].isspace() for h in heads])
+        rest = [()] * len(heads)
+        if apart.any():
+            for i in np.flatnonzero(apart).tolist():
+                heads[i], *rest[i] = _CLEAN.split(texts[i].as_py())
+            found = list(set().union(*rest))
+            found = dict(zip(found, self._words(pa.array(found, texts.type)), strict=True))
+            ends = [word for word, ids in found.items() if ids is None]  # blanks end a text
+            found.update(zip(ends, self._learn(ends), strict=True))
+            rest = [[found[word] for word in words] for words in rest]
+            kept = ~np.repeat(apart, pieces)
             kept[firsts] = True
-            codes, pieces = codes[kept], np.where(whole, 1, pieces)
+            codes, pieces = codes[kept], np.where(apart, 1, pieces)
         joined = pa.array([*packed, *self._encoded(heads)], pa.large_binary()).take(pa.array(codes))
         at = np.frombuffer(joined.buffers()[1], dtype=np.int64, count=len(joined) + 1)[np.append(0, np.cumsum(pieces))].tolist()
         ids = memoryview(joined.buffers()[2] or b"")
-        return [b"".join((ids[a:b], self.end)) for a, b in pairwise(at)]
+        return [b"".join((ids[a:b], *more, self.end)) for (a, b), more in zip(pairwise(at), rest, strict=True)]
 
     def _words(self, words: pa.Array) -> list[bytes | None]:
         """Packed ids of different words; None for those that don't stand between clean blanks.

@@ -83,6 +83,13 @@ def test_equal_words_are_encoded_once():
     assert "one" not in coder.words
 
 
+def test_texts_with_other_blanks_are_cut_at_clean_ones():
+    coder = tokens.TextEncoder(open(FILE, encoding="utf-8").read(), 2)
+    texts = ["  The sea is.\n\nA hill is!\nOld  sea.\t", "One\r\nold sea\n", "no blank", "\n", "a\x1c b\xa0 c d", "\n\nb"]
+    assert like_the_library(coder, texts) and like_the_library(coder, texts[::-1])
+    assert {"sea", "is.\n\nA", "hill", "is", "\nOld  sea.\t", "sea\n", "blank"} <= set(coder.words)
+
+
 def test_added_tokens_of_letters_and_marks():
     definition = json.loads(open(FILE, encoding="utf-8").read())
     one = definition["added_tokens"][0]
